@@ -370,7 +370,7 @@ def collect_log(payloads: DataFrame, offers: DataFrame) -> DataFrame:
     counted = offers.groupBy("snapshot_id", "provider").agg(F.count("*").alias("rows"))
     status = landed.join(counted, ["snapshot_id", "provider"], "left").na.fill(0, ["rows"])
     problem = F.when(
-        F.col("bad") > 0, F.concat("provider", F.lit(": "), F.col("bad").cast("string"), F.lit(" unreadable"))
+        F.col("bad") > 0, F.concat("provider", F.lit(": unreadable"))
     ).when(F.col("rows") == 0, F.concat("provider", F.lit(": no rows")))
     of_provider = [
         F.coalesce(F.sum(F.when(F.col("provider") == p, F.col("rows"))), F.lit(0)).alias(f"{p}_offers")

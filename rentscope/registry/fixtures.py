@@ -79,7 +79,7 @@ FROM events WHERE event_type = 'click'
 """
 
 GPU_TYPE_ITEMS_SQL = f"""
-SELECT event_id, ts, 'gt' || CAST(event_id AS STRING) AS id,
+SELECT event_id, ts, 'id' || CAST(event_id AS STRING) AS id,
   CASE WHEN event_id % 31 = 0 THEN '' ELSE {RAW_NAME} END AS display_name,
   CAST(16 * (1 + user_id % 8) AS DOUBLE) AS memory_gb,
   event_id % 2 = 0 AS secure_cloud,

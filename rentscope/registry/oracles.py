@@ -1 +1,595 @@
-def oracle_sql(): return {}
+"""Reference SQL (DuckDB) for the registered queries, on the same tables.
+
+Each text states a result directly from the tables, not by the steps the operator takes:
+percentiles by ``quantile_cont``, replays by ordered windows over whole series, ingest rows
+straight from the events that the payloads were built from.
+"""
+
+from __future__ import annotations
+
+from rentscope.registry import fixtures as fx
+from rentscope.registry import queries as q
+
+_COMMON = f"""
+WITH offers AS ({fx.OFFERS_SQL}),
+snapshots AS ({fx.SNAPSHOTS_SQL}),
+now AS (SELECT max(captured_at) AS as_of FROM offers)
+"""
+
+
+def _r(x: str, digits: int = 4) -> str:
+    """Round half up on decimals, as the operators do after dropping float noise."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38, 9)), {digits}) AS DOUBLE)"
+
+
+def _sum(x: str) -> str:
+    return f"CAST(sum({x}) AS BIGINT)"
+
+
+_PRIOR = "CASE lower(provider) WHEN 'vast' THEN 0.20 WHEN 'runpod' THEN 0.05 WHEN 'akash' THEN 0.10 WHEN 'spheron' THEN 0.02 ELSE 0.15 END"
+
+_STATS = f"""
+stats AS (
+  SELECT gpu_name, provider, count(*) AS n,
+    {_r('quantile_cont(price_per_gpu_hr, 0.1)', 6)} AS p10,
+    {_r('quantile_cont(price_per_gpu_hr, 0.5)', 6)} AS p50,
+    {_r('quantile_cont(price_per_gpu_hr, 0.9)', 6)} AS p90,
+    {_r('avg(price_per_gpu_hr)', 6)} AS mean,
+    {_r('stddev_samp(price_per_gpu_hr) / avg(price_per_gpu_hr)')} AS volatility
+  FROM offers WHERE price_per_gpu_hr > 0 GROUP BY 1, 2 HAVING count(*) >= 3),
+avail AS (
+  SELECT gpu_name, provider,
+    {_r('count(DISTINCT CASE WHEN price_per_gpu_hr IS NOT NULL THEN snapshot_id END) / (SELECT count(finished_at) FROM snapshots)')} AS availability
+  FROM offers GROUP BY 1, 2),
+intr AS (
+  SELECT provider, CASE WHEN count(price_per_gpu_hr) < 10 THEN CAST({_PRIOR} AS DOUBLE)
+    ELSE {_r(f'0.7 * {_PRIOR} + 0.3 * count(CASE WHEN interruptible = 1 THEN price_per_gpu_hr END) / count(price_per_gpu_hr)')} END
+    AS interruption_probability
+  FROM offers GROUP BY provider)
+"""
+
+
+def _windows(listed: str = "price_per_gpu_hr IS NOT NULL", having: str = "TRUE") -> str:
+    return f"""
+    {_STATS},
+    windows AS (
+      SELECT s.provider, s.gpu_name AS gpu_class, v.vram_gb, p10 AS price_per_gpu_hour_p10,
+        p50 AS price_per_gpu_hour_p50, p90 AS price_per_gpu_hour_p90, volatility AS price_volatility,
+        availability AS availability_probability, interruption_probability, n AS n_price_samples
+      FROM stats s
+      JOIN (SELECT gpu_name, provider, max(vram_gb) AS vram_gb FROM offers WHERE {listed} GROUP BY 1, 2) v
+        ON s.gpu_name = v.gpu_name AND s.provider = v.provider
+      JOIN avail a ON s.gpu_name = a.gpu_name AND s.provider = a.provider
+      JOIN intr i ON s.provider = i.provider
+      WHERE {having})
+    """
+
+
+_ALL_WINDOWS = _windows()
+
+_CURRENT = """
+current AS (
+  SELECT o.* FROM offers o, now, (SELECT max(captured_at) AS newest FROM offers WHERE price_per_gpu_hr IS NOT NULL) m
+  WHERE price_per_gpu_hr IS NOT NULL AND captured_at >= as_of - INTERVAL (
+    CASE WHEN newest >= as_of - INTERVAL 4 HOUR THEN 4 WHEN newest >= as_of - INTERVAL 48 HOUR THEN 48 ELSE 9999 END) HOUR)
+"""
+
+_COMPARED = f"""
+per_provider AS (
+  SELECT gpu_name, provider, {_r('min(price_per_gpu_hr)')} AS min_price, {_r('avg(price_per_gpu_hr)')} AS avg_price,
+    count(*) AS offer_count
+  FROM current GROUP BY 1, 2),
+compared AS (
+  SELECT gpu_name, count(*) AS provider_count,
+    first(provider ORDER BY avg_price, provider) FILTER (WHERE avg_price <> 0) AS cheapest_provider,
+    min(avg_price) FILTER (WHERE avg_price <> 0) AS cheapest_price
+  FROM per_provider GROUP BY gpu_name
+  HAVING min(avg_price) FILTER (WHERE avg_price <> 0) IS NOT NULL
+  ORDER BY provider_count DESC, gpu_name LIMIT %d)
+"""
+
+_BAND = """CASE WHEN {v} <= 0.05 THEN 'very low' WHEN {v} <= 0.15 THEN 'low' WHEN {v} <= 0.30 THEN 'medium'
+  WHEN {v} <= 0.50 THEN 'high' ELSE 'very high' END"""
+
+_MATRIX = f"""
+SELECT *, coalesce(vast = least(vast, runpod, spheron), FALSE) AS vast_best,
+  coalesce(runpod = least(vast, runpod, spheron), FALSE) AS runpod_best,
+  coalesce(spheron = least(vast, runpod, spheron), FALSE) AS spheron_best
+FROM (
+  SELECT c.gpu_name, c.provider_count,
+    max(CASE WHEN p.provider = 'vast' THEN avg_price END) AS vast,
+    max(CASE WHEN p.provider = 'runpod' THEN avg_price END) AS runpod,
+    max(CASE WHEN p.provider = 'spheron' THEN avg_price END) AS spheron
+  FROM compared c JOIN per_provider p ON c.gpu_name = p.gpu_name GROUP BY 1, 2)
+"""
+
+
+def _report_oracles() -> dict[str, str]:
+    p = "price_per_gpu_hr"
+    return {
+        "price_summary": f"""{_COMMON}
+            SELECT provider, gpu_name, count(DISTINCT snapshot_id) AS snapshots_seen, count(*) AS total_offers,
+              {_r(f'min({p})')} AS all_time_min, {_r(f'avg({p})')} AS all_time_avg, {_r(f'max({p})')} AS all_time_max,
+              {_r(f'avg(CASE WHEN interruptible = 1 THEN {p} END)')} AS avg_spot_price,
+              {_r(f'avg(CASE WHEN interruptible = 0 THEN {p} END)')} AS avg_ondemand_price,
+              min(captured_at) AS first_seen, max(captured_at) AS last_seen
+            FROM offers GROUP BY 1, 2""",
+        "gpu_history": f"""{_COMMON}
+            SELECT max(captured_at) AS captured_at, provider, count(*) AS offers, {_r(f'min({p})')} AS min_price,
+              {_r(f'avg({p})')} AS avg_price, {_r(f'max({p})')} AS max_price
+            FROM offers WHERE gpu_name ILIKE '%{q.GPU_PATTERN}%'
+            GROUP BY CAST(captured_at AS DATE), provider ORDER BY max(captured_at) DESC, provider LIMIT 100""",
+        "cheapest_offers": f"""{_COMMON}
+            SELECT provider, gpu_name, gpu_name_raw, gpu_count, vram_gb, {p}, price_total_hr, interruptible,
+              reliability_score, geography, date_trunc('hour', captured_at) AS captured_at
+            FROM offers, now
+            WHERE date_trunc('hour', captured_at) >= date_trunc('hour', as_of) AND vram_gb >= {q.MIN_VRAM}
+            ORDER BY {p} NULLS FIRST, id LIMIT 30""",
+        "budget_windows": f"""{_COMMON}
+            SELECT provider, gpu_name, count(*) AS qualifying_offers,
+              count(DISTINCT CAST(captured_at AS DATE)) AS days_with_offers, {_r(f'min({p})')} AS cheapest_seen,
+              {_r(f'avg({p})')} AS avg_when_cheap, min(captured_at) AS first_window, max(captured_at) AS last_window
+            FROM offers WHERE {p} <= {q.BUDGET} AND interruptible = 1 GROUP BY 1, 2""",
+        "price_volatility": f"""{_COMMON}
+            SELECT provider, gpu_name, count(DISTINCT snapshot_id) AS snapshots, {_r(f'avg({p})')} AS mean_price,
+              {_r(f'coalesce(sqrt(greatest(avg({p} * {p}) - avg({p}) * avg({p}), 0)), 0)')} AS std_dev,
+              {_r(f'min({p})')} AS p0, {_r(f'max({p})')} AS p100
+            FROM offers WHERE interruptible = 1 GROUP BY 1, 2 HAVING count(DISTINCT snapshot_id) >= 3""",
+        "offer_windows": f"""{_COMMON}
+            SELECT snapshot_id || '_' || provider || '_' || gpu_name || '_' || id AS window_id, provider,
+              gpu_name AS gpu_class, captured_at AS start_time, {p} AS price_per_gpu_hour_p50,
+              {_r(f'coalesce({p}, 0) * 1.25', 6)} AS price_per_gpu_hour_p90,
+              CAST(coalesce(nullif(reliability_score, 0), 0.6) AS DOUBLE) AS availability_probability,
+              CAST(CASE WHEN interruptible <> 0 THEN 0.15 ELSE 0.02 END AS DOUBLE) AS interruption_probability
+            FROM offers ORDER BY captured_at DESC, id DESC LIMIT 5000""",
+        "db_stats": f"""{_COMMON}
+            SELECT (SELECT count(*) FROM snapshots) AS total_snapshots, (SELECT count(*) FROM offers) AS total_offers,
+              (SELECT min(started_at) FROM snapshots) AS oldest_snapshot,
+              (SELECT max(started_at) FROM snapshots) AS latest_snapshot""",
+        "price_stats": f"{_COMMON}, {_STATS} SELECT gpu_name, provider, n AS n_samples, p10, p50, p90, mean, volatility FROM stats",
+        "availability_score": f"{_COMMON}, {_STATS} SELECT * FROM avail",
+        "interruption_probability": f"{_COMMON}, {_STATS} SELECT * FROM intr",
+        "provider_windows": f"{_COMMON}, {_ALL_WINDOWS} SELECT * FROM windows",
+        "provider_windows_filtered": f"""{_COMMON},
+            {_windows(f'{p} IS NOT NULL AND vram_gb >= {q.MIN_VRAM}', f'p50 <= {q.WINDOW_BUDGET}')} SELECT * FROM windows""",
+        "provider_windows_file": f"{_COMMON}, {_ALL_WINDOWS} SELECT * FROM windows",
+        "snapshot_summary": f"""{_COMMON}
+            SELECT provider, gpu_name, count(*) AS offers, {_r(f'min({p})')} AS min_p, {_r(f'avg({p})')} AS avg_p,
+              {_r(f'max({p})')} AS max_p, {_sum('interruptible')} AS spot
+            FROM offers WHERE snapshot_id = '{q.ONE_RUN}' GROUP BY 1, 2""",
+        "latest_snapshot": f"""{_COMMON}
+            SELECT * FROM offers WHERE snapshot_id = (
+              SELECT snapshot_id FROM snapshots ORDER BY started_at DESC, snapshot_id DESC LIMIT 1)""",
+        "run_log": f"""{_COMMON}
+            SELECT s.snapshot_id, started_at, finished_at,
+              count(*) FILTER (WHERE provider = 'vast') AS vast_offers,
+              count(*) FILTER (WHERE provider = 'runpod') AS runpod_offers,
+              count(*) FILTER (WHERE provider = 'akash') AS akash_offers,
+              count(*) FILTER (WHERE provider = 'spheron') AS spheron_offers
+            FROM snapshots s LEFT JOIN offers o ON s.snapshot_id = o.snapshot_id GROUP BY 1, 2, 3""",
+        "run_report": f"""{_COMMON}
+            , run AS (SELECT snapshot_id, finished_at FROM snapshots ORDER BY started_at DESC, snapshot_id DESC LIMIT 1)
+            SELECT o.snapshot_id, provider, count(*) AS cnt,
+              coalesce(strftime(max(run.finished_at), '%Y-%m-%d %H:%M'), '') AS finished_at,
+              (SELECT count(finished_at) FROM snapshots) AS total_snapshots, (SELECT count(*) FROM offers) AS total_rows
+            FROM offers o JOIN run ON o.snapshot_id = run.snapshot_id GROUP BY 1, 2""",
+        "stats_overview": f"""{_COMMON}
+            SELECT count(DISTINCT snapshot_id) AS snapshots, count(*) AS rows, count(DISTINCT provider) AS providers,
+              CAST(min(captured_at) AS DATE) AS since, CAST(max(captured_at) AS DATE) AS latest FROM offers""",
+        "provider_coverage": f"""{_COMMON}
+            SELECT provider, count(DISTINCT gpu_name) AS gpu_types, count(*) AS offers
+            FROM offers, now WHERE captured_at >= as_of - INTERVAL 48 HOUR GROUP BY provider""",
+        "cheapest_by_provider": f"""{_COMMON}
+            SELECT provider, gpu_name, {_r(f'min({p})')} AS min_price FROM offers, now
+            WHERE {p} IS NOT NULL AND captured_at >= as_of - INTERVAL 48 HOUR
+            GROUP BY 1, 2 ORDER BY provider, min_price, gpu_name LIMIT 15""",
+        "cheapest_per_provider": f"""{_COMMON}
+            SELECT * FROM (
+              SELECT provider, gpu_name, {_r(f'min({p})')} AS min_price FROM offers, now
+              WHERE {p} IS NOT NULL AND captured_at >= as_of - INTERVAL 48 HOUR GROUP BY 1, 2)
+            QUALIFY row_number() OVER (PARTITION BY provider ORDER BY min_price, gpu_name) <= 3""",
+        "dataset_stats": f"""{_COMMON}
+            SELECT count(DISTINCT snapshot_id) AS total_snapshots, count(*) AS total_rows,
+              count(DISTINCT provider) AS providers, max(captured_at) AS last_updated,
+              greatest(1, datediff('second', min(captured_at), max(captured_at)) // 86400 + 1) AS days_of_data
+            FROM offers""",
+        "price_comparison": f"""{_COMMON}, {_CURRENT}, {_COMPARED % 20}
+            SELECT c.gpu_name, cheapest_provider, cheapest_price, provider_count, provider, min_price, avg_price, offer_count
+            FROM compared c JOIN per_provider p ON c.gpu_name = p.gpu_name""",
+        "price_matrix": f"{_COMMON}, {_CURRENT}, {_COMPARED % 12} {_MATRIX}",
+        "price_matrix_late": f"""{_COMMON.replace('max(captured_at) AS as_of', 'max(captured_at) + INTERVAL 24 HOUR AS as_of')},
+            {_CURRENT}, {_COMPARED % 12} {_MATRIX}""",
+        "volatility_rollup": f"""{_COMMON}, {_ALL_WINDOWS}
+            SELECT gpu_class, {_r('avg(price_volatility)')} AS avg_volatility, {_r('max(price_volatility)')} AS max_volatility,
+              string_agg(provider, ',' ORDER BY price_per_gpu_hour_p50, provider) AS providers
+            FROM windows GROUP BY 1""",
+        "spread_alerts": f"""{_COMMON}, {_CURRENT}, {_ALL_WINDOWS}, {_ALERTS} SELECT * FROM alerts""",
+        "budget_options": f"{_COMMON}, {_ALL_WINDOWS} {_OPTIONS}",
+        "budget_cost": f"""{_COMMON}, {_ALL_WINDOWS}, options AS ({_OPTIONS})
+            SELECT provider, gpu_class, {_r('price_p50')} AS price_p50, {_r('price_p50 * 8', 2)} AS total_cost,
+              CAST(round(availability * 100) AS BIGINT) AS availability_pct,
+              CASE WHEN round(availability * 100) >= 70 THEN 'green' WHEN round(availability * 100) >= 40 THEN 'yellow'
+                ELSE 'red' END AS availability_light,
+              {_r('volatility', 3)} AS volatility, {_BAND.format(v='volatility')} AS volatility_band,
+              greatest((SELECT count(*) FROM options) - 10, 0) AS more_options
+            FROM options ORDER BY options.price_p50, gpu_class, provider LIMIT 10""",
+        "volatility_band": f"""{_COMMON}, {_ALL_WINDOWS}
+            SELECT provider, gpu_class, price_volatility, {_BAND.format(v='price_volatility')} AS volatility_band FROM windows""",
+    }
+
+
+_ALERTS = f"""
+lowest AS (SELECT gpu_name, provider, min(price_per_gpu_hr) AS price FROM current GROUP BY 1, 2),
+gaps AS (
+  SELECT gpu_name, max(price) - min(price) AS gap, min(price) AS low, max(price) AS high,
+    first(provider ORDER BY price, provider) AS cheapest, first(provider ORDER BY price DESC, provider) AS priciest
+  FROM lowest GROUP BY 1 HAVING count(*) >= 2 AND max(price) - min(price) >= 0.005),
+usual AS (
+  SELECT gpu_class, count(*) AS known, max(price_per_gpu_hour_p50) - min(price_per_gpu_hour_p50) AS usual_gap
+  FROM windows GROUP BY 1),
+alerts AS (
+  SELECT g.gpu_name, {_r('gap')} AS spread, cheapest AS cheapest_provider, {_r('low')} AS cheapest_price,
+    priciest AS priciest_provider, {_r('high')} AS priciest_price, {_r('gap * 100', 2)} AS savings_per_100h,
+    CASE WHEN known >= 2 THEN gap > usual_gap * 1.5 AND gap > 0.05 ELSE gap / high > 0.15 END AS is_alert,
+    l.provider, {_r('l.price')} AS price
+  FROM gaps g JOIN lowest l ON g.gpu_name = l.gpu_name LEFT JOIN usual u ON g.gpu_name = u.gpu_class)
+"""
+
+_OPTIONS = f"""
+SELECT provider, gpu_class, price_per_gpu_hour_p50 AS price_p50, price_per_gpu_hour_p10 AS price_p10,
+  availability_probability AS availability, price_volatility AS volatility,
+  {_r(f'{q.WINDOW_BUDGET} - price_per_gpu_hour_p50')} AS savings_vs_budget, n_price_samples AS n_samples
+FROM windows WHERE price_per_gpu_hour_p50 <= {q.WINDOW_BUDGET}
+"""
+
+# Labels of the raw fixture names; a null name in a listing becomes ''.
+_RUN = "strftime(date_trunc('hour', ts), 'snap_%Y%m%d_%H%M%S_%g') AS snapshot_id, date_trunc('hour', ts) AS captured_at"
+
+
+def _label(name: str) -> str:
+    rules = [
+        ("NVIDIA H100 SXM5 80GB", "H100_SXM"), ("NVIDIA H100 PCIe", "H100_PCIE"), ("GeForce RTX 4090", "RTX_4090"),
+        ("RTX A4000", "A40"), ("RTX A6000", "RTX_A6000"), ("Tesla V100-PCIE-16GB", "V100"),
+        ("A100-SXM4-80GB", "A100_80GB"), ("NVIDIA GH200", "H200"),
+    ]
+    cases = " ".join(f"WHEN '{raw}' THEN '{label}'" for raw, label in rules)
+    return f"""CASE {name} {cases} WHEN 'T4' THEN 'T4' ELSE 'UNKNOWN' END"""
+
+
+def _rows(provider: str, offer_id: str, raw: str, label: str, count: str, vram: str, price: str, total: str,
+          spot: str, reliability: str, place: str, down: str) -> str:
+    return f"""SELECT {_RUN}, '{provider}' AS provider, {offer_id} AS offer_id, {label} AS gpu_name, {raw} AS gpu_name_raw,
+      CAST({count} AS INTEGER) AS gpu_count, CAST({vram} AS DOUBLE) AS vram_gb, CAST({price} AS DOUBLE) AS price_per_gpu_hr,
+      CAST({total} AS DOUBLE) AS price_total_hr, CAST({spot} AS INTEGER) AS interruptible,
+      CAST({reliability} AS DOUBLE) AS reliability_score, {place} AS geography, CAST({down} AS DOUBLE) AS inet_down_mbps"""
+
+
+_MARKET = f"""
+{_rows('vast', 'id', "coalesce(gpu_name, '')", _label('gpu_name'), 'coalesce(nullif(num_gpus, 0), 1)',
+       'coalesce(gpu_ram, 0) / 1024', _r('coalesce(dph_total, 0) / coalesce(nullif(num_gpus, 0), 1)', 6),
+       'coalesce(dph_total, 0)', '1', 'coalesce(reliability2, 0)', 'geolocation', 'coalesce(inet_down, 0)')}
+FROM ({fx.MARKET_ITEMS_SQL})
+"""
+
+
+def _types(kind: str, price: str, spot: int) -> str:
+    name = "coalesce(nullif(display_name, ''), id)"
+    label = f"CASE WHEN display_name = '' THEN upper(id) ELSE {_label('display_name')} END"
+    return f"""
+    {_rows('runpod', f"id || '_{kind}'", name, label, '1', 'memory_gb', price, price, str(spot), 'NULL',
+           'CAST(NULL AS VARCHAR)', 'NULL')}
+    FROM ({fx.GPU_TYPE_ITEMS_SQL}) WHERE {price} IS NOT NULL"""
+
+
+_GPU_TYPES = f"{_types('spot', 'bid', 1)} UNION ALL {_types('ondemand', 'on_demand', 0)}"
+
+_MONTHLY_PRICE = _r("coalesce(nullif(mid, 0), low) / 730", 6)
+_SIZE = "CASE ram WHEN '80Gi' THEN 80 * 1.073741824 WHEN '24G' THEN 24 WHEN '16384Mi' THEN 16384 * 0.001048576 WHEN '48 GB' THEN 48 ELSE 0 END"
+_MONTHLY = f"""
+{_rows('akash', "'akash_' || gpu || '_' || ram", "gpu || ' ' || ram || ' ' || interface", _label('gpu'), '1', _SIZE,
+       _MONTHLY_PRICE, _MONTHLY_PRICE, '1', 'NULL', 'CAST(NULL AS VARCHAR)', 'NULL')}
+FROM ({fx.MONTHLY_ITEMS_SQL}) WHERE coalesce(nullif(mid, 0), low) IS NOT NULL
+"""
+
+_LEASE_PRICE = _r("nullif(monthly, 0) / 730", 6)
+_PROVIDERS = f"""
+{_rows('akash', "'akash_prov_' || owner[1:16] || '_' || model[1:20]", 'model', _label('model'), '1', 'NULL', _LEASE_PRICE,
+       _LEASE_PRICE, '1', 'uptime / 100', "CASE WHEN place_key = 'Country' THEN place ELSE region END",
+       'TRY_CAST(speed AS DOUBLE)')}
+FROM (
+  SELECT *, attr_model AS model FROM ({fx.PROVIDER_ITEMS_SQL})
+  UNION ALL SELECT *, cap_model FROM ({fx.PROVIDER_ITEMS_SQL}) WHERE cap_model <> '' AND cap_model <> attr_model)
+"""
+
+
+def _prices(od: str, sp: str, where: str, vram: str = "coalesce(nullif(vram, 0), memory_gb)") -> str:
+    def part(kind: str, price: str, spot: int) -> str:
+        return f"""
+        {_rows('spheron', f"'spheron_' || gpu || '_{kind}'", 'gpu', _label('gpu'), '1', vram, price, price, str(spot), '0.99',
+               "'multi-region'", 'NULL')}
+        FROM ({fx.PRICE_ITEMS_SQL}) WHERE coalesce({price}, 0) <> 0 AND {where}"""
+
+    return f"{part('od', od, 0)} UNION ALL {part('spot', sp, 1)}"
+
+
+_LIST = _prices("coalesce(nullif(on_demand_price, 0), nullif(hourly_price, 0))", "spot_price", "kind = 0")
+_PAGE = _prices("coalesce(nullif(hourly_price, 0), nullif(on_demand_price, 0))", "spot_price", "kind <= 1")
+
+_STATIC = "(VALUES " + ", ".join(
+    f"('{gpu}', {vram}, {price}, {spot}, '{kind}')"
+    for gpu, vram, od, sp in [
+        ("RTX_4090", 24, 0.49, 0.20), ("L40S", 48, 0.86, 0.35), ("A100_80GB", 80, 1.07, 0.60), ("H100_PCIE", 80, 2.01, 0.80),
+        ("H100_SXM", 80, 2.49, 1.10), ("H200", 141, 3.20, 1.45), ("B200", 192, 6.02, 2.12), ("B300", 288, 6.80, 2.45),
+    ]
+    for price, spot, kind in [(od, 0, "od"), (sp, 1, "spot")]
+) + ") s(gpu, vram, price, spot, kind)"
+
+
+def _static(where: str) -> str:
+    runs = f"(SELECT DISTINCT date_trunc('hour', ts) AS ts FROM ({fx.PRICE_ITEMS_SQL}) WHERE {where})"
+    return f"""
+    {_rows('spheron', "'spheron_' || gpu || '_' || kind", 'gpu', 'gpu', '1', 'vram', 'price', 'price', 'spot', '0.99',
+           "'multi-region'", 'NULL')}
+    FROM {runs}, {_STATIC}"""
+
+
+_FIRST_SOURCE = f"""
+SELECT * FROM (
+  SELECT *, 0 AS prio, 'spheron_api' AS source FROM ({_LIST})
+  UNION ALL SELECT *, 1, 'spheron_html' FROM ({_PAGE})
+  UNION ALL SELECT *, 2, 'static_fallback_2026-04-15' FROM ({_static('TRUE')}))
+QUALIFY rank() OVER (PARTITION BY snapshot_id ORDER BY prio) = 1
+"""
+_SPHERON = f"SELECT * EXCLUDE (prio, source) FROM ({_FIRST_SOURCE})"
+_ALL_INGESTED = f"{_MARKET} UNION ALL {_GPU_TYPES} UNION ALL {_MONTHLY} UNION ALL {_PROVIDERS} UNION ALL {_SPHERON}"
+
+
+def _ingest_oracles() -> dict[str, str]:
+    page_row = """'page_' || page_id AS snapshot_id, TIMESTAMP '2024-01-01 00:00:00' AS captured_at, 'spheron' AS provider,
+      'spheron_GPU ' || page_id % 7 || '_' || kind AS offer_id, 'GPU_' || page_id % 7 AS gpu_name,
+      'GPU ' || page_id % 7 AS gpu_name_raw, CAST(1 AS INTEGER) AS gpu_count, CAST(page_id % 9 * 8 AS DOUBLE) AS vram_gb,
+      price AS price_per_gpu_hr, price AS price_total_hr, CAST(spot AS INTEGER) AS interruptible,
+      CAST(0.99 AS DOUBLE) AS reliability_score, 'multi-region' AS geography, CAST(NULL AS DOUBLE) AS inet_down_mbps"""
+    strip = "regexp_replace(upper(gpu_name_raw), '[ -]', '_', 'g')"
+    return {
+        "ingest_marketplace": _MARKET,
+        "ingest_gpu_types": _GPU_TYPES,
+        "ingest_monthly_prices": _MONTHLY,
+        "ingest_provider_list": _PROVIDERS,
+        "ingest_price_list": _LIST,
+        "ingest_price_page": f"""
+            SELECT {page_row} FROM (
+              SELECT page_id, 'od' AS kind, 0 AS spot, (page_id % 50 + 1) / 10.0 AS price FROM pages WHERE page_id % 3 <> 0
+              UNION ALL
+              SELECT page_id, 'spot', 1, (page_id % 50 + 1) / 20.0 FROM pages WHERE page_id % 3 <> 0 AND page_id % 4 <> 0)""",
+        "ingest_static_prices": _static("kind = 2"),
+        "first_nonempty_source": f"SELECT snapshot_id, source, count(*) AS rows FROM ({_FIRST_SOURCE}) GROUP BY 1, 2",
+        "canonical_gpu_name": f"""
+            SELECT gpu_name_raw, CASE WHEN known <> 'UNKNOWN' THEN known
+              WHEN gpu_name_raw IS NULL OR gpu_name_raw = '' THEN 'UNKNOWN' ELSE {strip}[1:64] END AS gpu_name
+            FROM (SELECT gpu_name_raw, {_label('gpu_name_raw')} AS known FROM (
+              SELECT {fx.RAW_NAME} AS gpu_name_raw FROM events UNION SELECT p_name FROM part))""",
+        "parse_size_gb": f"""
+            SELECT event_id, {q.SIZE_TEXT} AS size, {_r('''CASE event_id % 8 WHEN 0 THEN 80 * 1.073741824 WHEN 1 THEN 24
+              WHEN 2 THEN 16384 * 0.001048576 WHEN 3 THEN 0.512 WHEN 4 THEN 0 WHEN 5 THEN 48 WHEN 6 THEN 0
+              ELSE user_id * 1.073741824 END''', 6)} AS gb FROM events""",
+        "attribute_lookup": f"SELECT geography, inet_down_mbps, count(*) AS rows FROM ({_PROVIDERS}) GROUP BY 1, 2",
+        "deep_find": """
+            SELECT event_id, CASE WHEN event_id % 3 = 2 THEN CAST(props ->> '$.k' AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END
+              AS found FROM events""",
+        "collect_run": _ALL_INGESTED,
+        "collect_log": f"""
+            WITH runs AS (
+              SELECT DISTINCT {_RUN}, CASE event_type WHEN 'click' THEN 'vast' WHEN 'view' THEN 'runpod'
+                WHEN 'purchase' THEN 'spheron' ELSE 'akash' END AS provider, extract(hour FROM ts) % 3 = 2 AS down
+              FROM events WHERE event_type <> 'signup'),
+            counted AS (SELECT snapshot_id, provider, count(*) AS n FROM ({_ALL_INGESTED}) GROUP BY 1, 2),
+            pages AS (
+              SELECT snapshot_id, captured_at, r.provider, coalesce(n, 0) AS n, r.provider = 'spheron' AND down AS bad
+              FROM runs r LEFT JOIN counted c USING (snapshot_id, provider))
+            SELECT snapshot_id, min(captured_at) AS started_at,
+              {_sum("CASE WHEN provider = 'vast' THEN n ELSE 0 END")} AS vast_offers,
+              {_sum("CASE WHEN provider = 'runpod' THEN n ELSE 0 END")} AS runpod_offers,
+              {_sum("CASE WHEN provider = 'akash' THEN n ELSE 0 END")} AS akash_offers,
+              {_sum("CASE WHEN provider = 'spheron' THEN n ELSE 0 END")} AS spheron_offers,
+              coalesce(string_agg(CASE WHEN bad THEN 'spheron: unreadable' WHEN n = 0 THEN provider || ': no rows' END, ','
+                ORDER BY provider), '') AS errors
+            FROM pages GROUP BY snapshot_id""",
+        "make_snapshot_id": "SELECT event_id, strftime(ts, 'snap_%Y%m%d_%H%M%S_%g') AS snapshot_id FROM events",
+        "append_offers": f"""{_COMMON}
+            SELECT CAST(captured_at AS DATE) AS capture_date, count(*) AS rows, {_r('sum(price_per_gpu_hr)')} AS price_sum
+            FROM offers GROUP BY 1""",
+        "stream_ingest": _ALL_INGESTED,
+    }
+
+
+_SPOT = f"""
+spot AS ({fx.SPOT_SQL}),
+points AS (
+  SELECT * FROM spot WHERE product IN ('Linux/UNIX', '')
+    AND regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]') AND price IS NOT NULL AND ts IS NOT NULL)
+"""
+
+# Jobs by ordered windows over each whole series and one as-of lookup of the finishing point.
+_JOBS = f"""
+{_SPOT},
+zones AS (
+  SELECT instance_type, az, count(*) AS total_windows, min(ts) AS first_ts, min(seq) AS first_seq FROM points GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY instance_type ORDER BY count(*) DESC, min(ts), min(seq)) = 1),
+ordered AS (
+  SELECT p.instance_type, total_windows, p.ts, p.price, p.price <= {q.JOB_BUDGET} AS ok,
+    row_number() OVER s - 1 AS i, lag(p.price <= {q.JOB_BUDGET}) OVER s AS prev_ok
+  FROM points p JOIN zones z ON p.instance_type = z.instance_type AND p.az = z.az
+  WINDOW s AS (PARTITION BY p.instance_type ORDER BY p.ts, p.seq)),
+sums AS (
+  SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER s AS n_bad, sum(CASE WHEN ok THEN price ELSE 0 END) OVER s AS n_paid,
+    sum(CASE WHEN NOT ok AND prev_ok THEN 1 ELSE 0 END) OVER s AS n_broke,
+    coalesce(max(CASE WHEN NOT ok THEN i END) OVER s, -1) AS last_bad
+  FROM ordered WINDOW s AS (PARTITION BY instance_type ORDER BY i)),
+ends AS (SELECT * FROM sums WHERE i - last_bad >= {q.JOB_HOURS}),
+tails AS (
+  SELECT instance_type, max(last_bad) AS tail_bad, max(n_broke) AS all_broke,
+    coalesce(max(CASE WHEN NOT ok THEN n_paid END), 0) AS paid_to_break FROM sums GROUP BY 1),
+starts AS (
+  SELECT *, i + {q.JOB_HOURS} - 1 AS earliest FROM sums
+  WHERE i % greatest(1, total_windows // 500) = 0 AND i < total_windows - 1),
+jobs AS (
+  SELECT s.instance_type, s.total_windows, s.i AS start_index, s.ts AS submitted_at, e.i IS NOT NULL AS completed,
+    CAST(CASE WHEN e.i IS NULL THEN 0 ELSE e.n_bad - s.n_bad + CASE WHEN s.ok THEN 0 ELSE 1 END END AS BIGINT) AS wait_hours,
+    CAST(coalesce(e.n_broke, t.all_broke) - s.n_broke AS BIGINT) AS interruptions,
+    CASE WHEN e.i IS NOT NULL THEN e.n_paid - s.n_paid + CASE WHEN s.ok THEN s.price ELSE 0 END
+      WHEN t.tail_bad >= s.i THEN t.paid_to_break - s.n_paid + CASE WHEN s.ok THEN s.price ELSE 0 END
+      ELSE 0 END AS cost,
+    e.i - s.i + 1 AS elapsed_hours
+  FROM starts s ASOF LEFT JOIN ends e ON s.instance_type = e.instance_type AND e.i >= s.earliest
+  JOIN tails t ON s.instance_type = t.instance_type),
+pooled AS (
+  SELECT *, CASE WHEN completed THEN wait_hours + CASE WHEN interruptions = 0 THEN {q.JOB_HOURS} ELSE CAST(
+    {q.JOB_HOURS} * sum(CASE WHEN completed THEN 1 ELSE 0 END) OVER (PARTITION BY instance_type ORDER BY start_index) AS BIGINT)
+    END END AS elapsed_hours_pooled
+  FROM jobs)
+"""
+
+
+def _summary(elapsed: str) -> str:
+    return f"""WITH {_JOBS},
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY instance_type ORDER BY {elapsed} NULLS LAST) - 1 AS rank,
+        count({elapsed}) OVER (PARTITION BY instance_type) AS done FROM pooled),
+    totals AS (
+      SELECT instance_type, total_windows, {_sum('CASE WHEN completed THEN 1 ELSE 0 END')} AS completed_jobs,
+        {_sum('interruptions')} AS interrupted_jobs, sum(wait_hours) AS wait, sum(cost) AS paid,
+        max(CASE WHEN rank = CAST(floor(done * 0.5) AS BIGINT) THEN {elapsed} END) AS p50_completion_hours,
+        max(CASE WHEN rank = CAST(floor(done * 0.9) AS BIGINT) THEN {elapsed} END) AS p90_completion_hours
+      FROM ranked GROUP BY 1, 2)
+    SELECT t.instance_type, z.az, t.total_windows, completed_jobs, interrupted_jobs,
+      {_r('coalesce(completed_jobs / nullif(completed_jobs + interrupted_jobs, 0), 0)')} AS completion_rate,
+      {_r('coalesce(interrupted_jobs / nullif(completed_jobs + interrupted_jobs, 0), 0)')} AS interruption_rate,
+      {_r('coalesce(wait / nullif(completed_jobs + interrupted_jobs, 0), 0)')} AS avg_wait_hours,
+      {_r('coalesce(paid / nullif(completed_jobs, 0), 0)')} AS avg_actual_cost, p50_completion_hours, p90_completion_hours
+    FROM totals t JOIN zones z ON t.instance_type = z.instance_type"""
+
+
+def _replay_oracles() -> dict[str, str]:
+    return {
+        "spot_prices": f"""WITH {_SPOT} SELECT az, instance_type, price, ts, seq FROM points
+            WHERE seq % 101 <> 0 AND seq % 103 <> 0""",
+        "gpu_instance_filter": f"""WITH spot AS ({fx.SPOT_SQL}) SELECT az, instance_type, price, ts, seq FROM spot
+            WHERE regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]')""",
+        "densest_zone": f"WITH {_JOBS} SELECT instance_type, az, total_windows FROM zones",
+        "spot_replay": f"""WITH {_JOBS} SELECT instance_type, total_windows, start_index, submitted_at, completed, wait_hours,
+            interruptions, {_r('cost')} AS cost, elapsed_hours, elapsed_hours_pooled FROM pooled""",
+        "replay_summary": _summary("elapsed_hours_pooled"),
+        "replay_all_types": _summary("elapsed_hours"),
+        "gpu_types": f"""WITH spot AS ({fx.SPOT_SQL}) SELECT DISTINCT instance_type FROM spot
+            WHERE regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]')""",
+    }
+
+
+_HOURLY = """
+hourly AS (
+  SELECT date_trunc('hour', captured_at) AS captured_at, provider, gpu_name, min(price_per_gpu_hr) AS price,
+    count(*) AS offer_count
+  FROM offers WHERE price_per_gpu_hr > 0 GROUP BY 1, 2, 3)
+"""
+
+_PARTS = """
+sized AS (
+  SELECT *, row_number() OVER s - 1 AS i, least(6, greatest(2, count(*) OVER (PARTITION BY provider, gpu_name) // 4)) AS w,
+    avg(price) OVER (s ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS w2,
+    avg(price) OVER (s ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS w3,
+    avg(price) OVER (s ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS w4,
+    avg(price) OVER (s ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS w5,
+    avg(price) OVER (s ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING) AS w6
+  FROM hourly WINDOW s AS (PARTITION BY provider, gpu_name ORDER BY captured_at)),
+trended AS (SELECT *, CASE w WHEN 2 THEN w2 WHEN 3 THEN w3 WHEN 4 THEN w4 WHEN 5 THEN w5 ELSE w6 END AS trend FROM sized),
+parts AS (
+  SELECT *, avg(price - trend) OVER (PARTITION BY provider, gpu_name, hour(captured_at)) AS seasonal FROM trended)
+"""
+
+
+def _decomposed(where: str) -> str:
+    return f"""{_COMMON}, {_HOURLY}, {_PARTS}
+    SELECT provider, gpu_name, {_r('regr_slope(trend, i)', 6)} AS trend_slope,
+      {_r('least(1.0, stddev_samp(seasonal) / stddev_samp(price - trend))', 6)} AS seasonal_strength,
+      {_r('stddev_samp(price - trend - seasonal)', 6)} AS noise_std
+    FROM parts WHERE {where} GROUP BY 1, 2 HAVING count(*) >= 4"""
+
+
+def _outlook(where: str) -> str:
+    return f"""{_COMMON}, {_HOURLY},
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY provider, gpu_name ORDER BY captured_at DESC) AS back FROM hourly WHERE {where}),
+    whole AS (
+      SELECT provider, gpu_name, max(captured_at) AS last, avg(offer_count) AS mean,
+        avg(CASE WHEN back <= 6 THEN offer_count END) AS recent FROM ranked GROUP BY 1, 2 HAVING count(*) >= 3),
+    profile AS (SELECT provider, gpu_name, hour(captured_at) AS h, avg(offer_count) AS mean FROM ranked GROUP BY 1, 2, 3),
+    ahead AS (
+      SELECT whole.*, CAST(k AS INTEGER) AS hours_ahead, last + INTERVAL (k) HOUR AS timestamp FROM whole, range(1, 7) r(k))
+    SELECT a.provider, a.gpu_name, hours_ahead, timestamp,
+      {_r('0.7 * coalesce(p.mean, a.mean) + 0.3 * recent', 1)} AS predicted_offers
+    FROM ahead a LEFT JOIN profile p ON a.provider = p.provider AND a.gpu_name = p.gpu_name AND p.h = hour(timestamp)"""
+
+
+_SPREAD = f"""
+listed AS (SELECT * FROM hourly WHERE provider IN ('vast', 'runpod', 'spheron')),
+per_hour AS (SELECT gpu_name, captured_at, max(price) - min(price) AS gap FROM listed GROUP BY 1, 2),
+seen AS (SELECT gpu_name, string_agg(DISTINCT provider, ',' ORDER BY provider) AS providers, count(DISTINCT provider) AS n FROM listed GROUP BY 1),
+found AS (
+  SELECT p.gpu_name, arg_max(gap, captured_at) AS latest, max(captured_at) AS latest_at, avg(gap) AS mean, stddev_samp(gap) AS std
+  FROM per_hour p GROUP BY 1 HAVING count(*) >= 4),
+spread AS (
+  SELECT f.gpu_name, s.providers AS providers_compared, {_r('latest')} AS latest_spread, {_r('mean')} AS hist_avg_spread,
+    {_r('std')} AS hist_std_spread, {_r('mean * 1.5')} AS threshold_1_5x, latest > mean * 1.5 AS spread_alert, latest_at
+  FROM found f JOIN seen s ON f.gpu_name = s.gpu_name WHERE s.n >= 2)
+"""
+
+
+def _series_oracles() -> dict[str, str]:
+    over = "OVER (PARTITION BY provider, gpu_name ORDER BY captured_at"
+    day, week = f"{over} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING)", f"{over} ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING)"
+    lags = ", ".join(f"{_r(f'lag(price, {k}) {over})', 6)} AS price_lag_{k}h" for k in (1, 6, 24, 168))
+    weekday = "(isodow(captured_at) - 1)"
+    return {
+        "hourly_series": f"{_COMMON}, {_HOURLY} SELECT * FROM hourly",
+        "stream_hourly_series": f"""{_COMMON}, {_HOURLY}
+            SELECT * FROM hourly WHERE captured_at + INTERVAL 1 HOUR <= (
+              SELECT max(captured_at) - INTERVAL 2 HOUR FROM offers WHERE price_per_gpu_hr > 0)""",
+        "decompose": _decomposed("TRUE"),
+        "gpu_decompose": _decomposed(f"gpu_name = '{q.FOCUS_GPU}'"),
+        "decompose_points": f"""{_COMMON}, {_HOURLY}, {_PARTS}
+            SELECT captured_at, provider, gpu_name, {_r('price', 6)} AS price, {_r('trend', 6)} AS trend,
+              {_r('seasonal', 6)} AS seasonal, {_r('price - trend - seasonal', 6)} AS noise FROM parts""",
+        "price_features": f"""{_COMMON}, {_HOURLY}
+            SELECT captured_at, provider, gpu_name, {_r('price', 6)} AS price,
+              CAST(row_number() {over}) - 1 AS DOUBLE) AS t,
+              {_r('sin(2 * pi() * hour(captured_at) / 24)', 6)} AS hour_sin,
+              {_r('cos(2 * pi() * hour(captured_at) / 24)', 6)} AS hour_cos,
+              {_r(f'sin(2 * pi() * {weekday} / 7)', 6)} AS dow_sin, {_r(f'cos(2 * pi() * {weekday} / 7)', 6)} AS dow_cos,
+              {lags},
+              {_r(f'CASE WHEN count(*) {day} >= 6 THEN avg(price) {day} END', 6)} AS rolling_mean_24h,
+              {_r(f'CASE WHEN count(*) {day} >= 6 THEN stddev_samp(price) {day} ELSE 0 END', 6)} AS rolling_std_24h,
+              {_r(f'CASE WHEN count(*) {week} >= 24 THEN avg(price) {week} END', 6)} AS rolling_mean_7d,
+              CAST(offer_count AS DOUBLE) AS offer_count, CAST(lag(offer_count) {over}) AS DOUBLE) AS offer_count_lag_1h
+            FROM hourly""",
+        "training_rows": f"""{_COMMON}, {_HOURLY}
+            SELECT provider, gpu_name, greatest(count(*) - 168, 0) AS training_rows FROM hourly GROUP BY 1, 2""",
+        "availability_6h": _outlook("TRUE"),
+        "gpu_availability": _outlook(f"gpu_name = '{q.FOCUS_GPU}'"),
+        "spread_analysis": f"""{_COMMON}, {_HOURLY}, {_SPREAD}
+            SELECT s.gpu_name, providers_compared, latest_spread, hist_avg_spread, hist_std_spread, threshold_1_5x, spread_alert,
+              first_value(l.provider) OVER (PARTITION BY s.gpu_name ORDER BY l.price, l.provider) AS cheapest_provider,
+              first_value(l.provider) OVER (PARTITION BY s.gpu_name ORDER BY l.price DESC, l.provider) AS most_expensive_provider,
+              l.provider, {_r('l.price')} AS price
+            FROM spread s JOIN listed l ON s.gpu_name = l.gpu_name AND s.latest_at = l.captured_at""",
+        "spread_alert_count": f"""{_COMMON}, {_HOURLY}, {_SPREAD}
+            SELECT count(*) AS gpu_classes, count(*) FILTER (WHERE spread_alert) AS alerts FROM spread""",
+        "series_overview": f"""{_COMMON}, {_HOURLY}
+            SELECT count(*) AS rows, count(DISTINCT gpu_name) AS gpu_classes, count(DISTINCT provider) AS providers,
+              CAST(min(captured_at) AS DATE) AS since, CAST(max(captured_at) AS DATE) AS latest FROM hourly""",
+        "stream_alerts": f"""{_COMMON}, {_CURRENT}, {_ALL_WINDOWS}, {_ALERTS} SELECT * FROM alerts""",
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**_report_oracles(), **_ingest_oracles(), **_replay_oracles(), **_series_oracles()}
