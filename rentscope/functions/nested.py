@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The search travels with the job: Python workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _search(node: object, key: str) -> object:
     """First non-null value under ``key``: a node's own entry ends its search, then depth first."""

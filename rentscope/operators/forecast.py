@@ -8,11 +8,14 @@ whole Arrow batch of series at once and walks 24 steps.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from datetime import datetime
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,6 +32,9 @@ from rentscope.operators.series import (
     price_features,
 )
 
+# The solver travels with the job: Python workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Ridge penalty, horizon, band width and the rows a series needs.
 ALPHA = 1.0
 HORIZON = 24
@@ -39,9 +45,13 @@ TOP_FEATURES = 3
 K = len(FEATURES)
 PAIRS = [(i, j) for i in range(K) for j in range(i, K)]
 
+# Columns handed to the solver, next to the series key.
 MODEL_COLUMNS = [
-    "n", "rows", "x_mean", "y_mean", "xx", "xy", "yy", "buffer", "offers_last", "offers_before", "hour", "weekday",
+    "n", "rows", "price_level", "offer_level", "x", "y", "xx", "xy", "yy", "buffer", "offers_last", "offers_before",
+    "hour", "weekday",
 ]
+PRICE_FEATURES = [n for n in FEATURES if n.startswith("price_lag") or n.startswith("rolling_mean")]
+OFFER_FEATURES = [n for n in FEATURES if n.startswith("offer_count")]
 MODEL_SCHEMA = """
     provider STRING, gpu_name STRING, last_hour TIMESTAMP, n_train BIGINT, resid_std DOUBLE,
     forecast ARRAY<DOUBLE>, importance ARRAY<DOUBLE>
@@ -49,39 +59,45 @@ MODEL_SCHEMA = """
 
 
 def _sufficient_statistics(hourly: DataFrame) -> DataFrame:
-    """One row per series with centred sums over its complete rows and the seed of the walk."""
+    """One row per series with sums over its complete rows and the seed of the walk.
+
+    Prices and offer counts are taken relative to their series mean, and t to its middle:
+    sums of squares of the raw values would lose the digits that matter.
+    """
     series = W.partitionBy(*SERIES)
-    rows = price_features(hourly.filter(F.col("price").isNotNull()))
-    complete = F.lit(True)
-    for name in FEATURES:
-        complete = complete & F.col(name).isNotNull()
-    rows = rows.withColumn("_ok", complete)
-    for name in [*FEATURES, "price"]:
-        rows = rows.withColumn(f"_m_{name}", F.avg(F.when(F.col("_ok"), F.col(name))).over(series))
-    rows = rows.withColumn("_rows", F.count("*").over(series))
-
-    def centred(name: str) -> Column:
-        return F.when(F.col("_ok"), F.col(name) - F.col(f"_m_{name}"))
-
-    centred_rows = rows.select(
-        *SERIES, "captured_at", "price", "t", "offer_count", "_rows", "_ok",
-        *[F.col(f"_m_{n}") for n in [*FEATURES, "price"]],
-        *[centred(n).alias(f"_c_{n}") for n in [*FEATURES, "price"]],
+    rows = price_features(hourly.filter(F.col("price").isNotNull())).select(
+        "*",
+        F.count("*").over(series).alias("rows"),
+        F.avg("price").over(series).alias("price_level"),
+        F.avg("offer_count").over(series).alias("offer_level"),
+    )
+    complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in FEATURES])
+
+    def relative(name: str) -> Column:
+        if name == "t":
+            return F.col("t") - F.col("rows") / 2
+        if name in OFFER_FEATURES:
+            return F.col(name) - F.col("offer_level")
+        return F.col(name) - F.col("price_level") if name in [*PRICE_FEATURES, "price"] else F.col(name)
+
+    rows = rows.withColumn("ok", complete)
+    rows = rows.select(
+        *SERIES, "captured_at", "price", "t", "offer_count", "rows", "price_level", "offer_level", "ok",
+        *[F.when(F.col("ok"), relative(n)).alias(f"r_{n}") for n in [*FEATURES, "price"]],
     )
 
     def product(a: str, b: str) -> Column:
-        return F.sum(F.col(f"_c_{a}") * F.col(f"_c_{b}"))
+        return F.sum(F.col(f"r_{a}") * F.col(f"r_{b}"))
 
-    last_week = F.when(F.col("t") >= F.col("_rows") - WEEK, F.struct("t", "price"))
-    offers_at = lambda back: F.max(F.when(F.col("t") == F.col("_rows") - back, F.col("offer_count")))
+    last_week = F.when(F.col("t") >= F.col("rows") - WEEK, F.struct("t", "price"))
+    offers_at = lambda back: F.max(F.when(F.col("t") == F.col("rows") - back, F.col("offer_count")))
     return (
-        centred_rows.groupBy(*SERIES)
+        rows.groupBy(*SERIES, "rows", "price_level", "offer_level")
         .agg(
-            F.max("captured_at").alias("last_hour"),
-            F.count_if("_ok").alias("n"),
-            F.max("_rows").alias("rows"),
-            F.array(*[F.max(f"_m_{n}") for n in FEATURES]).alias("x_mean"),
-            F.max("_m_price").alias("y_mean"),
+            F.max("captured_at").cast("timestamp").alias("last_hour"),
+            F.count_if("ok").alias("n"),
+            F.array(*[F.sum(f"r_{n}") for n in FEATURES]).alias("x"),
+            F.sum("r_price").alias("y"),
             F.array(*[product(FEATURES[i], FEATURES[j]) for i, j in PAIRS]).alias("xx"),
             F.array(*[product(n, "price") for n in FEATURES]).alias("xy"),
             product("price", "price").alias("yy"),
@@ -90,7 +106,6 @@ def _sufficient_statistics(hourly: DataFrame) -> DataFrame:
             offers_at(2).alias("offers_before"),
         )
         .filter((F.col("rows") >= MIN_ROWS) & (F.col("n") >= MIN_TRAINING_ROWS))
-        .withColumn("last_hour", F.col("last_hour").cast("timestamp"))
         .withColumn("hour", F.hour("last_hour"))
         .withColumn("weekday", F.weekday("last_hour"))
         .select(*SERIES, "last_hour", *MODEL_COLUMNS)
@@ -101,30 +116,44 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.vstack(column.to_numpy()).astype(float)
 
 
+def _levels(batch: pd.DataFrame) -> np.ndarray:
+    """What was subtracted from each feature."""
+    levels = {"t": batch["rows"] / 2}
+    levels.update({n: batch["price_level"] for n in PRICE_FEATURES})
+    levels.update({n: batch["offer_level"] for n in OFFER_FEATURES})
+    zero = np.zeros(len(batch))
+    return np.column_stack([levels.get(n, zero) for n in FEATURES]).astype(float)
+
+
 def _fit(batch: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """Scales, weights on standardised features and residual deviation of each series."""
+    """Feature means and scales, price mean, weights and residual deviation of each series."""
     n = batch["n"].to_numpy(float)
-    mean, xy = _matrix(batch["x_mean"]), _matrix(batch["xy"])
+    x, y = _matrix(batch["x"]) / n[:, None], batch["y"].to_numpy(float) / n
     gram = np.zeros((len(batch), K, K))
     upper = _matrix(batch["xx"])
     for column, (i, j) in enumerate(PAIRS):
         gram[:, i, j] = gram[:, j, i] = upper[:, column]
-    variance = np.einsum("bii->bi", gram) / n[:, None]
+    gram -= n[:, None, None] * x[:, :, None] * x[:, None, :]
+    target = _matrix(batch["xy"]) - (n * y)[:, None] * x
+    total = batch["yy"].to_numpy(float) - n * y * y
+    mean = x + _levels(batch)
+    variance = np.maximum(np.einsum("bii->bi", gram) / n[:, None], 0.0)
     eps = np.finfo(float).eps
     constant = variance <= n[:, None] * eps * variance + (n[:, None] * mean * eps) ** 2
     scale = np.where(constant, 1.0, np.sqrt(np.where(constant, 1.0, variance)))
     z_gram = gram / scale[:, :, None] / scale[:, None, :]
-    z_target = xy / scale
+    z_target = target / scale
     weights = np.linalg.solve(z_gram + ALPHA * np.eye(K), z_target[:, :, None])[:, :, 0]
     explained = 2 * np.einsum("bi,bi->b", weights, z_target) - np.einsum("bi,bij,bj->b", weights, z_gram, weights)
-    resid = np.sqrt(np.maximum(batch["yy"].to_numpy(float) - explained, 0.0) / n)
-    return scale, weights, resid
+    resid = np.sqrt(np.maximum(total - explained, 0.0) / n)
+    return mean, scale, y + batch["price_level"].to_numpy(float), weights, resid
 
 
-def _walk(batch: pd.DataFrame, scale: np.ndarray, weights: np.ndarray) -> np.ndarray:
+def _walk(
+    batch: pd.DataFrame, mean: np.ndarray, scale: np.ndarray, level: np.ndarray, weights: np.ndarray
+) -> np.ndarray:
     """Forecasts of the next hours; each prediction becomes history for the next one."""
     prices = np.hstack([_matrix(batch["buffer"]), np.zeros((len(batch), HORIZON))])
-    mean, level = _matrix(batch["x_mean"]), batch["y_mean"].to_numpy(float)
     offers, before = batch["offers_last"].to_numpy(float), batch["offers_before"].to_numpy(float)
     hour0, weekday0 = batch["hour"].to_numpy(), batch["weekday"].to_numpy()
     rows = batch["rows"].to_numpy(float)
@@ -152,7 +181,7 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         if batch.empty:
             continue
-        scale, weights, resid = _fit(batch)
+        mean, scale, level, weights, resid = _fit(batch)
         size = np.abs(weights)
         yield pd.DataFrame(
             {
@@ -161,7 +190,7 @@ def _solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "last_hour": batch["last_hour"],
                 "n_train": batch["n"],
                 "resid_std": resid,
-                "forecast": list(_walk(batch, scale, weights)),
+                "forecast": list(_walk(batch, mean, scale, level, weights)),
                 "importance": list(size / (size.sum(axis=1, keepdims=True) + TINY)),
             }
         )

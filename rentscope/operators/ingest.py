@@ -22,6 +22,7 @@ from rentscope.functions.names import (
 from rentscope.functions.nested import deep_find
 from rentscope.functions.scalars import nonblank, nonzero
 from rentscope.operators.summary import LOGGED_PROVIDERS
+from rentscope.plans.saved import save
 
 # Megabytes per gigabyte of marketplace memory, and hours per billing month.
 MB_PER_GB = 1024
@@ -330,10 +331,11 @@ def ingest_static_prices(runs: DataFrame) -> DataFrame:
 def first_nonempty_source(sources: list[DataFrame]) -> DataFrame:
     """Per run, the rows of the first source that has any.
 
-    The choice is made on one row per run and source; rows are never gathered per run.
+    The choice is made on one row per run and source; rows are never gathered per run. The
+    parsed rows are stored, since the choice and the pick both read them.
     """
-    ranked = reduce(
-        DataFrame.unionByName, [s.withColumn("_rank", F.lit(i)) for i, s in enumerate(sources)]
+    ranked = save(
+        reduce(DataFrame.unionByName, [s.withColumn("_rank", F.lit(i)) for i, s in enumerate(sources)]), "ranked"
     )
     best = ranked.groupBy("snapshot_id").agg(F.min("_rank").alias("_rank"))
     return ranked.join(best, ["snapshot_id", "_rank"], "left_semi").drop("_rank")

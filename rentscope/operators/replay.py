@@ -45,13 +45,15 @@ def spot_prices(lines: DataFrame, gpu_type: str | None = None) -> DataFrame:
 
     ``lines`` has ``value`` and, to break ties of equal times, ``file`` and ``seq``.
     """
-    field = F.split("value", "\t")
-    fields = lines.filter(F.size(field) >= 5).select(
-        field[0].alias("az"),
-        field[1].alias(TYPE),
-        field[2].alias("product"),
-        to_number(field[3]).alias("price"),
-        F.try_to_timestamp(field[4]).alias("ts"),
+    # Filters are not pushed below a generator, so each line is split once.
+    split = lines.select("file", "seq", F.explode(F.array(F.split("value", "\t"))).alias("field"))
+    az, kind, product, price, ts = (F.get("field", F.lit(i)) for i in range(5))
+    fields = split.filter(F.size("field") >= 5).select(
+        az.alias("az"),
+        kind.alias(TYPE),
+        product.alias("product"),
+        to_number(price).alias("price"),
+        F.try_to_timestamp(ts).alias("ts"),
         "file",
         "seq",
     )

@@ -7,6 +7,7 @@ than there are hours in the covered calendar span; windows per series stay small
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -103,9 +104,7 @@ def price_features(hourly: DataFrame) -> DataFrame:
 
 def training_rows(hourly: DataFrame) -> DataFrame:
     """Number of rows with every feature, per series."""
-    complete = F.lit(True)
-    for name in FEATURES:
-        complete = complete & F.col(name).isNotNull()
+    complete = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in FEATURES])
     return price_features(hourly).groupBy(*SERIES).agg(F.count_if(complete).alias("training_rows"))
 
 

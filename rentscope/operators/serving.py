@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import settled_round
-from rentscope.plans.recency import first_nonempty_tier
+from rentscope.plans.recency import first_nonempty_tier, latest_capture
 
 PRICE = "price_per_gpu_hr"
 
@@ -43,7 +43,7 @@ YELLOW_FROM = 40
 def _current(offers: DataFrame, as_of: datetime | Column | None) -> DataFrame:
     """Priced offers of the first look-back that has any; 'now' defaults to the last capture."""
     priced = offers.filter(F.col(PRICE).isNotNull())
-    now = offers.agg(F.max("captured_at")).scalar() if as_of is None else as_of
+    now = latest_capture(offers) if as_of is None else as_of
     return first_nonempty_tier(priced, now)
 
 

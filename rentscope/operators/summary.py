@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import settled_round, spot_only
-from rentscope.plans.recency import as_of_or_latest, within_hours
+from rentscope.plans.recency import captured_since, latest_capture, within_hours
 
 PRICE = "price_per_gpu_hr"
 
@@ -76,7 +76,7 @@ def gpu_history(offers: DataFrame, gpu: str, limit: int = HISTORY_ROWS) -> DataF
 def cheapest_offers(offers: DataFrame, min_vram: float = 0.0, limit: int = CHEAPEST_ROWS) -> DataFrame:
     """Cheapest offers of the latest capture with enough memory."""
     return (
-        offers.filter(F.col("captured_at") >= as_of_or_latest(offers, None))
+        captured_since(offers, latest_capture(offers))
         .filter(F.col("vram_gb") >= min_vram)
         .orderBy(F.asc_nulls_first(PRICE), "id")
         .limit(limit)

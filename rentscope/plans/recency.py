@@ -10,30 +10,50 @@ from pyspark.sql import functions as F
 # Look-back hours tried in turn until one holds rows.
 TIERS_HOURS = [4, 48, 9999]
 
+# Partition column of stored offers.
+DAY = "capture_date"
+
 
 def hours(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' HOUR")
 
 
+def latest_capture(offers: DataFrame) -> Column:
+    """The newest capture; in a table partitioned by day only the last day is read."""
+    if DAY in offers.columns:
+        offers = offers.filter(F.col(DAY) == offers.agg(F.max(DAY)).scalar())
+    return offers.agg(F.max("captured_at")).scalar()
+
+
 def as_of_or_latest(offers: DataFrame, as_of: datetime | Column | None) -> Column:
     """The given time, or the newest capture as a scalar subquery."""
     if as_of is None:
-        return offers.agg(F.max("captured_at")).scalar()
+        return latest_capture(offers)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of)
     return moment.cast(offers.schema["captured_at"].dataType)
 
 
+def captured_since(offers: DataFrame, cutoff: Column) -> DataFrame:
+    """Rows from ``cutoff`` on; a day partition column prunes the days before it."""
+    recent = F.col("captured_at") >= cutoff
+    if DAY in offers.columns:
+        recent = (F.col(DAY) >= F.to_date(cutoff)) & recent
+    return offers.filter(recent)
+
+
 def within_hours(offers: DataFrame, n: int, as_of: datetime | Column | None = None) -> DataFrame:
     """Rows of the last ``n`` hours before ``as_of``."""
-    return offers.filter(F.col("captured_at") >= as_of_or_latest(offers, as_of) - hours(n))
+    return captured_since(offers, as_of_or_latest(offers, as_of) - hours(n))
 
 
 def first_nonempty_tier(offers: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
     """Rows of the shortest look-back that is not empty.
 
-    The newest row alone decides which tier is hit, so one aggregate and one filter do.
+    The newest row alone decides which of the shorter tiers is hit, so one aggregate over the
+    longest of them and one filter do.
     """
     now = as_of_or_latest(offers, as_of)
-    newest = offers.agg(F.max("captured_at")).scalar()
-    cutoff = F.coalesce(*[F.when(newest >= now - hours(n), now - hours(n)) for n in TIERS_HOURS])
-    return offers.filter(F.col("captured_at") >= cutoff)
+    *shorter, widest = TIERS_HOURS
+    newest = captured_since(offers, now - hours(shorter[-1])).agg(F.max("captured_at")).scalar()
+    hit = [F.when(newest >= now - hours(n), now - hours(n)) for n in shorter]
+    return captured_since(offers, F.coalesce(*hit, now - hours(widest)))

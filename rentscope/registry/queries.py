@@ -107,15 +107,20 @@ def _run_log(spark: SparkSession, sf: str) -> DataFrame:
     return summary.run_log(fx.offers(spark, sf), fx.snapshots(spark, sf)).drop("errors")
 
 
+def _landed(spark: SparkSession, sf: str) -> DataFrame:
+    payloads, path = fx.payloads(spark, sf), new_path(spark, "landed")
+    tables.land_payloads(payloads, path)
+    return tables.read_payloads(spark, path, payloads.schema)
+
+
 def _collect_log(spark: SparkSession, sf: str) -> DataFrame:
-    landed = save(fx.payloads(spark, sf), "landed")
-    log = ingest.collect_log(landed, ingest.collect_run(landed))
+    landed = _landed(spark, sf)
+    log = ingest.collect_log(landed, save(ingest.collect_run(landed), "offers"))
     return _no_zone(log.withColumn("errors", F.array_join("errors", ",")))
 
 
 def _collect_run(spark: SparkSession, sf: str) -> DataFrame:
-    landed = save(fx.payloads(spark, sf), "landed")
-    return _no_zone(ingest.collect_run(landed).select(*OFFER_VALUES))
+    return _no_zone(ingest.collect_run(_landed(spark, sf)).select(*OFFER_VALUES))
 
 
 def _first_source(spark: SparkSession, sf: str) -> DataFrame:

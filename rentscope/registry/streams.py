@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope import schemas
-from rentscope.plans.saved import new_path
+from rentscope.operators import scores
+from rentscope.plans.saved import new_path, save
 from rentscope.registry import fixtures as fx
 from rentscope.sources import tables
 from rentscope.streaming import jobs
@@ -41,6 +42,7 @@ def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, out = new_path(spark, "offers"), new_path(spark, "alerts")
-    stream, snapshots = _offer_stream(spark, sf_dir), fx.snapshots(spark, sf_dir)
-    jobs.stream_alerts(stream, table, snapshots, out, new_path(spark, "stream")).awaitTermination()
+    windows = save(scores.provider_windows(fx.offers(spark, sf_dir), fx.snapshots(spark, sf_dir)), "windows")
+    stream = _offer_stream(spark, sf_dir)
+    jobs.stream_alerts(stream, table, windows, out, new_path(spark, "stream")).awaitTermination()
     return spark.read.schema(T.StructType([*schemas.SPREAD_ALERTS, T.StructField("batch_id", T.IntegerType())])).parquet(out)

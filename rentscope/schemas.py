@@ -4,29 +4,57 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-OFFERS = T.StructType.fromDDL(
-    """
-    id BIGINT, snapshot_id STRING, captured_at TIMESTAMP, provider STRING, offer_id STRING,
-    gpu_name STRING, gpu_name_raw STRING, gpu_count INT, vram_gb DOUBLE,
-    price_per_gpu_hr DOUBLE, price_total_hr DOUBLE, interruptible INT,
-    reliability_score DOUBLE, geography STRING, inet_down_mbps DOUBLE, inet_up_mbps DOUBLE,
-    disk_space_gb DOUBLE, gpu_utilization_pct DOUBLE, extra_json STRING
-    """
+LONG, INT, DOUBLE = T.LongType(), T.IntegerType(), T.DoubleType()
+TEXT, TIME, FLAG = T.StringType(), T.TimestampType(), T.BooleanType()
+
+
+def _table(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+OFFERS = _table(
+    id=LONG,
+    snapshot_id=TEXT,
+    captured_at=TIME,
+    provider=TEXT,
+    offer_id=TEXT,
+    gpu_name=TEXT,
+    gpu_name_raw=TEXT,
+    gpu_count=INT,
+    vram_gb=DOUBLE,
+    price_per_gpu_hr=DOUBLE,
+    price_total_hr=DOUBLE,
+    interruptible=INT,
+    reliability_score=DOUBLE,
+    geography=TEXT,
+    inet_down_mbps=DOUBLE,
+    inet_up_mbps=DOUBLE,
+    disk_space_gb=DOUBLE,
+    gpu_utilization_pct=DOUBLE,
+    extra_json=TEXT,
 )
 
 # What an ingest operator returns: an offer without its table id.
 OFFER_COLUMNS = [f.name for f in OFFERS if f.name != "id"]
 
-SNAPSHOTS = T.StructType.fromDDL(
-    """
-    snapshot_id STRING, started_at TIMESTAMP, finished_at TIMESTAMP, vast_offers BIGINT,
-    runpod_offers BIGINT, akash_offers BIGINT, spheron_offers BIGINT, errors ARRAY<STRING>
-    """
+SNAPSHOTS = _table(
+    snapshot_id=TEXT,
+    started_at=TIME,
+    finished_at=TIME,
+    vast_offers=LONG,
+    runpod_offers=LONG,
+    akash_offers=LONG,
+    spheron_offers=LONG,
+    errors=T.ArrayType(TEXT),
 )
 
 # One landed response body. `source` names its shape (see operators.ingest).
-PAYLOADS = T.StructType.fromDDL(
-    "snapshot_id STRING, captured_at TIMESTAMP, provider STRING, source STRING, payload STRING"
+PAYLOADS = _table(
+    snapshot_id=TEXT,
+    captured_at=TIME,
+    provider=TEXT,
+    source=TEXT,
+    payload=TEXT,
 )
 
 MARKETPLACE = """struct<offers:array<struct<
@@ -55,37 +83,65 @@ PRICE_ITEM = """struct<name:string, gpu:string, model:string, onDemandPrice:doub
 PRICE_OBJECT = f"struct<gpus:array<{PRICE_ITEM}>>"
 PRICE_ARRAY = f"array<{PRICE_ITEM}>"
 
-SPOT_HISTORY = T.StructType.fromDDL(
-    "az STRING, instance_type STRING, product STRING, price DOUBLE, ts TIMESTAMP"
+SPOT_HISTORY = _table(
+    az=TEXT,
+    instance_type=TEXT,
+    product=TEXT,
+    price=DOUBLE,
+    ts=TIME,
 )
 
-HOURLY_SERIES = T.StructType.fromDDL(
-    "captured_at TIMESTAMP, provider STRING, gpu_name STRING, price DOUBLE, offer_count BIGINT"
+HOURLY_SERIES = _table(
+    captured_at=TIME,
+    provider=TEXT,
+    gpu_name=TEXT,
+    price=DOUBLE,
+    offer_count=LONG,
 )
 
-PROVIDER_WINDOWS = T.StructType.fromDDL(
-    """
-    provider STRING, gpu_class STRING, vram_gb DOUBLE, price_per_gpu_hour_p10 DOUBLE,
-    price_per_gpu_hour_p50 DOUBLE, price_per_gpu_hour_p90 DOUBLE, price_volatility DOUBLE,
-    availability_probability DOUBLE, interruption_probability DOUBLE, n_price_samples BIGINT
-    """
+PROVIDER_WINDOWS = _table(
+    provider=TEXT,
+    gpu_class=TEXT,
+    vram_gb=DOUBLE,
+    price_per_gpu_hour_p10=DOUBLE,
+    price_per_gpu_hour_p50=DOUBLE,
+    price_per_gpu_hour_p90=DOUBLE,
+    price_volatility=DOUBLE,
+    availability_probability=DOUBLE,
+    interruption_probability=DOUBLE,
+    n_price_samples=LONG,
 )
 
-FORECAST_WINDOWS = T.StructType.fromDDL(
-    """
-    provider STRING, gpu_class STRING, forecast_timestamp TIMESTAMP, generated_at TIMESTAMP,
-    forecast_hours_ahead INT, price_forecast DOUBLE, price_forecast_lower DOUBLE,
-    price_forecast_upper DOUBLE, last_actual_price DOUBLE, price_per_gpu_hour_p10 DOUBLE,
-    price_per_gpu_hour_p50 DOUBLE, price_per_gpu_hour_p90 DOUBLE, price_volatility DOUBLE,
-    availability_probability DOUBLE, trend_slope_per_hour DOUBLE, seasonal_strength DOUBLE,
-    predicted_offers DOUBLE, n_price_samples BIGINT, top_features ARRAY<STRING>
-    """
+FORECAST_WINDOWS = _table(
+    provider=TEXT,
+    gpu_class=TEXT,
+    forecast_timestamp=TIME,
+    generated_at=TIME,
+    forecast_hours_ahead=INT,
+    price_forecast=DOUBLE,
+    price_forecast_lower=DOUBLE,
+    price_forecast_upper=DOUBLE,
+    last_actual_price=DOUBLE,
+    price_per_gpu_hour_p10=DOUBLE,
+    price_per_gpu_hour_p50=DOUBLE,
+    price_per_gpu_hour_p90=DOUBLE,
+    price_volatility=DOUBLE,
+    availability_probability=DOUBLE,
+    trend_slope_per_hour=DOUBLE,
+    seasonal_strength=DOUBLE,
+    predicted_offers=DOUBLE,
+    n_price_samples=LONG,
+    top_features=T.ArrayType(TEXT),
 )
 
-SPREAD_ALERTS = T.StructType.fromDDL(
-    """
-    gpu_name STRING, spread DOUBLE, cheapest_provider STRING, cheapest_price DOUBLE,
-    priciest_provider STRING, priciest_price DOUBLE, savings_per_100h DOUBLE,
-    prices MAP<STRING, DOUBLE>, is_alert BOOLEAN
-    """
+SPREAD_ALERTS = _table(
+    gpu_name=TEXT,
+    spread=DOUBLE,
+    cheapest_provider=TEXT,
+    cheapest_price=DOUBLE,
+    priciest_provider=TEXT,
+    priciest_price=DOUBLE,
+    savings_per_100h=DOUBLE,
+    prices=T.MapType(TEXT, DOUBLE),
+    is_alert=FLAG,
 )

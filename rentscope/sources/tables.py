@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope import schemas
+from rentscope.plans.recency import DAY
 
 
 def append_offers(offers: DataFrame, path: str) -> None:
@@ -16,18 +17,18 @@ def append_offers(offers: DataFrame, path: str) -> None:
     merge light days into few.
     """
     (
-        offers.withColumn("capture_date", F.to_date("captured_at"))
-        .hint("rebalance", "capture_date")
-        .sortWithinPartitions("capture_date", "provider", "gpu_name")
+        offers.withColumn(DAY, F.to_date("captured_at"))
+        .hint("rebalance", DAY)
+        .sortWithinPartitions(DAY, "provider", "gpu_name")
         .write.mode("append")
-        .partitionBy("capture_date")
+        .partitionBy(DAY)
         .parquet(path)
     )
 
 
 def read_offers(spark: SparkSession, path: str, schema: T.StructType = schemas.OFFERS) -> DataFrame:
     """Offers written by ``append_offers``; filter on ``capture_date`` to prune days."""
-    wanted = T.StructType([*schema.fields, T.StructField("capture_date", T.DateType())])
+    wanted = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
     return spark.read.schema(wanted).parquet(path)
 
 

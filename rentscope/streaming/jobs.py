@@ -17,8 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rentscope import schemas
 from rentscope.operators.ingest import collect_run
-from rentscope.operators.scores import provider_windows
 from rentscope.operators.serving import spread_alerts
+from rentscope.plans.recency import DAY
 
 WATERMARK = "2 hours"
 
@@ -44,8 +44,8 @@ def stream_ingest(
     """Parse newly landed payloads into the offers table. A run's payloads land together."""
 
     def parse(batch: DataFrame, batch_id: int) -> None:
-        rows = collect_run(batch).withColumn("capture_date", F.to_date("captured_at"))
-        rows.write.mode("overwrite").partitionBy("capture_date").parquet(_batch_folder(offers, batch_id))
+        rows = collect_run(batch).withColumn(DAY, F.to_date("captured_at"))
+        rows.write.mode("overwrite").partitionBy(DAY).parquet(_batch_folder(offers, batch_id))
 
     return _drain(spark.readStream.schema(schema).parquet(landed), parse, checkpoint)
 
@@ -73,14 +73,20 @@ def stream_hourly_series(offers: DataFrame, out: str, checkpoint: str) -> Stream
     )
 
 
-def stream_alerts(new_offers: DataFrame, table: str, snapshots: DataFrame, alerts: str, checkpoint: str) -> StreamingQuery:
-    """Add each batch of offers to the table, then judge the spreads of the table as it stands."""
+def stream_alerts(
+    new_offers: DataFrame, table: str, windows: DataFrame, alerts: str, checkpoint: str
+) -> StreamingQuery:
+    """Add each batch of offers to the table, then judge the current spreads of the table.
+
+    ``windows`` is the stored outcome of ``provider_windows``. The table is partitioned by day,
+    so that a batch reads the last days, not the history.
+    """
     spark = new_offers.sparkSession
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_folder(table, batch_id))
-        offers = spark.read.schema(batch.schema).parquet(table)
-        found = spread_alerts(offers, provider_windows(offers, snapshots))
-        found.write.mode("overwrite").parquet(_batch_folder(alerts, batch_id))
+        stamped = batch.withColumn(DAY, F.to_date("captured_at"))
+        stamped.write.mode("overwrite").partitionBy(DAY).parquet(_batch_folder(table, batch_id))
+        offers = spark.read.schema(stamped.schema).parquet(table)
+        spread_alerts(offers, windows).write.mode("overwrite").parquet(_batch_folder(alerts, batch_id))
 
     return _drain(new_offers, judge, checkpoint)
