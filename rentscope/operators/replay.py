@@ -85,11 +85,14 @@ def densest_zone(points: DataFrame, az: str | None = None) -> DataFrame:
 
 
 def _positions(points: DataFrame, zones: DataFrame, budget: float) -> DataFrame:
-    """Points of the chosen zones with position, streak of affordable points and running sums."""
-    chosen = points.join(zones, [TYPE, "az"]).select(TYPE, "az", "total_windows", *ORDER, "price")
-    blocks = in_ordered_blocks(chosen, [TYPE], ORDER)
+    """Points of the chosen zones with position, streak of affordable points and running sums.
 
+    Both passes over the blocks read the same columns, so they share one shuffle.
+    """
+    chosen = points.join(zones.select(TYPE, "az"), [TYPE, "az"]).select(TYPE, *ORDER, "price")
     block = [TYPE, "block"]
+    blocks = in_ordered_blocks(chosen, [TYPE], ORDER).na.drop(subset=block)
+
     in_block = W.partitionBy(*block).orderBy(*ORDER)
     so_far = in_block.rowsBetween(W.unboundedPreceding, 0)
     rows = (
@@ -124,11 +127,13 @@ def _positions(points: DataFrame, zones: DataFrame, budget: float) -> DataFrame:
             F.max_by("ok", "pos").alias("last_ok"),
         )
         .withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("total_windows", F.sum("n").over(W.partitionBy(TYPE)))
         .withColumn("carry_ok", F.lag("last_ok").over(in_order))
         .withColumn("base_paid", F.coalesce(F.sum("paid").over(before), F.lit(0.0)))
         .withColumn("edge", F.when(~F.col("first_ok") & F.col("carry_ok"), one).otherwise(0))
         .select(
             *block,
+            "total_windows",
             "base",
             "base_paid",
             F.coalesce(F.sum("bad").over(before), F.lit(0)).alias("base_bad"),
@@ -147,7 +152,6 @@ def _positions(points: DataFrame, zones: DataFrame, budget: float) -> DataFrame:
         placed.withColumn("n_paid", n_paid)
         .select(
             *block,
-            "az",
             "total_windows",
             "pos",
             "ts",
@@ -213,7 +217,7 @@ def replay_jobs(
     )
     own = F.when(F.col("ok"), F.col("price")).otherwise(0.0)
     starts = marks.filter(is_start(F.col("i"))).select(
-        TYPE, "az", "total_windows", F.col("i").alias("start"), "ts", "ok", "n_bad", "n_broke",
+        TYPE, "total_windows", F.col("i").alias("start"), "ts", "ok", "n_bad", "n_broke",
         (F.col("n_paid") - own).alias("paid_before"),
     )
     done = F.col("end").isNotNull()
@@ -223,6 +227,7 @@ def replay_jobs(
     jobs = (
         starts.join(probes, [TYPE, "start"], "left")
         .join(tails, TYPE)
+        .join(zones.select(TYPE, "az"), TYPE)
         .select(
             TYPE,
             "az",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -19,7 +21,11 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     one 0.4 % band.
     """
     cell = F.floor(F.log(F.col(value)) * CELLS_PER_EFOLD)
-    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_w")).withColumn("_cell", cell)
+    # The null checks are those of the join below; stating them here keeps both uses of the
+    # counts alike, so that the scan and its shuffle are shared.
+    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in [*keys, "_cell"]])
+    valued = df.select(*keys, value, cell.alias("_cell")).filter(usable)
+    counted = valued.groupBy(*keys, "_cell", value).agg(F.count("*").alias("_w"))
 
     by_cell = W.partitionBy(*keys).orderBy("_cell")
     group = W.partitionBy(*keys)
