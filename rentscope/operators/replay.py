@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import to_number
-from rentscope.plans.blocks import in_ordered_blocks
+from rentscope.plans.blocks import block_count, in_ordered_blocks
 from rentscope.plans.saved import save
 
 # Instance type prefixes and products that are kept.
@@ -27,6 +27,9 @@ PRODUCTS = ["Linux/UNIX", ""]
 # Fixed value: submissions per series, roughly.
 MAX_STARTS = 500
 
+# Rows of about 100 bytes that may be broadcast.
+MOST_BROADCAST_ROWS = 100_000
+
 TYPE = "instance_type"
 ORDER = ["ts", "file", "seq"]
 
@@ -91,7 +94,8 @@ def _positions(points: DataFrame, zones: DataFrame, budget: float) -> DataFrame:
     """
     chosen = points.join(zones.select(TYPE, "az"), [TYPE, "az"]).select(TYPE, *ORDER, "price")
     block = [TYPE, "block"]
-    blocks = in_ordered_blocks(chosen, [TYPE], ORDER).na.drop(subset=block)
+    types, size = zones.agg(F.count("*"), F.coalesce(F.sum("total_windows"), F.lit(0))).first()
+    blocks = in_ordered_blocks(chosen, [TYPE], ORDER, size)
 
     in_block = W.partitionBy(*block).orderBy(*ORDER)
     so_far = in_block.rowsBetween(W.unboundedPreceding, 0)
@@ -143,7 +147,9 @@ def _positions(points: DataFrame, zones: DataFrame, budget: float) -> DataFrame:
             F.max(bad_there).over(before).alias("carry_last_bad"),
         )
     )
-    placed = rows.join(handed, block)
+    # One row per block, and one more per type at most: the count decides on a broadcast.
+    few = block_count(points.sparkSession, size) + types <= MOST_BROADCAST_ROWS
+    placed = rows.join(F.broadcast(handed) if few else handed, block)
     i = F.col("base") + F.col("pos")
     # Paid so far does not change at an unaffordable point, so it can travel with the position.
     n_paid = F.col("base_paid") + F.col("paid_to")
@@ -177,6 +183,9 @@ def replay_jobs(
 ) -> DataFrame:
     """One row per submitted job: outcome, wait, interruptions, cost and elapsed hours.
 
+    The points are read three times (zones, range bounds, blocks): store them first if they
+    come from archive lines.
+
     ``elapsed_hours`` is the job's own time from submission to completion;
     ``elapsed_hours_pooled`` adds, for interrupted jobs, the run time of all jobs completed
     up to then instead of the job's own lost time.

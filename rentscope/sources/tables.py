@@ -32,6 +32,16 @@ def read_offers(spark: SparkSession, path: str, schema: T.StructType = schemas.O
     return spark.read.schema(wanted).parquet(path)
 
 
+def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Rows of another store (times as ISO text) in the declared columns and types.
+
+    Meant for a one-off import, e.g. of ``spark.read.jdbc`` split on the row id.
+    """
+    return rows.select(
+        *[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+
+
 def land_payloads(payloads: DataFrame, path: str) -> None:
     """Append payloads, partitioned by source so that each reader scans only its own."""
     payloads.write.mode("append").partitionBy("source").parquet(path)

@@ -11,20 +11,21 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from rentscope.operators import replay
+from rentscope.plans import blocks
 from rentscope.sources import tables
 
 START = datetime(2024, 1, 1)
 
 
 @contextmanager
-def small_blocks(spark):
-    """Keep every shuffle partition, so that series span several blocks."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")
+def small_blocks(rows):
+    """Blocks of few rows, so that series span several of them."""
+    before = blocks.BLOCK_ROWS
+    blocks.BLOCK_ROWS = rows
     try:
         yield
     finally:
-        spark.conf.unset(key)
+        blocks.BLOCK_ROWS = before
 
 
 def points(spark, series: dict[tuple[str, str], list[float]]):
@@ -83,7 +84,7 @@ prices = st.lists(st.sampled_from([0.5, 1.0, 2.0, 3.0]), min_size=2, max_size=40
 @given(st.lists(prices, min_size=3, max_size=3), st.sampled_from([0.7, 1.5, 2.5]), st.sampled_from([0.5, 1.0, 2.2, 4.0]))
 def test_replay_equals_walk(spark, series, budget, hours):
     data = {(f"g5.{i}", "a"): p for i, p in enumerate(series)}
-    with small_blocks(spark):
+    with small_blocks(11):
         found = found_jobs(replay.replay_jobs(points(spark, data), budget, hours))
     assert found == {kind: walk(p, budget, hours) for (kind, _), p in data.items()}
 
@@ -95,12 +96,10 @@ def test_one_heavy_series_over_many_blocks(spark):
     df = points(spark, data).selectExpr(
         "az", "instance_type", "price", "date_trunc('year', ts) AS ts", "file", "seq"
     )
-    with small_blocks(spark):
-        from rentscope.plans.blocks import in_ordered_blocks
-
-        blocks = in_ordered_blocks(df, ["instance_type"], replay.ORDER)
-        sizes = [r["count"] for r in blocks.filter("instance_type = 'g5.heavy'").groupBy("block").count().collect()]
-        assert len(sizes) >= 4 and max(sizes) < 2500
+    with small_blocks(700):
+        placed = blocks.in_ordered_blocks(df, ["instance_type"], replay.ORDER, 5004)
+        sizes = [r["count"] for r in placed.filter("instance_type = 'g5.heavy'").groupBy("block").count().collect()]
+        assert len(sizes) >= 6 and max(sizes) < 1500
         found = found_jobs(replay.replay_jobs(df, 3.0, 4))
     assert found == {kind: walk(p, 3.0, 4) for (kind, _), p in data.items()}
 

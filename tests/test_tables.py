@@ -55,6 +55,12 @@ def test_json_and_csv(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "csv"), header=True).collect()[0].asDict() == {"provider": "vast", "gpu_class": "g"}
 
 
+def test_typed_import(spark):
+    rows = spark.createDataFrame([(1, "2024-01-01T10:00:00+02:00", "1.5")], "id int, captured_at string, vram_gb string")
+    r = tables.typed(rows, schemas.OFFERS).first()
+    assert str(r["captured_at"]) == "2024-01-01 08:00:00" and r["vram_gb"] == 1.5 and r["provider"] is None
+
+
 class Session:
     """Just enough of a session to name a folder."""
 
