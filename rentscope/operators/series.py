@@ -64,6 +64,20 @@ def hourly_series(offers: DataFrame) -> DataFrame:
     )
 
 
+def align_supply(prices: DataFrame, counts: DataFrame) -> DataFrame:
+    """Offer counts on the hours of the prices: last known count, 0 before the first.
+
+    Needed only when the two come from different tables; ``hourly_series`` is aligned already.
+    """
+    so_far = _in_time().rowsBetween(W.unboundedPreceding, 0)
+    known = F.last("offer_count", ignorenulls=True).over(so_far)
+    return (
+        prices.select("captured_at", *SERIES, "price")
+        .join(counts.select("captured_at", *SERIES, "offer_count"), ["captured_at", *SERIES], "left")
+        .select("captured_at", *SERIES, "price", F.coalesce(known, F.lit(0)).alias("offer_count"))
+    )
+
+
 def _in_time() -> W:
     return W.partitionBy(*SERIES).orderBy("captured_at")
 

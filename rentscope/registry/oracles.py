@@ -572,6 +572,10 @@ def _series_oracles() -> dict[str, str]:
               {_r(f'CASE WHEN count(*) {week} >= 24 THEN avg(price) {week} END', 6)} AS rolling_mean_7d,
               CAST(offer_count AS DOUBLE) AS offer_count, CAST(lag(offer_count) {over}) AS DOUBLE) AS offer_count_lag_1h
             FROM hourly""",
+        "supply_alignment": f"""{_COMMON}, {_HOURLY}
+            SELECT captured_at, provider, gpu_name, price,
+              coalesce(last_value(CASE WHEN hour(captured_at) % 3 = 0 THEN offer_count END IGNORE NULLS) {over}
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS offer_count FROM hourly""",
         "training_rows": f"""{_COMMON}, {_HOURLY}
             SELECT provider, gpu_name, greatest(count(*) - 168, 0) AS training_rows FROM hourly GROUP BY 1, 2""",
         "availability_6h": _outlook("TRUE"),

@@ -229,6 +229,12 @@ def _focus(spark: SparkSession, sf: str) -> DataFrame:
     return series.of_gpu(series.hourly_series(fx.offers(spark, sf)), FOCUS_GPU)
 
 
+def _supply(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts known only for every third hour."""
+    hourly = series.hourly_series(fx.offers(spark, sf))
+    return series.align_supply(hourly, hourly.filter(F.hour("captured_at") % 3 == 0))
+
+
 def _alert_count(spark: SparkSession, sf: str) -> DataFrame:
     found = series.spread_analysis(series.hourly_series(fx.offers(spark, sf)))
     return found.agg(F.count("*").alias("gpu_classes"), F.count_if("spread_alert").alias("alerts"))
@@ -319,6 +325,8 @@ def queries() -> dict[str, Query]:
         "spread_analysis": _spread_analysis,
         "forecast_windows": lambda s, d: _no_zone(_forecasts(s, d)),
         "series_overview": _over_hourly(series.series_overview),
+        "supply_alignment": _supply,
+        "gpu_forecast": lambda s, d: _no_zone(_rounded(forecast.forecast_24h(_focus(s, d)))),
         "gpu_decompose": lambda s, d: _rounded(series.decompose_summary(_focus(s, d))),
         "gpu_availability": lambda s, d: series.availability_6h(_focus(s, d)),
         "spread_alert_count": _alert_count,

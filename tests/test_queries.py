@@ -13,9 +13,8 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 ORACLES = entry.oracle_sql()
-WITHOUT_SQL = {"forecast_24h", "feature_importance", "forecast_windows", "forecast_lookup", "forecast_series"}
-PYTHON_NODES = {"forecast_24h", "feature_importance", "forecast_windows", "forecast_lookup", "forecast_series",
-                "deep_find", "ingest_price_page", "collect_run"}
+WITHOUT_SQL = {"forecast_24h", "gpu_forecast", "feature_importance", "forecast_windows", "forecast_lookup", "forecast_series"}
+WITH_PYTHON = WITHOUT_SQL | {"deep_find", "ingest_price_page"}
 
 
 @pytest.fixture(scope="module")
@@ -42,9 +41,17 @@ def test_all_have_sql():
     assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL and not set(ORACLES) - set(QUERIES)
 
 
+def check_plan(name, df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
+    python = re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups", plan)
+    assert bool(python) <= (name in WITH_PYTHON)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_equals_sql(spark, duck, small_dir, name):
     df = QUERIES[name](spark, small_dir)
+    check_plan(name, df)
     found = table(df.columns, [tuple(r) for r in df.collect()])
     result = duck.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
@@ -52,16 +59,13 @@ def test_equals_sql(spark, duck, small_dir, name):
     assert found == table(columns, result.fetchall())
 
 
-def test_entry(spark):
-    assert entry.entry(spark).count() > 0
+@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
+def test_plan_without_sql(spark, small_dir, name):
+    check_plan(name, QUERIES[name](spark, small_dir))
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_plan(spark, small_dir, name):
-    plan = QUERIES[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
-    python = re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroups", plan)
-    assert bool(python) <= (name in PYTHON_NODES)
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
 
 
 def test_columns_are_pruned(spark, small_dir):

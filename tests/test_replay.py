@@ -80,7 +80,7 @@ def found_jobs(df) -> dict[str, dict[int, dict]]:
 prices = st.lists(st.sampled_from([0.5, 1.0, 2.0, 3.0]), min_size=2, max_size=40)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(prices, min_size=3, max_size=3), st.sampled_from([0.7, 1.5, 2.5]), st.sampled_from([0.5, 1.0, 2.2, 4.0]))
 def test_replay_equals_walk(spark, series, budget, hours):
     data = {(f"g5.{i}", "a"): p for i, p in enumerate(series)}
