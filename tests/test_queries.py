@@ -10,9 +10,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rentscope.registry import oracles
+from rentscope.registry import queries as registered
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registered.queries()
+ORACLES = oracles.oracle_sql()
 WITHOUT_SQL = {"forecast_24h", "gpu_forecast", "feature_importance", "forecast_windows", "forecast_lookup", "forecast_series"}
 WITH_PYTHON = WITHOUT_SQL | {"deep_find", "ingest_price_page"}
 
