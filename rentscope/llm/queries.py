@@ -6,11 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rentscope.llm import mixing
+from rentscope.llm import language_id, licenses, mixing, sentencepieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; every executor has the package that holds them."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -19,9 +30,29 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(_documents(spark, sf_dir), tokenizer_path(PIECE_BPE))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_documents(spark, sf_dir))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op2_mixing": op2_mixing,
+        "op4_token_counts": op4_token_counts,
+        "op5_sentencepiece": op5_sentencepiece,
+        "op8_language_id": op8_language_id,
+        "op10_license_scan": op10_license_scan,
     }
 
 
