@@ -6,7 +6,7 @@ over all rows to learn from, as sums per task and then per language. The models
 from these counts and stored as sorted arrays of n-gram hashes with one column of log
 probabilities and back-off weights per language. A text gets the language of lowest
 cross-entropy per letter. It is rejected where that exceeds what texts of its length in that
-language show, by a calibrated margin.
+language show, by a margin calibrated on the labelled texts; mixtures of languages stay.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ MOST_EVENTS = 1_000_000
 WORDS_HELD = 400_000
 #: Words whose scores a worker keeps, and words scored at once.
 CACHE_WORDS = 600_000
-#: Rejection: above the language's mean by this many nats a letter, and by so many standard errors of the mean over the text's letters.
-MARGIN, STANDARD_ERRORS = 0.4, 5.0
+#: Rejection: this share of the way from the language's own mean to letters drawn evenly, and so many standard errors over the text's letters above it.
+MARGIN, STANDARD_ERRORS = 0.5, 5.0
 
 BEGIN, END = "\x02", "\x03"
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -331,7 +331,8 @@ def predict(docs: DataFrame, models: Models | None, *keep: str) -> DataFrame:
             best = int(np.argmin(entropy))
             share = np.exp((entropy[best] - entropy) * math.sqrt(n))
             known = scorer.models
-            limit = known.mean[best] + MARGIN + STANDARD_ERRORS * known.deviation[best] / math.sqrt(n)
+            even = max(known.mean[best], -known.log_unknown[best])
+            limit = known.mean[best] + MARGIN * (even - known.mean[best]) + STANDARD_ERRORS * known.deviation[best] / math.sqrt(n)
             return known.languages[best], float(1 / share.sum()), float(entropy[best]), bool(entropy[best] > limit)
 
         def step(columns: dict[str, list]) -> dict[str, list]:
