@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rentscope.llm import language_id, licenses, mixing, quality, sentencepieces, token_counts
+from rentscope.llm import language_id, licenses, mixing, neighbours, quality, sentencepieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +43,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(_documents(spark, sf_dir), tokenizer_path(PIECE_BPE))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": op2_mixing,
         "op4_token_counts": op4_token_counts,
         "op5_sentencepiece": op5_sentencepiece,
+        "op7_neighbours": op7_neighbours,
         "op8_language_id": op8_language_id,
         "op10_license_scan": op10_license_scan,
     }
