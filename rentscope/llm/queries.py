@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm import language_id, licenses, mixing, neighbours, quality, sentencepieces, token_counts
+from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, quality, sentencepieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,6 +51,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_documents(spark, sf_dir))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(_documents(spark, sf_dir))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_documents(spark, sf_dir))
 
@@ -63,6 +67,7 @@ def queries() -> dict[str, Query]:
         "op5_sentencepiece": op5_sentencepiece,
         "op7_neighbours": op7_neighbours,
         "op8_language_id": op8_language_id,
+        "op9_fingerprints": op9_fingerprints,
         "op10_license_scan": op10_license_scan,
     }
 
