@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, quality, sentencepieces, token_counts
+from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.round_trip(_documents(spark, sf_dir), tokenizer_path(PIECE_BPE))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(_documents(spark, sf_dir), words=3, percent=90)
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
 
@@ -65,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op2_mixing": op2_mixing,
         "op4_token_counts": op4_token_counts,
         "op5_sentencepiece": op5_sentencepiece,
+        "op6_ngram_join": op6_ngram_join,
         "op7_neighbours": op7_neighbours,
         "op8_language_id": op8_language_id,
         "op9_fingerprints": op9_fingerprints,

@@ -18,7 +18,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
 from rentscope.llm.common import BoundedCache, as_text, map_batches, pick
@@ -29,6 +29,7 @@ PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Entries of the table of frequent pre-tokens, and texts looked at to choose them.
 TABLE_SIZE = 50_000
 TABLE_TEXTS = 2_000
+TABLE_LETTERS = 4_000
 #: Entries of a worker's cache, and the longest pre-token kept there.
 CACHE_SIZE = 500_000
 LONGEST_KEPT = 64
@@ -80,27 +81,18 @@ def _lengths(tokenizer: Tokenizer, pre_tokens: list[str]) -> list[int]:
 
 
 def frequent_lengths(texts: DataFrame, path: str, table_size: int = TABLE_SIZE, table_texts: int = TABLE_TEXTS) -> tuple[str, bytes]:
-    """The commonest pre-tokens of ``table_texts`` texts with their token counts, at most ``table_size``.
+    """The commonest pre-tokens of some texts with their token counts, at most ``table_size``.
 
+    The texts are the first ``table_texts`` that come, and of each its first TABLE_LETTERS, so the
+    driver sees a bounded amount; they only decide which lengths every task knows from the start.
     Compact: the pre-tokens joined by a separator that none of them holds, and one 16-bit length each.
     """
-
-    def make() -> Callable:
-        pre_tokens, tokenizer, _ = _tools(path)
-        counts: Counter[str] = Counter()
-
-        def step(columns: dict[str, list]) -> dict[str, list]:
-            for text in columns["text"]:
-                counts.update(p for p in pre_tokens.split(as_text(text))[0] if len(p) <= LONGEST_KEPT and "\0" not in p)
-            top = [p for p, _ in counts.most_common(table_size)]
-            lengths = np.array(_lengths(tokenizer, top), dtype=np.uint16)
-            return {"pre_tokens": ["\0".join(top)], "lengths": [lengths.tobytes().hex()]}
-
-        return step
-
-    schema = StructType([StructField("pre_tokens", StringType()), StructField("lengths", StringType())])
-    rows = map_batches(texts.select("text").limit(table_texts), make, schema).collect()
-    return (rows[-1].pre_tokens, bytes.fromhex(rows[-1].lengths)) if rows else ("", b"")
+    pre_tokens, tokenizer, _ = _tools(path)
+    counts: Counter[str] = Counter()
+    for row in texts.select(F.substring("text", 1, TABLE_LETTERS).alias("text")).limit(table_texts).collect():
+        counts.update(p for p in pre_tokens.split(as_text(row.text))[0] if len(p) <= LONGEST_KEPT and "\0" not in p)
+    top = [p for p, _ in counts.most_common(table_size)]
+    return "\0".join(top), np.array(_lengths(tokenizer, top), dtype=np.uint16).tobytes()
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, table_size: int = TABLE_SIZE, table_texts: int = TABLE_TEXTS) -> DataFrame:
