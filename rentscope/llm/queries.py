@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, token_counts
+from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, suffix_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(_documents(spark, sf_dir))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), tokenizer_path(BYTE_BPE))
 
@@ -67,6 +71,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_mixing": op2_mixing,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_token_counts": op4_token_counts,
         "op5_sentencepiece": op5_sentencepiece,
         "op6_ngram_join": op6_ngram_join,
