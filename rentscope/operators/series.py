@@ -6,6 +6,8 @@ than there are hours in the covered calendar span; windows per series stay small
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import math
 from functools import reduce
 
@@ -213,11 +215,14 @@ def availability_6h(hourly: DataFrame) -> DataFrame:
     )
 
 
-def spread_analysis(hourly: DataFrame) -> DataFrame:
-    """Hourly price gap between providers per GPU; flags a latest gap far above its mean."""
+def spread_analysis(hourly: DataFrame, providers: Sequence[str] | None = SPREAD_PROVIDERS) -> DataFrame:
+    """Hourly price gap between providers per GPU; flags a latest gap far above its mean.
+
+    ``providers`` are those compared; None compares all that occur.
+    """
     entry = F.struct("provider", settled_round(F.col("price"), 4).alias("price"))
     per_hour = (
-        hourly.filter(F.col("provider").isin(SPREAD_PROVIDERS))
+        (hourly if providers is None else hourly.filter(F.col("provider").isin(list(providers))))
         .groupBy("gpu_name", "captured_at")
         .agg(
             (F.max("price") - F.min("price")).alias("_gap"),
@@ -226,7 +231,7 @@ def spread_analysis(hourly: DataFrame) -> DataFrame:
             F.array_sort(F.collect_list(entry)).alias("_prices"),
         )
     )
-    # Three providers at most, so the sets and lists are tiny.
+    # One entry per provider of an hour, so the sets and lists are tiny.
     seen = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.transform("_prices", lambda e: e["provider"])))))
     latest = F.max_by(F.struct("_gap", "_cheapest", "_dearest", "_prices"), "captured_at")
     per_gpu = per_hour.groupBy("gpu_name").agg(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
@@ -48,7 +49,7 @@ def _current(offers: DataFrame, as_of: datetime | Column | None) -> DataFrame:
 
 
 def price_comparison(
-    offers: DataFrame, as_of: datetime | Column | None = None, limit: int = COMPARISON_ROWS
+    offers: DataFrame, as_of: datetime | Column | None = None, limit: int | None = COMPARISON_ROWS
 ) -> DataFrame:
     """Current prices per GPU as a map of providers, with the cheapest by average."""
     per_provider = (
@@ -63,7 +64,7 @@ def price_comparison(
     # An average of 0 does not compete; a struct with a null price sorts first, so mask it out.
     competes = F.col("avg_price") != 0
     entry = F.struct("provider", F.struct("min_price", "avg_price", "offer_count"))
-    return (
+    compared = (
         per_provider.groupBy("gpu_name")
         .agg(
             F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("providers"),
@@ -79,12 +80,12 @@ def price_comparison(
             "provider_count",
         )
         .orderBy(F.desc("provider_count"), "gpu_name")
-        .limit(limit)
     )
+    return compared if limit is None else compared.limit(limit)
 
 
 def volatility_rollup(windows: DataFrame) -> DataFrame:
-    """Average and largest volatility per GPU class, with its providers by median price."""
+    """Average and largest volatility per GPU class with their bands, and its providers by median price."""
     volatility = F.coalesce("price_volatility", F.lit(0.0))
     listed = F.array_sort(F.collect_list(F.struct("price_per_gpu_hour_p50", "provider")))
     return (
@@ -94,6 +95,8 @@ def volatility_rollup(windows: DataFrame) -> DataFrame:
             settled_round(F.max(volatility), 4).alias("max_volatility"),
             F.transform(listed, lambda e: e["provider"]).alias("providers"),
         )
+        .withColumn("avg_band", volatility_band(F.col("avg_volatility")))
+        .withColumn("max_band", volatility_band(F.col("max_volatility")))
         .orderBy(F.desc("avg_volatility"), "gpu_class")
     )
 
@@ -211,18 +214,21 @@ def volatility_bands(windows: DataFrame) -> DataFrame:
 
 
 def price_matrix(
-    offers: DataFrame, as_of: datetime | Column | None = None, limit: int = MATRIX_ROWS
+    offers: DataFrame,
+    as_of: datetime | Column | None = None,
+    limit: int | None = MATRIX_ROWS,
+    providers: Sequence[str] = MATRIX_PROVIDERS,
 ) -> DataFrame:
     """First rows of the comparison as a GPU x provider matrix; ties for the best are all marked."""
     wide = price_comparison(offers, as_of, limit)
     wide = wide.select(
         "gpu_name",
         "provider_count",
-        *[F.try_element_at("providers", F.lit(p))["avg_price"].alias(p) for p in MATRIX_PROVIDERS],
+        *[F.try_element_at("providers", F.lit(p))["avg_price"].alias(p) for p in providers],
     )
-    best = F.least(*MATRIX_PROVIDERS)
-    marks = [F.coalesce(F.col(p) == best, F.lit(False)).alias(f"{p}_best") for p in MATRIX_PROVIDERS]
-    return wide.select("gpu_name", "provider_count", *MATRIX_PROVIDERS, *marks)
+    best = F.least(*providers) if len(providers) > 1 else F.col(providers[0])
+    marks = [F.coalesce(F.col(p) == best, F.lit(False)).alias(f"{p}_best") for p in providers]
+    return wide.select("gpu_name", "provider_count", *providers, *marks)
 
 
 def forecast_series(forecasts: DataFrame, gpu: str) -> DataFrame:

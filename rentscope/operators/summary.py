@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -9,18 +10,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import settled_round, spot_only
-from rentscope.plans.recency import captured_since, latest_capture, within_hours
+from rentscope.plans.recency import DAY, captured_since, latest_capture, within_hours
 
 PRICE = "price_per_gpu_hr"
 
 # Providers with a count column of their own in the run log.
 LOGGED_PROVIDERS = ["vast", "runpod", "akash", "spheron"]
 
-# Row limits of the reports.
-HISTORY_ROWS = 100
+# Fixed value: rows of the list of cheapest offers, a top-k view.
 CHEAPEST_ROWS = 30
-OFFER_WINDOW_ROWS = 5000
-CHEAPEST_BY_PROVIDER_ROWS = 15
 
 # Scheduler window defaults.
 P90_MARKUP = 1.25
@@ -35,6 +33,10 @@ def _money(c: Column) -> Column:
     return settled_round(c, 4)
 
 
+def _first_rows(df: DataFrame, limit: int | None) -> DataFrame:
+    return df if limit is None else df.limit(limit)
+
+
 def price_summary(offers: DataFrame) -> DataFrame:
     """All-time price landscape per provider and GPU."""
     price = F.col(PRICE)
@@ -55,9 +57,12 @@ def price_summary(offers: DataFrame) -> DataFrame:
     )
 
 
-def gpu_history(offers: DataFrame, gpu: str, limit: int = HISTORY_ROWS) -> DataFrame:
-    """Daily prices per provider of the GPUs whose label contains ``gpu`` (LIKE wildcards apply)."""
-    return (
+def gpu_history(offers: DataFrame, gpu: str, limit: int | None = None) -> DataFrame:
+    """Daily prices per provider of the GPUs whose label contains ``gpu`` (LIKE wildcards apply).
+
+    All days, newest first; ``limit`` keeps the newest rows.
+    """
+    history = (
         offers.filter(F.col("gpu_name").ilike(f"%{gpu}%"))
         .groupBy(F.to_date("captured_at").alias("day"), "provider")
         .agg(
@@ -68,18 +73,19 @@ def gpu_history(offers: DataFrame, gpu: str, limit: int = HISTORY_ROWS) -> DataF
             _money(F.max(PRICE)).alias("max_price"),
         )
         .orderBy(F.desc("captured_at"), "provider")
-        .limit(limit)
-        .drop("day")
     )
+    return _first_rows(history, limit).drop("day")
 
 
-def cheapest_offers(offers: DataFrame, min_vram: float = 0.0, limit: int = CHEAPEST_ROWS) -> DataFrame:
+def cheapest_offers(offers: DataFrame, min_vram: float = 0.0, limit: int | None = CHEAPEST_ROWS) -> DataFrame:
     """Cheapest offers of the latest capture with enough memory."""
-    return (
+    ranked = (
         captured_since(offers, latest_capture(offers))
         .filter(F.col("vram_gb") >= min_vram)
         .orderBy(F.asc_nulls_first(PRICE), "id")
-        .limit(limit)
+    )
+    return (
+        _first_rows(ranked, limit)
         .select(
             "provider", "gpu_name", "gpu_name_raw", "gpu_count", "vram_gb", PRICE, "price_total_hr",
             "interruptible", "reliability_score", "geography", "captured_at",
@@ -121,14 +127,12 @@ def price_volatility(offers: DataFrame) -> DataFrame:
     )
 
 
-def offer_windows(offers: DataFrame, limit: int = OFFER_WINDOW_ROWS) -> DataFrame:
-    """The newest offers as scheduler windows."""
+def offer_windows(offers: DataFrame, limit: int | None = None) -> DataFrame:
+    """Offers as scheduler windows: all of them, or the newest ``limit``, newest first."""
     price = F.col(PRICE)
-    newest = (
-        offers.select("id", "snapshot_id", "provider", "gpu_name", "captured_at", PRICE, "reliability_score", "interruptible")
-        .orderBy(F.desc("captured_at"), F.desc("id"))
-        .limit(limit)
-    )
+    newest = offers.select("id", "snapshot_id", "provider", "gpu_name", "captured_at", PRICE, "reliability_score", "interruptible")
+    if limit is not None:
+        newest = newest.orderBy(F.desc("captured_at"), F.desc("id")).limit(limit)
     return newest.select(
         F.concat(
             "snapshot_id", F.lit("_"), "provider", F.lit("_"), "gpu_name", F.lit("_"), F.col("id").cast("string")
@@ -161,11 +165,20 @@ def latest_run_id(snapshots: DataFrame) -> Column:
     return snapshots.agg(F.max_by("snapshot_id", F.struct("started_at", "snapshot_id"))).scalar()
 
 
-def snapshot_summary(offers: DataFrame, snapshot_id: str | Column) -> DataFrame:
-    """Offers of one run per provider and GPU."""
+def of_run(offers: DataFrame, snapshots: DataFrame | None, snapshot_id: str | Column) -> DataFrame:
+    """Offers of one run. A run has one capture time, so on stored offers the run log prunes to its day."""
     wanted = snapshot_id if isinstance(snapshot_id, Column) else F.lit(snapshot_id)
+    mine = F.col("snapshot_id") == wanted
+    if snapshots is not None and DAY in offers.columns:
+        started = snapshots.filter(mine).agg(F.max("started_at")).scalar()
+        mine = (F.col(DAY) == F.to_date(started)) & mine
+    return offers.filter(mine)
+
+
+def snapshot_summary(offers: DataFrame, snapshot_id: str | Column, snapshots: DataFrame | None = None) -> DataFrame:
+    """Offers of one run per provider and GPU; with the run log only the run's day is read."""
     return (
-        offers.filter(F.col("snapshot_id") == wanted)
+        of_run(offers, snapshots, snapshot_id)
         .groupBy("provider", "gpu_name")
         .agg(
             F.count("*").alias("offers"),
@@ -180,36 +193,45 @@ def snapshot_summary(offers: DataFrame, snapshot_id: str | Column) -> DataFrame:
 
 def latest_snapshot(offers: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Every offer of the run started last."""
-    return offers.filter(F.col("snapshot_id") == latest_run_id(snapshots)).orderBy(
-        "provider", "gpu_name", PRICE, "id"
-    )
+    return of_run(offers, snapshots, latest_run_id(snapshots)).orderBy("provider", "gpu_name", PRICE, "id")
+
 
+def run_log(offers: DataFrame, snapshots: DataFrame, providers: Sequence[str] = LOGGED_PROVIDERS) -> DataFrame:
+    """Start, end, rows per provider and errors of each run, derived rather than updated in place.
 
-def run_log(offers: DataFrame, snapshots: DataFrame) -> DataFrame:
-    """Start, end, rows per provider and errors of each run, derived rather than updated in place."""
+    ``all_offers`` also counts the rows of providers without a column.
+    """
+    named = [f"{p}_offers" for p in providers]
     counted = offers.groupBy("snapshot_id").agg(
-        *[F.count_if(F.col("provider") == p).alias(f"{p}_offers") for p in LOGGED_PROVIDERS]
+        *[F.count_if(F.col("provider") == p).alias(c) for p, c in zip(providers, named, strict=True)],
+        F.count("*").alias("all_offers"),
     )
     errors = "errors" if "errors" in snapshots.columns else F.lit(None).cast("array<string>").alias("errors")
     return (
         snapshots.select("snapshot_id", "started_at", "finished_at", errors)
         .join(counted, "snapshot_id", "left")
-        .na.fill(0, [f"{p}_offers" for p in LOGGED_PROVIDERS])
+        .na.fill(0, [*named, "all_offers"])
     )
 
 
 def run_report(offers: DataFrame, snapshots: DataFrame, snapshot_id: str | Column | None = None) -> DataFrame:
-    """Rows per provider of one run, next to the table totals (default: the run started last)."""
+    """Rows per provider and errors of one run, next to the table totals (default: the run started last).
+
+    A run without rows gives one row with a null provider and a count of 0.
+    """
     if snapshot_id is None:
         wanted = latest_run_id(snapshots)
     else:
         wanted = snapshot_id if isinstance(snapshot_id, Column) else F.lit(snapshot_id)
-    finished = snapshots.filter(F.col("snapshot_id") == wanted).agg(F.max("finished_at")).scalar()
+    errors = F.array_distinct(F.flatten(F.collect_list("errors"))) if "errors" in snapshots.columns else F.array().cast("array<string>")
+    run = snapshots.filter(F.col("snapshot_id") == wanted).groupBy("snapshot_id").agg(
+        F.coalesce(F.date_format(F.max("finished_at"), "yyyy-MM-dd HH:mm"), F.lit("")).alias("finished_at"),
+        errors.alias("errors"),
+    )
+    counted = of_run(offers, snapshots, wanted).groupBy("snapshot_id", "provider").agg(F.count("*").alias("cnt"))
     return (
-        offers.filter(F.col("snapshot_id") == wanted)
-        .groupBy("snapshot_id", "provider")
-        .agg(F.count("*").alias("cnt"))
-        .withColumn("finished_at", F.coalesce(F.date_format(finished, "yyyy-MM-dd HH:mm"), F.lit("")))
+        run.join(counted, "snapshot_id", "left")
+        .select("snapshot_id", "provider", F.coalesce("cnt", F.lit(0)).cast("long").alias("cnt"), "finished_at", "errors")
         .withColumn("total_snapshots", snapshots.agg(F.count("finished_at")).scalar())
         .withColumn("total_rows", offers.agg(F.count("*")).scalar())
         .orderBy("provider")
@@ -262,13 +284,13 @@ def cheapest_by_provider(
     offers: DataFrame,
     as_of: datetime | None = None,
     hours: int = 48,
-    limit: int = CHEAPEST_BY_PROVIDER_ROWS,
-    per_provider: bool = False,
+    limit: int | None = None,
+    per_provider: bool = True,
 ) -> DataFrame:
     """Lowest price per provider and GPU in the last hours.
 
-    The limit is over the whole list, so one provider can fill it; ``per_provider`` applies
-    it to each provider instead.
+    ``limit`` keeps the cheapest GPUs of each provider, or, without ``per_provider``, the first
+    rows of the whole list, which one provider can fill.
     """
     lowest = (
         within_hours(offers, hours, as_of)
@@ -276,7 +298,7 @@ def cheapest_by_provider(
         .groupBy("provider", "gpu_name")
         .agg(_money(F.min(PRICE)).alias("min_price"))
     )
-    if per_provider:
+    if limit is not None and per_provider:
         rank = F.row_number().over(W.partitionBy("provider").orderBy("min_price", "gpu_name"))
         return lowest.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
-    return lowest.orderBy("provider", "min_price", "gpu_name").limit(limit)
+    return _first_rows(lowest.orderBy("provider", "min_price", "gpu_name"), limit)

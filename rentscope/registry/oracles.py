@@ -91,6 +91,7 @@ compared AS (
 _BAND = """CASE WHEN {v} <= 0.05 THEN 'very low' WHEN {v} <= 0.15 THEN 'low' WHEN {v} <= 0.30 THEN 'medium'
   WHEN {v} <= 0.50 THEN 'high' ELSE 'very high' END"""
 
+_EVERYONE = ["vast", "runpod", "akash", "spheron", "other"]
 _MATRIX = f"""
 SELECT *, coalesce(vast = least(vast, runpod, spheron), FALSE) AS vast_best,
   coalesce(runpod = least(vast, runpod, spheron), FALSE) AS runpod_best,
@@ -106,7 +107,7 @@ FROM (
 
 def _report_oracles() -> dict[str, str]:
     p = "price_per_gpu_hr"
-    return {
+    found = {
         "price_summary": f"""{_COMMON}
             SELECT provider, gpu_name, count(DISTINCT snapshot_id) AS snapshots_seen, count(*) AS total_offers,
               {_r(f'min({p})')} AS all_time_min, {_r(f'avg({p})')} AS all_time_avg, {_r(f'max({p})')} AS all_time_max,
@@ -118,7 +119,7 @@ def _report_oracles() -> dict[str, str]:
             SELECT max(captured_at) AS captured_at, provider, count(*) AS offers, {_r(f'min({p})')} AS min_price,
               {_r(f'avg({p})')} AS avg_price, {_r(f'max({p})')} AS max_price
             FROM offers WHERE gpu_name ILIKE '%{q.GPU_PATTERN}%'
-            GROUP BY CAST(captured_at AS DATE), provider ORDER BY max(captured_at) DESC, provider LIMIT 100""",
+            GROUP BY CAST(captured_at AS DATE), provider ORDER BY max(captured_at) DESC, provider""",
         "cheapest_offers": f"""{_COMMON}
             SELECT provider, gpu_name, gpu_name_raw, gpu_count, vram_gb, {p}, price_total_hr, interruptible,
               reliability_score, geography, date_trunc('hour', captured_at) AS captured_at
@@ -141,7 +142,7 @@ def _report_oracles() -> dict[str, str]:
               {_r(f'coalesce({p}, 0) * 1.25', 6)} AS price_per_gpu_hour_p90,
               CAST(coalesce(nullif(reliability_score, 0), 0.6) AS DOUBLE) AS availability_probability,
               CAST(CASE WHEN interruptible <> 0 THEN 0.15 ELSE 0.02 END AS DOUBLE) AS interruption_probability
-            FROM offers ORDER BY captured_at DESC, id DESC LIMIT 5000""",
+            FROM offers""",
         "db_stats": f"""{_COMMON}
             SELECT (SELECT count(*) FROM snapshots) AS total_snapshots, (SELECT count(*) FROM offers) AS total_offers,
               (SELECT min(started_at) FROM snapshots) AS oldest_snapshot,
@@ -165,12 +166,12 @@ def _report_oracles() -> dict[str, str]:
               count(*) FILTER (WHERE provider = 'vast') AS vast_offers,
               count(*) FILTER (WHERE provider = 'runpod') AS runpod_offers,
               count(*) FILTER (WHERE provider = 'akash') AS akash_offers,
-              count(*) FILTER (WHERE provider = 'spheron') AS spheron_offers
+              count(*) FILTER (WHERE provider = 'spheron') AS spheron_offers, count(o.id) AS all_offers
             FROM snapshots s LEFT JOIN offers o ON s.snapshot_id = o.snapshot_id GROUP BY 1, 2, 3""",
         "run_report": f"""{_COMMON}
             , run AS (SELECT snapshot_id, finished_at FROM snapshots ORDER BY started_at DESC, snapshot_id DESC LIMIT 1)
             SELECT o.snapshot_id, provider, count(*) AS cnt,
-              coalesce(strftime(max(run.finished_at), '%Y-%m-%d %H:%M'), '') AS finished_at,
+              coalesce(strftime(max(run.finished_at), '%Y-%m-%d %H:%M'), '') AS finished_at, '' AS errors,
               (SELECT count(finished_at) FROM snapshots) AS total_snapshots, (SELECT count(*) FROM offers) AS total_rows
             FROM offers o JOIN run ON o.snapshot_id = run.snapshot_id GROUP BY 1, 2""",
         "stats_overview": f"""{_COMMON}
@@ -182,7 +183,7 @@ def _report_oracles() -> dict[str, str]:
         "cheapest_by_provider": f"""{_COMMON}
             SELECT provider, gpu_name, {_r(f'min({p})')} AS min_price FROM offers, now
             WHERE {p} IS NOT NULL AND captured_at >= as_of - INTERVAL 48 HOUR
-            GROUP BY 1, 2 ORDER BY provider, min_price, gpu_name LIMIT 15""",
+            GROUP BY 1, 2""",
         "cheapest_per_provider": f"""{_COMMON}
             SELECT * FROM (
               SELECT provider, gpu_name, {_r(f'min({p})')} AS min_price FROM offers, now
@@ -197,11 +198,16 @@ def _report_oracles() -> dict[str, str]:
             SELECT c.gpu_name, cheapest_provider, cheapest_price, provider_count, provider, min_price, avg_price, offer_count
             FROM compared c JOIN per_provider p ON c.gpu_name = p.gpu_name""",
         "price_matrix": f"{_COMMON}, {_CURRENT}, {_COMPARED % 12} {_MATRIX}",
+        "price_matrix_all": f"""{_COMMON}, {_CURRENT}, {_COMPARED % 1000000}
+            SELECT gpu_name, provider_count, {', '.join(f"max(CASE WHEN provider = '{x}' THEN avg_price END) AS {x}" for x in _EVERYONE)},
+              {', '.join(f"coalesce(max(CASE WHEN provider = '{x}' THEN avg_price END) = min(avg_price), FALSE) AS {x}_best" for x in _EVERYONE)}
+            FROM compared JOIN per_provider USING (gpu_name) GROUP BY 1, 2""",
         "price_matrix_late": f"""{_COMMON.replace('max(captured_at) AS as_of', 'max(captured_at) + INTERVAL 24 HOUR AS as_of')},
             {_CURRENT}, {_COMPARED % 12} {_MATRIX}""",
         "volatility_rollup": f"""{_COMMON}, {_ALL_WINDOWS}
             SELECT gpu_class, {_r('avg(price_volatility)')} AS avg_volatility, {_r('max(price_volatility)')} AS max_volatility,
-              string_agg(provider, ',' ORDER BY price_per_gpu_hour_p50, provider) AS providers
+              string_agg(provider, ',' ORDER BY price_per_gpu_hour_p50, provider) AS providers,
+              {_BAND.format(v=_r('avg(price_volatility)'))} AS avg_band, {_BAND.format(v=_r('max(price_volatility)'))} AS max_band
             FROM windows GROUP BY 1""",
         "spread_alerts": f"""{_COMMON}, {_CURRENT}, {_ALL_WINDOWS}, {_ALERTS} SELECT * FROM alerts""",
         "budget_options": f"{_COMMON}, {_ALL_WINDOWS} {_OPTIONS}",
@@ -216,6 +222,11 @@ def _report_oracles() -> dict[str, str]:
         "volatility_band": f"""{_COMMON}, {_ALL_WINDOWS}
             SELECT provider, gpu_class, price_volatility, {_BAND.format(v='price_volatility')} AS volatility_band FROM windows""",
     }
+    # The views with a limit: the first rows of the whole results above.
+    found["gpu_history_newest"] = f"SELECT * FROM ({found['gpu_history']}) ORDER BY captured_at DESC, provider LIMIT 100"
+    found["offer_windows_newest"] = found["offer_windows"] + " ORDER BY captured_at DESC, id DESC LIMIT 5000"
+    found["cheapest_by_provider_first"] = found["cheapest_by_provider"] + " ORDER BY provider, min_price, gpu_name LIMIT 15"
+    return found
 
 
 _ALERTS = f"""
@@ -242,6 +253,7 @@ SELECT provider, gpu_class, price_per_gpu_hour_p50 AS price_p50, price_per_gpu_h
 FROM windows WHERE price_per_gpu_hour_p50 <= {q.WINDOW_BUDGET}
 """
 
+# Fixed values repeated here as the results must equal them: priors, bands, static prices.
 # Labels of the raw fixture names; a null name in a listing becomes ''.
 _RUN = "strftime(date_trunc('hour', ts), 'snap_%Y%m%d_%H%M%S_%g') AS snapshot_id, date_trunc('hour', ts) AS captured_at"
 

@@ -259,10 +259,12 @@ def queries() -> dict[str, Query]:
     return {
         "price_summary": _over_offers(summary.price_summary),
         "gpu_history": _over_offers(summary.gpu_history, gpu=GPU_PATTERN),
+        "gpu_history_newest": _over_offers(summary.gpu_history, gpu=GPU_PATTERN, limit=100),
         "cheapest_offers": lambda s, d: summary.cheapest_offers(fx.offers_by_run(s, d), MIN_VRAM),
         "budget_windows": _over_offers(summary.budget_windows, budget=BUDGET),
         "price_volatility": _over_offers(summary.price_volatility),
         "offer_windows": _over_offers(summary.offer_windows),
+        "offer_windows_newest": _over_offers(summary.offer_windows, limit=5000),
         "db_stats": _with_runs(summary.db_stats),
         "price_stats": _over_offers(scores.price_stats),
         "availability_score": _with_runs(scores.availability_score),
@@ -273,11 +275,12 @@ def queries() -> dict[str, Query]:
         "snapshot_summary": _over_offers(summary.snapshot_summary, snapshot_id=ONE_RUN),
         "latest_snapshot": _with_runs(summary.latest_snapshot),
         "run_log": _run_log,
-        "run_report": _with_runs(summary.run_report),
+        "run_report": lambda s, d: summary.run_report(fx.offers(s, d), fx.snapshots(s, d)).withColumn("errors", F.array_join("errors", ",")),
         "stats_overview": _over_offers(summary.stats_overview),
         "provider_coverage": _over_offers(summary.provider_coverage),
         "cheapest_by_provider": _over_offers(summary.cheapest_by_provider),
-        "cheapest_per_provider": _over_offers(summary.cheapest_by_provider, per_provider=True, limit=3),
+        "cheapest_per_provider": _over_offers(summary.cheapest_by_provider, limit=3),
+        "cheapest_by_provider_first": _over_offers(summary.cheapest_by_provider, per_provider=False, limit=15),
         "dataset_stats": _over_offers(summary.dataset_stats),
         "price_comparison": _price_comparison,
         "volatility_rollup": _volatility_rollup,
@@ -287,6 +290,7 @@ def queries() -> dict[str, Query]:
         "budget_cost": _over_windows(serving.budget_cost, budget=WINDOW_BUDGET, hours=8),
         "volatility_band": _over_windows(serving.volatility_bands),
         "price_matrix": _over_offers(serving.price_matrix),
+        "price_matrix_all": _over_offers(serving.price_matrix, limit=None, providers=["vast", "runpod", "akash", "spheron", "other"]),
         "price_matrix_late": _price_matrix_late,
         "forecast_series": lambda s, d: serving.forecast_series(_forecasts(s, d), FOCUS_GPU),
         "ingest_marketplace": _ingested(ingest.ingest_marketplace, fx.marketplace_payloads),
