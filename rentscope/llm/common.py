@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 #: Columns of ``documents``; operators pick the ones they read first, so that further columns cannot clash.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -47,14 +48,46 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], di
     return df.mapInArrow(run, schema)
 
 
+def compressed(docs: DataFrame, *keep: str) -> DataFrame:
+    """``doc_id``, the columns to keep and the text as compressed bytes (``packed``), for shuffles of texts; null stays null."""
+    schema = StructType([docs.schema["doc_id"], *(docs.schema[k] for k in keep), StructField("packed", BinaryType())])
+
+    def make() -> Callable:
+        pack = zstandard.ZstdCompressor(3)
+
+        def step(columns: dict[str, list]) -> dict[str, list]:
+            packed = [None if t is None else pack.compress(t.encode("utf-8")) for t in columns["text"]]
+            return {k: columns[k] for k in ("doc_id", *keep)} | {"packed": packed}
+
+        return step
+
+    return map_batches(docs.select("doc_id", "text", *keep), make, schema)
+
+
+def unpacked(packed: bytes | None) -> bytes:
+    return b"" if packed is None else zstandard.decompress(packed)
+
+
 class BoundedCache(dict):
-    """A dict that starts anew once it holds ``most`` entries; it only ever saves work."""
+    """A dict of at most ``most`` entries with a second one behind it.
+
+    Once full it becomes the one behind and starts anew; what is still asked for comes back from
+    there. It only ever saves work.
+    """
 
     def __init__(self, most: int):
         super().__init__()
         self.most = most
+        self.behind: dict = {}
+
+    def missing(self, keys: set) -> tuple[dict, list]:
+        """Values found behind, and the keys that are nowhere."""
+        behind = self.behind
+        found = {k: behind[k] for k in keys if k in behind}
+        return found, [k for k in keys if k not in found]
 
-    def put(self, key, value) -> None:
-        if len(self) >= self.most:
+    def keep(self, values: dict) -> None:
+        if len(self) + len(values) > self.most:
+            self.behind = dict(self)
             self.clear()
-        self[key] = value
+        self.update(values)

@@ -4,8 +4,8 @@ The model's protobuf is parsed here: pieces with scores and types, the normalise
 flags of the trainer. From it a tokenizer is rebuilt: unigram scores or, for BPE models, one
 merge per way to split a piece, ordered by score; byte fallback; the space marker. Texts are
 normalised and marked, cut where no piece can cross, and the distinct cuts of a batch that
-the worker has not met yet are encoded together, multithreaded. Each of these is compared
-with the sentencepiece library once, and takes the library's ids where they differ.
+the worker has not met yet are encoded together, multithreaded. Words among these are compared
+with the sentencepiece library when they are first met, and take its ids where they differ.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -33,7 +34,7 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
-CACHE_SIZE = 400_000
+CACHE_SIZE = 300_000
 LONGEST_KEPT = 64
 
 _worker: dict[str, object] = {}
@@ -151,36 +152,44 @@ class Codec:
             return ""
         return (" " + text if self.model.dummy_prefix else text).replace(" ", self.space)
 
-    def _reference(self, unit: str) -> list[int]:
-        """The library's ids of a cut: it adds its own marker in front, so the cut goes in without its first one."""
-        if self.model.dummy_prefix and unit.startswith(self.space) and not self.model.remove_spaces:
-            return self.library.encode(unit[1:]) if len(unit) > 1 else self._marked(unit)
-        return self._marked(unit)
-
-    def _marked(self, unit: str) -> list[int]:
-        return self.tokenizer.encode(unit, add_special_tokens=False).ids
-
-    def encode_units(self, units: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct cuts: one multithreaded batch, each result compared with the library's."""
-        found = {}
-        for unit, encoding in zip(units, self.tokenizer.encode_batch(units, add_special_tokens=False), strict=True):
-            ids, expected = encoding.ids, self._reference(unit)
-            self.n_compared += 1
-            self.n_different += ids != expected
-            found[unit] = expected
-        return found
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        cuts = [self.cut(t) if self.cut else [t] * bool(t) for t in map(self.normalized, texts)]
+    def _reference(self, words: list[str]) -> list[list[int]]:
+        """The library's ids of cuts: it puts its own marker in front of a word, so words go in without theirs."""
+        return self.library.encode(words, num_threads=1)
+
+    def encode_units(self, units: list[str]) -> dict[str, bytes]:
+        """Ids of distinct cuts as 32-bit strings: one multithreaded batch.
+
+        Cuts of one marker and a word are compared with the library, which ends up in the result where it differs.
+        """
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        if self.model.dummy_prefix and not self.model.remove_spaces and not self.charsmap:
+            compared = [i for i, unit in enumerate(units) if unit[0] == self.space and unit.count(self.space) == 1 and len(unit) > 1]
+            for i, expected in zip(compared, self._reference([units[i][1:] for i in compared]), strict=True):
+                if ids[i] != expected:
+                    ids[i] = expected
+                    self.n_different += 1
+            self.n_compared += len(compared)
+        return {unit: array("i", x).tobytes() for unit, x in zip(units, ids, strict=True)}
+
+    def cuts(self, text: str) -> list[str]:
+        """A normalised and marked text in pieces that encode on their own."""
+        text = self.normalized(text)
+        if not text or not self.cut:
+            return [text] * bool(text)
+        if text[0] == self.space and self.space * 2 not in text and text[-1] != self.space:
+            return [self.space + word for word in text[1:].split(self.space)]
+        return self.cut(text)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as strings of little-endian 32-bit numbers."""
+        cuts = list(map(self.cuts, texts))
         known = self.cache
-        new = self.encode_units(list({unit for text in cuts for unit in text if unit not in known}))
-        both = {**known, **new} if len(known) < len(new) else None
-        look = both.__getitem__ if both is not None else (lambda unit: new[unit] if unit in new else known[unit])
-        encoded = [list(chain.from_iterable(map(look, text))) for text in cuts]
-        for unit, ids in new.items():
-            if len(unit) <= LONGEST_KEPT:
-                known.put(unit, ids)
-        return encoded
+        here = {unit: known.get(unit) for unit in set(chain.from_iterable(cuts))}
+        now, new = known.missing({unit for unit, ids in here.items() if ids is None})
+        now.update(self.encode_units(new))
+        here.update(now)
+        known.keep({unit: ids for unit, ids in now.items() if len(unit) <= LONGEST_KEPT})
+        return [b"".join(map(here.__getitem__, text)) for text in cuts]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -222,7 +231,7 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
         pieces = codec(path)
 
         def step(columns: dict[str, list]) -> dict[str, list]:
-            ids = [i for chunk in _chunks([as_text(t) for t in columns["text"]]) for i in (np.array(x, np.int32) for x in pieces.encode(chunk))]
+            ids = [np.frombuffer(x, "<i4") for chunk in _chunks([as_text(t) for t in columns["text"]]) for x in pieces.encode(chunk)]
             return {k: columns[k] for k in kept} | {"n_tokens": [len(i) for i in ids], "ids": ids}
 
         return step
@@ -253,9 +262,9 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     def make() -> Callable:
         pieces = codec(path)
 
-        def row(text: str, ids: list[int]) -> tuple:
-            decoded = pieces.decode(ids)
-            return len(text), len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == text
+        def row(text: str, ids: bytes) -> tuple:
+            decoded = pieces.decode(np.frombuffer(ids, "<i4").tolist())
+            return len(text), len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == text
 
         def step(columns: dict[str, list]) -> dict[str, list]:
             texts = [as_text(t) for t in columns["text"]]
