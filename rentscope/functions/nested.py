@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import sys
 from collections.abc import Callable, Iterator
 
@@ -15,37 +16,43 @@ from pyspark.sql import functions as F
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _search(node: object, key: str) -> object:
-    """First non-null value under ``key``: a node's own entry ends its search, then depth first."""
-    if isinstance(node, dict):
-        if key in node:
-            return node[key]
-        children = node.values()
-    elif isinstance(node, list):
-        children = node
-    else:
-        return None
-    hits = (_search(child, key) for child in children)
-    return next((hit for hit in hits if hit is not None), None)
+def _first_values(page: object, keys: list[str]) -> dict[str, object]:
+    """The value each key is found with, in one walk in document order.
+
+    An object that has a key answers for all below it, be the value null or not; the first
+    answer that is not null counts.
+    """
+    found: dict[str, object] = {}
+    pending = [(page, frozenset(keys))]
+    while pending and len(found) < len(keys):
+        node, sought = pending.pop()
+        if isinstance(node, dict):
+            here = {k for k in sought if k in node}
+            for k in here:
+                if node[k] is not None:
+                    found.setdefault(k, node[k])
+            sought, children = sought - here, list(node.values())
+        else:
+            children = node if isinstance(node, list) else []
+        if sought:
+            pending.extend((child, sought) for child in reversed(children) if isinstance(child, (dict, list)))
+    return found
 
 
 def _find_in_text(text: str | None, keys: list[str]) -> str | None:
     try:
-        page = json.loads(text) if text else None
+        values = _first_values(json.loads(text), keys) if text else {}
     except ValueError:
         return None
-    found = None
-    for key in keys:
-        found = _search(page, key)
-        if found:
-            break
-    return None if found is None else json.dumps(found, separators=(",", ":"), ensure_ascii=False)
+    usable = next((values[k] for k in keys if values.get(k)), values.get(keys[-1]))
+    return None if usable is None else json.dumps(usable, separators=(",", ":"), ensure_ascii=False)
 
 
 def deep_find(*keys: str) -> Callable[[Column], Column]:
     """Column function: JSON text of the first key whose value is neither null, empty nor 0.
 
-    If none qualifies, the outcome of the last key is returned, as with a chain of ``or``.
+    If none qualifies, the outcome of the last key is returned, as with a chain of ``or``. Texts
+    that name none of the keys are not parsed.
     """
     wanted = list(keys)
 
@@ -54,4 +61,6 @@ def deep_find(*keys: str) -> Callable[[Column], Column]:
         for texts in batches:
             yield texts.map(lambda text: _find_in_text(text, wanted))
 
-    return find
+    # A key may be written with escapes, so a backslash also asks for a look.
+    named = "|".join([r"\\", *(re.escape(k) for k in wanted)])
+    return lambda text: find(F.when(text.rlike(named), text))

@@ -7,6 +7,8 @@ A payload that cannot be parsed yields no rows and shows up in ``collect_log``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,9 +22,8 @@ from rentscope.functions.names import (
     with_gpu_name,
 )
 from rentscope.functions.nested import deep_find
-from rentscope.functions.scalars import nonblank, nonzero
+from rentscope.functions.scalars import nonblank, nonzero, to_number
 from rentscope.operators.summary import LOGGED_PROVIDERS
-from rentscope.plans.saved import save
 
 # Megabytes per gigabyte of marketplace memory, and hours per billing month.
 MB_PER_GB = 1024
@@ -98,8 +99,12 @@ def ingest_marketplace(payloads: DataFrame) -> DataFrame:
     """Marketplace listings: total price per machine, always interruptible."""
     o = F.col("o")
     zero = F.lit(0.0)
-    total = F.coalesce(o["dph_total"], zero)
-    count = F.coalesce(nonzero(o["num_gpus"]).cast("int"), F.lit(1))
+
+    def number(name: str) -> Column:
+        return F.coalesce(to_number(o[name]), zero)
+
+    total = number("dph_total")
+    count = F.coalesce(nonzero(to_number(o["num_gpus"])).cast("int"), F.lit(1))
     listed = _of_source(payloads, "marketplace").select(
         *RUN, F.explode(F.from_json("payload", schemas.MARKETPLACE)["offers"]).alias("o")
     )
@@ -108,16 +113,16 @@ def ingest_marketplace(payloads: DataFrame) -> DataFrame:
         F.coalesce(o["id"], F.lit("")).alias("offer_id"),
         F.coalesce(o["gpu_name"], F.lit("")).alias("gpu_name_raw"),
         count.alias("gpu_count"),
-        (F.coalesce(o["gpu_ram"], zero) / MB_PER_GB).alias("vram_gb"),
+        (number("gpu_ram") / MB_PER_GB).alias("vram_gb"),
         F.round(total / F.greatest(count, F.lit(1)), 6).alias("price_per_gpu_hr"),
         total.alias("price_total_hr"),
         F.lit(1).alias("interruptible"),
-        F.coalesce(o["reliability2"], zero).alias("reliability_score"),
+        number("reliability2").alias("reliability_score"),
         o["geolocation"].alias("geography"),
-        F.coalesce(o["inet_down"], zero).alias("inet_down_mbps"),
-        F.coalesce(o["inet_up"], zero).alias("inet_up_mbps"),
-        F.coalesce(o["disk_space"], zero).alias("disk_space_gb"),
-        F.coalesce(o["gpu_util"], zero).alias("gpu_utilization_pct"),
+        number("inet_down").alias("inet_down_mbps"),
+        number("inet_up").alias("inet_up_mbps"),
+        number("disk_space").alias("disk_space_gb"),
+        number("gpu_util").alias("gpu_utilization_pct"),
         _side_json(
             machine_id=o["machine_id"],
             cuda_vers=o["cuda_max_good"],
@@ -137,8 +142,8 @@ def ingest_gpu_types(payloads: DataFrame) -> DataFrame:
     priced = types.select(
         "*",
         _per_price(
-            spot=(g["lowestPrice"]["minimumBidPrice"], 1),
-            ondemand=(g["lowestPrice"]["uninterruptablePrice"], 0),
+            spot=(to_number(g["lowestPrice"]["minimumBidPrice"]), 1),
+            ondemand=(to_number(g["lowestPrice"]["uninterruptablePrice"]), 0),
         ).alias("p"),
     )
     rows = priced.select(
@@ -146,7 +151,7 @@ def ingest_gpu_types(payloads: DataFrame) -> DataFrame:
         F.concat(F.coalesce(g["id"], F.lit("")), F.lit("_"), F.col("p.suffix")).alias("offer_id"),
         F.coalesce(nonblank(g["displayName"]), g["id"]).alias("gpu_name_raw"),
         F.lit(1).alias("gpu_count"),
-        F.coalesce(g["memoryInGb"], F.lit(0.0)).alias("vram_gb"),
+        F.coalesce(to_number(g["memoryInGb"]), F.lit(0.0)).alias("vram_gb"),
         F.col("p.price").alias("price_per_gpu_hr"),
         F.col("p.price").alias("price_total_hr"),
         F.col("p.interruptible").alias("interruptible"),
@@ -161,7 +166,8 @@ def ingest_monthly_prices(payloads: DataFrame) -> DataFrame:
     """Monthly prices per GPU model, average before minimum, as hourly rows."""
     p = F.col("p")
     blank = F.lit("")
-    monthly = F.coalesce(nonzero(p["price"]["avg"]), p["price"]["min"])
+    low, mean, high = (to_number(p["price"][k]) for k in ("min", "avg", "max"))
+    monthly = F.coalesce(nonzero(mean), low)
     models = _of_source(payloads, "monthly_prices").select(
         *RUN, F.explode(F.from_json("payload", schemas.MONTHLY_PRICES)).alias("p")
     )
@@ -178,9 +184,9 @@ def ingest_monthly_prices(payloads: DataFrame) -> DataFrame:
         hourly.alias("price_total_hr"),
         F.lit(1).alias("interruptible"),
         _side_json(
-            price_min_monthly=p["price"]["min"],
-            price_avg_monthly=p["price"]["avg"],
-            price_max_monthly=p["price"]["max"],
+            price_min_monthly=low,
+            price_avg_monthly=mean,
+            price_max_monthly=high,
             interface=p["interface"],
             source=F.lit("akash_console_prices"),
         ).alias("extra_json"),
@@ -215,7 +221,7 @@ def ingest_provider_list(payloads: DataFrame) -> DataFrame:
     from_attrs = F.transform(F.filter("attrs", names_model), lambda a: a["value"])
     from_caps = F.transform(F.coalesce(v["capabilities"]["gpu"]["models"], no_models), lambda m: m["model"])
     models = F.array_distinct(F.filter(F.concat(from_attrs, from_caps), lambda m: m != ""))
-    hourly = F.round(nonzero(v["pricing"]["gpu"]) / HOURS_PER_MONTH, 6)
+    hourly = F.round(nonzero(to_number(v["pricing"]["gpu"])) / HOURS_PER_MONTH, 6)
     rows = providers.select("*", F.explode(models).alias("gpu_name_raw")).select(
         *RUN,
         F.concat(
@@ -229,7 +235,7 @@ def ingest_provider_list(payloads: DataFrame) -> DataFrame:
         hourly.alias("price_per_gpu_hr"),
         hourly.alias("price_total_hr"),
         F.lit(1).alias("interruptible"),
-        (F.coalesce(v["uptime"], F.lit(0.0)) / 100).alias("reliability_score"),
+        (F.coalesce(to_number(v["uptime"]), F.lit(0.0)) / 100).alias("reliability_score"),
         attribute_place(F.col("attrs"), v["region"]).alias("geography"),
         attribute_number(F.col("attrs"), "network-speed-down").alias("inet_down_mbps"),
         attribute_number(F.col("attrs"), "network-speed-up").alias("inet_up_mbps"),
@@ -269,6 +275,10 @@ def _first(g: Column, names: list[str], absent) -> Column:
     return F.coalesce(*[absent(g[n]) for n in names])
 
 
+def _priced(text: Column) -> Column:
+    return nonzero(to_number(text))
+
+
 def ingest_price_list(payloads: DataFrame) -> DataFrame:
     """Price list whose key names vary: first usable alias wins."""
     g = F.col("g")
@@ -282,9 +292,9 @@ def ingest_price_list(payloads: DataFrame) -> DataFrame:
         items.select(
             *RUN,
             F.coalesce(_first(g, ["name", "gpu"], nonblank), F.lit("")).alias("gpu"),
-            _first(g, ["vram", "memoryGb"], nonzero).alias("vram"),
-            _first(g, ["onDemandPrice", "hourlyPrice", "price"], nonzero).alias("on_demand"),
-            _first(g, ["spotPrice", "interruptiblePrice"], nonzero).alias("spot"),
+            _first(g, ["vram", "memoryGb"], _priced).alias("vram"),
+            _first(g, ["onDemandPrice", "hourlyPrice", "price"], _priced).alias("on_demand"),
+            _first(g, ["spotPrice", "interruptiblePrice"], _priced).alias("spot"),
         ),
         "spheron_api",
     )
@@ -306,9 +316,9 @@ def ingest_price_page(payloads: DataFrame) -> DataFrame:
         items.select(
             *RUN,
             F.coalesce(_first(g, ["name", "gpu", "model"], nonblank), F.lit("")).alias("gpu"),
-            _first(g, ["vram", "memory"], nonzero).alias("vram"),
-            _first(g, ["hourlyPrice", "onDemandPrice", "price"], nonzero).alias("on_demand"),
-            _first(g, ["spotPrice", "interruptiblePrice"], nonzero).alias("spot"),
+            _first(g, ["vram", "memory"], _priced).alias("vram"),
+            _first(g, ["hourlyPrice", "onDemandPrice", "price"], _priced).alias("on_demand"),
+            _first(g, ["spotPrice", "interruptiblePrice"], _priced).alias("spot"),
         ),
         "spheron_html",
     )
@@ -331,14 +341,14 @@ def ingest_static_prices(runs: DataFrame) -> DataFrame:
 def first_nonempty_source(sources: list[DataFrame]) -> DataFrame:
     """Per run, the rows of the first source that has any.
 
-    The choice is made on one row per run and source; rows are never gathered per run. The
-    parsed rows are stored, since the choice and the pick both read them.
+    The choice is made on one row per run and source, counted where the rows are parsed; rows
+    are never gathered per run and never stored. The last source is only parsed for the runs
+    that need it, and a source's rows are joined with the runs it won.
     """
-    ranked = save(
-        reduce(DataFrame.unionByName, [s.withColumn("_rank", F.lit(i)) for i, s in enumerate(sources)]), "ranked"
-    )
-    best = ranked.groupBy("snapshot_id").agg(F.min("_rank").alias("_rank"))
-    return ranked.join(best, ["snapshot_id", "_rank"], "left_semi").drop("_rank")
+    found = [s.groupBy("snapshot_id").agg(F.lit(i).alias("_rank")) for i, s in enumerate(sources[:-1])]
+    best = reduce(DataFrame.unionByName, found).groupBy("snapshot_id").agg(F.min("_rank").alias("_rank"))
+    won = [s.join(best.filter(F.col("_rank") == i), "snapshot_id", "left_semi") for i, s in enumerate(sources[:-1])]
+    return reduce(DataFrame.unionByName, [*won, sources[-1].join(best, "snapshot_id", "left_anti")])
 
 
 def list_price_rows(payloads: DataFrame) -> DataFrame:
@@ -349,8 +359,10 @@ def list_price_rows(payloads: DataFrame) -> DataFrame:
     )
 
 
-def collect_run(payloads: DataFrame) -> DataFrame:
-    """Offers of all providers. A bad payload only loses its own rows."""
+def collect_run(payloads: DataFrame, providers: Sequence[str] | None = None) -> DataFrame:
+    """Offers of all providers, or of the given ones. A bad payload only loses its own rows."""
+    if providers is not None:
+        payloads = payloads.filter(F.col("provider").isin(list(providers)))
     return reduce(
         DataFrame.unionByName,
         [
@@ -363,11 +375,21 @@ def collect_run(payloads: DataFrame) -> DataFrame:
     )
 
 
-def collect_log(payloads: DataFrame, offers: DataFrame) -> DataFrame:
-    """Run log of a collection: rows per provider, unreadable and empty answers."""
+def collect_log(
+    payloads: DataFrame,
+    offers: DataFrame,
+    finished_at: datetime | Column | None = None,
+    providers: Sequence[str] = LOGGED_PROVIDERS,
+) -> DataFrame:
+    """Run log of a collection: start, end, rows per provider, unreadable and empty answers.
+
+    ``finished_at`` is when the runs were written; by default a run ends with its last payload.
+    ``all_offers`` also counts providers without a column.
+    """
+    ended = F.max("captured_at") if finished_at is None else F.max(finished_at if isinstance(finished_at, Column) else F.lit(finished_at))
     readable = F.try_parse_json("payload").isNotNull() | (F.col("source") == "price_page")
     landed = payloads.groupBy("snapshot_id", "provider").agg(
-        F.min("captured_at").alias("started_at"), F.count_if(~readable).alias("bad")
+        F.min("captured_at").alias("started_at"), ended.alias("finished_at"), F.count_if(~readable).alias("bad")
     )
     counted = offers.groupBy("snapshot_id", "provider").agg(F.count("*").alias("rows"))
     status = landed.join(counted, ["snapshot_id", "provider"], "left").na.fill(0, ["rows"])
@@ -376,10 +398,12 @@ def collect_log(payloads: DataFrame, offers: DataFrame) -> DataFrame:
     ).when(F.col("rows") == 0, F.concat("provider", F.lit(": no rows")))
     of_provider = [
         F.coalesce(F.sum(F.when(F.col("provider") == p, F.col("rows"))), F.lit(0)).alias(f"{p}_offers")
-        for p in LOGGED_PROVIDERS
+        for p in providers
     ]
     return status.groupBy("snapshot_id").agg(
         F.min("started_at").alias("started_at"),
+        F.max("finished_at").alias("finished_at"),
         *of_provider,
+        F.sum("rows").alias("all_offers"),
         F.array_sort(F.collect_list(problem)).alias("errors"),
     )

@@ -128,11 +128,10 @@ def price_volatility(offers: DataFrame) -> DataFrame:
 
 
 def offer_windows(offers: DataFrame, limit: int | None = None) -> DataFrame:
-    """Offers as scheduler windows: all of them, or the newest ``limit``, newest first."""
+    """Offers as scheduler windows, newest first: all of them, or the newest ``limit``."""
     price = F.col(PRICE)
-    newest = offers.select("id", "snapshot_id", "provider", "gpu_name", "captured_at", PRICE, "reliability_score", "interruptible")
-    if limit is not None:
-        newest = newest.orderBy(F.desc("captured_at"), F.desc("id")).limit(limit)
+    listed = offers.select("id", "snapshot_id", "provider", "gpu_name", "captured_at", PRICE, "reliability_score", "interruptible")
+    newest = _first_rows(listed.orderBy(F.desc("captured_at"), F.desc("id")), limit)
     return newest.select(
         F.concat(
             "snapshot_id", F.lit("_"), "provider", F.lit("_"), "gpu_name", F.lit("_"), F.col("id").cast("string")

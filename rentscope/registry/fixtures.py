@@ -75,7 +75,7 @@ SELECT event_id, ts, CAST(event_id AS STRING) AS id,
   CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'geo' || CAST(user_id % 5 AS STRING) END AS geolocation,
   CASE WHEN event_id % 23 = 0 THEN NULL ELSE CAST(event_id % 1000 AS DOUBLE) END AS inet_down,
   user_id AS machine_id, event_id % 2 = 0 AS verified
-FROM events WHERE event_type = 'click'
+FROM events WHERE event_type IN ('click', 'signup')
 """
 
 GPU_TYPE_ITEMS_SQL = f"""
@@ -94,7 +94,7 @@ SELECT event_id, ts, {RAW_NAME} AS gpu,
   CASE WHEN event_id % 3 = 0 THEN 'PCIe' ELSE 'SXM4' END AS interface,
   CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS low,
   CASE WHEN event_id % 11 = 0 THEN CAST(0 AS DOUBLE) WHEN event_id % 7 = 0 THEN NULL ELSE value * 2 END AS mid
-FROM events WHERE event_type = 'error' AND event_id % 2 = 0
+FROM events WHERE event_type = 'error'
 """
 
 PROVIDER_ITEMS_SQL = f"""
@@ -105,7 +105,7 @@ SELECT event_id, ts, 'akash1' || CAST(1000000000000 + event_id AS STRING) AS own
   CASE WHEN event_id % 3 = 0 THEN 'Country' ELSE 'tier' END AS place_key, 'geo' || CAST(user_id % 5 AS STRING) AS place,
   CASE WHEN event_id % 5 = 0 THEN 'fast' ELSE CAST(event_id % 1000 AS STRING) END AS speed,
   CASE WHEN event_id % 13 = 0 THEN CAST(0 AS DOUBLE) ELSE value END AS monthly
-FROM events WHERE event_type = 'error' AND event_id % 2 = 1
+FROM events WHERE event_type = 'error'
 """
 
 PRICE_ITEMS_SQL = f"""
@@ -161,6 +161,18 @@ def spot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_history(spark, sf_dir).select(value.alias("value"), "file", "seq")
 
 
+# Keys whose numbers come as quoted texts on every third page.
+QUOTED = (
+    "dph_total|num_gpus|gpu_ram|reliability2|inet_down|memoryInGb|minimumBidPrice|uninterruptablePrice|min|avg|uptime|gpu|"
+    "onDemandPrice|hourlyPrice|spotPrice|vram|memoryGb|memory|price"
+)
+
+
+def _some_quoted(payload: Column, page: Column) -> Column:
+    quoted = F.regexp_replace(payload, rf'"({QUOTED})":(-?[0-9][0-9.eE+-]*)', '"$1":"$2"')
+    return F.when(page % 3 == 0, quoted).otherwise(payload)
+
+
 def _pages(items: DataFrame, source: str, provider: str, item: Column, wrap) -> DataFrame:
     """Items of one run in pages of at most 100, as JSON bodies.
 
@@ -178,7 +190,7 @@ def _pages(items: DataFrame, source: str, provider: str, item: Column, wrap) ->
             "captured_at",
             F.lit(provider).alias("provider"),
             F.lit(source).alias("source"),
-            wrap(F.col("items")).alias("payload"),
+            _some_quoted(wrap(F.col("items")), F.col("page")).alias("payload"),
         )
     )
 
@@ -247,9 +259,9 @@ def _price_item() -> Column:
     )
 
 
-def price_list_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The service answers only in every third hour."""
-    items = _view(spark, sf_dir, PRICE_ITEMS_SQL).filter("kind = 0")
+def price_list_payloads(spark: SparkSession, sf_dir: str, where: str = "TRUE") -> DataFrame:
+    """Answers of the price service; in ``payloads`` it answers only in every third hour."""
+    items = _view(spark, sf_dir, PRICE_ITEMS_SQL).filter(where)
     return _pages(
         items, "price_list", "spheron", _price_item(), lambda items: F.to_json(F.struct(items.alias("gpus")))
     )
@@ -271,18 +283,17 @@ def price_page_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pages(items, "price_page", "spheron", _price_item(), wrap)
 
 
-def empty_price_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def empty_price_payloads(spark: SparkSession, sf_dir: str, where: str = "TRUE") -> DataFrame:
     """What is landed when the service is down: an answer that is no JSON."""
-    items = _view(spark, sf_dir, PRICE_ITEMS_SQL).filter("kind = 2")
+    items = _view(spark, sf_dir, PRICE_ITEMS_SQL).filter(where)
     return _pages(items, "price_list", "spheron", F.col("event_id"), lambda items: F.lit("<h1>502</h1>"))
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        marketplace_payloads, gpu_type_payloads, monthly_payloads, provider_payloads,
-        price_list_payloads, price_page_payloads, empty_price_payloads,
-    ]
-    return reduce(DataFrame.unionByName, [p(spark, sf_dir) for p in parts])
+    parts = [marketplace_payloads, gpu_type_payloads, monthly_payloads, provider_payloads, price_page_payloads]
+    landed = [p(spark, sf_dir) for p in parts]
+    landed += [price_list_payloads(spark, sf_dir, "kind = 0"), empty_price_payloads(spark, sf_dir, "kind = 2")]
+    return reduce(DataFrame.unionByName, landed)
 
 
 def web_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

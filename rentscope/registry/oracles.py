@@ -269,17 +269,33 @@ def _label(name: str) -> str:
 
 
 def _rows(provider: str, offer_id: str, raw: str, label: str, count: str, vram: str, price: str, total: str,
-          spot: str, reliability: str, place: str, down: str) -> str:
+          spot: str, reliability: str, place: str, down: str, extra: str, absent: str = "NULL") -> str:
     return f"""SELECT {_RUN}, '{provider}' AS provider, {offer_id} AS offer_id, {label} AS gpu_name, {raw} AS gpu_name_raw,
       CAST({count} AS INTEGER) AS gpu_count, CAST({vram} AS DOUBLE) AS vram_gb, CAST({price} AS DOUBLE) AS price_per_gpu_hr,
       CAST({total} AS DOUBLE) AS price_total_hr, CAST({spot} AS INTEGER) AS interruptible,
-      CAST({reliability} AS DOUBLE) AS reliability_score, {place} AS geography, CAST({down} AS DOUBLE) AS inet_down_mbps"""
+      CAST({reliability} AS DOUBLE) AS reliability_score, {place} AS geography, CAST({down} AS DOUBLE) AS inet_down_mbps,
+      CAST({absent} AS DOUBLE) AS inet_up_mbps, CAST({absent} AS DOUBLE) AS disk_space_gb,
+      CAST({absent} AS DOUBLE) AS gpu_utilization_pct, {extra} AS extra_json"""
+
+
+def _json(**fields: str) -> str:
+    """A JSON object as the readers write it; values are SQL that gives JSON text."""
+    return "'{' || " + " || ',' || ".join(f"""'"{k}":' || {v}""" for k, v in fields.items()) + " || '}'"
+
+
+def _json_text(x: str) -> str:
+    return f"""'"' || {x} || '"'"""
+
+
+def _json_number(x: str) -> str:
+    return f"coalesce(CAST({x} AS VARCHAR), 'null')"
 
 
 _MARKET = f"""
 {_rows('vast', 'id', "coalesce(gpu_name, '')", _label('gpu_name'), 'coalesce(nullif(num_gpus, 0), 1)',
        'coalesce(gpu_ram, 0) / 1024', _r('coalesce(dph_total, 0) / coalesce(nullif(num_gpus, 0), 1)', 6),
-       'coalesce(dph_total, 0)', '1', 'coalesce(reliability2, 0)', 'geolocation', 'coalesce(inet_down, 0)')}
+       'coalesce(dph_total, 0)', '1', 'coalesce(reliability2, 0)', 'geolocation', 'coalesce(inet_down, 0)',
+       _json(machine_id='machine_id', cuda_vers="'null'", compute_cap="'null'", verified='CAST(verified AS VARCHAR)'), '0')}
 FROM ({fx.MARKET_ITEMS_SQL})
 """
 
@@ -289,7 +305,8 @@ def _types(kind: str, price: str, spot: int) -> str:
     label = f"CASE WHEN display_name = '' THEN upper(id) ELSE {_label('display_name')} END"
     return f"""
     {_rows('runpod', f"id || '_{kind}'", name, label, '1', 'memory_gb', price, price, str(spot), 'NULL',
-           'CAST(NULL AS VARCHAR)', 'NULL')}
+           'CAST(NULL AS VARCHAR)', 'NULL',
+           _json(gpu_id=_json_text('id'), secure_cloud='CAST(secure_cloud AS VARCHAR)', community_cloud="'null'"))}
     FROM ({fx.GPU_TYPE_ITEMS_SQL}) WHERE {price} IS NOT NULL"""
 
 
@@ -299,7 +316,9 @@ _MONTHLY_PRICE = _r("coalesce(nullif(mid, 0), low) / 730", 6)
 _SIZE = "CASE ram WHEN '80Gi' THEN 80 * 1.073741824 WHEN '24G' THEN 24 WHEN '16384Mi' THEN 16384 * 0.001048576 WHEN '48 GB' THEN 48 ELSE 0 END"
 _MONTHLY = f"""
 {_rows('akash', "'akash_' || gpu || '_' || ram", "gpu || ' ' || ram || ' ' || interface", _label('gpu'), '1', _SIZE,
-       _MONTHLY_PRICE, _MONTHLY_PRICE, '1', 'NULL', 'CAST(NULL AS VARCHAR)', 'NULL')}
+       _MONTHLY_PRICE, _MONTHLY_PRICE, '1', 'NULL', 'CAST(NULL AS VARCHAR)', 'NULL',
+       _json(price_min_monthly=_json_number('low'), price_avg_monthly=_json_number('mid'), price_max_monthly="'null'",
+             interface=_json_text('interface'), source=_json_text("'akash_console_prices'")))}
 FROM ({fx.MONTHLY_ITEMS_SQL}) WHERE coalesce(nullif(mid, 0), low) IS NOT NULL
 """
 
@@ -307,25 +326,30 @@ _LEASE_PRICE = _r("nullif(monthly, 0) / 730", 6)
 _PROVIDERS = f"""
 {_rows('akash', "'akash_prov_' || owner[1:16] || '_' || model[1:20]", 'model', _label('model'), '1', 'NULL', _LEASE_PRICE,
        _LEASE_PRICE, '1', 'uptime / 100', "CASE WHEN place_key = 'Country' THEN place ELSE region END",
-       'TRY_CAST(speed AS DOUBLE)')}
+       'TRY_CAST(speed AS DOUBLE)',
+       _json(owner=_json_text('owner'), host_uri="'null'", active_leases='lease_count', audited="'null'",
+             source=_json_text("'akash_provider_list'")))}
 FROM (
   SELECT *, attr_model AS model FROM ({fx.PROVIDER_ITEMS_SQL})
   UNION ALL SELECT *, cap_model FROM ({fx.PROVIDER_ITEMS_SQL}) WHERE cap_model <> '' AND cap_model <> attr_model)
 """
 
 
-def _prices(od: str, sp: str, where: str, vram: str = "coalesce(nullif(vram, 0), memory_gb)") -> str:
+def _prices(od: str, sp: str, where: str, source: str, vram: str = "coalesce(nullif(vram, 0), memory_gb)") -> str:
     def part(kind: str, price: str, spot: int) -> str:
         return f"""
         {_rows('spheron', f"'spheron_' || gpu || '_{kind}'", 'gpu', _label('gpu'), '1', vram, price, price, str(spot), '0.99',
-               "'multi-region'", 'NULL')}
+               "'multi-region'", 'NULL', _json(source=_json_text(f"'{source}'")))}
         FROM ({fx.PRICE_ITEMS_SQL}) WHERE coalesce({price}, 0) <> 0 AND {where}"""
 
     return f"{part('od', od, 0)} UNION ALL {part('spot', sp, 1)}"
 
 
-_LIST = _prices("coalesce(nullif(on_demand_price, 0), nullif(hourly_price, 0))", "spot_price", "kind = 0")
-_PAGE = _prices("coalesce(nullif(hourly_price, 0), nullif(on_demand_price, 0))", "spot_price", "kind <= 1")
+def _list(where: str) -> str:
+    return _prices("coalesce(nullif(on_demand_price, 0), nullif(hourly_price, 0))", "spot_price", where, "spheron_api")
+
+
+_PAGE = _prices("coalesce(nullif(hourly_price, 0), nullif(on_demand_price, 0))", "spot_price", "kind <= 1", "spheron_html")
 
 _STATIC = "(VALUES " + ", ".join(
     f"('{gpu}', {vram}, {price}, {spot}, '{kind}')"
@@ -341,13 +365,13 @@ def _static(where: str) -> str:
     runs = f"(SELECT DISTINCT date_trunc('hour', ts) AS ts FROM ({fx.PRICE_ITEMS_SQL}) WHERE {where})"
     return f"""
     {_rows('spheron', "'spheron_' || gpu || '_' || kind", 'gpu', 'gpu', '1', 'vram', 'price', 'price', 'spot', '0.99',
-           "'multi-region'", 'NULL')}
+           "'multi-region'", 'NULL', _json(source=_json_text("'static_fallback_2026-04-15'")))}
     FROM {runs}, {_STATIC}"""
 
 
 _FIRST_SOURCE = f"""
 SELECT * FROM (
-  SELECT *, 0 AS prio, 'spheron_api' AS source FROM ({_LIST})
+  SELECT *, 0 AS prio, 'spheron_api' AS source FROM ({_list('kind = 0')})
   UNION ALL SELECT *, 1, 'spheron_html' FROM ({_PAGE})
   UNION ALL SELECT *, 2, 'static_fallback_2026-04-15' FROM ({_static('TRUE')}))
 QUALIFY rank() OVER (PARTITION BY snapshot_id ORDER BY prio) = 1
@@ -356,25 +380,33 @@ _SPHERON = f"SELECT * EXCLUDE (prio, source) FROM ({_FIRST_SOURCE})"
 _ALL_INGESTED = f"{_MARKET} UNION ALL {_GPU_TYPES} UNION ALL {_MONTHLY} UNION ALL {_PROVIDERS} UNION ALL {_SPHERON}"
 
 
+_COLLECTED = f"""
+WITH offers AS ({_ALL_INGESTED}),
+snapshots AS (SELECT DISTINCT snapshot_id, captured_at AS started_at, captured_at AS finished_at FROM (SELECT {_RUN} FROM events))
+"""
+
+
 def _ingest_oracles() -> dict[str, str]:
     page_row = """'page_' || page_id AS snapshot_id, TIMESTAMP '2024-01-01 00:00:00' AS captured_at, 'spheron' AS provider,
       'spheron_GPU ' || page_id % 7 || '_' || kind AS offer_id, 'GPU_' || page_id % 7 AS gpu_name,
       'GPU ' || page_id % 7 AS gpu_name_raw, CAST(1 AS INTEGER) AS gpu_count, CAST(page_id % 9 * 8 AS DOUBLE) AS vram_gb,
       price AS price_per_gpu_hr, price AS price_total_hr, CAST(spot AS INTEGER) AS interruptible,
-      CAST(0.99 AS DOUBLE) AS reliability_score, 'multi-region' AS geography, CAST(NULL AS DOUBLE) AS inet_down_mbps"""
+      CAST(0.99 AS DOUBLE) AS reliability_score, 'multi-region' AS geography, CAST(NULL AS DOUBLE) AS inet_down_mbps,
+      CAST(NULL AS DOUBLE) AS inet_up_mbps, CAST(NULL AS DOUBLE) AS disk_space_gb, CAST(NULL AS DOUBLE) AS gpu_utilization_pct,
+      '{"source":"spheron_html"}' AS extra_json"""
     strip = "regexp_replace(upper(gpu_name_raw), '[ -]', '_', 'g')"
     return {
         "ingest_marketplace": _MARKET,
         "ingest_gpu_types": _GPU_TYPES,
         "ingest_monthly_prices": _MONTHLY,
         "ingest_provider_list": _PROVIDERS,
-        "ingest_price_list": _LIST,
+        "ingest_price_list": _list("TRUE"),
         "ingest_price_page": f"""
             SELECT {page_row} FROM (
               SELECT page_id, 'od' AS kind, 0 AS spot, (page_id % 50 + 1) / 10.0 AS price FROM pages WHERE page_id % 3 <> 0
               UNION ALL
               SELECT page_id, 'spot', 1, (page_id % 50 + 1) / 20.0 FROM pages WHERE page_id % 3 <> 0 AND page_id % 4 <> 0)""",
-        "ingest_static_prices": _static("kind = 2"),
+        "ingest_static_prices": _static("TRUE"),
         "first_nonempty_source": f"SELECT snapshot_id, source, count(*) AS rows FROM ({_FIRST_SOURCE}) GROUP BY 1, 2",
         "canonical_gpu_name": f"""
             SELECT gpu_name_raw, CASE WHEN known <> 'UNKNOWN' THEN known
@@ -392,14 +424,14 @@ def _ingest_oracles() -> dict[str, str]:
         "collect_run": _ALL_INGESTED,
         "collect_log": f"""
             WITH runs AS (
-              SELECT DISTINCT {_RUN}, CASE event_type WHEN 'click' THEN 'vast' WHEN 'view' THEN 'runpod'
-                WHEN 'purchase' THEN 'spheron' ELSE 'akash' END AS provider, extract(hour FROM ts) % 3 = 2 AS down
-              FROM events WHERE event_type <> 'signup'),
+              SELECT DISTINCT {_RUN}, CASE event_type WHEN 'view' THEN 'runpod' WHEN 'purchase' THEN 'spheron'
+                WHEN 'error' THEN 'akash' ELSE 'vast' END AS provider, extract(hour FROM ts) % 3 = 2 AS down
+              FROM events),
             counted AS (SELECT snapshot_id, provider, count(*) AS n FROM ({_ALL_INGESTED}) GROUP BY 1, 2),
             pages AS (
               SELECT snapshot_id, captured_at, r.provider, coalesce(n, 0) AS n, r.provider = 'spheron' AND down AS bad
               FROM runs r LEFT JOIN counted c USING (snapshot_id, provider))
-            SELECT snapshot_id, min(captured_at) AS started_at,
+            SELECT snapshot_id, min(captured_at) AS started_at, max(captured_at) AS finished_at, {_sum('n')} AS all_offers,
               {_sum("CASE WHEN provider = 'vast' THEN n ELSE 0 END")} AS vast_offers,
               {_sum("CASE WHEN provider = 'runpod' THEN n ELSE 0 END")} AS runpod_offers,
               {_sum("CASE WHEN provider = 'akash' THEN n ELSE 0 END")} AS akash_offers,
@@ -407,6 +439,14 @@ def _ingest_oracles() -> dict[str, str]:
               coalesce(string_agg(CASE WHEN bad THEN 'spheron: unreadable' WHEN n = 0 THEN provider || ': no rows' END, ','
                 ORDER BY provider), '') AS errors
             FROM pages GROUP BY snapshot_id""",
+        "pipeline_windows": f"""{_COLLECTED}, {_ALL_WINDOWS} SELECT * FROM windows""",
+        "pipeline_offer_windows": f"""{_COLLECTED}
+            SELECT provider, gpu_name AS gpu_class, captured_at AS start_time, price_per_gpu_hr AS price_per_gpu_hour_p50,
+              {_r('coalesce(price_per_gpu_hr, 0) * 1.25', 6)} AS price_per_gpu_hour_p90,
+              CAST(coalesce(nullif(reliability_score, 0), 0.6) AS DOUBLE) AS availability_probability,
+              CAST(CASE WHEN interruptible <> 0 THEN 0.15 ELSE 0.02 END AS DOUBLE) AS interruption_probability,
+              (SELECT count(*) FROM offers) AS window_ids
+            FROM offers""",
         "make_snapshot_id": "SELECT event_id, strftime(ts, 'snap_%Y%m%d_%H%M%S_%g') AS snapshot_id FROM events",
         "append_offers": f"""{_COMMON}
             SELECT CAST(captured_at AS DATE) AS capture_date, count(*) AS rows, {_r('sum(price_per_gpu_hr)')} AS price_sum

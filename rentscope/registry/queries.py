@@ -33,6 +33,7 @@ GENERATED_AT = datetime(2024, 2, 1)
 OFFER_VALUES = [
     "snapshot_id", "captured_at", "provider", "offer_id", "gpu_name", "gpu_name_raw", "gpu_count", "vram_gb",
     "price_per_gpu_hr", "price_total_hr", "interruptible", "reliability_score", "geography", "inet_down_mbps",
+    "inet_up_mbps", "disk_space_gb", "gpu_utilization_pct", "extra_json",
 ]
 
 
@@ -123,6 +124,25 @@ def _collect_run(spark: SparkSession, sf: str) -> DataFrame:
     return _no_zone(ingest.collect_run(_landed(spark, sf)).select(*OFFER_VALUES))
 
 
+def _stored_run(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Payloads landed, collected, appended and logged; the tables as a later reader finds them."""
+    landed, offers_at, runs_at = _landed(spark, sf), new_path(spark, "offers"), new_path(spark, "runs")
+    tables.append_offers(ingest.collect_run(landed), offers_at)
+    offers = tables.read_offers(spark, offers_at)
+    tables.append_snapshots(ingest.collect_log(landed, offers), runs_at)
+    return offers, tables.read_snapshots(spark, runs_at)
+
+
+def _pipeline_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return scores.provider_windows(*_stored_run(spark, sf))
+
+
+def _pipeline_offer_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every window with how many different ids there are: as many as rows, and none null."""
+    found = summary.offer_windows(_stored_run(spark, sf)[0])
+    return _no_zone(found.withColumn("window_ids", found.agg(F.countDistinct("window_id")).scalar()).drop("window_id"))
+
+
 def _first_source(spark: SparkSession, sf: str) -> DataFrame:
     landed = save(fx.payloads(spark, sf).filter(F.col("provider") == "spheron"), "landed")
     rows = ingest.list_price_rows(landed)
@@ -307,6 +327,8 @@ def queries() -> dict[str, Query]:
         "deep_find": _deep_find,
         "collect_run": _collect_run,
         "collect_log": _collect_log,
+        "pipeline_windows": _pipeline_windows,
+        "pipeline_offer_windows": _pipeline_offer_windows,
         "make_snapshot_id": _snapshot_ids,
         "append_offers": _append_offers,
         "spot_prices": _spot_prices,

@@ -45,6 +45,7 @@ SNAPSHOTS = _table(
     runpod_offers=LONG,
     akash_offers=LONG,
     spheron_offers=LONG,
+    all_offers=LONG,
     errors=T.ArrayType(TEXT),
 )
 
@@ -57,29 +58,31 @@ PAYLOADS = _table(
     payload=TEXT,
 )
 
+# Numbers arrive as JSON numbers or as quoted texts, so they are declared as texts and read
+# with functions.scalars.to_number.
 MARKETPLACE = """struct<offers:array<struct<
-    id:string, gpu_name:string, num_gpus:double, gpu_ram:double, dph_total:double,
-    reliability2:double, geolocation:string, inet_down:double, inet_up:double,
-    disk_space:double, gpu_util:double, machine_id:bigint, cuda_max_good:double,
+    id:string, gpu_name:string, num_gpus:string, gpu_ram:string, dph_total:string,
+    reliability2:string, geolocation:string, inet_down:string, inet_up:string,
+    disk_space:string, gpu_util:string, machine_id:bigint, cuda_max_good:double,
     compute_cap:int, verified:boolean>>>"""
 
 GPU_TYPES = """struct<data:struct<gpuTypes:array<struct<
-    id:string, displayName:string, memoryInGb:double, secureCloud:boolean, communityCloud:boolean,
-    lowestPrice:struct<minimumBidPrice:double, uninterruptablePrice:double>>>>>"""
+    id:string, displayName:string, memoryInGb:string, secureCloud:boolean, communityCloud:boolean,
+    lowestPrice:struct<minimumBidPrice:string, uninterruptablePrice:string>>>>>"""
 
 MONTHLY_PRICES = """array<struct<gpu:string, ram:string, interface:string,
-    price:struct<min:double, avg:double, max:double>>>"""
+    price:struct<min:string, avg:string, max:string>>>"""
 
-PROVIDER_ITEM = """struct<owner:string, hostUri:string, uptime:double, region:string,
+PROVIDER_ITEM = """struct<owner:string, hostUri:string, uptime:string, region:string,
     leaseCount:int, isAudited:boolean, attributes:array<struct<key:string, value:string>>,
     capabilities:struct<gpu:struct<models:array<struct<model:string>>>>,
-    pricing:struct<gpu:double>>"""
+    pricing:struct<gpu:string>>"""
 PROVIDER_LIST = f"struct<providers:array<{PROVIDER_ITEM}>>"
 PROVIDER_ARRAY = f"array<{PROVIDER_ITEM}>"
 
-PRICE_ITEM = """struct<name:string, gpu:string, model:string, onDemandPrice:double,
-    hourlyPrice:double, price:double, spotPrice:double, interruptiblePrice:double,
-    vram:double, memoryGb:double, memory:double>"""
+PRICE_ITEM = """struct<name:string, gpu:string, model:string, onDemandPrice:string,
+    hourlyPrice:string, price:string, spotPrice:string, interruptiblePrice:string,
+    vram:string, memoryGb:string, memory:string>"""
 PRICE_OBJECT = f"struct<gpus:array<{PRICE_ITEM}>>"
 PRICE_ARRAY = f"array<{PRICE_ITEM}>"
 

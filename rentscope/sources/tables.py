@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,14 +10,28 @@ from rentscope import schemas
 from rentscope.plans.recency import DAY
 
 
+def with_ids(offers: DataFrame) -> DataFrame:
+    """Rows with an ``id``: a 64-bit hash of what tells offers of a run apart.
+
+    Rows that agree in all of it are numbered in the order of their other columns, so a batch
+    that is collected again gets the same ids. Rows that carry an id keep it.
+    """
+    if "id" in offers.columns:
+        return offers
+    told = ["snapshot_id", "provider", "offer_id", "interruptible", "price_per_gpu_hr"]
+    rest = [c for c in offers.columns if c not in told]
+    turn = F.row_number().over(Window.partitionBy(*told).orderBy(F.xxhash64(*rest), *rest))
+    return offers.withColumn("_turn", turn).select(F.xxhash64(*told, "_turn").alias("id"), *offers.columns)
+
+
 def append_offers(offers: DataFrame, path: str) -> None:
     """Append offers, partitioned by capture day and sorted for min/max skipping.
 
-    The rebalance hint lets adaptive execution split a heavy day over several files and
-    merge light days into few.
+    Rows without ids get theirs here. The rebalance hint lets adaptive execution split a heavy
+    day over several files and merge light days into few.
     """
     (
-        offers.withColumn(DAY, F.to_date("captured_at"))
+        with_ids(offers).withColumn(DAY, F.to_date("captured_at"))
         .hint("rebalance", DAY)
         .sortWithinPartitions(DAY, "provider", "gpu_name")
         .write.mode("append")
@@ -32,6 +46,19 @@ def read_offers(spark: SparkSession, path: str, schema: T.StructType = schemas.O
     return spark.read.schema(wanted).parquet(path)
 
 
+def append_snapshots(runs: DataFrame, path: str) -> None:
+    """Append rows of the run log; a run may come again with its end or more rows."""
+    runs.write.mode("append").parquet(path)
+
+
+def read_snapshots(spark: SparkSession, path: str, schema: T.StructType = schemas.SNAPSHOTS) -> DataFrame:
+    """The run log: of each run the row that ended last, a row without end only if there is no other."""
+    rows = spark.read.schema(schema).parquet(path)
+    others = [c for c in schema.names if c != "snapshot_id"]
+    latest = F.max_by(F.struct(*others), F.struct(F.coalesce("finished_at", F.lit("0001-01-01").cast("timestamp")), "all_offers"))
+    return rows.groupBy("snapshot_id").agg(latest.alias("r")).select("snapshot_id", *[F.col(f"r.{c}").alias(c) for c in others])
+
+
 def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of another store (times as ISO text) in the declared columns and types.
 
@@ -43,12 +70,16 @@ def typed(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def land_payloads(payloads: DataFrame, path: str) -> None:
-    """Append payloads, partitioned by source so that each reader scans only its own."""
-    payloads.write.mode("append").partitionBy("source").parquet(path)
+    """Append payloads, partitioned by day and source so that each reader scans only its own."""
+    payloads.withColumn(DAY, F.to_date("captured_at")).write.mode("append").partitionBy(DAY, "source").parquet(path)
+
+
+def landed_schema(schema: T.StructType = schemas.PAYLOADS) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
 
 
 def read_payloads(spark: SparkSession, path: str, schema: T.StructType = schemas.PAYLOADS) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(landed_schema(schema)).parquet(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
