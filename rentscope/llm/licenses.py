@@ -103,7 +103,7 @@ def to_postfix(expression: str) -> list[str] | None:
         elif operand_next and _IDENTIFIER.match(token):
             out.append(token.rstrip("."))
             operand_next = False
-        elif not operand_next:
+        elif not operand_next and not _IDENTIFIER.match(token):
             break
         else:
             return None
