@@ -21,8 +21,8 @@ from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from rentscope.llm.common import as_text, fold, map_batches, pick
 from rentscope.plans.saved import save
 
-#: Labelled rows to fit on at most, chosen by hash; opponents drawn for each of them.
-FIT_ROWS = 20_000
+#: Labelled rows to fit on, about, drawn by hash; opponents drawn for each of them.
+FIT_ROWS = 10_000
 OPPONENTS = 8
 PENALTY = 1e-3
 STEPS = 40
@@ -135,12 +135,14 @@ def fit(vectors: np.ndarray, good: np.ndarray, opponents: int = OPPONENTS, penal
 
 
 def learn(vectors: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Ranking:
-    """Fit on at most ``fit_rows`` labelled rows, in hash order of their ids. Rows without id or label are passed over."""
-    labels = pick(labels, "doc_id", "quality").filter("quality IN (0, 1)")
-    rows = (
-        vectors.join(labels, "doc_id").select("doc_id", "quality", "features")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(fit_rows).collect()
-    )
+    """Fit on about ``fit_rows`` labelled rows, drawn by a hash of their ids. Rows without id or label are passed over.
+
+    The share to draw follows from the number of labelled rows, so every task sends its part only.
+    """
+    labels = pick(labels, "doc_id", "quality").filter("quality IN (0, 1) AND doc_id IS NOT NULL")
+    share = min(1.0, fit_rows / max(1, labels.count()))
+    drawn = labels.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < int(share * 2**31))
+    rows = sorted(vectors.join(drawn, "doc_id").select("doc_id", "quality", "features").collect(), key=lambda r: (r.doc_id, r.quality, r.features))
     vectors_of = np.array([r.features for r in rows]) if rows else np.zeros((0, len(text_features(""))))
     return fit(vectors_of, np.array([r.quality == 1 for r in rows], dtype=bool))
 

@@ -21,7 +21,7 @@ def rows() -> list[tuple]:
         7: "one",
         8: "two words",
         9: "    no-break space and \x1c control \x00 signs",
-        10: "漢字かな交じり文 😀 emoji <|endoftext|> special <s> </s> <unk> \u0560\u0560 \u0588.",
+        10: "漢字かな交じり文 😀 emoji <|endoftext|> special <s> </s> <unk> \u0558\u0558 \u058b.",
         11: "a" * 5000,
         12: PROSE * 3,
         13: LONG[:100_000],
