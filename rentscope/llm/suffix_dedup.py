@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, map_batches, pick
+from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, pick, unpacked
 from rentscope.plans.saved import save
 
 #: Bytes of a string that counts as a repeat, and of the k-grams that anchor it.
 LENGTH = 100
 GRAM = 32
-#: Bytes of runs in one block.
-BLOCK_BYTES = 1_000_000
+#: Bytes of runs in one block, and letters of texts whose runs are settled at once: they bound a task's memory.
+BLOCK_BYTES = 600_000
+TOGETHER = 6_000_000
 #: Different runs of one anchor that are sent on together by a batch, and that stay in one block.
 RUNS_TOGETHER, RUNS_IN_BLOCK = 256, 2_000
 #: Positions whose anchors are sought at once; a place in it takes 24 bits.
@@ -125,8 +126,17 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
 
     def make() -> Callable:
         def step(columns: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"part": [], "runs": [], "repeats": []}
+            ends = np.cumsum([len(as_text(t)) for t in columns["text"]])
+            cuts = np.searchsorted(ends, np.arange(0, ends[-1] + TOGETHER, TOGETHER)).tolist()
+            for lo, hi in zip(cuts, [*cuts[1:], len(ends)], strict=True):
+                if lo < hi:
+                    together(columns["doc_id"][lo:hi], columns["text"][lo:hi], out)
+            return out
+
+        def together(docs: list[int], texts: list[str | None], out: dict[str, list]) -> None:
             found: dict[str, list[np.ndarray]] = {name: [np.zeros(0, kind)] for name, kind in _RUN.items()}
-            for doc, text in zip(columns["doc_id"], columns["text"], strict=True):
+            for doc, text in zip(docs, texts, strict=True):
                 raw = as_text(text).encode("utf-8")
                 key, start, count = runs(np.frombuffer(raw, np.uint8), length)
                 view = memoryview(raw)
@@ -141,7 +151,6 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
             turn = np.arange(len(n_runs)) - np.maximum.accumulate(np.where(by_key, np.arange(len(n_runs)), 0)) if len(n_runs) else n_runs
             part = (np.where(turn < RUNS_TOGETHER, kept["key"], kept["digest"]) % np.uint64(n_parts)).astype(np.int64)
             repeat_part = np.abs(repeats["doc"] % n_parts)
-            out: dict[str, list] = {"part": [], "runs": [], "repeats": []}
             order, repeat_order = np.argsort(part, kind="stable"), np.argsort(repeat_part, kind="stable")
             at = np.searchsorted(part[order], np.arange(n_parts + 1))
             repeat_at = np.searchsorted(repeat_part[repeat_order], np.arange(n_parts + 1))
@@ -153,7 +162,6 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
                     out["part"].append(p)
                     out["runs"].append(_packed({name: kept[name][mine] for name in _RUN}))
                     out["repeats"].append(_packed({name: repeats[name][gone] for name in _WHOLE}))
-            return out
 
         return step
 
@@ -294,7 +302,8 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
     narrow, wide = open_runs.agg(F.sum(F.when(~F.col("wide"), F.col("count") + length)), F.sum(F.when(F.col("wide"), F.col("count") + length))).first()
     n_narrow, n_wide = max(1, -(-(narrow or 0) // BLOCK_BYTES)), max(1, -(-(wide or 0) // BLOCK_BYTES))
     wanted = open_runs.groupBy("doc").agg(F.collect_list(F.struct("start", "count", "key", "wide")).alias("runs"))
-    texts = _compressed(docs).join(wanted, F.col("doc_id") == F.col("doc")).select("doc", "packed", "runs")
+    # Always by a shuffle of the compressed texts: a broadcast would work on small tables only.
+    texts = compressed(docs).hint("merge").join(wanted, F.col("doc_id") == F.col("doc")).select("doc", "packed", "runs")
     piece = StructType([
         StructField("doc", LongType()), StructField("start", LongType()), StructField("count", LongType()),
         StructField("key", LongType()), StructField("wide", BooleanType()), StructField("piece", BinaryType()),
@@ -304,7 +313,7 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
         def step(columns: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {n: [] for n in piece.names}
             for doc, packed, wanted_runs in zip(columns["doc"], columns["packed"], columns["runs"], strict=True):
-                raw = zstandard.decompress(packed)
+                raw = unpacked(packed)
                 for run in wanted_runs:
                     text = raw[run["start"] : run["start"] + run["count"] + length - 1]
                     for name, value in zip(piece.names, (doc, run["start"], run["count"], run["key"], run["wide"], text), strict=True):
@@ -350,17 +359,6 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
     return whole.union(expanded.filter("one IS NULL").select("doc", "start", "count")).union(late)
 
 
-def _compressed(docs: DataFrame, *keep: str) -> DataFrame:
-    """Texts as compressed bytes, for shuffles: ``doc_id``, the columns to keep and ``packed``; null counts as empty."""
-    schema = StructType([docs.schema["doc_id"], *(docs.schema[k] for k in keep), StructField("packed", BinaryType())])
-
-    def make() -> Callable:
-        pack = zstandard.ZstdCompressor(3)
-        return lambda columns: {k: columns[k] for k in ("doc_id", *keep)} | {"packed": [pack.compress(as_text(t).encode("utf-8")) for t in columns["text"]]}
-
-    return map_batches(docs.select("doc_id", "text", *keep), make, schema)
-
-
 def spans(starts: list[int], counts: list[int], length: int) -> list[tuple[int, int]]:
     """Maximal removed runs from ranges of starts."""
     out: list[tuple[int, int]] = []
@@ -381,7 +379,7 @@ def _with_spans(docs: DataFrame, length: int, *keep: str) -> DataFrame:
     if not several.isEmpty():
         known = known.join(several, "doc_id", "left_anti")
     ranges = _ranges(known.select("doc_id", "text"), length).groupBy("doc").agg(F.collect_list("start").alias("starts"), F.collect_list("count").alias("counts"))
-    return _compressed(docs, *keep).join(ranges, F.col("doc_id") == F.col("doc"), "left").select("doc_id", *keep, "packed", "starts", "counts")
+    return compressed(docs, *keep).hint("merge").join(ranges, F.col("doc_id") == F.col("doc"), "left").select("doc_id", *keep, "packed", "starts", "counts")
 
 
 def _kept(raw: bytes, starts: list[int] | None, counts: list[int] | None, length: int) -> tuple[bytes, int, int]:
@@ -410,7 +408,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         def step(columns: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {"doc_id": columns["doc_id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
             for packed, starts, counts in zip(columns["packed"], columns["starts"], columns["counts"], strict=True):
-                raw = zstandard.decompress(packed)
+                raw = unpacked(packed)
                 left, n_removed, n_spans = _kept(raw, starts, counts, length)
                 for name, value in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), (len(raw), n_removed, n_spans, hashlib.sha256(left).hexdigest()), strict=True):
                     out[name].append(value)
@@ -430,19 +428,18 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     docs = pick(docs, *DOCUMENT_COLUMNS)
     others = [c for c in DOCUMENT_COLUMNS if c not in ("doc_id", "text")]
-    was_null = docs.withColumn("was_null", F.col("text").isNull())
 
     def make() -> Callable:
         def step(columns: dict[str, list]) -> dict[str, list]:
             out: dict[str, list] = {c: [] for c in DOCUMENT_COLUMNS}
             for i, packed in enumerate(columns["packed"]):
-                raw = zstandard.decompress(packed)
+                raw = unpacked(packed)
                 left, n_removed, _ = _kept(raw, columns["starts"][i], columns["counts"][i], length)
                 if n_removed and not left:
                     continue
                 text = left.decode("utf-8", "ignore")
                 for c in DOCUMENT_COLUMNS:
-                    out[c].append(columns[c][i] if c != "text" else None if columns["was_null"][i] else text)
+                    out[c].append(columns[c][i] if c != "text" else None if packed is None else text)
                 if n_removed:
                     out["n_chars"][-1] = len(text)
             return out
@@ -450,4 +447,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return step
 
     schema = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in DOCUMENT_COLUMNS[1:])])
-    return map_batches(_with_spans(was_null, length, *others, "was_null"), make, schema)
+    return map_batches(_with_spans(docs, length, *others), make, schema)
