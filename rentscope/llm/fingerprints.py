@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import as_text, map_batches, pick
+from rentscope.llm.common import as_text, compressed, map_batches, pick, unpacked
 from rentscope.plans.saved import save
 
 #: Letters of a k-mer, entries of a fingerprint, and k-mers per entry.
@@ -148,11 +148,12 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. Texts are ranged by id once and streamed in order, so each meets its successor
     in its task; only the first and last texts of the parts are joined afterwards. Null ids come
-    first; rows that share an id follow each other by text; a null text counts as an empty one; a
+    first; rows that share an id follow each other by a hash of their text; a null text counts as an empty one; a
     single document is its own successor; an empty table gives an empty result.
     """
     docs = pick(docs, "doc_id", "text")
-    ranged = docs.repartitionByRange(F.col("doc_id").asc(), F.xxhash64("text").asc()).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    packed = compressed(docs.withColumn("text_hash", F.xxhash64("text")), "text_hash")
+    ranged = packed.repartitionByRange(F.col("doc_id").asc(), F.col("text_hash").asc()).sortWithinPartitions("doc_id", "text_hash")
     schema = StructType([docs.schema["doc_id"], *_RESULT, StructField("kind", IntegerType()), StructField("part", IntegerType()), StructField("text", StringType())])
     names, arrow = schema.names, to_arrow_schema(schema)
     empty = pa.RecordBatch.from_arrays([pa.array([], f.type) for f in arrow], names=names)
@@ -162,8 +163,8 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
         before = None
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                text = as_text(text)
+            for doc_id, one in zip(batch.column("doc_id").to_pylist(), batch.column("packed").to_pylist(), strict=True):
+                text = unpacked(one).decode("utf-8")
                 entries = signature(text)
                 if before is None:
                     rows.append((doc_id, len(text), None, as_hex(entries), None, None, None, _FIRST, part, text))
