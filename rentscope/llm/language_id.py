@@ -16,16 +16,18 @@ import re
 import uuid
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import fold, map_batches, pick
+from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick
+from rentscope.plans.saved import save
 
 UNDETERMINED = "und"
 ORDER = 4
@@ -33,8 +35,9 @@ ORDER = 4
 MOST_EVENTS = 1_000_000
 #: Distinct words a task holds before it sends their counts on.
 WORDS_HELD = 400_000
-#: Words whose scores a worker keeps, and words scored at once.
-CACHE_WORDS = 600_000
+#: Words whose scores a worker keeps, and texts whose new words are scored together.
+CACHE_WORDS = 400_000
+TEXTS_AT_ONCE = 500
 #: Rejection: this share of the way from the language's own mean to letters drawn evenly, and so many standard errors over the text's letters above it.
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
 
@@ -155,8 +158,6 @@ class Models:
     context_keys: np.ndarray
     log_back_off: np.ndarray
     log_unknown: np.ndarray
-    mean: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    deviation: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
@@ -219,43 +220,63 @@ _worker: dict[str, object] = {}
 
 
 class Scorer:
-    """Scores texts word by word; scores of words met before come from a bounded table."""
+    """Scores texts word by word; scores of words met before come from two bounded tables, the older behind the newer."""
 
     def __init__(self, models: Models):
         self.models = models
-        self.reset()
-
-    def reset(self) -> None:
+        self.behind: tuple[dict[str, int], np.ndarray] = {}, np.zeros((0, len(models.languages)))
         self.row: dict[str, int] = {}
-        self.table = np.zeros((1024, len(self.models.languages)))
+        self.table = np.zeros((1024, len(models.languages)))
 
-    def learn(self, words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         if len(self.row) + len(words) > CACHE_WORDS:
-            self.reset()
-        scores = self.models.word_scores(words)
+            self.behind = self.row, self.table
+            self.row, self.table = {}, np.zeros((1024, len(self.models.languages)))
         first = len(self.row)
         while first + len(words) > len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[first : first + len(words)] = scores
-        self.row.update(zip(words, range(first, first + len(words)), strict=True))
-
-    def text(self, text: str | None) -> tuple[np.ndarray, int] | None:
-        """Log probability by language and number of events; None without a letter."""
-        words = letter_words(text or "")
+        known, scores = self.behind
+        old = [w for w in words if w in known]
+        new = [w for w in words if w not in known]
+        if old:
+            self.table[first : first + len(old)] = scores[[known[w] for w in old]]
+        if new:
+            self.table[first + len(old) : first + len(words)] = self.models.word_scores(new)
+        self.row.update(zip(old + new, range(first, first + len(words)), strict=True))
+
+    def texts(self, texts: list[str | None]) -> list[tuple[np.ndarray, int] | None]:
+        """Log probability by language and number of events of each text; None without a letter."""
+        out: list[tuple[np.ndarray, int] | None] = []
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            words = [letter_words(t or "") for t in texts[at : at + TEXTS_AT_ONCE]]
+            out += [self._text(w) for w in words] if self._prepared(words) else [self._long_text(w) for w in words]
+        return out
+
+    def _prepared(self, texts: list[list[str]]) -> bool:
+        """Know all words of some texts at once; False if they are too many for the table."""
+        needed = set(chain.from_iterable(texts))
+        if len(needed) > CACHE_WORDS // 2:
+            return False
+        before = len(self.row)
+        self._learn([w for w in needed if w not in self.row])
+        if len(self.row) < before:  # the table was begun anew: what these texts share with the old one comes back
+            self._learn([w for w in needed if w not in self.row])
+        return True
+
+    def _text(self, words: list[str]) -> tuple[np.ndarray, int] | None:
         if not words:
             return None
-        total = np.zeros(len(self.models.languages))
-        for at in range(0, len(words), CACHE_WORDS // 4):
-            part = words[at : at + CACHE_WORDS // 4]
-            rows = list(map(self.row.get, part))
-            if None in rows:
-                self.learn(list(dict.fromkeys(w for w, r in zip(part, rows, strict=True) if r is None)))
-                rows = list(map(self.row.get, part))
-                if None in rows:  # the table was emptied for the new words
-                    self.learn(list(dict.fromkeys(w for w, r in zip(part, rows, strict=True) if r is None)))
-                    rows = list(map(self.row.get, part))
-            total += self.table[rows].sum(axis=0)
-        return total, sum(map(len, words)) + len(words)
+        return self.table[list(map(self.row.__getitem__, words))].sum(axis=0), sum(map(len, words)) + len(words)
+
+    def _long_text(self, words: list[str]) -> tuple[np.ndarray, int] | None:
+        """The same in parts, for texts of very many different words."""
+        total, n = np.zeros(len(self.models.languages)), 0
+        for at in range(0, len(words), CACHE_WORDS // 8):
+            part = words[at : at + CACHE_WORDS // 8]
+            self._prepared([part])
+            scores, events = self._text(part)
+            total, n = total + scores, n + events
+        return (total, n) if n else None
 
 
 def _scorer(shared: Broadcast, mark: str) -> Scorer:
@@ -265,97 +286,88 @@ def _scorer(shared: Broadcast, mark: str) -> Scorer:
     return _worker["scorer"]
 
 
-def calibrate(models: Models, labelled: DataFrame) -> Models:
-    """Mean cross-entropy per language, and its spread per letter, over all labelled texts."""
-    shared = labelled.sparkSession.sparkContext.broadcast(models)
-    mark = uuid.uuid4().hex
-
-    def make() -> Callable:
-        scorer = _scorer(shared, mark)
-        place = {lang: i for i, lang in enumerate(scorer.models.languages)}
-
-        def step(columns: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"lang": [], "entropy": [], "n": []}
-            for lang, text in zip(columns["lang"], columns["text"], strict=True):
-                if lang in place and (found := scorer.text(text)):
-                    out["lang"].append(lang)
-                    out["entropy"].append(-found[0][place[lang]] / found[1])
-                    out["n"].append(found[1])
-            return out
-
-        return step
-
-    schema = StructType([StructField("lang", StringType()), StructField("entropy", DoubleType()), StructField("n", LongType())])
-    sums = (
-        map_batches(labelled.select("lang", "text"), make, schema).groupBy("lang")
-        .agg(F.avg("entropy").alias("m"), F.avg("n").alias("n"), F.expr("avg(entropy * n)").alias("en"), F.expr("avg(entropy * entropy * n)").alias("een"))
-    )
-    known = {r.lang: r for r in sums.collect()}
-    models.mean = np.array([known[x].m if x in known else np.inf for x in models.languages])
-    models.deviation = np.array([
-        math.sqrt(max(0.0, r.een - 2 * r.m * r.en + r.m * r.m * r.n)) if (r := known.get(x)) else 0.0 for x in models.languages
-    ])
-    return models
-
-
 def learn(docs: DataFrame, order: int = ORDER, most_events: int = MOST_EVENTS) -> Models | None:
     """Models of all languages named in ``lang``, from all rows that have text and language."""
     labelled = pick(docs, "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    kept = count_events(labelled, order).orderBy(F.desc("n"), "lang", "event").limit(most_events).collect()
-    models = build_models([(r.lang, r.event, r.n) for r in kept], order)
-    return calibrate(models, labelled) if models else None
+    kept = most_frequent(save(count_events(labelled, order), "events"), "n", most_events).collect()
+    return build_models(sorted((r.lang, r.event, r.n) for r in kept), order)
 
 
 def predict(docs: DataFrame, models: Models | None, *keep: str) -> DataFrame:
-    """Language of each whole text.
+    """Language of each whole text, from the text alone.
 
-    Returns ``doc_id``, the columns to keep, ``lang_pred, score, cross_entropy, rejected``. Null
+    Returns ``doc_id``, the columns to keep, ``lang_pred, score, cross_entropy, n_events``. Null
     texts and texts without a letter, and all texts if nothing was learned, are ``und`` with score
-    0 and rejected. Equal cross-entropies go to the first language by code point. ``score`` is the
-    share of the language among all, with log probabilities divided by the root of the length.
+    0 and null cross-entropy. Equal cross-entropies go to the first language by code point.
+    ``score`` is the share of the language among all, with log probabilities divided by the root
+    of the length.
     """
-    docs = pick(docs, *dict.fromkeys(["doc_id", "text", *keep]))
     kept = list(dict.fromkeys(["doc_id", *keep]))
+    docs = pick(docs, *dict.fromkeys([*kept, "text"]))
     shared, learned = docs.sparkSession.sparkContext.broadcast(models), models is not None
     mark = uuid.uuid4().hex
+    names = ["lang_pred", "score", "cross_entropy", "n_events"]
 
     def make() -> Callable:
         scorer = _scorer(shared, mark) if learned else None
 
-        def row(text: str | None) -> tuple[str, float, float | None, bool]:
-            found = scorer.text(text) if scorer else None
+        def row(found: tuple[np.ndarray, int] | None) -> tuple[str, float, float | None, int]:
             if found is None:
-                return UNDETERMINED, 0.0, None, True
+                return UNDETERMINED, 0.0, None, 0
             total, n = found
             entropy = -total / n
             best = int(np.argmin(entropy))
             share = np.exp((entropy[best] - entropy) * math.sqrt(n))
-            known = scorer.models
-            even = max(known.mean[best], -known.log_unknown[best])
-            limit = known.mean[best] + MARGIN * (even - known.mean[best]) + STANDARD_ERRORS * known.deviation[best] / math.sqrt(n)
-            return known.languages[best], float(1 / share.sum()), float(entropy[best]), bool(entropy[best] > limit)
+            return scorer.models.languages[best], float(1 / share.sum()), float(entropy[best]), n
 
         def step(columns: dict[str, list]) -> dict[str, list]:
-            rows = [row(t) for t in columns["text"]]
-            return {k: columns[k] for k in kept} | {n: [r[i] for r in rows] for i, n in enumerate(["lang_pred", "score", "cross_entropy", "rejected"])}
+            texts = columns["text"]
+            rows = list(map(row, scorer.texts(texts) if scorer else [None] * len(texts)))
+            return {k: columns[k] for k in kept} | {n: [r[i] for r in rows] for i, n in enumerate(names)}
 
         return step
 
-    schema = StructType([
-        *(docs.schema[k] for k in kept), StructField("lang_pred", StringType()), StructField("score", DoubleType()),
-        StructField("cross_entropy", DoubleType()), StructField("rejected", BooleanType()),
-    ])
+    schema = StructType([*(docs.schema[k] for k in kept), *(StructField(n, t()) for n, t in zip(names, [StringType, DoubleType, DoubleType, LongType], strict=True))])
     return map_batches(docs, make, schema)
 
 
+def with_rejection(predicted: DataFrame, labelled: Column, models: Models | None) -> DataFrame:
+    """Adds ``rejected`` to predictions that carry ``lang``, calibrated on their labelled rows.
+
+    Per language, the mean cross-entropy of the texts that have this label and prediction, and its
+    spread per letter, give what a text of any length may reach. ``und`` is always rejected; a
+    language without such texts rejects nothing.
+    """
+    of_letters = models.log_unknown[0] if models else 0.0
+    right = predicted.filter(labelled & (F.col("lang") == F.col("lang_pred")) & (F.col("n_events") > 0))
+    sums = right.groupBy("lang_pred").agg(
+        F.avg("cross_entropy").alias("mean"), F.avg("n_events").alias("n"),
+        F.expr("avg(cross_entropy * n_events)").alias("en"), F.expr("avg(cross_entropy * cross_entropy * n_events)").alias("een"),
+    )
+    rejected = F.col("lang_pred") == UNDETERMINED
+    for r in sums.collect():  # one row per language
+        deviation = math.sqrt(max(0.0, r.een - 2 * r["mean"] * r.en + r["mean"] ** 2 * r.n))
+        base = r["mean"] + MARGIN * (max(r["mean"], -of_letters) - r["mean"])
+        limit = F.lit(base) + F.lit(STANDARD_ERRORS * deviation) / F.sqrt(F.greatest(F.col("n_events"), F.lit(1)))
+        rejected = rejected | ((F.col("lang_pred") == r.lang_pred) & (F.col("cross_entropy") > limit))
+    return predicted.withColumn("rejected", F.coalesce(rejected, F.lit(True)))
+
+
 def identify(docs: DataFrame, folds: int = 3, held: int = 1) -> DataFrame:
-    """Learn from the folds that are not held out and predict all rows: ``predict`` plus ``held_out``."""
+    """Learn from the folds that are not held out and predict all rows.
+
+    Returns ``doc_id, held_out, lang_pred, score, cross_entropy, n_events, rejected``, one row per
+    input row. Null languages are not learned; an empty table gives an empty result.
+    """
     docs = pick(docs, "doc_id", "text", "lang").withColumn("held_out", fold("doc_id", folds) == held)
     models = learn(docs.filter(~F.col("held_out")))
-    return predict(docs.drop("lang"), models, "held_out")
+    predicted = save(predict(docs, models, "held_out", "lang"), "languages")
+    return with_rejection(predicted, ~F.col("held_out"), models).drop("lang")
 
 
-def recognised(docs: DataFrame, *columns: str) -> DataFrame:
+def recognised(docs: DataFrame) -> DataFrame:
     """The documents whose language is recognised; models come from all labelled rows of ``docs``."""
-    docs = pick(docs, *columns)
-    return predict(docs, learn(docs), *columns).filter(~F.col("rejected")).select(*columns)
+    docs = pick(docs, *DOCUMENT_COLUMNS)
+    models = learn(docs)
+    predicted = save(predict(docs, models, *DOCUMENT_COLUMNS), "languages")
+    return with_rejection(predicted, F.lit(True), models).filter(~F.col("rejected")).select(*DOCUMENT_COLUMNS)
