@@ -18,18 +18,19 @@ from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import to_number
 from rentscope.plans.blocks import block_count, in_ordered_blocks
+from rentscope.plans.quantiles import order_statistics
 from rentscope.plans.saved import save
 
 # Instance type prefixes and products that are kept.
 GPU_PREFIXES = ["p2.", "p3.", "p4.", "g3.", "g4.", "g5.", "g6."]
 PRODUCTS = ["Linux/UNIX", ""]
 
-# Fixed value: submissions per series, roughly.
-MAX_STARTS = 500
-
 # Rows of about 100 bytes that may be broadcast.
 MOST_BROADCAST_ROWS = 100_000
 
+# A time starts with a full date and, if it goes on, with at least hours and minutes.
+FULL_TIME = r"^\s*\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?\s*$"
+
 TYPE = "instance_type"
 ORDER = ["ts", "file", "seq"]
 
@@ -56,7 +57,7 @@ def spot_prices(lines: DataFrame, gpu_type: str | None = None) -> DataFrame:
         kind.alias(TYPE),
         product.alias("product"),
         to_number(price).alias("price"),
-        F.try_to_timestamp(ts).alias("ts"),
+        F.when(ts.rlike(FULL_TIME), F.try_to_timestamp(ts)).alias("ts"),
         "file",
         "seq",
     )
@@ -178,11 +179,14 @@ def replay_jobs(
     budget: float,
     hours: float = 1.0,
     az: str | None = None,
-    max_starts: int = MAX_STARTS,
+    max_starts: int | None = None,
     zones: DataFrame | None = None,
 ) -> DataFrame:
     """One row per submitted job: outcome, wait, interruptions, cost and elapsed hours.
 
+    A job is submitted at every point but the last; ``max_starts`` takes every k-th instead, so
+    that about as many remain per series.
+
     The points are read three times (zones, range bounds, blocks): store them first if they
     come from archive lines.
 
@@ -194,7 +198,7 @@ def replay_jobs(
     if zones is None:
         zones = save(densest_zone(points, az), "zones")
     rows = _positions(points, zones, budget)
-    step = F.greatest(F.lit(1), F.floor(F.col("total_windows") / max_starts))
+    step = F.lit(1) if max_starts is None else F.greatest(F.lit(1), F.floor(F.col("total_windows") / max_starts))
 
     def is_start(i: Column) -> Column:
         return (i >= 0) & (i < F.col("total_windows") - 1) & (i % step == 0)
@@ -226,7 +230,7 @@ def replay_jobs(
     )
     own = F.when(F.col("ok"), F.col("price")).otherwise(0.0)
     starts = marks.filter(is_start(F.col("i"))).select(
-        TYPE, "total_windows", F.col("i").alias("start"), "ts", "ok", "n_bad", "n_broke",
+        TYPE, "block", "total_windows", F.col("i").alias("start"), "ts", "ok", "n_bad", "n_broke",
         (F.col("n_paid") - own).alias("paid_before"),
     )
     done = F.col("end").isNotNull()
@@ -240,6 +244,7 @@ def replay_jobs(
         .select(
             TYPE,
             "az",
+            "block",
             "total_windows",
             F.col("start").alias("start_index"),
             F.col("ts").alias("submitted_at"),
@@ -252,11 +257,15 @@ def replay_jobs(
             F.when(done, F.col("end.i") - F.col("start") + 1).alias("elapsed_hours"),
         )
     )
-    # At most about 2 x max_starts jobs per series.
-    so_far = W.partitionBy(TYPE).orderBy("start_index").rowsBetween(W.unboundedPreceding, 0)
-    run_so_far = F.sum(F.when(F.col("completed"), need).otherwise(0)).over(so_far)
+    # Run time of the jobs before: within the block by a window, over blocks by one row per block.
+    jobs = save(jobs, "jobs")
+    run = F.when(F.col("completed"), need).otherwise(0)
+    lower = W.partitionBy(TYPE).orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    carried = jobs.groupBy(TYPE, "block").agg(F.sum(run).alias("run")).select(TYPE, "block", F.coalesce(F.sum("run").over(lower), F.lit(0)).alias("run_before"))
+    so_far = W.partitionBy(TYPE, "block").orderBy("start_index").rowsBetween(W.unboundedPreceding, 0)
+    run_so_far = F.col("run_before") + F.sum(run).over(so_far)
     pooled = F.col("wait_hours") + F.when(F.col("interruptions") > 0, run_so_far).otherwise(F.lit(need))
-    return jobs.withColumn("elapsed_hours_pooled", F.when(F.col("completed"), pooled))
+    return jobs.join(carried, [TYPE, "block"]).withColumn("elapsed_hours_pooled", F.when(F.col("completed"), pooled)).drop("block", "run_before")
 
 
 def replay_summary(
@@ -264,7 +273,7 @@ def replay_summary(
     budget: float,
     hours: float = 1.0,
     az: str | None = None,
-    max_starts: int = MAX_STARTS,
+    max_starts: int | None = None,
     compat: bool = False,
 ) -> DataFrame:
     """Rates, mean wait and cost, and completion times per instance type, best rate first.
@@ -275,21 +284,19 @@ def replay_summary(
     zones = save(densest_zone(points, az), "zones")
     jobs = replay_jobs(points, budget, hours, az, max_starts, zones)
     elapsed = "elapsed_hours_pooled" if compat else "elapsed_hours"
-    ordered = W.partitionBy(TYPE).orderBy(F.asc_nulls_last(elapsed))
-    ranked = jobs.withColumn("_rank", F.row_number().over(ordered) - 1).withColumn(
-        "_completed", F.count(elapsed).over(W.partitionBy(TYPE))
+    nearest = order_statistics(
+        jobs, [TYPE], elapsed,
+        {"p50_completion_hours": lambda n: F.floor(n * 0.5), "p90_completion_hours": lambda n: F.floor(n * 0.9)},
     )
-
-    def nearest(q: float) -> Column:
-        return F.max(F.when(F.col("_rank") == F.floor(F.col("_completed") * q), F.col(elapsed)))
-
-    totals = ranked.groupBy(TYPE).agg(
-        F.count_if("completed").alias("completed_jobs"),
-        F.sum("interruptions").alias("interrupted_jobs"),
-        F.sum("wait_hours").alias("_wait"),
-        F.sum("cost").alias("_cost"),
-        nearest(0.5).alias("p50_completion_hours"),
-        nearest(0.9).alias("p90_completion_hours"),
+    totals = (
+        jobs.groupBy(TYPE)
+        .agg(
+            F.count_if("completed").alias("completed_jobs"),
+            F.sum("interruptions").alias("interrupted_jobs"),
+            F.sum("wait_hours").alias("_wait"),
+            F.sum("cost").alias("_cost"),
+        )
+        .join(nearest.drop("n"), TYPE, "left")
     )
     # A type with a single point has no jobs but keeps its row.
     totals = zones.join(totals, TYPE, "left").na.fill(0, ["completed_jobs", "interrupted_jobs", "_wait", "_cost"])

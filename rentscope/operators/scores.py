@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rentscope.functions.scalars import settled_round
@@ -115,7 +116,7 @@ def provider_windows(
     priced, positive = price.isNotNull(), price > 0
     listed = priced if min_vram is None else priced & (F.col("vram_gb") >= min_vram)
 
-    # Everything but the percentiles in one pass; the provider level is summed from it.
+    # Everything but the percentiles in one pass; the provider level is summed over its few rows.
     scored = offers.groupBy(*SERIES).agg(
         F.count_if(listed).alias("_listed"),
         F.max(F.when(listed, F.col("vram_gb"))).alias("vram_gb"),
@@ -125,8 +126,9 @@ def provider_windows(
         F.avg(F.when(positive, price)).alias("_mean"),
         F.stddev_samp(F.when(positive, price)).alias("_std"),
     )
-    providers = scored.groupBy("provider").agg(
-        F.sum("_rows").alias("_provider_rows"), F.sum("_spot").alias("_provider_spot")
+    of_provider = W.partitionBy("provider")
+    scored = scored.withColumn("_provider_rows", F.sum("_rows").over(of_provider)).withColumn(
+        "_provider_spot", F.sum("_spot").over(of_provider)
     )
     ranks = (
         exact_percentiles(_positive(offers).select(*SERIES, PRICE), SERIES, PRICE, PERCENTILES)
@@ -138,7 +140,6 @@ def provider_windows(
     return (
         scored.filter(F.col("_listed") > 0)
         .join(ranks, SERIES)
-        .join(providers, "provider")
         .select(
             "provider",
             F.col("gpu_name").alias("gpu_class"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -18,10 +19,16 @@ def hours(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' HOUR")
 
 
+def _newest_day(offers: DataFrame) -> str | None:
+    """The newest day that the stored table has a folder for, from its listing; no data is read."""
+    days = (re.search(rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", f) for f in offers.inputFiles())
+    return max((d[1] for d in days if d), default=None)
+
+
 def latest_capture(offers: DataFrame) -> Column:
-    """The newest capture; in a table partitioned by day only the last day is read."""
-    if DAY in offers.columns:
-        offers = offers.filter(F.col(DAY) == offers.agg(F.max(DAY)).scalar())
+    """The newest capture; of a stored table partitioned by day only the last day is read."""
+    if DAY in offers.columns and (day := _newest_day(offers)):
+        offers = offers.filter(F.col(DAY) == F.lit(day).cast("date"))
     return offers.agg(F.max("captured_at")).scalar()
 
 

@@ -149,12 +149,12 @@ def spot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price history as archive lines; some are cut short, some carry a sixth field."""
+    """Price history as archive lines; some are cut short or have half a time, some carry a sixth field."""
     seq = F.col("seq")
     line = F.concat_ws(
         "\t", "az", "instance_type", "product",
         F.when(seq % 101 == 0, "n/a").otherwise(F.col("price").cast("string")),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.when(seq % 109 == 0, "10:00:00").when(seq % 113 == 0, "2024-03").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")),
     )
     short = F.concat_ws("\t", "az", "instance_type", "product")
     value = F.when(seq % 103 == 0, short).when(seq % 107 == 0, F.concat(line, F.lit("\textra"))).otherwise(line)

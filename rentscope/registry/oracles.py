@@ -462,49 +462,47 @@ points AS (
     AND regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]') AND price IS NOT NULL AND ts IS NOT NULL)
 """
 
-# Jobs by ordered windows over each whole series and one as-of lookup of the finishing point.
+# Each job on its own: from its start, the first point that ends a run of enough affordable points
+# that all lie after the start; then counts and sums over the points from start to end.
 _JOBS = f"""
 {_SPOT},
 zones AS (
   SELECT instance_type, az, count(*) AS total_windows, min(ts) AS first_ts, min(seq) AS first_seq FROM points GROUP BY 1, 2
   QUALIFY row_number() OVER (PARTITION BY instance_type ORDER BY count(*) DESC, min(ts), min(seq)) = 1),
-ordered AS (
-  SELECT p.instance_type, total_windows, p.ts, p.price, p.price <= {q.JOB_BUDGET} AS ok,
-    row_number() OVER s - 1 AS i, lag(p.price <= {q.JOB_BUDGET}) OVER s AS prev_ok
-  FROM points p JOIN zones z ON p.instance_type = z.instance_type AND p.az = z.az
-  WINDOW s AS (PARTITION BY p.instance_type ORDER BY p.ts, p.seq)),
-sums AS (
-  SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER s AS n_bad, sum(CASE WHEN ok THEN price ELSE 0 END) OVER s AS n_paid,
-    sum(CASE WHEN NOT ok AND prev_ok THEN 1 ELSE 0 END) OVER s AS n_broke,
-    coalesce(max(CASE WHEN NOT ok THEN i END) OVER s, -1) AS last_bad
-  FROM ordered WINDOW s AS (PARTITION BY instance_type ORDER BY i)),
-ends AS (SELECT * FROM sums WHERE i - last_bad >= {q.JOB_HOURS}),
-tails AS (
-  SELECT instance_type, max(last_bad) AS tail_bad, max(n_broke) AS all_broke,
-    coalesce(max(CASE WHEN NOT ok THEN n_paid END), 0) AS paid_to_break FROM sums GROUP BY 1),
+series AS (
+  SELECT p.instance_type, max(total_windows) AS total_windows, list(price ORDER BY p.ts, p.seq) AS prices, list(p.ts ORDER BY p.ts, p.seq) AS times
+  FROM points p JOIN zones z ON p.instance_type = z.instance_type AND p.az = z.az GROUP BY 1),
 starts AS (
-  SELECT *, i + {q.JOB_HOURS} - 1 AS earliest FROM sums
-  WHERE i % greatest(1, total_windows // 500) = 0 AND i < total_windows - 1),
+  SELECT instance_type, total_windows, times, i AS start_index, prices[i + 1:] AS ahead
+  FROM series, range(0, total_windows - 1) r(i) WHERE i % STEP = 0),
+found AS (
+  SELECT * EXCLUDE (ahead), ahead,
+    list_position(list_transform(range(1, len(ahead) + 1), lambda k: k >= {q.JOB_HOURS} AND
+      list_max(ahead[k - {q.JOB_HOURS} + 1:k]) <= {q.JOB_BUDGET}), TRUE) AS elapsed
+  FROM starts),
+lived AS (
+  SELECT *, CASE WHEN elapsed IS NULL THEN ahead ELSE ahead[1:elapsed] END AS seen FROM found),
+broken AS (
+  SELECT *, list_filter(range(2, len(seen) + 1), lambda k: seen[k] > {q.JOB_BUDGET} AND seen[k - 1] <= {q.JOB_BUDGET}) AS breaks FROM lived),
 jobs AS (
-  SELECT s.instance_type, s.total_windows, s.i AS start_index, s.ts AS submitted_at, e.i IS NOT NULL AS completed,
-    CAST(CASE WHEN e.i IS NULL THEN 0 ELSE e.n_bad - s.n_bad + CASE WHEN s.ok THEN 0 ELSE 1 END END AS BIGINT) AS wait_hours,
-    CAST(coalesce(e.n_broke, t.all_broke) - s.n_broke AS BIGINT) AS interruptions,
-    CASE WHEN e.i IS NOT NULL THEN e.n_paid - s.n_paid + CASE WHEN s.ok THEN s.price ELSE 0 END
-      WHEN t.tail_bad >= s.i THEN t.paid_to_break - s.n_paid + CASE WHEN s.ok THEN s.price ELSE 0 END
-      ELSE 0 END AS cost,
-    e.i - s.i + 1 AS elapsed_hours
-  FROM starts s ASOF LEFT JOIN ends e ON s.instance_type = e.instance_type AND e.i >= s.earliest
-  JOIN tails t ON s.instance_type = t.instance_type),
+  SELECT instance_type, total_windows, start_index, times[start_index + 1] AS submitted_at, elapsed IS NOT NULL AS completed,
+    CAST(CASE WHEN elapsed IS NULL THEN 0 ELSE len(list_filter(seen, lambda x: x > {q.JOB_BUDGET})) END AS BIGINT) AS wait_hours,
+    CAST(len(breaks) AS BIGINT) AS interruptions,
+    coalesce(list_sum(list_filter(CASE WHEN elapsed IS NOT NULL THEN seen WHEN len(breaks) = 0 THEN [] ELSE seen[1:breaks[len(breaks)]] END,
+      lambda x: x <= {q.JOB_BUDGET})), 0) AS cost,
+    CAST(elapsed AS BIGINT) AS elapsed_hours
+  FROM broken),
 pooled AS (
   SELECT *, CASE WHEN completed THEN wait_hours + CASE WHEN interruptions = 0 THEN {q.JOB_HOURS} ELSE CAST(
     {q.JOB_HOURS} * sum(CASE WHEN completed THEN 1 ELSE 0 END) OVER (PARTITION BY instance_type ORDER BY start_index) AS BIGINT)
     END END AS elapsed_hours_pooled
   FROM jobs)
 """
+_EVERY_JOB = _JOBS.replace("STEP", "1")
 
 
 def _summary(elapsed: str) -> str:
-    return f"""WITH {_JOBS},
+    return f"""WITH {_EVERY_JOB},
     ranked AS (
       SELECT *, row_number() OVER (PARTITION BY instance_type ORDER BY {elapsed} NULLS LAST) - 1 AS rank,
         count({elapsed}) OVER (PARTITION BY instance_type) AS done FROM pooled),
@@ -523,14 +521,16 @@ def _summary(elapsed: str) -> str:
 
 
 def _replay_oracles() -> dict[str, str]:
+    jobs = f"""SELECT instance_type, total_windows, start_index, submitted_at, completed, wait_hours,
+        interruptions, {_r('cost')} AS cost, elapsed_hours, elapsed_hours_pooled FROM pooled"""
     return {
         "spot_prices": f"""WITH {_SPOT} SELECT az, instance_type, price, ts, seq FROM points
-            WHERE seq % 101 <> 0 AND seq % 103 <> 0""",
+            WHERE seq % 101 <> 0 AND seq % 103 <> 0 AND seq % 109 <> 0 AND seq % 113 <> 0""",
         "gpu_instance_filter": f"""WITH spot AS ({fx.SPOT_SQL}) SELECT az, instance_type, price, ts, seq FROM spot
             WHERE regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]')""",
-        "densest_zone": f"WITH {_JOBS} SELECT instance_type, az, total_windows FROM zones",
-        "spot_replay": f"""WITH {_JOBS} SELECT instance_type, total_windows, start_index, submitted_at, completed, wait_hours,
-            interruptions, {_r('cost')} AS cost, elapsed_hours, elapsed_hours_pooled FROM pooled""",
+        "densest_zone": f"WITH {_EVERY_JOB} SELECT instance_type, az, total_windows FROM zones",
+        "spot_replay": f"WITH {_EVERY_JOB} {jobs}",
+        "spot_replay_sampled": f"WITH {_JOBS.replace('STEP', 'greatest(1, total_windows // 200)')} {jobs}",
         "replay_summary": _summary("elapsed_hours_pooled"),
         "replay_all_types": _summary("elapsed_hours"),
         "gpu_types": f"""WITH spot AS ({fx.SPOT_SQL}) SELECT DISTINCT instance_type FROM spot
@@ -604,9 +604,7 @@ def _series_oracles() -> dict[str, str]:
     weekday = "(isodow(captured_at) - 1)"
     return {
         "hourly_series": f"{_COMMON}, {_HOURLY} SELECT * FROM hourly",
-        "stream_hourly_series": f"""{_COMMON}, {_HOURLY}
-            SELECT * FROM hourly WHERE captured_at + INTERVAL 1 HOUR <= (
-              SELECT max(captured_at) - INTERVAL 2 HOUR FROM offers WHERE price_per_gpu_hr > 0)""",
+        "stream_hourly_series": f"{_COMMON}, {_HOURLY} SELECT * FROM hourly",
         "decompose": _decomposed("TRUE"),
         "gpu_decompose": _decomposed(f"gpu_name = '{q.FOCUS_GPU}'"),
         "decompose_points": f"""{_COMMON}, {_HOURLY}, {_PARTS}

@@ -225,8 +225,11 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
     return replay.keep_gpu_points(fx.spot_history(spark, sf))
 
 
-def _replay(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(replay.replay_jobs(_points(spark, sf), JOB_BUDGET, JOB_HOURS).drop("az"), 4)
+def _replay(max_starts: int | None = None) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return _rounded(replay.replay_jobs(_points(spark, sf), JOB_BUDGET, JOB_HOURS, max_starts=max_starts).drop("az"), 4)
+
+    return query
 
 
 def _replay_summary(compat: bool, gpu_type: str | None = None) -> Query:
@@ -334,7 +337,8 @@ def queries() -> dict[str, Query]:
         "spot_prices": _spot_prices,
         "gpu_instance_filter": _gpu_points,
         "densest_zone": lambda s, d: replay.densest_zone(_points(s, d)),
-        "spot_replay": _replay,
+        "spot_replay": _replay(),
+        "spot_replay_sampled": _replay(max_starts=200),
         "replay_summary": _replay_summary(True),
         "replay_all_types": _replay_summary(False),
         "gpu_types": lambda s, d: replay.gpu_types(fx.spot_history(s, d)),

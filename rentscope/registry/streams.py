@@ -27,17 +27,19 @@ def _offer_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = fx.payloads(spark, sf_dir)
-    landed, offers = new_path(spark, "landed"), new_path(spark, "offers")
-    tables.land_payloads(payloads, landed)
-    jobs.stream_ingest(spark, landed, offers, new_path(spark, "stream"), payloads.schema).awaitTermination()
+    """Runs whose payloads land in two parts: the web pages first, all other answers later."""
+    payloads = save(fx.payloads(spark, sf_dir), "payloads")
+    landed, offers, checkpoint = new_path(spark, "landed"), new_path(spark, "offers"), new_path(spark, "stream")
+    for first in (F.col("source") == "price_page", F.col("source") != "price_page"):
+        tables.land_payloads(payloads.filter(first), landed)
+        jobs.stream_ingest(spark, landed, offers, checkpoint, payloads.schema).awaitTermination()
     return tables.read_offers(spark, offers)
 
 
 def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, out = _offer_stream(spark, sf_dir), new_path(spark, "hourly")
-    jobs.stream_hourly_series(stream, out, new_path(spark, "stream")).awaitTermination()
-    return spark.read.schema(jobs.hourly_series_stream(stream).schema).parquet(out)
+    jobs.stream_hourly_series(stream, new_path(spark, "offers"), out, new_path(spark, "stream")).awaitTermination()
+    return spark.read.schema(schemas.HOURLY_SERIES).parquet(out).select(*schemas.HOURLY_SERIES.names)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:

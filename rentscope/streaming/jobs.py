@@ -1,9 +1,8 @@
 """Streaming jobs: landed payloads to offers, hourly prices, alerts.
 
 Each job is a file-source stream with a checkpoint; ``availableNow`` drains what has landed and
-stops, which replaces a collector that runs every N minutes. Batch outputs go to a folder of
-their own that a repeated batch overwrites, so a restart after a lost executor or driver adds
-nothing twice.
+stops, which replaces a collector that runs every N minutes. Batches replace whole partitions,
+so a restart after a lost executor or driver adds nothing twice.
 """
 
 from __future__ import annotations
@@ -17,10 +16,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rentscope import schemas
 from rentscope.operators.ingest import collect_run
+from rentscope.operators.series import hourly_series
 from rentscope.operators.serving import spread_alerts
 from rentscope.plans.recency import DAY
-
-WATERMARK = "2 hours"
+from rentscope.plans.saved import save
+from rentscope.sources.tables import landed_schema, read_payloads, with_ids
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -34,43 +34,55 @@ def _drain(stream: DataFrame, each: Batch, checkpoint: str) -> StreamingQuery:
     )
 
 
-def _batch_folder(root: str, batch_id: int) -> str:
-    return f"{root}/batch_id={batch_id}"
+def _replace(rows: DataFrame, path: str, *parts: str) -> None:
+    """Write ``rows`` in place of the partitions they belong to; others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
+
+
+def _add_batch(batch: DataFrame, table: str, batch_id: int) -> None:
+    """Offers of a batch into a table by day; a repeated batch replaces what it wrote."""
+    _replace(batch.withColumn(DAY, F.to_date("captured_at")).withColumn("batch_id", F.lit(batch_id)), table, DAY, "batch_id")
+
+
+def _table_of(batch: DataFrame, table: str) -> DataFrame:
+    schema = T.StructType([*batch.schema.fields, T.StructField(DAY, T.DateType())])
+    return batch.sparkSession.read.schema(schema).parquet(table)
 
 
 def stream_ingest(
     spark: SparkSession, landed: str, offers: str, checkpoint: str, schema: T.StructType = schemas.PAYLOADS
 ) -> StreamingQuery:
-    """Parse newly landed payloads into the offers table. A run's payloads land together."""
+    """Parse newly landed payloads into the offers table, day by day.
+
+    A run's payloads may land in several batches. Each batch decides the runs of the days it
+    touches anew, from all of their payloads that are stored, and replaces these days; ids stay
+    the same. The landed folder is partitioned by day, so other days are not read.
+    """
 
     def parse(batch: DataFrame, batch_id: int) -> None:
-        rows = collect_run(batch).withColumn(DAY, F.to_date("captured_at"))
-        rows.write.mode("overwrite").partitionBy(DAY).parquet(_batch_folder(offers, batch_id))
+        days = [r[DAY] for r in batch.select(DAY).distinct().collect()]
+        payloads = save(read_payloads(spark, landed, schema).filter(F.col(DAY).isin(days)), "payloads")
+        rows = with_ids(collect_run(payloads)).withColumn(DAY, F.to_date("captured_at"))
+        _replace(rows.hint("rebalance", DAY), offers, DAY)
 
-    return _drain(spark.readStream.schema(schema).parquet(landed), parse, checkpoint)
+    return _drain(spark.readStream.schema(landed_schema(schema)).parquet(landed), parse, checkpoint)
 
 
-def hourly_series_stream(offers: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Lowest price and offers per hour; an hour is final once the watermark has passed it."""
-    return (
-        offers.filter(F.col("price_per_gpu_hr") > 0)
-        .withWatermark("captured_at", watermark)
-        .groupBy(F.window("captured_at", "1 hour").alias("hour"), "provider", "gpu_name")
-        .agg(F.min("price_per_gpu_hr").alias("price"), F.count("*").alias("offer_count"))
-        .select(F.col("hour.start").alias("captured_at"), "provider", "gpu_name", "price", "offer_count")
-    )
+def stream_hourly_series(offers: DataFrame, table: str, out: str, checkpoint: str) -> StreamingQuery:
+    """Lowest price and offers per hour, complete after every batch.
 
+    A batch is added to the offers table; then the days it touches are made anew from that table,
+    so late offers count whenever they come.
+    """
 
-def stream_hourly_series(offers: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    return (
-        hourly_series_stream(offers)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def update(batch: DataFrame, batch_id: int) -> None:
+        needed = batch.select("captured_at", "provider", "gpu_name", "price_per_gpu_hr")
+        _add_batch(needed, table, batch_id)
+        days = save(needed.select(F.to_date("captured_at").alias(DAY)).distinct(), "days")
+        touched = _table_of(needed, table).join(days, DAY, "left_semi")
+        _replace(hourly_series(touched).withColumn(DAY, F.to_date("captured_at")), out, DAY)
+
+    return _drain(offers, update, checkpoint)
 
 
 def stream_alerts(
@@ -81,12 +93,10 @@ def stream_alerts(
     ``windows`` is the stored outcome of ``provider_windows``. The table is partitioned by day,
     so that a batch reads the last days, not the history.
     """
-    spark = new_offers.sparkSession
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn(DAY, F.to_date("captured_at"))
-        stamped.write.mode("overwrite").partitionBy(DAY).parquet(_batch_folder(table, batch_id))
-        offers = spark.read.schema(stamped.schema).parquet(table)
-        spread_alerts(offers, windows).write.mode("overwrite").parquet(_batch_folder(alerts, batch_id))
+        _add_batch(batch, table, batch_id)
+        found = spread_alerts(_table_of(batch, table), windows)
+        found.write.mode("overwrite").parquet(f"{alerts}/batch_id={batch_id}")
 
     return _drain(new_offers, judge, checkpoint)

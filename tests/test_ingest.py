@@ -191,3 +191,32 @@ def test_bad_payload_is_logged_and_isolated(spark):
 def test_snapshot_id(spark):
     df = spark.sql("SELECT timestamp'2024-05-06 07:08:09.123456' AS t")
     assert df.select(ingest.make_snapshot_id(F.col("t"))).first()[0] == "snap_20240506_070809_123"
+
+
+def test_numbers_as_texts(spark):
+    """Quoted numbers count like plain ones; texts that are no numbers count as absent."""
+    import json
+
+    from rentscope.operators import ingest
+
+    def landed(provider, source, body):
+        return spark.createDataFrame([("s", "2024-01-01 00:00:00", provider, source, json.dumps(body))], "snapshot_id string, t string, provider string, source string, payload string").selectExpr(
+            "snapshot_id", "CAST(t AS timestamp) AS captured_at", "provider", "source", "payload"
+        )
+
+    offer = {"id": 7, "gpu_name": "RTX 4090", "num_gpus": "2", "gpu_ram": "24576", "dph_total": "0.80", "reliability2": "bad"}
+    (row,) = ingest.ingest_marketplace(landed("vast", "marketplace", {"offers": [offer]})).collect()
+    assert (row["price_per_gpu_hr"], row["price_total_hr"], row["gpu_count"], row["vram_gb"], row["reliability_score"]) == (0.4, 0.8, 2, 24.0, 0.0)
+    rows = ingest.ingest_price_list(landed("spheron", "price_list", [{"name": "L40S", "onDemandPrice": "0.86", "spotPrice": "n/a", "vram": "48"}])).collect()
+    assert [(r["price_per_gpu_hr"], r["vram_gb"], r["interruptible"]) for r in rows] == [(0.86, 48.0, 0)]
+    kind = {"id": "x", "displayName": "L4", "memoryInGb": "24", "lowestPrice": {"minimumBidPrice": "0.2", "uninterruptablePrice": None}}
+    (row,) = ingest.ingest_gpu_types(landed("runpod", "gpu_types", {"data": {"gpuTypes": [kind]}})).collect()
+    assert (row["price_per_gpu_hr"], row["vram_gb"]) == (0.2, 24.0)
+
+
+def test_chosen_providers_only(spark, small_dir):
+    from rentscope.operators import ingest
+    from rentscope.registry import fixtures as fx
+
+    found = ingest.collect_run(fx.payloads(spark, small_dir), providers=["akash"])
+    assert {r["provider"] for r in found.select("provider").distinct().collect()} == {"akash"}

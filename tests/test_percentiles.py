@@ -38,6 +38,22 @@ def test_heavy_group(spark):
             assert r[name] == pytest.approx(np.percentile(group, p * 100), rel=1e-12)
 
 
+def test_hot_band_is_split(spark, monkeypatch):
+    """Three million distinct prices within 0.3 per cent: no cell that is ordered holds many."""
+    from rentscope.plans import quantiles
+
+    kept = []
+    real = quantiles.save
+    monkeypatch.setattr(quantiles, "save", lambda df, label: kept.append(real(df, label)) or kept[-1])
+    n = 3_000_000
+    df = spark.range(n).selectExpr("'g' AS k", "1.0D + id * 1e-9D AS v")
+    (r,) = exact_percentiles(df, ["k"], "v", PROBS).collect()
+    for name, p in PROBS.items():
+        assert r[name] == pytest.approx(1 + (n - 1) * p * 1e-9, rel=1e-15)
+    widest = [cells.agg({"_rows": "max"}).first()[0] for cells in kept]
+    assert widest[0] > n / 3 and widest[-1] <= quantiles.ORDERED_ROWS
+
+
 OFFER = "gpu_name string, provider string, price_per_gpu_hr double, interruptible int, snapshot_id string, vram_gb double"
 RUNS = "snapshot_id string, started_at timestamp, finished_at timestamp"
 

@@ -1,8 +1,9 @@
-"""Replays against a walk through every job, over many small blocks."""
+"""Replays against a search of every job, over many small blocks."""
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
@@ -39,31 +40,30 @@ def points(spark, series: dict[tuple[str, str], list[float]]):
     )
 
 
-def walk(prices: list[float], budget: float, hours: float, max_starts: int = 500) -> dict[int, dict]:
-    """Each job on its own: wait, run, start over."""
+def expected_jobs(prices: list[float], budget: float, hours: float, max_starts: int | None = None) -> dict[int, dict]:
+    """Every job by searching its series: where enough affordable points in a row end, and what lies before."""
     need = max(1, math.ceil(hours))
-    out, pooled_run = {}, 0
-    for start in range(0, len(prices) - 1, max(1, len(prices) // max_starts)):
-        run, waited, breaks, spent, attempt, done = 0, 0, 0, 0.0, 0.0, None
-        for at in range(start, len(prices)):
-            if prices[at] > budget:
-                waited += 1
-                if run:
-                    breaks, spent, run, attempt = breaks + 1, spent + attempt, 0, 0.0
-            else:
-                run, attempt = run + 1, attempt + prices[at]
-                if run == need:
-                    spent, done = spent + attempt, at
-                    break
-        if done is not None:
-            pooled_run += need
+    ok = [p <= budget for p in prices]
+    ends = [e for e in range(need - 1, len(prices)) if all(ok[e - need + 1 : e + 1])]
+    breaks = [i for i in range(1, len(prices)) if ok[i - 1] and not ok[i]]
+    step = 1 if max_starts is None else max(1, len(prices) // max_starts)
+    out, n_done = {}, 0
+    for start in range(0, len(prices) - 1, step):
+        later = bisect_left(ends, start + need - 1)
+        end = ends[later] if later < len(ends) else None
+        stop = len(prices) if end is None else end + 1
+        broken = [i for i in breaks if start < i < stop]
+        paid_to = stop if end is not None else (broken[-1] if broken else start)
+        cost = sum(p for p, fits in zip(prices[start:paid_to], ok[start:paid_to], strict=True) if fits)
+        waited = 0 if end is None else ok[start:stop].count(False)
+        n_done += end is not None
         out[start] = {
-            "completed": done is not None,
-            "wait_hours": waited if done is not None else 0,
-            "interruptions": breaks,
-            "cost": round(spent, 6),
-            "elapsed_hours": None if done is None else done - start + 1,
-            "elapsed_hours_pooled": None if done is None else waited + (pooled_run if breaks else need),
+            "completed": end is not None,
+            "wait_hours": waited,
+            "interruptions": len(broken),
+            "cost": round(cost, 6),
+            "elapsed_hours": None if end is None else stop - start,
+            "elapsed_hours_pooled": None if end is None else waited + need * (n_done if broken else 1),
         }
     return out
 
@@ -82,11 +82,11 @@ prices = st.lists(st.sampled_from([0.5, 1.0, 2.0, 3.0]), min_size=2, max_size=40
 
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(prices, min_size=3, max_size=3), st.sampled_from([0.7, 1.5, 2.5]), st.sampled_from([0.5, 1.0, 2.2, 4.0]))
-def test_replay_equals_walk(spark, series, budget, hours):
+def test_replay_equals_search(spark, series, budget, hours):
     data = {(f"g5.{i}", "a"): p for i, p in enumerate(series)}
     with small_blocks(11):
         found = found_jobs(replay.replay_jobs(points(spark, data), budget, hours))
-    assert found == {kind: walk(p, budget, hours) for (kind, _), p in data.items()}
+    assert found == {kind: expected_jobs(p, budget, hours) for (kind, _), p in data.items()}
 
 
 def test_one_heavy_series_over_many_blocks(spark):
@@ -101,14 +101,14 @@ def test_one_heavy_series_over_many_blocks(spark):
         sizes = [r["count"] for r in placed.filter("instance_type = 'g5.heavy'").groupBy("block").count().collect()]
         assert len(sizes) >= 6 and max(sizes) < 1500
         found = found_jobs(replay.replay_jobs(df, 3.0, 4))
-    assert found == {kind: walk(p, 3.0, 4) for (kind, _), p in data.items()}
+    assert found == {kind: expected_jobs(p, 3.0, 4) for (kind, _), p in data.items()}
 
 
 def test_summary(spark):
     """ok, bad, ok, ok with two hours: one break, one wait hour, done at the fourth point."""
     data = {("g5.x", "a"): [1.0, 9.0, 1.0, 1.0], ("g5.never", "a"): [9.0, 9.0, 9.0], ("g5.single", "a"): [1.0]}
     rows = {r["instance_type"]: r for r in replay.replay_summary(points(spark, data), 2.0, 2).collect()}
-    jobs = walk(data[("g5.x", "a")], 2.0, 2)
+    jobs = expected_jobs(data[("g5.x", "a")], 2.0, 2)
     assert jobs[0]["interruptions"] == 1 and jobs[0]["wait_hours"] == 1 and jobs[0]["elapsed_hours"] == 4
     x = rows["g5.x"]
     done = sorted(j["elapsed_hours"] for j in jobs.values() if j["completed"])
@@ -122,10 +122,13 @@ def test_summary(spark):
     assert rows["g5.single"]["total_windows"] == 1 and rows["g5.single"]["completion_rate"] == 0
 
 
-def test_sampled_starts(spark):
+def test_all_starts_or_a_sample(spark):
     series = [float(i % 5) for i in range(1203)]
-    found = found_jobs(replay.replay_jobs(points(spark, {("g4.x", "a"): series}), 2.0, 3))
-    assert found["g4.x"] == walk(series, 2.0, 3) and set(found["g4.x"]) == set(range(0, 1202, 2))
+    df = points(spark, {("g4.x", "a"): series})
+    every = found_jobs(replay.replay_jobs(df, 2.0, 3))["g4.x"]
+    assert every == expected_jobs(series, 2.0, 3) and set(every) == set(range(1202))
+    some = found_jobs(replay.replay_jobs(df, 2.0, 3, max_starts=500))["g4.x"]
+    assert some == expected_jobs(series, 2.0, 3, 500) and set(some) == set(range(0, 1202, 2))
 
 
 def test_densest_zone_and_given_zone(spark):
@@ -152,6 +155,9 @@ def test_archive_lines(spark, tmp_path):
         "use1-az1\tg5.xlarge\tWindows\t1.0\t2024-01-01T00:00:00",
         "use1-az1\tg4dn.xlarge\tLinux/UNIX\t1.0\t2024-01-01T00:00:00",
         "use1-az1\tg5.xlarge\tLinux/UNIX\t1.0\tyesterday",
+        "use1-az1\tg5.xlarge\tLinux/UNIX\t1.0\t10:00:00",
+        "use1-az1\tg5.xlarge\tLinux/UNIX\t1.0\t2024-03",
+        "use1-az1\tg5.xlarge\tLinux/UNIX\t1.0\t2024",
     ]
     body = zstandard.ZstdCompressor().compress(("\n".join(lines) + "\n").encode())
     (tmp_path / "a.tsv.zst").write_bytes(body)

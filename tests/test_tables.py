@@ -38,7 +38,17 @@ def test_recency_prunes_days(stored):
     for report in (summary.provider_coverage, serving.price_comparison):
         plan = scanned_days(report(stored))
         filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
-        assert filters and all("capture_date" in f for f in filters if f) and any("Subquery" in f for f in filters)
+        assert filters and all("capture_date" in f for f in filters)
+
+
+def test_single_runs_read_their_day(spark, small_dir, stored):
+    runs = fx.snapshots(spark, small_dir)
+    last = runs.orderBy(F.desc("started_at")).first()["snapshot_id"]
+    for report in (summary.latest_snapshot(stored, runs), summary.snapshot_summary(stored, last, runs)):
+        assert report.count() > 0
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        filters = [part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:]]
+        assert any("capture_date" in f and "Subquery" in f for f in filters)
 
 
 def test_json_and_csv(spark, tmp_path):
@@ -94,20 +104,63 @@ def test_ingest_stream_takes_each_payload_once(spark, small_dir, tmp_path):
     assert first < drain() == ingest_monthly_prices(payloads).count()
 
 
-def test_late_hours_are_dropped(spark, tmp_path):
+def test_split_runs_count_once(spark, small_dir, tmp_path):
+    """A run's web page lands before its service answer; the answer then replaces the page's rows."""
+    from rentscope.operators.ingest import collect_run
+
+    payloads = fx.price_list_payloads(spark, small_dir, "kind = 0").unionByName(fx.price_page_payloads(spark, small_dir))
+    landed, offers, checkpoint = (str(tmp_path / name) for name in ("landed", "offers", "checkpoint"))
+    for first in (F.col("source") == "price_page", F.col("source") == "price_list"):
+        tables.land_payloads(payloads.filter(first), landed)
+        jobs.stream_ingest(spark, landed, offers, checkpoint, payloads.schema).awaitTermination()
+    found, expected = (
+        sorted(map(tuple, df.select("snapshot_id", "offer_id", "price_per_gpu_hr", "extra_json").collect()))
+        for df in (tables.read_offers(spark, offers), collect_run(payloads))
+    )
+    assert found == expected
+    ids = [r["id"] for r in tables.read_offers(spark, offers).select("id").collect()]
+    assert None not in ids and len(set(ids)) == len(ids)
+
+
+def test_late_hours_count(spark, tmp_path):
     schema = "captured_at timestamp, provider string, gpu_name string, price_per_gpu_hr double"
-    landed, out, checkpoint = (str(tmp_path / name) for name in ("landed", "out", "checkpoint"))
+    landed, table, out, checkpoint = (str(tmp_path / name) for name in ("landed", "table", "out", "checkpoint"))
 
     def land(*rows):
         spark.createDataFrame(rows, "t string, provider string, gpu_name string, price_per_gpu_hr double").selectExpr(
             "CAST(t AS timestamp) AS captured_at", "provider", "gpu_name", "price_per_gpu_hr"
         ).write.mode("append").parquet(landed)
         stream = spark.readStream.schema(schema).parquet(landed)
-        jobs.stream_hourly_series(stream, out, checkpoint).awaitTermination()
-
-    land(("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-01 00:50:00", "p", "g", 1.0), ("2024-01-01 05:00:00", "p", "g", 3.0))
-    land(("2024-01-01 00:20:00", "p", "g", 0.5), ("2024-01-01 09:00:00", "p", "g", 4.0))
-    rows = spark.read.parquet(out).orderBy("captured_at").collect()
-    assert [(str(r["captured_at"]), r["price"], r["offer_count"]) for r in rows] == [
-        ("2024-01-01 00:00:00", 1.0, 2), ("2024-01-01 05:00:00", 3.0, 1),
+        jobs.stream_hourly_series(stream, table, out, checkpoint).awaitTermination()
+        rows = spark.read.parquet(out).orderBy("captured_at").collect()
+        return [(str(r["captured_at"]), r["price"], r["offer_count"]) for r in rows]
+
+    first = land(("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-01 00:50:00", "p", "g", 1.0), ("2024-01-01 05:00:00", "p", "g", 3.0))
+    assert first == [("2024-01-01 00:00:00", 1.0, 2), ("2024-01-01 05:00:00", 3.0, 1)]
+    assert land(("2024-01-01 00:20:00", "p", "g", 0.5), ("2024-01-02 09:00:00", "p", "g", 4.0)) == [
+        ("2024-01-01 00:00:00", 0.5, 3), ("2024-01-01 05:00:00", 3.0, 1), ("2024-01-02 09:00:00", 4.0, 1),
     ]
+
+
+def test_ids_are_stable(spark, small_dir):
+    """The same rows get the same ids, and equal rows different ones."""
+    from rentscope.operators.ingest import ingest_gpu_types
+
+    rows = ingest_gpu_types(fx.gpu_type_payloads(spark, small_dir))
+    doubled = rows.unionByName(rows)
+    first, second = ({r["id"] for r in tables.with_ids(df).collect()} for df in (doubled, doubled.repartition(7)))
+    assert first == second and len(first) == doubled.count()
+    assert {r["id"] for r in tables.with_ids(rows).collect()} < first
+
+
+def test_run_log_keeps_the_last_row(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    columns = ["snapshot_id", "started_at", "finished_at", "all_offers", "errors"]
+    for finished, n in ((None, 0), ("2024-01-01 00:05:00", 3)):
+        rows = spark.createDataFrame([("s", "2024-01-01 00:00:00", finished, n, ["x: no rows"])], "a string, b string, c string, d long, e array<string>").toDF(*columns)
+        tables.append_snapshots(tables.typed(rows, schemas.SNAPSHOTS), path)
+    (row,) = tables.read_snapshots(spark, path).collect()
+    assert str(row["finished_at"]) == "2024-01-01 00:05:00" and row["all_offers"] == 3
+    empty = spark.createDataFrame([], schemas.OFFERS)
+    (report,) = summary.run_report(empty, tables.read_snapshots(spark, path)).collect()
+    assert (report["provider"], report["cnt"], report["errors"], report["finished_at"]) == (None, 0, ["x: no rows"], "2024-01-01 00:05")
