@@ -7,6 +7,7 @@ straight from the events that the payloads were built from.
 
 from __future__ import annotations
 
+from rentscope.operators.series import FEATURES
 from rentscope.registry import fixtures as fx
 from rentscope.registry import queries as q
 
@@ -568,19 +569,24 @@ def _decomposed(where: str) -> str:
     FROM parts WHERE {where} GROUP BY 1, 2 HAVING count(*) >= 4"""
 
 
+_OUTLOOK = f"""
+ranked_hours AS (
+  SELECT *, row_number() OVER (PARTITION BY provider, gpu_name ORDER BY captured_at DESC) AS back FROM hourly WHERE %s),
+whole AS (
+  SELECT provider, gpu_name, max(captured_at) AS last, avg(offer_count) AS mean,
+    avg(CASE WHEN back <= 6 THEN offer_count END) AS recent FROM ranked_hours GROUP BY 1, 2 HAVING count(*) >= 3),
+profile AS (SELECT provider, gpu_name, hour(captured_at) AS h, avg(offer_count) AS mean FROM ranked_hours GROUP BY 1, 2, 3),
+ahead AS (
+  SELECT whole.*, CAST(k AS INTEGER) AS hours_ahead, last + INTERVAL (k) HOUR AS timestamp FROM whole, range(1, 7) r(k)),
+outlook AS (
+  SELECT a.provider, a.gpu_name, hours_ahead, timestamp,
+    {_r('0.7 * coalesce(p.mean, a.mean) + 0.3 * recent', 1)} AS predicted_offers
+  FROM ahead a LEFT JOIN profile p ON a.provider = p.provider AND a.gpu_name = p.gpu_name AND p.h = hour(timestamp))
+"""
+
+
 def _outlook(where: str) -> str:
-    return f"""{_COMMON}, {_HOURLY},
-    ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY provider, gpu_name ORDER BY captured_at DESC) AS back FROM hourly WHERE {where}),
-    whole AS (
-      SELECT provider, gpu_name, max(captured_at) AS last, avg(offer_count) AS mean,
-        avg(CASE WHEN back <= 6 THEN offer_count END) AS recent FROM ranked GROUP BY 1, 2 HAVING count(*) >= 3),
-    profile AS (SELECT provider, gpu_name, hour(captured_at) AS h, avg(offer_count) AS mean FROM ranked GROUP BY 1, 2, 3),
-    ahead AS (
-      SELECT whole.*, CAST(k AS INTEGER) AS hours_ahead, last + INTERVAL (k) HOUR AS timestamp FROM whole, range(1, 7) r(k))
-    SELECT a.provider, a.gpu_name, hours_ahead, timestamp,
-      {_r('0.7 * coalesce(p.mean, a.mean) + 0.3 * recent', 1)} AS predicted_offers
-    FROM ahead a LEFT JOIN profile p ON a.provider = p.provider AND a.gpu_name = p.gpu_name AND p.h = hour(timestamp)"""
+    return f"{_COMMON}, {_HOURLY}, {_OUTLOOK % where} SELECT * FROM outlook"
 
 
 _SPREAD = f"""
@@ -645,5 +651,116 @@ def _series_oracles() -> dict[str, str]:
     }
 
 
+# The forecast model: standardised rows, normal equations with the penalty on the diagonal, elimination
+# column by column, then 24 steps on a growing list of prices.
+_WEEKDAY = "2 * pi() * (isodow({at}) - 1) / 7"
+_CLOCK = "2 * pi() * hour({at}) / 24"
+
+
+def _clock(at: str) -> str:
+    hour, weekday = _CLOCK.format(at=at), _WEEKDAY.format(at=at)
+    return f"sin({hour}), cos({hour}), sin({weekday}), cos({weekday})"
+
+
+_MODEL = f"""
+lagged AS (
+  SELECT *, CAST(row_number() OVER s - 1 AS DOUBLE) AS t, lag(price) OVER s AS l1, lag(price, 6) OVER s AS l6, lag(price, 24) OVER s AS l24,
+    lag(price, 168) OVER s AS l168, avg(price) OVER d AS day_mean, stddev_samp(price) OVER d AS day_std, avg(price) OVER w AS week_mean,
+    lag(offer_count) OVER s AS offers_before
+  FROM hourly WINDOW s AS (PARTITION BY provider, gpu_name ORDER BY captured_at),
+    d AS (PARTITION BY provider, gpu_name ORDER BY captured_at ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING),
+    w AS (PARTITION BY provider, gpu_name ORDER BY captured_at ROWS BETWEEN 168 PRECEDING AND 1 PRECEDING)),
+train AS (
+  SELECT provider, gpu_name, captured_at, price AS y, [t, {_clock('captured_at')}, l1, l6, l24, l168, day_mean, day_std, week_mean,
+    CAST(offer_count AS DOUBLE), CAST(offers_before AS DOUBLE)] AS x FROM lagged WHERE t >= 168),
+cells AS (SELECT provider, gpu_name, captured_at, y, unnest(range(1, 15)) AS i, unnest(x) AS v FROM train),
+scales AS (
+  SELECT provider, gpu_name, i, avg(v) AS m, CASE WHEN stddev_pop(v) = 0 THEN 1 ELSE stddev_pop(v) END AS s FROM cells GROUP BY ALL),
+levels AS (SELECT provider, gpu_name, avg(y) AS level FROM train GROUP BY ALL HAVING count(*) >= 10),
+scaled AS (
+  SELECT c.provider, c.gpu_name, c.captured_at, c.i, (v - m) / s AS z, y - level AS rest
+  FROM cells c JOIN scales k ON c.provider = k.provider AND c.gpu_name = k.gpu_name AND c.i = k.i
+  JOIN levels l ON c.provider = l.provider AND c.gpu_name = l.gpu_name),
+sums AS (
+  SELECT a.provider, a.gpu_name, a.i, b.i AS j, sum(a.z * b.z) + CASE WHEN a.i = b.i THEN 1 ELSE 0 END AS g
+  FROM scaled a JOIN scaled b ON a.provider = b.provider AND a.gpu_name = b.gpu_name AND a.captured_at = b.captured_at GROUP BY 1, 2, 3, 4
+  UNION ALL SELECT provider, gpu_name, i, 15, sum(z * rest) FROM scaled GROUP BY ALL),
+lines AS (SELECT provider, gpu_name, i, list(g ORDER BY j) AS r FROM sums GROUP BY ALL),
+steps AS (
+  SELECT provider, gpu_name, 1 AS k, list(r ORDER BY i) AS m FROM lines GROUP BY ALL
+  UNION ALL
+  SELECT provider, gpu_name, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+    ELSE list_transform(r, lambda x, j: x - r[k] / m[k][k] * m[k][j]) END)
+  FROM steps WHERE k <= 14),
+weights AS (SELECT provider, gpu_name, list_transform(m, lambda r: r[15]) AS w FROM steps WHERE k = 15),
+errors AS (
+  SELECT s.provider, s.gpu_name, s.captured_at, any_value(rest) - sum(z * w[i]) AS e
+  FROM scaled s JOIN weights w ON s.provider = w.provider AND s.gpu_name = w.gpu_name GROUP BY 1, 2, 3),
+bands AS (SELECT provider, gpu_name, 1.96 * stddev_pop(e) AS band FROM errors GROUP BY ALL),
+known AS (
+  SELECT h.provider, h.gpu_name, list(price ORDER BY captured_at) AS h, max(captured_at) AS last_at, count(*) AS n,
+    list(CAST(offer_count AS DOUBLE) ORDER BY captured_at) AS offers FROM hourly h GROUP BY ALL),
+fixed AS (SELECT provider, gpu_name, list(m ORDER BY i) AS ms, list(s ORDER BY i) AS ss FROM scales GROUP BY ALL),
+walk AS (
+  SELECT k.provider, k.gpu_name, 0 AS step, h, last_at, n, offers, level, w, ms, ss, band, CAST(NULL AS DOUBLE) AS f
+  FROM known k JOIN levels l ON k.provider = l.provider AND k.gpu_name = l.gpu_name
+  JOIN weights w ON k.provider = w.provider AND k.gpu_name = w.gpu_name
+  JOIN fixed x ON k.provider = x.provider AND k.gpu_name = x.gpu_name JOIN bands b ON k.provider = b.provider AND k.gpu_name = b.gpu_name
+  UNION ALL
+  SELECT provider, gpu_name, step + 1, list_append(h, next), last_at, n, offers, level, w, ms, ss, band, next
+  FROM (SELECT *, greatest(level + list_sum(list_transform(range(1, 15), lambda i: (x[i] - ms[i]) / ss[i] * w[i])), 0) AS next
+    FROM (SELECT *, [CAST(n + step AS DOUBLE), {_clock('moment')}, h[-1], h[-6], h[-24], h[-168], list_avg(h[-24:]),
+        list_aggregate(h[-24:], 'stddev_pop'), list_avg(h[-168:]), offers[-1], CASE WHEN step = 0 THEN offers[-2] ELSE offers[-1] END] AS x
+      FROM (SELECT *, last_at + to_hours(step + 1) AS moment FROM walk WHERE step < 24)))),
+points AS (
+  SELECT provider, gpu_name, CAST(step AS INTEGER) AS hours_ahead, last_at + to_hours(step) AS timestamp, f AS forecast,
+    greatest(f - band, 0) AS lower_95, f + band AS upper_95
+  FROM walk WHERE step > 0),
+shares AS (
+  SELECT provider, gpu_name, unnest(range(1, 15)) AS i, unnest(list_transform(w, lambda x: abs(x) / (list_sum(list_transform(w, lambda v: abs(v))) + 1e-9))) AS share
+  FROM weights),
+ranked AS (
+  SELECT provider, gpu_name, CAST(row_number() OVER (PARTITION BY provider, gpu_name ORDER BY round(share, 4) DESC, i) AS INTEGER) AS rank,
+    ({FEATURES!r})[i] AS feature, round(share, 4) AS importance FROM shares)
+"""
+_RECURSIVE = _COMMON.replace("WITH", "WITH RECURSIVE", 1)
+
+
+def _forecast_oracles() -> dict[str, str]:
+    model = f"{_RECURSIVE}, {_HOURLY}, {_MODEL}"
+    points = f"""SELECT provider, gpu_name, hours_ahead, timestamp, {_r('forecast', 6)} AS forecast, {_r('lower_95', 6)} AS lower_95,
+        {_r('upper_95', 6)} AS upper_95 FROM points"""
+    windows = f"""{model}, {_PARTS},
+    trends AS (
+      SELECT provider, gpu_name, regr_slope(trend, i) AS slope, least(1.0, stddev_samp(seasonal) / stddev_samp(price - trend)) AS strength
+      FROM parts GROUP BY ALL HAVING count(*) >= 4),
+    {_OUTLOOK % 'TRUE'},
+    price_levels AS (
+      SELECT provider, gpu_name, quantile_cont(price, 0.1) AS p10, quantile_cont(price, 0.5) AS p50, quantile_cont(price, 0.9) AS p90,
+        stddev_pop(price) / (avg(price) + 1e-9) AS vol, avg(CASE WHEN offer_count > 0 THEN 1.0 ELSE 0.0 END) AS avail,
+        arg_max(price, captured_at) AS last, count(price) AS n FROM hourly GROUP BY ALL),
+    tops AS (SELECT provider, gpu_name, string_agg(feature, ',' ORDER BY rank) AS top_features FROM ranked WHERE rank <= 3 GROUP BY ALL),
+    windows AS (
+      SELECT p.provider, p.gpu_name AS gpu_class, timestamp AS forecast_timestamp, TIMESTAMP '2024-02-01 00:00:00' AS generated_at,
+        p.hours_ahead AS forecast_hours_ahead, {_r('forecast')} AS price_forecast, {_r('lower_95')} AS price_forecast_lower,
+        {_r('upper_95')} AS price_forecast_upper, {_r('last')} AS last_actual_price, {_r('p10')} AS price_per_gpu_hour_p10,
+        {_r('p50')} AS price_per_gpu_hour_p50, {_r('p90')} AS price_per_gpu_hour_p90, {_r('vol')} AS price_volatility,
+        {_r('avail')} AS availability_probability, {_r('slope', 6)} AS trend_slope_per_hour, {_r('strength')} AS seasonal_strength,
+        o.predicted_offers, l.n AS n_price_samples, top_features
+      FROM points p JOIN price_levels l ON p.provider = l.provider AND p.gpu_name = l.gpu_name
+      JOIN trends t ON p.provider = t.provider AND p.gpu_name = t.gpu_name JOIN tops x ON p.provider = x.provider AND p.gpu_name = x.gpu_name
+      LEFT JOIN (SELECT provider, gpu_name, hours_ahead, predicted_offers FROM outlook) o
+        ON p.provider = o.provider AND p.gpu_name = o.gpu_name AND p.hours_ahead = o.hours_ahead)"""
+    return {
+        "forecast_24h": f"{model} {points}",
+        "gpu_forecast": f"{model} {points} WHERE gpu_name = '{q.FOCUS_GPU}'",
+        "feature_importance": f"{model} SELECT * FROM ranked",
+        "forecast_windows": f"{windows} SELECT * FROM windows",
+        "forecast_lookup": f"{windows} SELECT * FROM windows WHERE gpu_class IN ('RTX_4090', 'H100_SXM', 'A100_40GB', 'L40S')",
+        "forecast_series": f"""{windows} SELECT provider, forecast_hours_ahead AS hours_ahead, forecast_timestamp, price_forecast,
+            price_forecast_lower, price_forecast_upper FROM windows WHERE gpu_class = '{q.FOCUS_GPU}'""",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**_report_oracles(), **_ingest_oracles(), **_replay_oracles(), **_series_oracles()}
+    return {**_report_oracles(), **_ingest_oracles(), **_replay_oracles(), **_series_oracles(), **_forecast_oracles()}

@@ -248,6 +248,15 @@ def _forecasts(spark: SparkSession, sf: str) -> DataFrame:
     return forecast.forecast_windows(_hourly_table(spark, sf), GENERATED_AT)
 
 
+def _listed(windows: DataFrame) -> DataFrame:
+    return _no_zone(windows.withColumn("top_features", F.array_join("top_features", ",")))
+
+
+def _forecast_series(spark: SparkSession, sf: str) -> DataFrame:
+    found = serving.forecast_series(_forecasts(spark, sf), FOCUS_GPU)
+    return _no_zone(found.select("provider", F.explode("points").alias("p")).select("provider", "p.*"))
+
+
 def _focus(spark: SparkSession, sf: str) -> DataFrame:
     return series.of_gpu(series.hourly_series(fx.offers(spark, sf)), FOCUS_GPU)
 
@@ -307,7 +316,7 @@ def queries() -> dict[str, Query]:
         "dataset_stats": _over_offers(summary.dataset_stats),
         "price_comparison": _price_comparison,
         "volatility_rollup": _volatility_rollup,
-        "forecast_lookup": lambda s, d: _no_zone(serving.forecast_lookup(_forecasts(s, d))),
+        "forecast_lookup": lambda s, d: _listed(serving.forecast_lookup(_forecasts(s, d))),
         "spread_alerts": _spread_alerts,
         "budget_options": _over_windows(serving.budget_options, budget=WINDOW_BUDGET),
         "budget_cost": _over_windows(serving.budget_cost, budget=WINDOW_BUDGET, hours=8),
@@ -315,7 +324,7 @@ def queries() -> dict[str, Query]:
         "price_matrix": _over_offers(serving.price_matrix),
         "price_matrix_all": _over_offers(serving.price_matrix, limit=None, providers=["vast", "runpod", "akash", "spheron", "other"]),
         "price_matrix_late": _price_matrix_late,
-        "forecast_series": lambda s, d: serving.forecast_series(_forecasts(s, d), FOCUS_GPU),
+        "forecast_series": _forecast_series,
         "ingest_marketplace": _ingested(ingest.ingest_marketplace, fx.marketplace_payloads),
         "ingest_gpu_types": _ingested(ingest.ingest_gpu_types, fx.gpu_type_payloads),
         "ingest_monthly_prices": _ingested(ingest.ingest_monthly_prices, fx.monthly_payloads),
@@ -346,14 +355,12 @@ def queries() -> dict[str, Query]:
         "decompose": lambda s, d: _rounded(series.decompose_summary(series.hourly_series(fx.offers(s, d)))),
         "decompose_points": lambda s, d: _rounded(series.decompose_points(series.hourly_series(fx.offers(s, d)))),
         "price_features": lambda s, d: _rounded(series.price_features(series.hourly_series(fx.offers(s, d)))),
-        "forecast_24h": lambda s, d: _no_zone(_rounded(forecast.forecast_24h(series.hourly_series(fx.offers(s, d))))),
-        "feature_importance": lambda s, d: forecast.feature_importance(
-            forecast.fit_models(series.hourly_series(fx.offers(s, d)))
-        ),
+        "forecast_24h": lambda s, d: _no_zone(_rounded(forecast.forecast_24h(_hourly_table(s, d)))),
+        "feature_importance": lambda s, d: forecast.feature_importance(forecast.fit_models(_hourly_table(s, d))),
         "training_rows": _over_hourly(series.training_rows),
         "availability_6h": _over_hourly(series.availability_6h),
         "spread_analysis": _spread_analysis,
-        "forecast_windows": lambda s, d: _no_zone(_forecasts(s, d)),
+        "forecast_windows": lambda s, d: _listed(_forecasts(s, d)),
         "series_overview": _over_hourly(series.series_overview),
         "supply_alignment": _supply,
         "gpu_forecast": lambda s, d: _no_zone(_rounded(forecast.forecast_24h(_focus(s, d)))),
