@@ -30,12 +30,23 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """All that this application saves."""
+    return f"{shared_dir(spark)}/rentscope/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/rentscope/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_saved(spark: SparkSession) -> None:
+    """Remove what this application has saved; call it once its results are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def save(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the stored table."""
+    """Write ``df`` once and return the stored table; it stays until ``drop_saved``."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
