@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
 
+_worker: dict[str, object] = {}
+
+
+def worker_state(mark: str, make: Callable[[], object]) -> object:
+    """What a Python worker keeps over tasks: one thing at a time, so that a later operator's replaces it."""
+    if _worker.get("mark") != mark:
+        _worker.clear()
+        _worker.update(mark=mark, value=make())
+    return _worker["value"]
+
+
 #: Columns of ``documents``; operators pick the ones they read first, so that further columns cannot clash.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -29,11 +40,18 @@ def as_text(value: str | None) -> str:
     return "" if value is None else value
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: StructType) -> DataFrame:
+#: Rows of a batch that are Python objects at one time.
+ROWS = 2_000
+
+
+def map_batches(
+    df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: StructType, rows: int = ROWS
+) -> DataFrame:
     """Run Arrow batches through a function of lists.
 
     ``make`` is called once per task and returns the function: columns as lists in, columns
-    as lists (or numpy arrays) out. Batches are bounded by Spark in rows and bytes.
+    as lists (or numpy arrays) out. Batches are bounded by Spark in rows and bytes, and go
+    through the function in parts of ``rows``.
     """
     arrow = to_arrow_schema(schema)
     names = schema.names
@@ -41,8 +59,9 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], di
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            if batch.num_rows:
-                out = step({n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)})
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                out = step({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], arrow.field(n).type) for n in names], names=names)
 
     return df.mapInArrow(run, schema)

@@ -8,21 +8,33 @@ from pyspark.sql import functions as F
 from rentscope.plans.saved import save
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """``node, component``: each node with the least label that it or a neighbour of its neighbour's label has."""
+    ends = [edges.groupBy(x).agg(F.min(y).alias("m")).withColumnRenamed(x, "node") for x, y in (("a", "b"), ("b", "a"))]
+    near = ends[0].union(ends[1]).groupBy("node").agg(F.min("m").alias("m")).select("node", F.least("node", "m").alias("component"))
+    labels = save(near, "labels")
+    further = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
+    return save(labels.join(further, "component").select("node", F.col("further").alias("component")), "labels")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for all nodes of the undirected edges ``a, b``: the smallest node each can reach.
 
-    Each round takes the least label of all neighbours, then the label of that label, so long
-    chains shrink by halves. Minima are combined before they are shuffled, and joins of a node
-    with very many edges can be split; rounds are cut by stored tables.
+    Each round labels every node with the least one near it and draws the nodes of a label
+    together, so edges vanish quickly. Minima are combined before they are shuffled, and joins of a
+    node with very many edges can be split; rounds are cut by stored tables.
     """
-    both = save(edges.select("a", "b").union(edges.select("b", "a")).distinct().toDF("node", "other"), "edges")
-    labels = save(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
+    edges = save(edges.select("a", "b").distinct(), "edges")
+    reached = None
     while True:
-        seen = both.join(labels.withColumnsRenamed({"node": "other", "component": "theirs"}), "other")
-        least = seen.groupBy("node").agg(F.min("theirs").alias("theirs"))
-        lower = labels.join(least, "node").select("node", F.col("component").alias("before"), F.least("component", "theirs").alias("component"))
-        jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
-        moved = save(lower.join(jump, "component").select("node", "before", F.least("component", "further").alias("component")), "labels")
-        labels = moved.select("node", "component")
-        if moved.filter("component < before").isEmpty():
-            return labels
+        labels = _least(edges)
+        if reached is None:
+            reached = labels
+        else:
+            step = labels.withColumnsRenamed({"component": "next", "node": "component"})
+            reached = save(reached.join(step, "component", "left").select("node", F.coalesce("next", "component").alias("component")), "reached")
+        left, right = (labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_label")) for x in ("a", "b"))
+        drawn = edges.join(left, "a").join(right, "b").filter("a_label != b_label")
+        edges = save(drawn.select(F.least("a_label", "b_label").alias("a"), F.greatest("a_label", "b_label").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return reached

@@ -2,9 +2,11 @@
 
 Sets are n-gram hashes. Equal sets become one class first. Classes that may be similar are
 found by pigeonhole: two sets of Jaccard similarity t differ in at most (1-t)/(1+t) of their
-sizes' sum, so if hashes are dealt to more buckets than that, one bucket is the same in both.
-Bucket digests are grouped within each task and then by digest, so a digest that many classes
-share travels once per task. The classes that digests connect form clusters.
+sizes' sum, so if hashes are dealt to more buckets than that, some buckets are the same in both.
+N-grams that very many documents have are left out of the buckets, as two sets without them
+differ in no more places; only sets that have little else are dealt with them as well. Bucket
+digests are grouped within each task and then by digest, so a digest that many classes share
+travels once per task. The classes that digests connect form clusters.
 
 Within clusters, sets are ordered by how rare their n-grams are and stored in a prefix tree.
 Each set walks the tree with all others at once: overlaps on a shared path are counted once,
@@ -16,7 +18,7 @@ pair of parts is a task of its own.
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, map_batches, pick
+from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, most_frequent, pick, unpacked
 from rentscope.llm.graph import components
 from rentscope.plans.saved import save
 
@@ -33,16 +35,17 @@ from rentscope.plans.saved import save
 WORDS, PERCENT = 5, 80
 #: Shingles in a block of sets that are joined in one task.
 BLOCK_SHINGLES = 400_000
-#: Buckets beyond the largest possible difference: sets with as many empty ones as this meet under one more digest.
-SLACK = 3
+#: N-grams left out of the buckets at most, and how many documents must have one for that.
+MOST_FREQUENT, FREQUENT_DOCUMENTS = 500_000, 50
 #: Sizes of one class of the pigeonhole differ by this factor at most; it must exceed 100 / PERCENT.
 CLASS_RATIO = 1.5
-#: Tokens on an edge of the prefix tree at most, elements looked up at once, and cells of the membership table.
-EDGE, LOOKUPS, CELLS = 32, 4_000_000, 16_000_000
+#: Tokens on an edge of the prefix tree at most, elements looked up at once, cells of the membership table, and
+#: pairs of a set that asks and a stored one: they bound a task's memory.
+EDGE, LOOKUPS, CELLS, PAIRS = 32, 1_000_000, 8_000_000, 400_000
 
 _rng = np.random.default_rng(606)
 _FACTORS = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHORT, _ONE, _TWO, _SPARSE = (_FACTORS[-i] for i in range(1, 5))
+_SHORT, _ONE, _TWO, _SPARSE, _ALL = (_FACTORS[-i] for i in range(1, 6))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -84,28 +87,53 @@ def _bounds() -> list[int]:
 _BOUNDS = _bounds()
 
 
-def bucket_digests(found: np.ndarray, percent: int) -> np.ndarray:
+def _buckets(size_class: int, percent: int) -> tuple[int, int]:
+    """The most places in which similar sets of a class differ, and the buckets to deal to.
+
+    The buckets beyond the difference make up for empty ones: as many as sets at the lower end of
+    the class leave empty on average, twice over, if a quarter of their n-grams is left out.
+    """
+    largest = _BOUNDS[size_class + 1] - 1
+    difference = 2 * largest * (100 - percent) // (100 + percent)
+    empty = np.exp(-0.75 * (100 + percent) / (2 * (100 - percent) * CLASS_RATIO))
+    return difference, difference + 3 + int(np.ceil(difference * 2 * empty / max(0.2, 1 - 2 * empty)))
+
+
+def _dealt(found: np.ndarray, size_class: int, buckets: int, salt: np.uint64) -> np.ndarray:
+    """Digests of the buckets that are not empty."""
+    if not len(found):
+        return found
+    bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    sums = np.add.reduceat(_mixed(found * _ONE), starts)
+    return _mixed(sums + _mixed(bucket[starts] + np.uint64(size_class << 40)) * salt)
+
+
+def bucket_digests(found: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
     """Digests under which any set at least ``percent`` similar to this one meets it.
 
-    A pair meets in the size class of its larger set, so a set near the top of its class goes to the next one too.
+    A pair meets in the size class of its larger set, so a set near the top of its class goes to
+    the next one too. If the n-grams that are not frequent leave fewer buckets empty than there
+    are to spare, one bucket that is not empty is the same in any similar set. A set with more
+    empty ones is dealt with all its n-grams as well, and, should that leave too many empty, meets
+    under one more digest of its class.
     """
     n = len(found)
     if not n:
         return found
+    place = np.searchsorted(frequent, found)
+    rare = found[(place == len(frequent)) | (frequent[np.minimum(place, len(frequent) - 1)] != found)] if len(frequent) else found
     own = bisect_right(_BOUNDS, n) - 1
     out = []
     for size_class in (own, own + 1) if 100 * n >= percent * _BOUNDS[own + 1] else (own,):
-        largest = _BOUNDS[size_class + 1] - 1
-        difference = 2 * largest * (100 - percent) // (100 + percent)
+        difference, buckets = _buckets(size_class, percent)
         if not difference:
             continue  # only equal sets are similar enough
-        buckets = difference + SLACK
-        bucket = ((found >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        sums = np.add.reduceat(_mixed(found * _ONE), starts)
-        out.append(_mixed(sums + _mixed(bucket[starts] + np.uint64(size_class << 40)) * _TWO))
-        if buckets - len(starts) >= SLACK:
-            out.append(_mixed(np.array([size_class], np.uint64) * _SPARSE))
+        out.append(_dealt(rare, size_class, buckets, _TWO))
+        if buckets - len(out[-1]) >= buckets - difference:
+            out.append(_dealt(found, size_class, buckets, _ALL))
+            if buckets - len(out[-1]) >= buckets - difference:
+                out.append(_mixed(np.array([size_class], np.uint64) * _SPARSE))
     return np.concatenate(out) if out else found[:0]
 
 
@@ -126,38 +154,92 @@ def _meetings(digest: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, ...]:
     return a, b, digest[first], member[first]
 
 
-def _candidate_edges(docs: DataFrame, words: int, percent: int) -> DataFrame:
+#: Documents whose digests are grouped at once; their places in it take 16 bits.
+_TOGETHER = 4_000
+_LOW = np.uint64(0xFFFFFFFF)
+
+
+def _pack_meetings(digest: np.ndarray, member: np.ndarray) -> bytes:
+    """Digests as 48 bits and members as places in a list of them; a digest cut short can only add candidates."""
+    members, place = np.unique(member, return_inverse=True)
+    sizes = np.array([len(members), len(digest)], np.int64)
+    cut = ((digest & _LOW).astype(np.uint32), ((digest >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16), place.astype(np.uint16))
+    return b"".join(x.tobytes() for x in (sizes, members, *cut))
+
+
+def _unpack_meetings(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n_members, n = np.frombuffer(blob, np.int64, 2)
+    at = 16 + 8 * n_members
+    members = np.frombuffer(blob, np.int64, n_members, 16)
+    low, high = np.frombuffer(blob, np.uint32, n, at), np.frombuffer(blob, np.uint16, n, at + 4 * n)
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), members[np.frombuffer(blob, np.uint16, n, at + 6 * n)]
+
+
+def _candidate_edges(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """``a, b``: digests of sets that share a bucket, each with the least set of the bucket."""
-    n_parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = StructType([StructField("part", IntegerType()), *(StructField(n, BinaryType()) for n in ("a", "b", "digest", "member"))])
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)
+    sent = StructType([StructField("part", IntegerType()), StructField("edges", BinaryType()), StructField("meetings", BinaryType())])
 
     def make() -> Callable:
-        def step(columns: dict[str, list]) -> dict[str, list]:
-            sets = [shingles(t, words) for t in columns["text"]]
-            digest = [bucket_digests(s, percent) for s in sets]
+        def together(texts: list[str], out: dict[str, list]) -> None:
+            sets = [shingles(t, words) for t in texts]
+            digest = [bucket_digests(s, percent, shared.value) for s in sets]
             member = np.repeat(np.array([digests(s)[0] for s in sets], np.int64), [len(d) for d in digest])
             a, b, digest, member = _meetings(np.concatenate(digest), member)
             edge_part, digest_part = a.view(np.uint64) % np.uint64(n_parts), digest % np.uint64(n_parts)
             by_edge, by_digest = np.argsort(edge_part, kind="stable"), np.argsort(digest_part, kind="stable")
             parts = np.arange(n_parts + 1)
             edge_at, digest_at = np.searchsorted(edge_part[by_edge], parts), np.searchsorted(digest_part[by_digest], parts)
-            a, b, digest, member = a[by_edge], b[by_edge], digest[by_digest], member[by_digest]
-            full = [p for p in range(n_parts) if edge_at[p] < edge_at[p + 1] or digest_at[p] < digest_at[p + 1]]
-            return {"part": full} | {
-                name: [values[at[p] : at[p + 1]].tobytes() for p in full]
-                for name, values, at in (("a", a, edge_at), ("b", b, edge_at), ("digest", digest, digest_at), ("member", member, digest_at))
-            }
+            a, b, digest, member = a[by_edge], b[by_edge], digest[by_digest] // np.uint64(n_parts), member[by_digest]
+            for p in range(n_parts):
+                edge, meeting = slice(edge_at[p], edge_at[p + 1]), slice(digest_at[p], digest_at[p + 1])
+                if edge.start < edge.stop or meeting.start < meeting.stop:
+                    out["part"].append(p)
+                    out["edges"].append(np.stack([a[edge], b[edge]]).tobytes())
+                    out["meetings"].append(_pack_meetings(digest[meeting], member[meeting]))
+
+        def step(columns: dict[str, list]) -> dict[str, list]:
+            out: dict[str, list] = {"part": [], "edges": [], "meetings": []}
+            for at in range(0, len(columns["text"]), _TOGETHER):
+                together(columns["text"][at : at + _TOGETHER], out)
+            return out
 
         return step
 
     def meet(table: pa.Table) -> pa.Table:
-        a, b, digest, member = (np.frombuffer(b"".join(table.column(n).to_pylist()), t) for n, t in (("a", np.int64), ("b", np.int64), ("digest", np.uint64), ("member", np.int64)))
-        more_a, more_b, _, _ = _meetings(digest, member)
-        a, b = _distinct_pairs(np.concatenate([a, more_a]), np.concatenate([b, more_b]))
+        edges = [np.frombuffer(e, np.int64).reshape(2, -1) for e in table.column("edges").to_pylist()]
+        found = [_unpack_meetings(m) for m in table.column("meetings").to_pylist()]
+        a, b, _, _ = _meetings(np.concatenate([d for d, _ in found]), np.concatenate([m for _, m in found]))
+        a, b = _distinct_pairs(np.concatenate([a, *(e[0] for e in edges)]), np.concatenate([b, *(e[1] for e in edges)]))
         return pa.table({"a": a, "b": b})
 
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-    return map_batches(docs.select("text"), make, sent).groupBy("part").applyInArrow(meet, schema)
+    return map_batches(docs.select("text"), make, sent, _TOGETHER).groupBy("part").applyInArrow(meet, schema)
+
+
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """Sorted hashes of the most frequent n-grams, from what each batch of the first pass has counted."""
+    several = sets.filter("often IS NOT NULL").select("often")
+    schema = StructType([StructField("found", LongType()), StructField("n", LongType())])
+
+    def make() -> Callable:
+        def step(columns: dict[str, list]) -> dict[str, list]:
+            both = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for x in columns["often"]], axis=1)
+            return {"found": both[0], "n": both[1]}
+
+        return step
+
+    counted = map_batches(several, make, schema).groupBy("found").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_DOCUMENTS)
+    rows = most_frequent(save(counted, "frequent"), "n", MOST_FREQUENT).select("found").toPandas()
+    return np.sort(rows["found"].to_numpy(np.int64).view(np.uint64))
+
+
+def _often(sets: list[np.ndarray]) -> bytes | None:
+    """N-grams that several sets of a batch have, and in how many."""
+    found, n = np.unique(np.concatenate(sets), return_counts=True)
+    several = n > 2
+    return np.stack([found[several].view(np.int64), n[several]]).tobytes() if several.any() else None
 
 
 class PrefixTree:
@@ -271,7 +353,7 @@ def tree_components(groups: np.ndarray, sets: list[np.ndarray], percent: int, as
     position = np.full(n, -1)
     position[stored] = np.arange(len(stored))
     queries = [i for i in (stored if asking is None else np.flatnonzero(asking)) if int(groups[i]) in tree.roots]
-    batch = max(1, CELLS // max(1, n_tokens))
+    batch = max(1, min(CELLS // max(1, n_tokens), PAIRS // max(1, len(stored))))
     for at in range(0, len(queries), batch):
         ask = np.array(queries[at : at + batch], np.int64)
         member = np.zeros(len(ask) * n_tokens, bool)
@@ -321,12 +403,14 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     placed = save(members.join(weights, "cluster").select("rep", "one", "two", "cluster", "n", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int").alias("n_parts")), "join-members")
     total = placed.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-total // BLOCK_SHINGLES))
-    texts = docs.join(placed.drop("n"), docs["doc_id"] == placed["rep"]).select("rep", "one", "two", "cluster", "n_parts", "text")
+    packed = compressed(docs)
+    # Always by a shuffle of the compressed texts: a broadcast would work on small tables only.
+    texts = packed.hint("merge").join(placed.drop("n"), packed["doc_id"] == placed["rep"]).select("rep", "one", "two", "cluster", "n_parts", "packed")
     schema = StructType([StructField("rep", LongType()), StructField("cluster", LongType()), StructField("n_parts", IntegerType()), StructField("found", BinaryType())])
 
     def make() -> Callable:
         def step(columns: dict[str, list]) -> dict[str, list]:
-            sets = [shingles(t, words) for t in columns["text"]]
+            sets = [shingles(unpacked(t).decode("utf-8"), words) for t in columns["packed"]]
             same = [i for i, s in enumerate(sets) if digests(s) == (columns["one"][i], columns["two"][i])]
             return {c: [columns[c][i] for i in same] for c in ("rep", "cluster", "n_parts")} | {"found": [sets[i].tobytes() for i in same]}
 
@@ -366,21 +450,26 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     nothing and have a null component. Rows that share an id are each judged by their own text.
     """
     docs = pick(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    schema = StructType([StructField(n, LongType()) for n in ("doc_id", "n", "one", "two")])
+    schema = StructType([*(StructField(n, LongType()) for n in ("doc_id", "n", "one", "two")), StructField("often", BinaryType())])
 
     def make() -> Callable:
         def step(columns: dict[str, list]) -> dict[str, list]:
-            sets = [shingles(t, words) for t in columns["text"]]
-            both = [digests(s) for s in sets]
-            return {"doc_id": columns["doc_id"], "n": [len(s) for s in sets], "one": [b[0] for b in both], "two": [b[1] for b in both]}
+            out: dict[str, list] = {"doc_id": columns["doc_id"], "n": [], "one": [], "two": [], "often": []}
+            for at in range(0, len(columns["text"]), _TOGETHER):
+                sets = [shingles(t, words) for t in columns["text"][at : at + _TOGETHER]]
+                out["n"] += map(len, sets)
+                for name, values in zip(("one", "two"), zip(*map(digests, sets), strict=True), strict=True):
+                    out[name] += values
+                out["often"] += [_often(sets), *[None] * (len(sets) - 1)]
+            return out
 
         return step
 
-    sets = save(map_batches(docs, make, schema), "shingle-sets")
+    sets = save(map_batches(docs, make, schema, _TOGETHER), "shingle-sets")
     known = docs.filter("doc_id IS NOT NULL")
     keys = ["n", "one", "two"]
     classes = save(sets.filter("doc_id IS NOT NULL AND n > 0").groupBy(*keys).agg(F.min("doc_id").alias("rep")), "set-classes")
-    clusters = components(_candidate_edges(known, words, percent)).withColumnsRenamed({"node": "one", "component": "cluster"})
+    clusters = components(_candidate_edges(known, words, percent, _frequent(sets))).withColumnsRenamed({"node": "one", "component": "cluster"})
     links = _links(known, classes.join(clusters, "one").select("rep", *keys, "cluster"), words, percent)
     linked = components(links).withColumnsRenamed({"node": "rep", "component": "linked"})
     named = classes.join(linked, "rep", "left").select(*keys, F.coalesce("linked", "rep").alias("class_component"))
@@ -399,4 +488,31 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     docs = pick(docs, *DOCUMENT_COLUMNS)
     found = similar_components(docs, words, percent)
     gone = found.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*DOCUMENT_COLUMNS)
+    others = [c for c in DOCUMENT_COLUMNS if c not in ("doc_id", "text")]
+    kept = compressed(docs, *others).hint("merge").join(gone, "doc_id", "left_anti")
+
+    def make() -> Callable:
+        return lambda columns: {c: columns[c] for c in ("doc_id", *others)} | {"text": [None if p is None else unpacked(p).decode("utf-8") for p in columns["packed"]]}
+
+    return map_batches(kept, make, StructType([docs.schema[c] for c in DOCUMENT_COLUMNS]))
+
+
+SIMILAR_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded),
+shingles AS (SELECT doc_id, unnest(s) AS shingle FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT reached.a, ways.b FROM reached JOIN ways ON reached.b = ways.a)
+SELECT sets.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(b) AS component_id FROM sets JOIN reached ON sets.doc_id = a GROUP BY ALL
+"""

@@ -114,3 +114,12 @@ def test_one_of_each_stays(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     expected = brute({r["doc_id"]: r["text"] for r in df.collect() if r["doc_id"] is not None}, 5, 80)
     assert set(ids) - {None} == {i for i, (_, c) in expected.items() if c == i} and ids.count(None) == 2
+
+
+def test_equals_sql(spark, small_dir):
+    import duckdb
+
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    assert sorted(map(tuple, nj.similar_components(docs, 3, 90).collect())) == sorted(con.execute(nj.SIMILAR_SQL).fetchall())
