@@ -21,12 +21,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick
+from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick, worker_state
 from rentscope.plans.saved import save
 
 UNDETERMINED = "und"
@@ -36,7 +35,7 @@ MOST_EVENTS = 1_000_000
 #: Distinct words a task holds before it sends their counts on.
 WORDS_HELD = 400_000
 #: Words whose scores a worker keeps, and texts whose new words are scored together.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 TEXTS_AT_ONCE = 500
 #: Rejection: this share of the way from the language's own mean to letters drawn evenly, and so many standard errors over the text's letters above it.
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
@@ -216,9 +215,6 @@ def build_models(rows: list[tuple[str, str, int]], order: int = ORDER) -> Models
     )
 
 
-_worker: dict[str, object] = {}
-
-
 class Scorer:
     """Scores texts word by word; scores of words met before come from two bounded tables, the older behind the newer."""
 
@@ -279,13 +275,6 @@ class Scorer:
         return (total, n) if n else None
 
 
-def _scorer(shared: Broadcast, mark: str) -> Scorer:
-    """The worker's scorer for these models; it lasts over tasks."""
-    if _worker.get("mark") != mark:
-        _worker.update(mark=mark, scorer=Scorer(shared.value))
-    return _worker["scorer"]
-
-
 def learn(docs: DataFrame, order: int = ORDER, most_events: int = MOST_EVENTS) -> Models | None:
     """Models of all languages named in ``lang``, from all rows that have text and language."""
     labelled = pick(docs, "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
@@ -309,7 +298,7 @@ def predict(docs: DataFrame, models: Models | None, *keep: str) -> DataFrame:
     names = ["lang_pred", "score", "cross_entropy", "n_events"]
 
     def make() -> Callable:
-        scorer = _scorer(shared, mark) if learned else None
+        scorer = worker_state(f"languages {mark}", lambda: Scorer(shared.value)) if learned else None
 
         def row(found: tuple[np.ndarray, int] | None) -> tuple[str, float, float | None, int]:
             if found is None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, suffix_dedup, token_counts
+from rentscope.plans.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,12 +24,17 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return _table(spark, sf_dir, "documents")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.quality_scores(_documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +58,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +89,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.MIX_SQL}
+    return {
+        "op2_mixing": mixing.MIX_SQL,
+        "op3_suffix_dedup": suffix_dedup.REPEATED_SQL,
+        "op6_ngram_join": ngram_join.SIMILAR_SQL,
+    }

@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer, models, normalizers
 
-from rentscope.llm.common import BoundedCache, as_text, map_batches, pick
+from rentscope.llm.common import BoundedCache, as_text, map_batches, pick, worker_state
 
 # Field numbers, piece types and model types of the public model format, and the space marker.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -34,11 +34,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
-CACHE_SIZE = 300_000
+CACHE_SIZE = 200_000
 LONGEST_KEPT = 64
 
-_worker: dict[str, object] = {}
-
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
     value = shift = 0
@@ -198,13 +196,11 @@ class Codec:
 
 def codec(path: str) -> Codec:
     """One codec per worker; its cache lasts over tasks."""
-    if _worker.get("path") != path:
-        _worker.update(path=path, codec=Codec(path))
-    return _worker["codec"]
+    return worker_state(f"pieces {path}", lambda: Codec(path))
 
 
 #: Texts encoded at once, in characters: bounds what a batch holds besides its texts.
-CHUNK = 4_000_000
+CHUNK = 3_000_000
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:

@@ -176,7 +176,7 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
         return pa.table({**both, "key": key, "wide": np.concatenate([np.zeros(n_whole, bool), wide[open_]])})
 
     schema = StructType([StructField(n, LongType()) for n in ("doc", "start", "count", "key")] + [StructField("wide", BooleanType())])
-    return map_batches(docs.select("doc_id", "text"), make, sent).groupBy("part").applyInArrow(meet, schema)
+    return map_batches(docs.select("doc_id", "text"), make, sent, 10_000).groupBy("part").applyInArrow(meet, schema)
 
 
 def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
@@ -448,3 +448,27 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     schema = StructType([StructField("doc_id", LongType()), *(docs.schema[c] for c in DOCUMENT_COLUMNS[1:])])
     return map_batches(_with_spans(docs, length, *others), make, schema)
+
+
+REPEATED_SQL = """
+WITH docs AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+pieces AS (
+  SELECT doc_id, base, substring(h, 2 * base + 1, 1198) AS p
+  FROM (SELECT doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0), 500)) AS base FROM docs)),
+starts AS (
+  SELECT doc_id, base + j AS i, md5(substring(p, 2 * j + 1, 200)) AS string
+  FROM (SELECT doc_id, base, p, unnest(range(0, least(500, len(p) // 2 - 99))) AS j FROM pieces)),
+turns AS (SELECT doc_id, i, row_number() OVER (PARTITION BY string ORDER BY doc_id, i) AS turn FROM starts),
+repeats AS (
+  SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS apart FROM turns WHERE turn > 1),
+islands AS (SELECT doc_id, i, sum(apart) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM repeats),
+spans AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM islands GROUP BY doc_id, island),
+gaps AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS after FROM spans),
+cut AS (
+  SELECT g.doc_id, string_agg(substring(h, 2 * after + 1, 2 * (lo - after)), '' ORDER BY lo) || substring(any_value(h), 2 * max(hi) + 1) AS kept,
+    sum(hi - lo) AS n_removed, count(*) AS n_spans
+  FROM gaps g JOIN docs d ON g.doc_id = d.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs d LEFT JOIN cut c ON d.doc_id = c.doc_id
+"""

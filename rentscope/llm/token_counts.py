@@ -9,20 +9,19 @@ and the library class differently go to the library whole.
 
 from __future__ import annotations
 
+import collections
 import json
 import uuid
-from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
 import regex
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from rentscope.llm.common import BoundedCache, as_text, map_batches, pick
+from rentscope.llm.common import BoundedCache, as_text, map_batches, pick, worker_state
 
 # Fixed value: the pattern by which byte-level BPE cuts texts into pre-tokens.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -32,13 +31,10 @@ TABLE_SIZE = 50_000
 TABLE_TEXTS = 2_000
 TABLE_LETTERS = 4_000
 #: Entries of a worker's cache, and the longest pre-token kept there.
-CACHE_SIZE = 400_000
+CACHE_SIZE = 300_000
 LONGEST_KEPT = 64
 LIMIT = 1024
 
-_worker: dict[str, object] = {}
-
-
 class PreTokens:
     """A tokenizer file's pre-token pattern and special strings."""
 
@@ -77,23 +73,33 @@ class PreTokens:
         return [p for part in parts for p in self.find(part)], len(parts) - 1
 
 
-def _tools(path: str) -> tuple[PreTokens, Tokenizer, BoundedCache]:
-    """The worker's tools for a tokenizer and its cache of pre-token lengths; they last over tasks."""
-    if _worker.get("path") != path:
-        _worker.update(path=path, tools=(PreTokens(path), Tokenizer.from_file(path), BoundedCache(CACHE_SIZE)))
-    return _worker["tools"]
-
+class TokenCounter:
+    """A tokenizer, the table of frequent lengths and the cache for the rest: kept by a worker over tasks."""
 
-def _frequent(table: Broadcast, mark: str) -> dict[str, int]:
-    """The broadcast table as a dict, unpacked once per worker."""
-    if _worker.get("mark") != mark:
-        names, lengths = table.value
-        _worker.update(mark=mark, frequent=dict(zip(names.split("\0") if lengths else [], np.frombuffer(lengths, np.uint16).tolist(), strict=True)))
-    return _worker["frequent"]
+    def __init__(self, path: str, table: tuple[str, bytes]):
+        names, lengths = table
+        self.pre_tokens, self.tokenizer, self.cache = PreTokens(path), Tokenizer.from_file(path), BoundedCache(CACHE_SIZE)
+        self.frequent = dict(zip(names.split("\0") if lengths else [], np.frombuffer(lengths, np.uint16).tolist(), strict=True))
 
+    def lengths(self, pre_tokens: list[str]) -> list[int]:
+        return [len(e) for e in self.tokenizer.encode_batch_fast(pre_tokens, add_special_tokens=False)]
 
-def _lengths(tokenizer: Tokenizer, pre_tokens: list[str]) -> list[int]:
-    return [len(e) for e in tokenizer.encode_batch(pre_tokens, add_special_tokens=False)]
+    def count(self, text: str) -> int:
+        """Tokens of a text."""
+        if not self.pre_tokens.agrees(text):
+            return self.lengths([text])[0]
+        parts, n = self.pre_tokens.split(text)
+        found = list(map(self.frequent.get, parts))
+        if None not in found:
+            return n + sum(found)
+        cache = self.cache
+        now, new = cache.missing({p for p, f in zip(parts, found, strict=True) if f is None and p not in cache})
+        if new:
+            now.update(zip(new, self.lengths(new), strict=True))
+        n += sum(now[p] if p in now else cache[p] for p, f in zip(parts, found, strict=True) if f is None) + sum(filter(None, found))
+        if now:
+            cache.keep({p: length for p, length in now.items() if len(p) <= LONGEST_KEPT})
+        return n
 
 
 def frequent_lengths(texts: DataFrame, path: str, table_size: int = TABLE_SIZE, table_texts: int = TABLE_TEXTS) -> tuple[str, bytes]:
@@ -103,12 +109,12 @@ def frequent_lengths(texts: DataFrame, path: str, table_size: int = TABLE_SIZE,
     driver sees a bounded amount; they only decide which lengths every task knows from the start.
     Compact: the pre-tokens joined by a separator that none of them holds, and one 16-bit length each.
     """
-    pre_tokens, tokenizer, _ = _tools(path)
-    counts: Counter[str] = Counter()
+    tools = TokenCounter(path, ("", b""))
+    counts: collections.Counter[str] = collections.Counter()
     for row in texts.select(F.substring("text", 1, TABLE_LETTERS).alias("text")).limit(table_texts).collect():
-        counts.update(p for p in pre_tokens.split(as_text(row.text))[0] if len(p) <= LONGEST_KEPT and "\0" not in p)
+        counts.update(p for p in tools.pre_tokens.split(as_text(row.text))[0] if len(p) <= LONGEST_KEPT and "\0" not in p)
     top = [p for p, _ in counts.most_common(table_size)]
-    return "\0".join(top), np.array(_lengths(tokenizer, top), dtype=np.uint16).tobytes()
+    return "\0".join(top), np.array(tools.lengths(top), dtype=np.uint16).tobytes()
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, table_size: int = TABLE_SIZE, table_texts: int = TABLE_TEXTS) -> DataFrame:
@@ -123,28 +129,11 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, table_size: int
     mark = uuid.uuid4().hex
 
     def make() -> Callable:
-        pre_tokens, tokenizer, cache = _tools(path)
-        frequent = _frequent(table, mark)
-
-        def count(text: str) -> int:
-            if not pre_tokens.agrees(text):
-                return _lengths(tokenizer, [text])[0]
-            parts, n = pre_tokens.split(text)
-            found = list(map(frequent.get, parts))
-            n_none = found.count(None)
-            if not n_none:
-                return n + sum(found)
-            now, new = cache.missing({p for p, f in zip(parts, found, strict=True) if f is None and p not in cache})
-            if new:
-                now.update(zip(new, _lengths(tokenizer, new), strict=True))
-            n += sum(now[p] if p in now else cache[p] for p, f in zip(parts, found, strict=True) if f is None) + sum(filter(None, found))
-            if now:
-                cache.keep({p: length for p, length in now.items() if len(p) <= LONGEST_KEPT})
-            return n
+        counter = worker_state(f"counts {mark}", lambda: TokenCounter(path, table.value))
 
         def step(columns: dict[str, list]) -> dict[str, list]:
             texts = [as_text(t) for t in columns["text"]]
-            n_tokens = [count(t) for t in texts]
+            n_tokens = list(map(counter.count, texts))
             return {
                 "doc_id": columns["doc_id"],
                 "n_bytes": [len(t.encode("utf-8")) for t in texts],

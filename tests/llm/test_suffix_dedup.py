@@ -107,3 +107,12 @@ def test_documents_without_repeats(spark):
     kept = {r["doc_id"]: r for r in left.collect() if r["doc_id"] is not None}
     assert 12 not in kept and kept[2]["text"] is None and kept[3]["text"] == ""
     assert kept[6]["text"].endswith("at the very end of it.") and kept[6]["n_chars"] == len(kept[6]["text"])
+
+
+def test_equals_sql(spark, small_dir):
+    import duckdb
+
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toArrow())
+    assert sorted(map(tuple, sd.repeated_bytes(docs).collect())) == sorted(con.execute(sd.REPEATED_SQL).fetchall())
