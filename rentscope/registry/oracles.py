@@ -418,7 +418,7 @@ def _ingest_oracles() -> dict[str, str]:
             SELECT event_id, {q.SIZE_TEXT} AS size, {_r('''CASE event_id % 8 WHEN 0 THEN 80 * 1.073741824 WHEN 1 THEN 24
               WHEN 2 THEN 16384 * 0.001048576 WHEN 3 THEN 0.512 WHEN 4 THEN 0 WHEN 5 THEN 48 WHEN 6 THEN 0
               ELSE user_id * 1.073741824 END''', 6)} AS gb FROM events""",
-        "attribute_lookup": f"SELECT geography, inet_down_mbps, count(*) AS rows FROM ({_PROVIDERS}) GROUP BY 1, 2",
+        "attribute_lookup": f"SELECT offer_id, geography, inet_down_mbps, inet_up_mbps FROM ({_PROVIDERS})",
         "deep_find": """
             SELECT event_id, CASE WHEN event_id % 3 = 2 THEN CAST(props ->> '$.k' AS VARCHAR) ELSE CAST(user_id AS VARCHAR) END
               AS found FROM events""",
@@ -450,8 +450,7 @@ def _ingest_oracles() -> dict[str, str]:
             FROM offers""",
         "make_snapshot_id": "SELECT event_id, strftime(ts, 'snap_%Y%m%d_%H%M%S_%g') AS snapshot_id FROM events",
         "append_offers": f"""{_COMMON}
-            SELECT CAST(captured_at AS DATE) AS capture_date, count(*) AS rows, {_r('sum(price_per_gpu_hr)')} AS price_sum
-            FROM offers GROUP BY 1""",
+            SELECT *, CAST(captured_at AS DATE) AS capture_date FROM offers""",
         "stream_ingest": _ALL_INGESTED,
     }
 

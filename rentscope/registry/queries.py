@@ -175,8 +175,7 @@ def _sizes(spark: SparkSession, sf: str) -> DataFrame:
 
 def _attributes(spark: SparkSession, sf: str) -> DataFrame:
     items = fx.provider_payloads(spark, sf)
-    rows = ingest.ingest_provider_list(items)
-    return rows.groupBy("geography", "inet_down_mbps").agg(F.count("*").alias("rows"))
+    return ingest.ingest_provider_list(items).select("offer_id", "geography", "inet_down_mbps", "inet_up_mbps")
 
 
 def _deep_find(spark: SparkSession, sf: str) -> DataFrame:
@@ -198,10 +197,7 @@ def _append_offers(spark: SparkSession, sf: str) -> DataFrame:
     offers = fx.offers(spark, sf)
     tables.append_offers(offers.filter(F.col("interruptible") == 1), path)
     tables.append_offers(offers.filter(F.col("interruptible") == 0), path)
-    stored = tables.read_offers(spark, path, offers.schema)
-    return stored.groupBy("capture_date").agg(
-        F.count("*").alias("rows"), settled_round(F.sum("price_per_gpu_hr"), 4).alias("price_sum")
-    )
+    return tables.read_offers(spark, path, offers.schema)
 
 
 def _window_file(spark: SparkSession, sf: str) -> DataFrame:
