@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
@@ -19,9 +21,37 @@ def worker_state(mark: str, make: Callable[[], object]) -> object:
     if _worker.get("mark") != mark:
         _worker.clear()
         _worker.update(mark=mark, value=make())
+    _worker["used"] = True
     return _worker["value"]
 
 
+def release_memory() -> None:
+    """Give back what the last task of this worker has freed: workers live long and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def _begun(make: Callable[[], Callable]) -> Callable:
+    """A task's function; what the worker kept for another operator goes."""
+    release_memory()
+    _worker["used"] = False
+    step = make()
+    if not _worker["used"]:
+        _worker.clear()
+    return step
+
+
+#: Rows of an Arrow batch of texts, where the session has Spark's default, which suits narrow rows.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 10_000, 2_000
+
+
+def smaller_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold fewer rows unless the session says how many: a batch of texts lies in memory several times."""
+    if int(spark.conf.get(BATCH_SETTING)) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
+
+
 #: Columns of ``documents``; operators pick the ones they read first, so that further columns cannot clash.
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -53,11 +83,12 @@ def map_batches(
     as lists (or numpy arrays) out. Batches are bounded by Spark in rows and bytes, and go
     through the function in parts of ``rows``.
     """
+    smaller_batches(df.sparkSession)
     arrow = to_arrow_schema(schema)
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make()
+        step = _begun(make)
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)

@@ -25,17 +25,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick, worker_state
+from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick, smaller_batches, worker_state
 from rentscope.plans.saved import save
 
 UNDETERMINED = "und"
 ORDER = 4
 #: Events kept for all models together, the most frequent first: bounds the models and what the driver holds.
-MOST_EVENTS = 1_000_000
+MOST_EVENTS = 500_000
 #: Distinct words a task holds before it sends their counts on.
-WORDS_HELD = 400_000
+WORDS_HELD = 200_000
 #: Words whose scores a worker keeps, and texts whose new words are scored together.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 TEXTS_AT_ONCE = 500
 #: Rejection: this share of the way from the language's own mean to letters drawn evenly, and so many standard errors over the text's letters above it.
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
@@ -115,6 +115,7 @@ def count_events(labelled: DataFrame, order: int = ORDER) -> DataFrame:
                     yield from sums()
         yield from sums()
 
+    smaller_batches(labelled.sparkSession)
     return labelled.select("lang", "text").mapInArrow(run, schema).groupBy("lang", "event").agg(F.sum("n").alias("n"))
 
 

@@ -4,9 +4,9 @@ Sets are n-gram hashes. Equal sets become one class first. Classes that may be s
 found by pigeonhole: two sets of Jaccard similarity t differ in at most (1-t)/(1+t) of their
 sizes' sum, so if hashes are dealt to more buckets than that, some buckets are the same in both.
 N-grams that very many documents have are left out of the buckets, as two sets without them
-differ in no more places; only sets that have little else are dealt with them as well. Bucket
-digests are grouped within each task and then by digest, so a digest that many classes share
-travels once per task. The classes that digests connect form clusters.
+differ in no more places; only sets that have little else are dealt with them as well. A set
+that shares fewer bucket digests than similar sets must have in common is no candidate. The
+candidates that digests connect form clusters.
 
 Within clusters, sets are ordered by how rare their n-grams are and stored in a prefix tree.
 Each set walks the tree with all others at once: overlaps on a shared path are counted once,
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, most_frequent, pick, unpacked
+from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, most_frequent, pick, release_memory, unpacked
 from rentscope.llm.graph import components
 from rentscope.plans.saved import save
 
@@ -37,7 +37,7 @@ WORDS, PERCENT = 5, 80
 BLOCK_SHINGLES = 400_000
 #: N-grams left out of the buckets at most, and how many documents must have one for that.
 MOST_FREQUENT, FREQUENT_DOCUMENTS = 500_000, 50
-#: Sizes of one class of the pigeonhole differ by this factor at most; it must exceed 100 / PERCENT.
+#: Sizes of one class of the pigeonhole differ by this factor at most.
 CLASS_RATIO = 1.5
 #: Tokens on an edge of the prefix tree at most, elements looked up at once, cells of the membership table, and
 #: pairs of a set that asks and a stored one: they bound a task's memory.
@@ -109,113 +109,130 @@ def _dealt(found: np.ndarray, size_class: int, buckets: int, salt: np.uint64) ->
     return _mixed(sums + _mixed(bucket[starts] + np.uint64(size_class << 40)) * salt)
 
 
-def bucket_digests(found: np.ndarray, percent: int, frequent: np.ndarray) -> np.ndarray:
-    """Digests under which any set at least ``percent`` similar to this one meets it.
+def class_digests(found: np.ndarray, percent: int, frequent: np.ndarray) -> list[tuple[int, np.ndarray, int]]:
+    """Per size class: digests under which any set at least ``percent`` similar meets this one, and how many at least.
 
-    A pair meets in the size class of its larger set, so a set near the top of its class goes to
-    the next one too. If the n-grams that are not frequent leave fewer buckets empty than there
-    are to spare, one bucket that is not empty is the same in any similar set. A set with more
-    empty ones is dealt with all its n-grams as well, and, should that leave too many empty, meets
-    under one more digest of its class.
+    A pair meets in the size class of its larger set, so a set goes to the classes of all sizes up
+    to that of the largest similar set. Two similar sets have all buckets in common but as many as they differ in
+    places, so a set meets each similar one under as many digests as there are buckets beyond that
+    difference, less its empty ones. If the n-grams that are not frequent leave too many buckets
+    empty for that, the set is dealt with all its n-grams as well, and, should that leave too many
+    empty, meets under one more digest of its class; then one common digest is enough.
     """
     n = len(found)
     if not n:
-        return found
+        return []
     place = np.searchsorted(frequent, found)
     rare = found[(place == len(frequent)) | (frequent[np.minimum(place, len(frequent) - 1)] != found)] if len(frequent) else found
-    own = bisect_right(_BOUNDS, n) - 1
     out = []
-    for size_class in (own, own + 1) if 100 * n >= percent * _BOUNDS[own + 1] else (own,):
+    for size_class in range(bisect_right(_BOUNDS, n) - 1, bisect_right(_BOUNDS, 100 * n // percent)):
         difference, buckets = _buckets(size_class, percent)
         if not difference:
             continue  # only equal sets are similar enough
-        out.append(_dealt(rare, size_class, buckets, _TWO))
-        if buckets - len(out[-1]) >= buckets - difference:
-            out.append(_dealt(found, size_class, buckets, _ALL))
-            if buckets - len(out[-1]) >= buckets - difference:
-                out.append(_mixed(np.array([size_class], np.uint64) * _SPARSE))
-    return np.concatenate(out) if out else found[:0]
-
-
-def _distinct_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
-    return a[new], b[new]
-
+        dealt = [_dealt(rare, size_class, buckets, _TWO)]
+        common = len(dealt[0]) - difference
+        if common < 1:
+            dealt.append(_dealt(found, size_class, buckets, _ALL))
+            if len(dealt[1]) - difference < 1:
+                dealt.append(_mixed(np.array([size_class], np.uint64) * _SPARSE))
+        out.append((size_class, np.concatenate(dealt), max(1, common)))
+    return out
 
-def _meetings(digest: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Edges from the least member of each digest to the others, and each digest with its least member."""
-    order = np.lexsort((member, digest))
-    digest, member = digest[order], member[order]
-    first = np.r_[True, digest[1:] != digest[:-1]][: len(digest)]
-    hub = member[first][np.cumsum(first) - 1]
-    a, b = _distinct_pairs(hub[hub != member], member[hub != member])
-    return a, b, digest[first], member[first]
 
-
-#: Documents whose digests are grouped at once; their places in it take 16 bits.
+#: Documents whose sets are made at once; the nodes of their digests take 16 bits.
 _TOGETHER = 4_000
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def _pack_meetings(digest: np.ndarray, member: np.ndarray) -> bytes:
-    """Digests as 48 bits and members as places in a list of them; a digest cut short can only add candidates."""
-    members, place = np.unique(member, return_inverse=True)
-    sizes = np.array([len(members), len(digest)], np.int64)
+def _pack(digest: np.ndarray, node: np.ndarray) -> bytes:
+    """Digests as 48 bits and nodes as places in a list of them; a digest cut short can only add candidates."""
+    nodes, place = np.unique(node, return_inverse=True)
+    sizes = np.array([len(nodes), len(digest)], np.int64)
     cut = ((digest & _LOW).astype(np.uint32), ((digest >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.uint16), place.astype(np.uint16))
-    return b"".join(x.tobytes() for x in (sizes, members, *cut))
+    return b"".join(x.tobytes() for x in (sizes, nodes, *cut))
 
 
-def _unpack_meetings(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n_members, n = np.frombuffer(blob, np.int64, 2)
-    at = 16 + 8 * n_members
-    members = np.frombuffer(blob, np.int64, n_members, 16)
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n_nodes, n = np.frombuffer(blob, np.int64, 2)
+    at = 16 + 8 * n_nodes
+    nodes = np.frombuffer(blob, np.int64, n_nodes, 16)
     low, high = np.frombuffer(blob, np.uint32, n, at), np.frombuffer(blob, np.uint16, n, at + 4 * n)
-    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), members[np.frombuffer(blob, np.uint16, n, at + 6 * n)]
+    return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)), nodes[np.frombuffer(blob, np.uint16, n, at + 6 * n)]
+
+
+def _meetings(digest: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of a digest and a node, of digests that several nodes have."""
+    order = np.lexsort((node, digest))
+    digest, node = digest[order], node[order]
+    new = np.r_[True, (digest[1:] != digest[:-1]) | (node[1:] != node[:-1])][: len(node)]
+    digest, node = digest[new], node[new]
+    like_next = np.r_[digest[1:] == digest[:-1], False][: len(digest)]
+    several = like_next | np.r_[False, like_next[:-1]][: len(digest)]
+    return digest[several], node[several]
+
 
+def _candidates(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """``one, cluster``: digests of sets that may be similar to another, with clusters that hold all similar ones.
 
-def _candidate_edges(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``a, b``: digests of sets that share a bucket, each with the least set of the bucket."""
+    A node is a set in a size class. Nodes that share fewer digests than any similar set would
+    share with them are dropped before digests connect the rest, so a common passage does not.
+    """
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    sent = StructType([StructField("part", IntegerType()), StructField("edges", BinaryType()), StructField("meetings", BinaryType())])
+    sent = StructType([StructField("part", IntegerType()), StructField("met", BinaryType()), StructField("nodes", BinaryType())])
 
     def make() -> Callable:
-        def together(texts: list[str], out: dict[str, list]) -> None:
-            sets = [shingles(t, words) for t in texts]
-            digest = [bucket_digests(s, percent, shared.value) for s in sets]
-            member = np.repeat(np.array([digests(s)[0] for s in sets], np.int64), [len(d) for d in digest])
-            a, b, digest, member = _meetings(np.concatenate(digest), member)
-            edge_part, digest_part = a.view(np.uint64) % np.uint64(n_parts), digest % np.uint64(n_parts)
-            by_edge, by_digest = np.argsort(edge_part, kind="stable"), np.argsort(digest_part, kind="stable")
-            parts = np.arange(n_parts + 1)
-            edge_at, digest_at = np.searchsorted(edge_part[by_edge], parts), np.searchsorted(digest_part[by_digest], parts)
-            a, b, digest, member = a[by_edge], b[by_edge], digest[by_digest] // np.uint64(n_parts), member[by_digest]
-            for p in range(n_parts):
-                edge, meeting = slice(edge_at[p], edge_at[p + 1]), slice(digest_at[p], digest_at[p + 1])
-                if edge.start < edge.stop or meeting.start < meeting.stop:
-                    out["part"].append(p)
-                    out["edges"].append(np.stack([a[edge], b[edge]]).tobytes())
-                    out["meetings"].append(_pack_meetings(digest[meeting], member[meeting]))
-
         def step(columns: dict[str, list]) -> dict[str, list]:
-            out: dict[str, list] = {"part": [], "edges": [], "meetings": []}
-            for at in range(0, len(columns["text"]), _TOGETHER):
-                together(columns["text"][at : at + _TOGETHER], out)
-            return out
+            digest, node, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros((3, 0), np.int64)]
+            for text in columns["text"]:
+                found = shingles(text, words)
+                one = digests(found)[0]
+                for size_class, dealt, common in class_digests(found, percent, shared.value):
+                    name = _mixed(np.array([one], np.int64).view(np.uint64) + np.uint64(size_class)).view(np.int64)
+                    digest.append(dealt)
+                    node.append(np.repeat(name, len(dealt)))
+                    known.append(np.array([[name[0]], [one], [common]], np.int64))
+            digest, node, known = np.concatenate(digest), np.concatenate(node), np.unique(np.concatenate(known, axis=1), axis=1) if len(known) > 1 else known[0]
+            part, node_part = digest % np.uint64(n_parts), known[0].view(np.uint64) % np.uint64(n_parts)
+            order, node_order = np.argsort(part, kind="stable"), np.argsort(node_part, kind="stable")
+            parts = np.arange(n_parts + 1)
+            at, node_at = np.searchsorted(part[order], parts), np.searchsorted(node_part[node_order], parts)
+            digest, node, known = digest[order] // np.uint64(n_parts), node[order], known[:, node_order]
+            full = [p for p in range(n_parts) if at[p] < at[p + 1] or node_at[p] < node_at[p + 1]]
+            return {
+                "part": full,
+                "met": [_pack(digest[at[p] : at[p + 1]], node[at[p] : at[p + 1]]) for p in full],
+                "nodes": [known[:, node_at[p] : node_at[p + 1]].tobytes() for p in full],
+            }
 
         return step
 
     def meet(table: pa.Table) -> pa.Table:
-        edges = [np.frombuffer(e, np.int64).reshape(2, -1) for e in table.column("edges").to_pylist()]
-        found = [_unpack_meetings(m) for m in table.column("meetings").to_pylist()]
-        a, b, _, _ = _meetings(np.concatenate([d for d, _ in found]), np.concatenate([m for _, m in found]))
-        a, b = _distinct_pairs(np.concatenate([a, *(e[0] for e in edges)]), np.concatenate([b, *(e[1] for e in edges)]))
-        return pa.table({"a": a, "b": b})
-
-    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-    return map_batches(docs.select("text"), make, sent, _TOGETHER).groupBy("part").applyInArrow(meet, schema)
+        release_memory()
+        found = [_unpack(m) for m in table.column("met").to_pylist()]
+        known = np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in table.column("nodes").to_pylist()], axis=1)
+        digest, node = _meetings(np.concatenate([d for d, _ in found]), np.concatenate([x for _, x in found]))
+        digest = digest * np.uint64(n_parts) + np.uint64(table.column("part")[0].as_py())
+        nothing = np.zeros(len(node), np.int64)
+        is_node = np.r_[np.zeros(len(node), bool), np.ones(known.shape[1], bool)]
+        return pa.table({
+            "digest": pa.array(np.concatenate([digest.view(np.int64), known[0]]), pa.int64(), mask=is_node),
+            "node": np.concatenate([node, known[0]]),
+            "one": pa.array(np.concatenate([nothing, known[1]]), pa.int64(), mask=~is_node),
+            "common": pa.array(np.concatenate([nothing, known[2]]), pa.int64(), mask=~is_node),
+        })
+
+    schema = StructType([StructField(n, LongType()) for n in ("digest", "node", "one", "common")])
+    rows = save(map_batches(docs.select("text"), make, sent, _TOGETHER).groupBy("part").applyInArrow(meet, schema), "meetings")
+    met = rows.filter("digest IS NOT NULL").select("digest", "node")
+    nodes = rows.filter("digest IS NULL").groupBy("node").agg(F.min("one").alias("one"), F.min("common").alias("common"))
+    enough = met.groupBy("node").agg(F.count("*").alias("n")).join(nodes, "node").filter("n >= common").select("node", "one")
+    enough = save(enough, "candidates")
+    left = save(met.join(enough.select("node"), "node"), "meetings")
+    hubs = left.groupBy("digest").agg(F.min("node").alias("a"), F.max("node").alias("last")).filter("a < last").drop("last")
+    edges = left.join(hubs, "digest").filter("node != a").select("a", F.col("node").alias("b"))
+    clusters = components(edges).withColumnRenamed("component", "cluster")
+    return clusters.join(enough, "node").select("one", "cluster").distinct()
 
 
 def _frequent(sets: DataFrame) -> np.ndarray:
@@ -426,14 +443,16 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     )
 
     def join(table: pa.Table) -> pa.Table:
-        reps = np.asarray(table.column("rep"), np.int64)
-        _, once = np.unique(reps, return_index=True)
-        reps = reps[once]
-        groups, part = (np.asarray(table.column(c), np.int64)[once] for c in ("cluster", "part"))
+        release_memory()
+        reps, groups, part = (np.asarray(table.column(c), np.int64) for c in ("rep", "cluster", "part"))
+        # A set may be in two clusters of a block; in each it counts once, and ids ascend.
+        order = np.lexsort((reps, groups))
+        once = order[np.r_[True, (reps[order][1:] != reps[order][:-1]) | (groups[order][1:] != groups[order][:-1])]]
+        reps, groups, part = reps[once], groups[once], part[once]
         found = table.column("found").to_pylist()
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         labels = tree_components(groups, [np.frombuffer(found[i], np.uint64) for i in once], percent, part == low if low != high else None)
-        # A label is the least index of its component, and ids ascend.
+        # A label is the least index of its component, so its least id.
         linked = np.flatnonzero(labels != np.arange(len(labels)))
         return pa.table({"a": reps[labels[linked]], "b": reps[linked]})
 
@@ -469,7 +488,7 @@ def similar_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     known = docs.filter("doc_id IS NOT NULL")
     keys = ["n", "one", "two"]
     classes = save(sets.filter("doc_id IS NOT NULL AND n > 0").groupBy(*keys).agg(F.min("doc_id").alias("rep")), "set-classes")
-    clusters = components(_candidate_edges(known, words, percent, _frequent(sets))).withColumnsRenamed({"node": "one", "component": "cluster"})
+    clusters = _candidates(known, words, percent, _frequent(sets))
     links = _links(known, classes.join(clusters, "one").select("rep", *keys, "cluster"), words, percent)
     linked = components(links).withColumnsRenamed({"node": "rep", "component": "linked"})
     named = classes.join(linked, "rep", "left").select(*keys, F.coalesce("linked", "rep").alias("class_component"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, pick, unpacked
+from rentscope.llm.common import DOCUMENT_COLUMNS, as_text, compressed, map_batches, pick, release_memory, unpacked
 from rentscope.plans.saved import save
 
 #: Bytes of a string that counts as a repeat, and of the k-grams that anchor it.
@@ -166,6 +166,7 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
         return step
 
     def meet(table: pa.Table) -> pa.Table:
+        release_memory()
         kept, more, n_runs = _settled(_unpacked(table.column("runs").to_pylist(), _RUN))
         repeats = _unpacked(table.column("repeats").to_pylist(), _WHOLE)
         open_ = (n_runs > 1) | (kept["wide"] > 0)
@@ -176,7 +177,7 @@ def _candidates(docs: DataFrame, length: int) -> DataFrame:
         return pa.table({**both, "key": key, "wide": np.concatenate([np.zeros(n_whole, bool), wide[open_]])})
 
     schema = StructType([StructField(n, LongType()) for n in ("doc", "start", "count", "key")] + [StructField("wide", BooleanType())])
-    return map_batches(docs.select("doc_id", "text"), make, sent, 10_000).groupBy("part").applyInArrow(meet, schema)
+    return map_batches(docs.select("doc_id", "text"), make, sent, 4_000).groupBy("part").applyInArrow(meet, schema)
 
 
 def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
@@ -327,6 +328,7 @@ def _ranges(docs: DataFrame, length: int) -> DataFrame:
     result = StructType([StructField(n, LongType()) for n in ("doc", "start", "count", "one", "two")])
 
     def expand(table: pa.Table) -> pa.Table:
+        release_memory()
         doc, start, count = (np.asarray(table.column(c), np.int64) for c in ("doc", "start", "count"))
         order = np.lexsort((start, doc))
         new = np.r_[True, (doc[order][1:] != doc[order][:-1]) | (start[order][1:] != start[order][:-1])]

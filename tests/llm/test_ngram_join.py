@@ -57,7 +57,7 @@ def test_tree_equals_all_pairs(sets, percent, split):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 10**6), st.sampled_from([80, 90]), st.booleans())
+@given(st.integers(1, 400), st.integers(0, 60), st.integers(0, 10**6), st.sampled_from([50, 80, 90]), st.booleans())
 def test_similar_sets_share_a_digest(n, n_changed, seed, percent, crowded):
     rng = np.random.default_rng(seed)
     pool = rng.integers(0, 2**63, n + n_changed, dtype=np.uint64) * np.uint64(2)
@@ -65,7 +65,10 @@ def test_similar_sets_share_a_digest(n, n_changed, seed, percent, crowded):
     a, b = np.unique(pool[:n]), np.unique(pool[n_changed:])
     both = len(np.intersect1d(a, b))
     if len(a) and len(b) and set(a.tolist()) != set(b.tolist()) and 100 * both >= percent * (len(a) + len(b) - both):
-        assert set(nj.bucket_digests(a, percent, frequent).tolist()) & set(nj.bucket_digests(b, percent, frequent).tolist())
+        first, second = ({c: (set(d.tolist()), least) for c, d, least in nj.class_digests(x, percent, frequent)} for x in (a, b))
+        meeting = max(min(first), min(second))
+        met = first[meeting][0] & second[meeting][0]
+        assert len(met) >= max(first[meeting][1], second[meeting][1])
 
 
 @pytest.mark.parametrize("words,percent", [(3, 90), (5, 80)])
