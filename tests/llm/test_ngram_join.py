@@ -126,3 +126,13 @@ def test_equals_sql(spark, small_dir):
     con = duckdb.connect()
     con.register("documents", docs.select("doc_id", "text").toArrow())
     assert sorted(map(tuple, nj.similar_components(docs, 3, 90).collect())) == sorted(con.execute(nj.SIMILAR_SQL).fetchall())
+
+
+def test_a_set_between_two_size_classes_ties_both(spark):
+    """Each middle text is similar to a shorter and to a longer one, which are not similar to each other."""
+    rows = []
+    for k, n in enumerate(range(20, 140, 3)):
+        words = [f"w{k}x{i}" for i in range(2 * n)]
+        rows += [(3 * k + 2 - j, " ".join(words[:size])) for j, size in enumerate((n, int(n * 0.85), int(n / 0.85)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found_rows(nj.similar_components(docs, 1, 80)) == brute(dict(rows), 1, 80)
