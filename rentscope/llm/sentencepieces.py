@@ -35,6 +35,8 @@ UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
 CACHE_SIZE = 200_000
+#: Cuts encoded by the library in one call.
+AT_ONCE = 5_000
 LONGEST_KEPT = 64
 
 
@@ -159,7 +161,9 @@ class Codec:
 
         Cuts of one marker and a word are compared with the library, which ends up in the result where it differs.
         """
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
+        ids: list[list[int]] = []
+        for at in range(0, len(units), AT_ONCE):  # the library's results are large, so they go part by part
+            ids += [e.ids for e in self.tokenizer.encode_batch_fast(units[at : at + AT_ONCE], add_special_tokens=False)]
         if self.model.dummy_prefix and not self.model.remove_spaces and not self.charsmap:
             compared = [i for i, unit in enumerate(units) if unit[0] == self.space and unit.count(self.space) == 1 and len(unit) > 1]
             for i, expected in zip(compared, self._reference([units[i][1:] for i in compared]), strict=True):
@@ -200,7 +204,7 @@ def codec(path: str) -> Codec:
 
 
 #: Texts encoded at once, in characters: bounds what a batch holds besides its texts.
-CHUNK = 3_000_000
+CHUNK = 1_500_000
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
