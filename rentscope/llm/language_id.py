@@ -2,9 +2,12 @@
 
 One model per language over the letters of words, with marks for word begin and end; a
 context never reaches past its word. Events (a letter and the letters before it) are counted
-over all rows to learn from, as sums per task and then per language. The models are built
-from these counts and stored as sorted arrays of n-gram hashes with one column of log
-probabilities and back-off weights per language. A text gets the language of lowest
+over all rows to learn from, as sums per task and then per language. Continuation counts,
+context totals and discounts are grouped sums over all events, and probabilities are joined
+up from the shorter n-grams; nothing is left out. The models are arrays sorted by n-gram hash
+with one column of log probabilities or back-off weights per language, dealt over parts of
+bounded size: the driver makes one part at a time, and a task that meets more parts than it
+may hold reads the others again. A text gets the language of lowest
 cross-entropy per letter. It is rejected where that exceeds what texts of its length in that
 language show, by a margin calibrated on the labelled texts; mixtures of languages stay.
 """
@@ -21,17 +24,19 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, most_frequent, pick, smaller_batches, worker_state
+from rentscope.llm.common import DOCUMENT_COLUMNS, fold, map_batches, pick, smaller_batches, worker_state
 from rentscope.plans.saved import save
 
 UNDETERMINED = "und"
 ORDER = 4
-#: Events kept for all models together, the most frequent first: bounds the models and what the driver holds.
-MOST_EVENTS = 500_000
+#: Numbers (rows times languages) in a part of the models, and parts of a table that a worker keeps; others are read when needed.
+PART_CELLS = 2_000_000
+PARTS_HELD = 2
 #: Distinct words a task holds before it sends their counts on.
 WORDS_HELD = 200_000
 #: Words whose scores a worker keeps, and texts whose new words are scored together.
@@ -147,18 +152,62 @@ def _kneser_ney(events: dict[str, int], order: int, alphabet: int) -> tuple[dict
     return probability, back_off
 
 
+class Table:
+    """Rows of one number per language by 64-bit key, dealt over parts by the upper half of the key.
+
+    A part is a pair of sorted keys and rows, or a broadcast of one. Up to ``PARTS_HELD`` broadcast
+    parts stay in memory once read; the others are read for each search that needs them.
+    """
+
+    def __init__(self, parts: list, width: int):
+        self.parts = parts
+        self.width = width
+        self.held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def _part(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+        part = self.held.get(at, self.parts[at])
+        if not isinstance(part, Broadcast):
+            return part
+        # Not ``value``, which would keep every part that was ever read.
+        read = part.load_from_path(part._path)
+        if len(self.held) < PARTS_HELD:
+            self.held[at] = read
+        return read
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are there, and the rows of those that are."""
+        found = np.zeros(len(keys), bool)
+        rows = np.zeros((len(keys), self.width))
+        part = part_of(keys, len(self.parts))
+        for at in np.unique(part):
+            known, values = self._part(int(at))
+            if len(known):
+                here = np.flatnonzero(part == at)
+                place = np.minimum(np.searchsorted(known, keys[here]), len(known) - 1)
+                same = known[place] == keys[here]
+                found[here] = same
+                rows[here[same]] = values[place[same]]
+        return found, rows[found]
+
+
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (keys >> np.uint64(32)) % np.uint64(parts)
+
+
 @dataclass
 class Models:
-    """All languages' models in arrays sorted by hash, one column per language."""
+    """All languages' models, one column per language."""
 
     languages: list[str]
     order: int
-    keys: np.ndarray
-    log_p: np.ndarray
-    context_keys: np.ndarray
-    log_back_off: np.ndarray
+    grams: Table
+    contexts: Table
     log_unknown: np.ndarray
 
+    def renew(self, other: Models) -> None:
+        """Read parts from where ``other`` has them: a task may not rely on the files of one before it."""
+        self.grams.parts, self.contexts.parts = other.grams.parts, other.contexts.parts
+
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
         marked, word, ends, lengths = _events(words, self.order)
@@ -170,21 +219,19 @@ class Models:
         for k in range(self.order, 0, -1):
             fits = lengths[open_] >= k
             at = open_[fits]
-            place = np.minimum(np.searchsorted(self.keys, here[k - 1][at]), len(self.keys) - 1)
-            found = self.keys[place] == here[k - 1][at]
-            scores[at[found]] += self.log_p[place[found]]
+            found, log_p = self.grams.find(here[k - 1][at])
+            scores[at[found]] += log_p
             missed = at[~found]
             context = before[k - 2][missed] if k > 1 else np.zeros(len(missed), np.uint64)
-            place = np.minimum(np.searchsorted(self.context_keys, context), len(self.context_keys) - 1)
-            known = self.context_keys[place] == context
-            scores[missed[known]] += self.log_back_off[place[known]]
+            known, log_back_off = self.contexts.find(context)
+            scores[missed[known]] += log_back_off
             open_ = np.concatenate([open_[~fits], missed])
         scores[open_] += self.log_unknown
         return np.add.reduceat(scores, np.flatnonzero(np.r_[True, word[1:] != word[:-1]]), axis=0)
 
 
 def build_models(rows: list[tuple[str, str, int]], order: int = ORDER) -> Models | None:
-    """Models from event counts; None without any."""
+    """Models from event counts at hand, as ``models_of`` makes them from a table; None without any."""
     by_language: dict[str, dict[str, int]] = defaultdict(dict)
     for lang, event, n in rows:
         by_language[lang][event] = n
@@ -211,7 +258,90 @@ def build_models(rows: list[tuple[str, str, int]], order: int = ORDER) -> Models
     by_key, by_context = np.argsort(keys), np.argsort(context_keys)
     # The empty context is the one of single letters: its back-off applies once a letter is unknown.
     return Models(
-        languages, order, keys[by_key], log_p[by_key], context_keys[by_context], log_back_off[by_context],
+        languages, order, Table([(keys[by_key], log_p[by_key])], len(languages)),
+        Table([(context_keys[by_context], log_back_off[by_context])], len(languages)),
+        np.full(len(languages), -math.log(alphabet + 1)),
+    )
+
+
+def _gram_counts(events: DataFrame, order: int) -> DataFrame:
+    """``lang, gram, k, n``: n-grams of each length with their counts, those of continuations below the longest."""
+    level = events.filter(F.length("event") == order).select("lang", F.col("event").alias("gram"), F.lit(order).alias("k"), "n")
+    out = level
+    for k in range(order - 1, 0, -1):
+        # As in ``_kneser_ney``: what starts a word keeps its count, others count the different letters before them.
+        after = level.groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+        begun = events.filter(F.length("event") == k).select("lang", F.col("event").alias("gram"), "n")
+        level = begun.unionByName(after).select("lang", "gram", F.lit(k).alias("k"), "n")
+        out = out.unionByName(level)
+    return out
+
+
+def _by_language(df: DataFrame, key: list[str], value: str, languages: list[str], missing: float, name: str) -> DataFrame:
+    """One row per key with an array of the languages' values."""
+    entries = F.map_from_entries(F.collect_list(F.struct("lang", value)))
+    row = F.array(*[F.coalesce(F.try_element_at("of", F.lit(lang)), F.lit(missing)) for lang in languages])
+    return df.groupBy(*key).agg(entries.alias("of")).select(*key, row.alias(name))
+
+
+def _broadcast_table(df: DataFrame, text: str, values: str, width: int, part_cells: int) -> Table:
+    """The logs of a table's arrays by the hash of their string, as broadcast parts; the driver holds one part at a time."""
+    schema = StructType([StructField("hash", LongType()), StructField("row", ArrayType(DoubleType()))])
+
+    def make() -> Callable:
+        def step(columns: dict[str, list]) -> dict[str, list]:
+            rows = np.log(np.array(columns[values]).reshape(-1, width))
+            return {"hash": ngram_hash(columns[text]).view(np.int64), "row": list(rows)}
+
+        return step
+
+    hashed = save(map_batches(df.select(text, values), make, schema), "model")
+    n = max(1, math.ceil(hashed.count() * width / part_cells))
+    part = F.pmod(F.shiftrightunsigned("hash", 32), F.lit(n))
+    parts = []
+    for at in range(n):
+        rows = hashed.filter(part == at).toArrow()
+        keys = rows.column("hash").to_numpy().view(np.uint64)
+        numbers = rows.column("row").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        order = np.argsort(keys)
+        parts.append(df.sparkSession.sparkContext.broadcast((keys[order], numbers[order])))
+    return Table(parts, width)
+
+
+def models_of(events: DataFrame, order: int = ORDER, part_cells: int = PART_CELLS) -> Models | None:
+    """Models from a stored table of event counts (``lang, event, n``), over all of its rows; None without any."""
+    languages = sorted(r.lang for r in events.select("lang").distinct().collect())
+    if not languages:
+        return None
+    grams = save(_gram_counts(events, order), "grams")
+    alphabet = grams.filter("k = 1").select("gram").distinct().count()
+    ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    discounts = grams.groupBy("lang", "k").agg(F.when((ones > 0) & (twos > 0), ones / (ones + 2 * twos)).otherwise(0.5).alias("discount"))
+    grams = grams.join(F.broadcast(discounts), ["lang", "k"]).withColumn("context", F.expr("substring(gram, 1, k - 1)"))
+    contexts = save(
+        grams.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.first("discount") * F.count(F.lit(1)) / F.sum("n")).alias("back_off")),
+        "contexts",
+    )
+    own = grams.join(contexts, ["lang", "context"]).withColumn("own", (F.col("n") - F.col("discount")) / F.col("total"))
+    own = save(_by_language(own, ["gram", "k", "context"], "own", languages, 0.0, "own"), "own")
+    back_offs = save(_by_language(contexts, ["context"], "back_off", languages, 1.0, "back_off"), "back-offs")
+    # What one language has not seen backs off here, so that each n-gram is looked up once for all.
+    chance = F.zip_with("own", F.zip_with("back_off", "lower", lambda b, x: b * x), lambda a, b: a + b)
+    levels: list[DataFrame] = []
+    for k in range(1, order + 1):
+        here = own.filter(F.col("k") == k).join(back_offs, "context")
+        if levels:
+            lower = levels[-1].select(F.col("gram").alias("rest"), F.col("chance").alias("lower"))
+            here = here.withColumn("rest", F.expr("substring(gram, 2)")).join(lower, "rest")
+        else:
+            here = here.withColumn("lower", F.array_repeat(F.lit(1.0 / (alphabet + 1)), len(languages)))
+        levels.append(save(here.select("gram", chance.alias("chance")), f"chances-{k}"))
+    chances = levels[0]
+    for level in levels[1:]:
+        chances = chances.unionByName(level)
+    return Models(
+        languages, order, _broadcast_table(chances, "gram", "chance", len(languages), part_cells),
+        _broadcast_table(back_offs, "context", "back_off", len(languages), part_cells),
         np.full(len(languages), -math.log(alphabet + 1)),
     )
 
@@ -276,11 +406,10 @@ class Scorer:
         return (total, n) if n else None
 
 
-def learn(docs: DataFrame, order: int = ORDER, most_events: int = MOST_EVENTS) -> Models | None:
-    """Models of all languages named in ``lang``, from all rows that have text and language."""
+def learn(docs: DataFrame, order: int = ORDER, part_cells: int = PART_CELLS) -> Models | None:
+    """Models of all languages named in ``lang``, from all rows that have text and language and all of their events."""
     labelled = pick(docs, "text", "lang").filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    kept = most_frequent(save(count_events(labelled, order), "events"), "n", most_events).collect()
-    return build_models(sorted((r.lang, r.event, r.n) for r in kept), order)
+    return models_of(save(count_events(labelled, order), "events"), order, part_cells)
 
 
 def predict(docs: DataFrame, models: Models | None, *keep: str) -> DataFrame:
@@ -294,12 +423,14 @@ def predict(docs: DataFrame, models: Models | None, *keep: str) -> DataFrame:
     """
     kept = list(dict.fromkeys(["doc_id", *keep]))
     docs = pick(docs, *dict.fromkeys([*kept, "text"]))
-    shared, learned = docs.sparkSession.sparkContext.broadcast(models), models is not None
+    learned = models is not None
     mark = uuid.uuid4().hex
     names = ["lang_pred", "score", "cross_entropy", "n_events"]
 
     def make() -> Callable:
-        scorer = worker_state(f"languages {mark}", lambda: Scorer(shared.value)) if learned else None
+        scorer = worker_state(f"languages {mark}", lambda: Scorer(models)) if learned else None
+        if scorer:
+            scorer.models.renew(models)
 
         def row(found: tuple[np.ndarray, int] | None) -> tuple[str, float, float | None, int]:
             if found is None:

@@ -96,3 +96,39 @@ def test_scores_do_not_depend_on_the_cache(monkeypatch, cache):
     monkeypatch.setattr(li, "TEXTS_AT_ONCE", 3)
     for a, b in zip(whole, li.Scorer(models).texts(texts), strict=True):
         assert (a is None and b is None) or (a[1] == b[1] and np.allclose(a[0], b[0]))
+
+
+def assert_same_models(found, expected, words):
+    assert found.languages == expected.languages
+    assert np.allclose(found.word_scores(words), expected.word_scores(words), rtol=0, atol=1e-9)
+
+
+def test_no_event_is_left_out(spark):
+    """A small language of rare events beside hot and very rich ones: as if counted at one place, also over many parts."""
+    rng = random.Random(11)
+
+    def text(letters: str, n: int) -> str:
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 8))) for _ in range(n))
+
+    wide = "".join(chr(0x4E00 + i) for i in range(3_000))
+    docs = [(i, text("abcdefghij", 300), "hot") for i in range(60)] + [(100 + i, text(wide, 6_500), "wide") for i in range(20)] + [(900, text("klmnopq", 12), "few")]
+    df = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in docs], "doc_id long, text string, lang string, source string, n_chars long")
+    counts: dict[tuple, int] = {}
+    for _, t, lang in docs:
+        for event, n in zip(*li.event_counts(li.Counter(li.letter_words(t)), li.ORDER), strict=True):
+            counts[lang, event] = counts.get((lang, event), 0) + int(n)
+    expected = li.build_models([(lang, e, n) for (lang, e), n in counts.items()])
+    words = [w for _, t, _ in docs for w in t.split()[:40]] + ["zoo", "aaaa", "kab", "zz漢"]
+    assert len(counts) > 500_000
+    found = li.learn(df)
+    predicted = {r["doc_id"]: r["lang_pred"] for r in li.predict(df, found).collect()}
+    assert predicted == {i: lang for i, _, lang in docs}
+    assert_same_models(found, expected, words)
+
+
+def test_parts_do_not_matter(spark, small_dir):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    whole, parted = li.learn(docs), li.learn(docs, part_cells=20_000)
+    assert len(whole.grams.parts) == 1 and len(parted.grams.parts) > li.PARTS_HELD + 1
+    first, second = by_id(li.predict(docs, whole)), by_id(li.predict(docs, parted))
+    assert first == second
