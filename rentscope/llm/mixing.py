@@ -65,49 +65,104 @@ def source_budgets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most_epoc
     return filled.select("source", "source_size", target.alias("target"), F.floor(target + 0.5).cast("long").alias("budget"))
 
 
-def _keyed(docs: DataFrame, seed: str) -> DataFrame:
-    """Key, bucket and size of each document; the texts are read once and go no further."""
-    docs = pick(docs, "doc_id", "text", "source")
-    return save(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("doc_id"), seed).alias("key")), "mix-sizes")
+def _digest(*columns: str) -> Column:
+    """Rows of equal values, and no others, share it; each value goes in with its length."""
+    texts = [F.col(c).cast("string") for c in columns]
+    return F.md5(F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]))
+
+
+def _contents() -> Column:
+    """The order among rows of one key and size: id and text first, which ``mix`` reads too."""
+    return F.concat(_digest("doc_id", "text"), _digest("lang", "n_chars"))
+
+
+def _keyed(docs: DataFrame, seed: str, content: Column) -> DataFrame:
+    """Key, size and content of each document; the texts are read once and go no further."""
+    return save(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mix_key(F.col("doc_id"), seed).alias("key"), content.alias("content")), "mix-sizes")
 
 
-def _placed(keyed: DataFrame, budgets: DataFrame, digits: int) -> DataFrame:
-    """Each document with its source's budget and the words that stand before it in the source."""
-    keyed = keyed.withColumn("bucket", F.substring("key", 1, digits))
+def _before(counted: DataFrame, order: Sequence[str], value: Column, digits: int) -> DataFrame:
+    """Adds ``before``: the sum of ``value`` over a source's rows that come first in ``order``, whose first column names buckets."""
+    counted = counted.withColumn("value", value).withColumn("bucket", F.substring(order[0], 1, digits))
     ahead = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-        .withColumn("offset", F.coalesce(F.sum("bucket_size").over(ahead), F.lit(0)))
+        counted.groupBy("source", "bucket").agg(F.sum("value").alias("bucket_value"))
+        .select(F.col("source").alias("of"), F.col("bucket").alias("at"), F.coalesce(F.sum("bucket_value").over(ahead), F.lit(0)).alias("offset"))
     )
-    known = buckets.join(budgets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of", "bucket_size")
-    known = known.withColumnsRenamed({"source": "of", "bucket": "at"})
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        keyed.join(known, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at"))).drop("of", "at")
-        .withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        counted.join(buckets, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
+        .withColumn("before", F.col("offset") + F.coalesce(F.sum("value").over(inside), F.lit(0)))
+        .drop("of", "at", "offset", "bucket", "value")
     )
 
 
-def _epochs() -> Column:
-    return F.expr("CASE WHEN source_size > 0 THEN budget div source_size ELSE 0L END")
+def _cuts(keyed: DataFrame, budgets: DataFrame, digits: int) -> DataFrame:
+    """One row per source: ``of, source_size, target, epochs, cut_key, cut_size, cut_content, cut_whole, cut_words``.
 
+    What is before the cut's key, size and content comes once more than the epochs. Of the rows that
+    equal all three, ``cut_whole`` do, and one more with its first ``cut_words`` words. The cut is null
+    where nothing is left after the epochs.
+    """
+    groups = keyed.filter("size > 0").groupBy("source", "key", "size").agg(F.count(F.lit(1)).alias("n"))
+    named = budgets.select(F.col("source").alias("named"), (F.col("budget") - _epochs() * F.col("source_size")).alias("rest"))
+    crossed = (
+        _before(groups, ["key", "size"], F.col("size") * F.col("n"), digits)
+        .join(named, F.col("source").eqNullSafe(F.col("named")))
+        .filter((F.col("before") < F.col("rest")) & (F.col("before") + F.col("size") * F.col("n") >= F.col("rest")))
+        .select(F.col("source").alias("of"), F.col("key").alias("cut_key"), F.col("size").alias("cut_size"), (F.col("rest") - F.col("before")).alias("left"))
+    )
+    crossed = save(crossed, "mix-crossed")
+    at_cut = F.col("source").eqNullSafe(F.col("of")) & (F.col("key") == F.col("cut_key")) & (F.col("size") == F.col("cut_size"))
+    contents = keyed.join(F.broadcast(crossed), at_cut, "left_semi").groupBy("source", "content").agg(F.count(F.lit(1)).alias("n"))
+    words = F.col("left") - F.col("before") * F.col("cut_size")
+    exact = (
+        _before(contents, ["content"], F.col("n"), digits)
+        .join(F.broadcast(crossed), F.col("source").eqNullSafe(F.col("of")))
+        .filter((words > 0) & (words <= F.col("n") * F.col("cut_size")))
+        .select("of", "cut_key", "cut_size", F.col("content").alias("cut_content"), F.expr("CAST((left - before * cut_size - 1) div cut_size AS BIGINT)").alias("cut_whole"), words.alias("words"))
+        .withColumn("cut_words", F.col("words") - F.col("cut_whole") * F.col("cut_size"))
+        .drop("words")
+    )
+    whole = budgets.select(F.col("source").alias("named"), "source_size", "target", _epochs().alias("epochs"))
+    cuts = whole.join(exact, F.col("named").eqNullSafe(F.col("of")), "left").drop("of").withColumnRenamed("named", "of")
+    return save(cuts, "mix-cuts")
 
-def _rest() -> Column:
-    """Words left for the part after the whole epochs."""
-    return F.col("budget") - _epochs() * F.col("source_size")
+
+def _ahead() -> Column:
+    """Whether a row comes before its source's cut; false where there is none, null never."""
+    first = (F.col("key") < F.col("cut_key")) | ((F.col("key") == F.col("cut_key")) & (
+        (F.col("size") < F.col("cut_size")) | ((F.col("size") == F.col("cut_size")) & (F.col("content") < F.col("cut_content")))))
+    return F.coalesce(first, F.lit(False))
+
+
+def _at_cut() -> Column:
+    return F.coalesce((F.col("key") == F.col("cut_key")) & (F.col("size") == F.col("cut_size")) & (F.col("content") == F.col("cut_content")), F.lit(False))
+
+
+def _epochs() -> Column:
+    return F.expr("CASE WHEN source_size > 0 THEN budget div source_size ELSE 0L END")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MOST_EPOCHS, share: float = 1.0, seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
     """How many words the mix takes of each document.
 
     Returns ``doc_id, source, size, source_size, target, taken``, one row per input row. Null
-    texts have size 0; null is a source of its own; rows without an id share one key. Repeated
-    rows are taken one after the other. An empty table gives an empty result.
+    texts have size 0; null is a source of its own; rows that share an id, or have none, share a
+    key and go by size and then by content. Repeated rows are taken one after the other. An empty table gives an empty result.
     """
-    keyed = _keyed(docs, seed)
-    placed = _placed(keyed, source_budgets(keyed, weights, most_epochs, share), bucket_digits)
-    last = F.greatest(F.lit(0), F.least(F.col("size"), _rest() - F.col("before")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (_epochs() * F.col("size") + last).alias("taken"))
+    docs = pick(docs, "doc_id", "text", "source")
+    keyed = _keyed(docs, seed, _digest("doc_id", "text"))
+    cuts = _cuts(keyed, source_budgets(keyed, weights, most_epochs, share), bucket_digits)
+    placed = keyed.join(F.broadcast(cuts), F.col("source").eqNullSafe(F.col("of")))
+    names = ["doc_id", "source", "size", "source_size", "target"]
+    once = F.when(_ahead(), F.col("size")).otherwise(0)
+    apart = placed.filter(~_at_cut()).select(*names, (F.col("epochs") * F.col("size") + once).alias("taken"))
+    # Rows that equal the one at the cut in id and text are counted and told apart by number.
+    equal = placed.filter(_at_cut()).groupBy(*names, "epochs", "cut_whole", "cut_words").agg(F.count(F.lit(1)).alias("n"))
+    equal = equal.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+    last = F.when(F.col("turn") < F.col("cut_whole"), F.col("size")).when(F.col("turn") == F.col("cut_whole"), F.col("cut_words")).otherwise(0)
+    return apart.unionByName(equal.select(*names, (F.col("epochs") * F.col("size") + last).alias("taken")))
 
 
 @F.pandas_udf(StringType())
@@ -129,27 +184,25 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epoc
     """The mix itself, with the columns of ``documents``.
 
     A document comes once per epoch taken of it; the one at the cut comes with its first words
-    up to the budget, and its ``n_chars`` follows. Cuts are one row per source (epochs, key and
-    words left), so texts are filtered in place and never shuffled. Rows that share an id share a
-    key and so a cut. Documents without words belong to each epoch and to the part before the cut.
+    up to the budget, and its ``n_chars`` follows. Cuts are one row per source, so texts are
+    filtered in place; only rows equal in every column to the one at the cut are reduced to one
+    per source, which is then repeated. Documents without words belong to each epoch and, by key, to the
+    part before the cut.
     """
     docs = pick(docs, *DOCUMENT_COLUMNS)
-    keyed = _keyed(docs, seed)
-    budgets = source_budgets(keyed, weights, most_epochs, share)
-    crossing = _placed(keyed, budgets, bucket_digits).filter((F.col("before") < _rest()) & (F.col("before") + F.col("size") >= _rest()))
-    at = crossing.groupBy("source").agg(F.min("key").alias("cut_key"), F.min_by(_rest() - F.col("before"), "key").alias("cut_words"))
-    cuts = save(
-        budgets.join(at.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")), "left")
-        .select(F.col("source").alias("of"), _epochs().alias("epochs"), "cut_key", "cut_words"),
-        "mix-cuts",
-    )
-    keyed_docs = docs.withColumn("key", mix_key(F.col("doc_id"), seed))
-    joined = keyed_docs.join(cuts, F.col("source").eqNullSafe(F.col("of")))
-    copies = F.col("epochs") + F.when(F.col("key") < F.col("cut_key"), 1).otherwise(0)
+    keyed = _keyed(docs, seed, _contents())
+    cuts = _cuts(keyed, source_budgets(keyed, weights, most_epochs, share), bucket_digits)
+    # Only at a cut's key is there more to compare than the key.
+    joined = docs.withColumn("key", mix_key(F.col("doc_id"), seed)).join(F.broadcast(cuts), F.col("source").eqNullSafe(F.col("of")))
+    near = F.col("key") == F.col("cut_key")
+    joined = joined.withColumn("size", F.when(near, word_count(F.col("text")))).withColumn("content", F.when(near, _contents()))
+    copies = F.col("epochs") + F.when(_ahead(), 1).otherwise(0)
     whole = joined.withColumn("copies", copies.cast("int")).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    part = joined.filter(F.col("key") == F.col("cut_key")).withColumn("text", _first_words(F.coalesce("text", F.lit("")), "cut_words"))
+    equal = joined.filter(_at_cut()).groupBy("source", "cut_whole", "cut_words").agg(*[F.first(c).alias(c) for c in DOCUMENT_COLUMNS if c != "source"])
+    again = equal.filter("cut_whole > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("cut_whole"))))
+    part = equal.withColumn("text", _first_words(F.coalesce("text", F.lit("")), "cut_words"))
     part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return whole.select(*DOCUMENT_COLUMNS).unionByName(part.select(*DOCUMENT_COLUMNS))
+    return whole.select(*DOCUMENT_COLUMNS).unionByName(again.select(*DOCUMENT_COLUMNS)).unionByName(part.select(*DOCUMENT_COLUMNS))
 
 
 MIX_SQL = r"""

@@ -65,3 +65,36 @@ def test_nothing(spark):
     assert mixing.mixed_documents(no_documents(spark)).collect() == []
     blank = spark.createDataFrame([(1, None, None, None, None), (2, "", None, "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     assert {(r["doc_id"], r["target"], r["taken"]) for r in mixing.mix(blank).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
+
+
+def test_rows_that_share_an_id_are_cut_once(spark):
+    """A third of a source without ids, and repeated ids with other or equal texts: each source's words are met, by one short row."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in range(1, 41)]
+    for seed in range(4):
+        out = []
+        for s in "abc":
+            for i in range(240):
+                text = texts[(i * 7 + seed) % 40] + (f" x{i}" if i % 3 else "")
+                out.append((None if i % 3 == 0 else i % 5 if i % 3 == 1 else i, text, None, s, len(text)))
+        docs = spark.createDataFrame(out, schema).repartition(5)
+        for share in (0.3, 1.0):
+            taken = mixing.mix(docs, share=share, seed=str(seed)).toPandas()
+            held = mixing.mixed_documents(docs, share=share, seed=str(seed)).toPandas()
+            held["words"] = [len(WORDS.findall(t)) for t in held["text"]]
+            by_source = taken.groupby("source")["taken"].sum()
+            assert held.groupby("source")["words"].sum().to_dict() == by_source.to_dict()
+            assert (by_source - taken.groupby("source")["target"].first()).abs().max() <= 0.5
+            known = {t for _, t, *_ in out}
+            whole = held[[t in known for t in held["text"]]]
+            assert len(held) - len(whole) <= 3
+            assert ((taken["taken"] % taken["size"]) != 0).sum() <= 3
+            found = held.groupby(["source", held["doc_id"].fillna(-1)])["words"].sum()
+            expected = taken.groupby(["source", taken["doc_id"].fillna(-1)])["taken"].sum()
+            assert {k: v for k, v in found.items() if v} == {k: v for k, v in expected.items() if v}
+
+
+def test_repeated_rows_equal_sql(spark):
+    texts = [" ".join("w" * (i % 9 + 1)) for i in range(90)]
+    docs = spark.createDataFrame([(None if i % 2 else i % 4, t, None, "ab"[i % 3 == 0], len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=str) == sql_rows(spark, docs)
