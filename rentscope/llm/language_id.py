@@ -42,7 +42,7 @@ WORDS_HELD = 200_000
 #: Words whose scores a worker keeps, and texts whose new words are scored together.
 CACHE_WORDS = 150_000
 TEXTS_AT_ONCE = 500
-#: Rejection: this share of the way from the language's own mean to letters drawn evenly, and so many standard errors over the text's letters above it.
+#: Rejection: this share of the way from the language's own mean to its own letters drawn one by one, and so many standard errors over the text's letters above it.
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
 
 BEGIN, END = "\x02", "\x03"
@@ -203,6 +203,8 @@ class Models:
     grams: Table
     contexts: Table
     log_unknown: np.ndarray
+    #: By language, the entropy of its letters drawn one by one as often as it has them: other languages' letters do not move it, rare ones hardly.
+    of_letters: dict[str, float]
 
     def renew(self, other: Models) -> None:
         """Read parts from where ``other`` has them: a task may not rely on the files of one before it."""
@@ -260,10 +262,18 @@ def build_models(rows: list[tuple[str, str, int]], order: int = ORDER) -> Models
     return Models(
         languages, order, Table([(keys[by_key], log_p[by_key])], len(languages)),
         Table([(context_keys[by_context], log_back_off[by_context])], len(languages)),
-        np.full(len(languages), -math.log(alphabet + 1)),
+        np.full(len(languages), -math.log(alphabet + 1)), {lang: _letter_entropy(by_language[lang]) for lang in languages},
     )
 
 
+def _letter_entropy(events: dict[str, int]) -> float:
+    letters: Counter[str] = Counter()
+    for event, n in events.items():
+        letters[event[-1]] += n
+    total = sum(letters.values())
+    return math.log(total) - sum(n * math.log(n) for n in letters.values()) / total
+
+
 def _gram_counts(events: DataFrame, order: int) -> DataFrame:
     """``lang, gram, k, n``: n-grams of each length with their counts, those of continuations below the longest."""
     level = events.filter(F.length("event") == order).select("lang", F.col("event").alias("gram"), F.lit(order).alias("k"), "n")
@@ -313,6 +323,9 @@ def models_of(events: DataFrame, order: int = ORDER, part_cells: int = PART_CELL
     languages = sorted(r.lang for r in events.select("lang").distinct().collect())
     if not languages:
         return None
+    letters = events.groupBy("lang", F.expr("right(event, 1)").alias("letter")).agg(F.sum("n").alias("n"))
+    entropy = F.log(F.sum("n")) - F.sum(F.col("n") * F.log("n")) / F.sum("n")
+    of_letters = {r.lang: r.entropy for r in letters.groupBy("lang").agg(entropy.alias("entropy")).collect()}
     grams = save(_gram_counts(events, order), "grams")
     alphabet = grams.filter("k = 1").select("gram").distinct().count()
     ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
@@ -342,7 +355,7 @@ def models_of(events: DataFrame, order: int = ORDER, part_cells: int = PART_CELL
     return Models(
         languages, order, _broadcast_table(chances, "gram", "chance", len(languages), part_cells),
         _broadcast_table(back_offs, "context", "back_off", len(languages), part_cells),
-        np.full(len(languages), -math.log(alphabet + 1)),
+        np.full(len(languages), -math.log(alphabet + 1)), of_letters,
     )
 
 
@@ -456,10 +469,10 @@ def with_rejection(predicted: DataFrame, labelled: Column, models: Models | None
     """Adds ``rejected`` to predictions that carry ``lang``, calibrated on their labelled rows.
 
     Per language, the mean cross-entropy of the texts that have this label and prediction, and its
-    spread per letter, give what a text of any length may reach. ``und`` is always rejected; a
+    spread per letter, give what a text of any length may reach: the way from the mean to the entropy
+    of that language's own letters is the scale, whatever scripts other languages bring. ``und`` is always rejected; a
     language without such texts rejects nothing.
     """
-    of_letters = models.log_unknown[0] if models else 0.0
     right = predicted.filter(labelled & (F.col("lang") == F.col("lang_pred")) & (F.col("n_events") > 0))
     sums = right.groupBy("lang_pred").agg(
         F.avg("cross_entropy").alias("mean"), F.avg("n_events").alias("n"),
@@ -468,7 +481,7 @@ def with_rejection(predicted: DataFrame, labelled: Column, models: Models | None
     rejected = F.col("lang_pred") == UNDETERMINED
     for r in sums.collect():  # one row per language
         deviation = math.sqrt(max(0.0, r.een - 2 * r["mean"] * r.en + r["mean"] ** 2 * r.n))
-        base = r["mean"] + MARGIN * (max(r["mean"], -of_letters) - r["mean"])
+        base = r["mean"] + MARGIN * max(0.0, models.of_letters[r.lang_pred] - r["mean"])
         limit = F.lit(base) + F.lit(STANDARD_ERRORS * deviation) / F.sqrt(F.greatest(F.col("n_events"), F.lit(1)))
         rejected = rejected | ((F.col("lang_pred") == r.lang_pred) & (F.col("cross_entropy") > limit))
     return predicted.withColumn("rejected", F.coalesce(rejected, F.lit(True)))

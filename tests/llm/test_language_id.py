@@ -132,3 +132,18 @@ def test_parts_do_not_matter(spark, small_dir):
     assert len(whole.grams.parts) == 1 and len(parted.grams.parts) > li.PARTS_HELD + 1
     first, second = by_id(li.predict(docs, whole)), by_id(li.predict(docs, parted))
     assert first == second
+
+
+def test_a_large_script_does_not_let_noise_pass(spark, small_dir):
+    """Beside a language of 5,000 letters, random Latin letters go as before, and clean documents stay."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    rng = random.Random(5)
+    common = [chr(0x4E00 + rng.randrange(5_000)) + chr(0x4E00 + rng.randrange(5_000)) for _ in range(4_000)]
+    wide = [(2 * 10**6 + i, " ".join("".join(rng.choices(common, k=3)) for _ in range(120)), "zh") for i in range(60)]
+    letters = ["abcdefghijklmnopqrstuvwxyz", "etaoinshrdlu"]
+    noise = [(10**6 + i, " ".join("".join(rng.choice(letters[i % 2]) for _ in range(7)) for _ in range(80)), None) for i in range(10)]
+    more = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in wide + noise], docs.schema)
+    kept = {r["doc_id"] for r in li.recognised(docs.union(more)).select("doc_id").collect()}
+    assert not kept & {i for i, *_ in noise}
+    clean = {r["doc_id"] for r in docs.select("doc_id").collect()}
+    assert len(kept & clean) >= 0.99 * len(clean)
