@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, suffix_dedup, token_counts
+from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, suffix_dedup, token_counts, vector_codes
 from rentscope.plans.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes_with_digests(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op8_language_id": op8_language_id,
         "op9_fingerprints": op9_fingerprints,
         "op10_license_scan": op10_license_scan,
+        "op11_vector_codes": op11_vector_codes,
     }
 
 
@@ -93,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_mixing": mixing.MIX_SQL,
         "op3_suffix_dedup": suffix_dedup.REPEATED_SQL,
         "op6_ngram_join": ngram_join.SIMILAR_SQL,
+        "op11_vector_codes": vector_codes.CODES_SQL,
     }
