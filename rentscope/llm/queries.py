@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, quality, sentencepieces, suffix_dedup, token_counts, vector_codes
+from rentscope.llm import fingerprints, language_id, licenses, mixing, neighbours, ngram_join, packing, prefix_trie, quality, sentencepieces, suffix_dedup, token_counts, vector_codes
 from rentscope.plans.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def tokenizer_path(name: str) -> str:
@@ -77,6 +78,15 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.codes_with_digests(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_documents(spark, sf_dir), tokenizer_path(WORD_BPE))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), shared_heads=True)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -90,6 +100,8 @@ def queries() -> dict[str, Query]:
         "op9_fingerprints": op9_fingerprints,
         "op10_license_scan": op10_license_scan,
         "op11_vector_codes": op11_vector_codes,
+        "op12_packing": op12_packing,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -99,4 +111,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_suffix_dedup": suffix_dedup.REPEATED_SQL,
         "op6_ngram_join": ngram_join.SIMILAR_SQL,
         "op11_vector_codes": vector_codes.CODES_SQL,
+        "op13_prefix_trie": prefix_trie.TRIE_SQL,
     }
