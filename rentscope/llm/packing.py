@@ -15,11 +15,13 @@ from __future__ import annotations
 
 import itertools
 import json
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,20 +35,28 @@ from rentscope.plans.saved import save
 WINDOW, STEP, DEPTH, END_ID = 2048, 16, 3, 1
 #: Entries of a worker's cache of words, and the longest word kept there.
 CACHE_SIZE, LONGEST_KEPT = 200_000, 64
-#: Words encoded in one call, and bytes of ids in a batch.
-WORDS_AT_ONCE, BATCH_BYTES = 5_000, 4_000_000
+#: Words of a line that is encoded at once, letters of texts that are looked up together, and bytes of ids in a batch.
+LINE, LETTERS_AT_ONCE, BATCH_BYTES = 1_000, 8_000_000, 4_000_000
 #: Sequence ids: whole windows are numbered by task and turn, combinations and the rest from here on.
 COMBINED = 2**62
 
 # Fixed value: the pattern that cuts words in the tokenizer file with word ends. It takes no white space.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of printable ASCII and accented Latin letters: all versions of Unicode classify, compose and lower these alike.
+PLAIN = re.compile("[\n\t -~À-ÿ]*").fullmatch
+#: The same pattern on lower-case plain parts.
+PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+#: A stop that ends a word is one of its own.
+LAST_STOP = re.compile("(?<=[a-z0-9ß-öø-ÿ])[.,;:?!](?=[ \n\t]|$)").sub
 
 
 class WordIds:
     """Ids of texts as the library gives them, as little-endian 32-bit bytes.
 
     Where the tokenizer drops white space and nothing in it reaches over a space, a text's ids are
-    those of its parts between spaces, tabs and line feeds, which repeat; else texts go whole.
+    those of its parts between spaces, tabs and line feeds, which repeat; else texts go whole. Plain texts
+    (``PLAIN``) are lowered first and their stops set apart, so that more parts repeat. New plain parts are encoded many at a
+    time, as one line: tokens that end a word say where each begins.
     """
 
     def __init__(self, path: str):
@@ -54,36 +64,67 @@ class WordIds:
             spec = json.load(file)
         self.tokenizer, self.cache = Tokenizer.from_file(path), BoundedCache(CACHE_SIZE)
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
-        split = steps[0]
+        split, model = steps[0], spec["model"]
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        special = [t["content"] for t in spec["added_tokens"]]
         self.by_word = (
             split.get("type") == "Split" and split["pattern"] == {"Regex": WORD_PATTERN} and split["invert"] and split["behavior"] == "Removed"
             and all(s["type"] == "ByteLevel" and not s["add_prefix_space"] and not s["use_regex"] for s in steps[1:])
-            and set(normal) <= {"NFC", "Replace", "Lowercase"} and spec["post_processor"] is None
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in spec["added_tokens"])
+            and normal == ["NFC", "Replace", "Lowercase"] and spec["post_processor"] is None
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
+            and all(c.split() == [c] and "<|" in c for c in special) and bool(model.get("end_of_word_suffix"))
         )
+        if self.by_word:
+            ends = [i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]
+            self.ends_word = np.zeros(max(model["vocab"].values()) + len(special) + 1, bool)
+            self.ends_word[ends] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def ids(self, text: str) -> bytes:
-        if not self.by_word:
-            return self.encode([text])[0]
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
+    def lines(self, parts: list[str]) -> list[bytes]:
+        """Ids of plain parts."""
+        found = self.encode([" ".join(parts[at : at + LINE]) for at in range(0, len(parts), LINE)])
+        out: list[bytes] = []
+        for at, ids in zip(range(0, len(parts), LINE), found, strict=True):
+            line = parts[at : at + LINE]
+            ends = np.flatnonzero(self.ends_word[np.frombuffer(ids, "<u4")]) + 1
+            words = np.cumsum([len(PLAIN_WORDS(p.lower())) for p in line])
+            if words[-1] != len(ends):
+                out += self.encode(line)
+                continue
+            out += [ids[a:b] for a, b in itertools.pairwise([0, *(4 * ends[words - 1]).tolist()])]
+        return out
+
+    def parts(self, distinct: list[str]) -> list[bytes]:
+        """Ids of distinct parts, from the cache or the library."""
         cache = self.cache
-        try:
-            return b"".join([cache[w] for w in words])
-        except KeyError:
-            pass
-        now, new = cache.missing({w for w in words if w not in cache})
-        for at in range(0, len(new), WORDS_AT_ONCE):
-            part = new[at : at + WORDS_AT_ONCE]
-            now.update(zip(part, self.encode(part), strict=True))
-        out = b"".join([now[w] if w in now else cache[w] for w in words])
-        cache.keep({w: i for w, i in now.items() if len(w) <= LONGEST_KEPT})
+        found = list(map(cache.get, distinct))
+        now, new = cache.missing([w for w, ids in zip(distinct, found, strict=True) if ids is None])
+        plain = [w for w in new if w and PLAIN(w) and "<|" not in w]
+        now.update(zip(plain, self.lines(plain), strict=True))
+        other = [w for w in new if w not in now]
+        now.update(zip(other, self.encode(other), strict=True))
+        out = [now[w] if ids is None else ids for w, ids in zip(distinct, found, strict=True)]
+        cache.keep({w: ids for w, ids in now.items() if len(w) <= LONGEST_KEPT})
         return out
 
+    def ids(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self.encode(texts)
+        ready = [(LAST_STOP(r" \g<0>", t.lower()) if PLAIN(t) and "<|" not in t else t).replace("\n", " ").replace("\t", " ") for t in texts]
+        split = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        values = self.parts(coded.dictionary.to_pylist())
+        # Each part's ids lie in one array of the distinct parts' ids; texts gather them from there.
+        held, sizes = np.frombuffer(b"".join(values), "<u4"), np.fromiter(map(len, values), np.int32, len(values)) // 4
+        begins, codes = np.cumsum(sizes, dtype=np.int32) - sizes, coded.indices.to_numpy()
+        taken = sizes[codes]
+        ends = np.concatenate([np.zeros(1, np.int32), np.cumsum(taken, dtype=np.int32)])
+        flat = held[np.repeat(begins[codes] - ends[:-1], taken) + np.arange(ends[-1], dtype=np.int32)]
+        return [flat[a:b].tobytes() for a, b in itertools.pairwise(ends[split.offsets.to_numpy()].tolist())]
+
 
 def _blocks(docs: DataFrame, path: str, window: int, step: int, end_id: int) -> DataFrame:
     """Ids of all documents in blocks of a window, and one shorter remainder each.
@@ -99,29 +140,38 @@ def _blocks(docs: DataFrame, path: str, window: int, step: int, end_id: int) ->
     arrow = to_arrow_schema(schema)
     end = np.array([end_id], "<u4").tobytes()
 
+    def encoded(batches: Iterator[pa.RecordBatch], words: WordIds) -> Iterator[tuple]:
+        for batch in batches:
+            texts, letters, doc_ids = [], 0, batch.column(0).to_pylist()
+            # A batch may hold long texts: only some are Python strings at one time.
+            for i, value in enumerate(batch.column(1)):
+                texts.append(as_text(value.as_py()))
+                letters += len(texts[-1])
+                if letters >= LETTERS_AT_ONCE or i == len(doc_ids) - 1:
+                    for doc_id, ids in zip(doc_ids[i + 1 - len(texts) : i + 1], words.ids(texts), strict=True):
+                        yield doc_id, ids + end
+                    texts, letters = [], 0
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
         words: WordIds = worker_state(f"packing {path}", lambda: WordIds(path))
         task, row, size = TaskContext.get().partitionId(), 0, 0
         ranks = [0] * (window // step + 1)
         out: list[tuple] = []
-        for batch in batches:
-            # A batch may hold long texts: one at a time is a Python string.
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = words.ids(as_text(value.as_py())) + end
-                n = len(ids) // 4
-                for at in range(0, n, window):
-                    length = min(window, n - at)
-                    steps = length // step
-                    whole = length == window
-                    out.append((task, row, doc_id, n, at, length, whole, None if whole else steps, None if whole else ranks[steps], ids[4 * at : 4 * (at + length)]))
-                    if not whole:
-                        ranks[steps] += 1
-                    row += 1
-                size += len(ids)
-                if size >= BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)], schema=arrow)
-                    out, size = [], 0
+        for doc_id, ids in encoded(batches, words):
+            n = len(ids) // 4
+            for at in range(0, n, window):
+                length = min(window, n - at)
+                steps = length // step
+                whole = length == window
+                out.append((task, row, doc_id, n, at, length, whole, None if whole else steps, None if whole else ranks[steps], ids[4 * at : 4 * (at + length)]))
+                if not whole:
+                    ranks[steps] += 1
+                row += 1
+            size += len(ids)
+            if size >= BATCH_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)], schema=arrow)
+                out, size = [], 0
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), arrow.types, strict=True)], schema=arrow)
 
