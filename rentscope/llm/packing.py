@@ -27,16 +27,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from rentscope.llm.common import BoundedCache, as_text, pick, release_memory, worker_state
 from rentscope.plans.saved import save
 
 WINDOW, STEP, DEPTH, END_ID = 2048, 16, 3, 1
 #: Entries of a worker's cache of words, and the longest word kept there.
-CACHE_SIZE, LONGEST_KEPT = 200_000, 64
-#: Words of a line that is encoded at once, letters of texts that are looked up together, and bytes of ids in a batch.
-LINE, LETTERS_AT_ONCE, BATCH_BYTES = 1_000, 8_000_000, 4_000_000
+CACHE_SIZE, LONGEST_KEPT = 300_000, 64
+#: Words of a line, lines that are encoded at once, letters of texts that are looked up together, and bytes of ids in a batch.
+LINE, LINES, LETTERS_AT_ONCE, BATCH_BYTES = 1_000, 20, 16_000_000, 4_000_000
 #: Sequence ids: whole windows are numbered by task and turn, combinations and the rest from here on.
 COMBINED = 2**62
 
@@ -44,8 +44,8 @@ COMBINED = 2**62
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Texts of printable ASCII and accented Latin letters: all versions of Unicode classify, compose and lower these alike.
 PLAIN = re.compile("[\n\t -~À-ÿ]*").fullmatch
-#: The same pattern on lower-case plain parts.
-PLAIN_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+").findall
+#: Parts that are one word, and already as the normaliser leaves them.
+ONE_WORD = re.compile("[a-zß-öø-ÿ]+").fullmatch
 #: A stop that ends a word is one of its own.
 LAST_STOP = re.compile("(?<=[a-z0-9ß-öø-ÿ])[.,;:?!](?=[ \n\t]|$)").sub
 
@@ -55,7 +55,7 @@ class WordIds:
 
     Where the tokenizer drops white space and nothing in it reaches over a space, a text's ids are
     those of its parts between spaces, tabs and line feeds, which repeat; else texts go whole. Plain texts
-    (``PLAIN``) are lowered first and their stops set apart, so that more parts repeat. New plain parts are encoded many at a
+    (``PLAIN``) are lowered first and their stops set apart, so that more parts repeat. New words are encoded many at a
     time, as one line: tokens that end a word say where each begins.
     """
 
@@ -78,23 +78,25 @@ class WordIds:
             ends = [i for t, i in model["vocab"].items() if t.endswith(model["end_of_word_suffix"])]
             self.ends_word = np.zeros(max(model["vocab"].values()) + len(special) + 1, bool)
             self.ends_word[ends] = True
+            # The library's model alone: single words need neither the normaliser nor the pattern.
+            self.model = Tokenizer.from_file(path)
+            self.model.normalizer = normalizers.Sequence([])
+            self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def lines(self, parts: list[str]) -> list[bytes]:
-        """Ids of plain parts."""
-        found = self.encode([" ".join(parts[at : at + LINE]) for at in range(0, len(parts), LINE)])
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words."""
         out: list[bytes] = []
-        for at, ids in zip(range(0, len(parts), LINE), found, strict=True):
-            line = parts[at : at + LINE]
-            ends = np.flatnonzero(self.ends_word[np.frombuffer(ids, "<u4")]) + 1
-            words = np.cumsum([len(PLAIN_WORDS(p.lower())) for p in line])
-            if words[-1] != len(ends):
-                out += self.encode(line)
-                continue
-            out += [ids[a:b] for a, b in itertools.pairwise([0, *(4 * ends[words - 1]).tolist()])]
+        for at in range(0, len(words), LINES * LINE):
+            lines = [words[i : i + LINE] for i in range(at, min(at + LINES * LINE, len(words)), LINE)]
+            for line, e in zip(lines, self.model.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False), strict=True):
+                ids = np.array(e.ids, "<u4")
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in itertools.pairwise([0, *(4 * ends).tolist()])] if len(ends) == len(line) else self.encode(line)
         return out
 
     def parts(self, distinct: list[str]) -> list[bytes]:
@@ -102,8 +104,8 @@ class WordIds:
         cache = self.cache
         found = list(map(cache.get, distinct))
         now, new = cache.missing([w for w, ids in zip(distinct, found, strict=True) if ids is None])
-        plain = [w for w in new if w and PLAIN(w) and "<|" not in w]
-        now.update(zip(plain, self.lines(plain), strict=True))
+        single = [w for w in new if ONE_WORD(w)]
+        now.update(zip(single, self.words(single), strict=True))
         other = [w for w in new if w not in now]
         now.update(zip(other, self.encode(other), strict=True))
         out = [now[w] if ids is None else ids for w, ids in zip(distinct, found, strict=True)]
