@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -147,17 +147,14 @@ class BoundedCache(dict):
         self.most = most
         self.behind: dict = {}
 
-    def missing(self, keys: Iterable) -> tuple[dict, list]:
+    def missing(self, keys: set) -> tuple[dict, list]:
         """Values found behind, and the keys that are nowhere."""
         behind = self.behind
         found = {k: behind[k] for k in keys if k in behind}
         return found, [k for k in keys if k not in found]
 
-    def turn(self) -> None:
-        self.behind = dict(self)
-        self.clear()
-
     def keep(self, values: dict) -> None:
         if len(self) + len(values) > self.most:
-            self.turn()
+            self.behind = dict(self)
+            self.clear()
         self.update(values)
