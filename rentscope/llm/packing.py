@@ -29,7 +29,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, BooleanType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from rentscope.llm.common import as_text, pick, release_memory, worker_state
+from rentscope.llm.common import PartTable, as_text, pick, release_memory, worker_state
 from rentscope.plans.saved import save
 
 WINDOW, STEP, DEPTH, END_ID = 2048, 16, 3, 1
@@ -63,7 +63,7 @@ class WordIds:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.sizes, self.held = pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(0, "<u4")
+        self.table = PartTable(self.parts, TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT)
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         split, model = steps[0], spec["model"]
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -108,44 +108,12 @@ class WordIds:
         found.update(zip(other, self.encode(other), strict=True))
         return [found[w] for w in parts]
 
-    def places(self, parts: pa.Array) -> np.ndarray:
-        """Each part's place in the table of known ones, which new ones join."""
-        found = pc.index_in(parts, value_set=self.known)
-        places = found.fill_null(-1).to_numpy()
-        if found.null_count:
-            missing = parts.filter(found.is_null())
-            new = missing.unique()
-            values = self.parts(new.to_pylist())
-            places = places.copy()
-            places[places < 0] = len(self.known) + pc.index_in(missing, value_set=new).to_numpy()
-            self.known = pa.concat_arrays([self.known, new])
-            self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, values), np.int32, len(values)) // 4])
-            self.held = np.concatenate([self.held, np.frombuffer(b"".join(values), "<u4")])
-        return places
-
-    def forget(self, used: np.ndarray) -> None:
-        """A table that is full starts anew with the parts last used, without the longest."""
-        if len(self.known) <= TABLE_SIZE and self.known.nbytes + self.held.nbytes <= TABLE_BYTES:
-            return
-        keep = np.unique(used)
-        keep = keep[(pc.binary_length(self.known).to_numpy()[keep] <= LONGEST_KEPT)][:TABLE_SIZE]
-        ends = np.cumsum(self.sizes)
-        self.held = np.concatenate([np.zeros(0, "<u4"), *(self.held[e - n : e] for e, n in zip(ends[keep].tolist(), self.sizes[keep].tolist(), strict=True))])
-        self.known, self.sizes = self.known.take(pa.array(keep)), self.sizes[keep]
-
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
             return self.encode(texts)
         ready = [(LAST_STOP(r" \g<0>", t.lower()) if PLAIN(t) and "<|" not in t else t).replace("\n", " ").replace("\t", " ") for t in texts]
         split = pc.split_pattern(pa.array(ready, pa.large_string()), " ")
-        places = self.places(split.flatten())
-        # Each part's ids lie in one array; texts gather them from there.
-        begins, taken = np.cumsum(self.sizes) - self.sizes, self.sizes[places]
-        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(taken)])
-        flat = self.held[np.repeat(begins[places] - ends[:-1], taken) + np.arange(ends[-1])]
-        out = [flat[a:b].tobytes() for a, b in itertools.pairwise(ends[split.offsets.to_numpy()].tolist())]
-        self.forget(places)
-        return out
+        return self.table.ids(split.flatten(), split.offsets.to_numpy())
 
 
 def _blocks(docs: DataFrame, path: str, window: int, step: int, end_id: int) -> DataFrame:

@@ -16,15 +16,15 @@ import struct
 from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer, models, normalizers
 
-from rentscope.llm.common import BoundedCache, as_text, map_batches, pick, worker_state
+from rentscope.llm.common import PartTable, as_text, map_batches, pick, worker_state
 
 # Field numbers, piece types and model types of the public model format, and the space marker.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -34,10 +34,12 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
-CACHE_SIZE = 200_000
+#: Parts in a worker's table, its bytes, and the longest part that stays there when it is full.
+TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT = 400_000, 40_000_000, 64
 #: Cuts encoded by the library in one call.
 AT_ONCE = 5_000
-LONGEST_KEPT = 64
+#: Begins a part that is no single marked word.
+BARE = "\0"
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -140,7 +142,7 @@ class Codec:
         self.cut = None if crossing else re.compile(f"{self.space}*[^{self.space}]+|{self.space}+").findall
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(self.space, " ").encode() for p, _, kind in model.pieces]
         self.bytes[model.unk_id] = " ⁇ ".encode()
-        self.cache = BoundedCache(CACHE_SIZE)
+        self.table = PartTable(self._units, TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT)
         self.n_compared = self.n_different = 0
 
     def normalized(self, text: str) -> str:
@@ -161,37 +163,40 @@ class Codec:
 
         Cuts of one marker and a word are compared with the library, which ends up in the result where it differs.
         """
-        ids: list[list[int]] = []
+        out: dict[str, bytes] = {}
+        comparable = self.model.dummy_prefix and not self.model.remove_spaces and not self.charsmap
         for at in range(0, len(units), AT_ONCE):  # the library's results are large, so they go part by part
-            ids += [e.ids for e in self.tokenizer.encode_batch_fast(units[at : at + AT_ONCE], add_special_tokens=False)]
-        if self.model.dummy_prefix and not self.model.remove_spaces and not self.charsmap:
-            compared = [i for i, unit in enumerate(units) if unit[0] == self.space and unit.count(self.space) == 1 and len(unit) > 1]
-            for i, expected in zip(compared, self._reference([units[i][1:] for i in compared]), strict=True):
-                if ids[i] != expected:
-                    ids[i] = expected
-                    self.n_different += 1
-            self.n_compared += len(compared)
-        return {unit: array("i", x).tobytes() for unit, x in zip(units, ids, strict=True)}
-
-    def cuts(self, text: str) -> list[str]:
-        """A normalised and marked text in pieces that encode on their own."""
+            part = units[at : at + AT_ONCE]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            if comparable:
+                compared = [i for i, unit in enumerate(part) if unit[0] == self.space and unit.count(self.space) == 1 and len(unit) > 1]
+                for i, expected in zip(compared, self._reference([part[i][1:] for i in compared]), strict=True):
+                    if ids[i] != expected:
+                        ids[i] = expected
+                        self.n_different += 1
+                self.n_compared += len(compared)
+            out.update((unit, array("i", x).tobytes()) for unit, x in zip(part, ids, strict=True))
+        return out
+
+    def _units(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts: a word stands for itself with a mark before it, what follows ``BARE`` for itself alone."""
+        units = [p[1:] if p[:1] == BARE else self.space + p for p in parts]
+        found = self.encode_units(units)
+        return [found[u] for u in units]
+
+    def parts(self, text: str) -> list[str]:
+        """A normalised and marked text in parts that encode on their own."""
         text = self.normalized(text)
-        if not text or not self.cut:
-            return [text] * bool(text)
-        if text[0] == self.space and self.space * 2 not in text and text[-1] != self.space:
-            return [self.space + word for word in text[1:].split(self.space)]
-        return self.cut(text)
+        if not text:
+            return []
+        if self.cut and text[0] == self.space and self.space * 2 not in text and text[-1] != self.space and BARE not in text:
+            return text[1:].split(self.space)
+        return [BARE + unit for unit in (self.cut(text) if self.cut else [text])]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as strings of little-endian 32-bit numbers."""
-        cuts = list(map(self.cuts, texts))
-        known = self.cache
-        here = {unit: known.get(unit) for unit in set(chain.from_iterable(cuts))}
-        now, new = known.missing({unit for unit, ids in here.items() if ids is None})
-        now.update(self.encode_units(new))
-        here.update(now)
-        known.keep({unit: ids for unit, ids in now.items() if len(unit) <= LONGEST_KEPT})
-        return [b"".join(map(here.__getitem__, text)) for text in cuts]
+        parts = pa.array(list(map(self.parts, texts)), pa.large_list(pa.large_string()))
+        return self.table.ids(parts.flatten(), parts.offsets.to_numpy())
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
