@@ -11,6 +11,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a row group: each writing task holds one, and wide texts need no larger ones.
+ROW_GROUP = 32 << 20
+
 _local_dir: str | None = None
 
 
@@ -49,5 +52,5 @@ def save(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and return the stored table; it stays until ``drop_saved``."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
