@@ -84,7 +84,7 @@ def map_batches(
 
     ``make`` is called once per task and returns the function: columns as lists in, columns
     as lists (or numpy arrays) out. Batches are bounded by Spark in rows and bytes, and go
-    through the function in parts of ``rows``.
+    through the function in parts of ``rows``. Where it has an attribute ``end``, this is called after a task's last batch.
     """
     smaller_batches(df.sparkSession)
     arrow = to_arrow_schema(schema)
@@ -100,6 +100,10 @@ def map_batches(
                 if part.nbytes > LARGE_PART:
                     del out
                     release_memory()
+        # Workers wait in turn for their next task: what only saves work within one is not kept by all of them.
+        if hasattr(step, "end"):
+            step.end()
+        release_memory()
 
     return df.mapInArrow(run, schema)
 
@@ -175,6 +179,9 @@ class PartTable:
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], rows: int, nbytes: int, longest: int):
         self.encode, self.rows, self.nbytes, self.longest = encode, rows, nbytes, longest
+        self.clear()
+
+    def clear(self) -> None:
         self.known, self.sizes, self.held = pa.array([], pa.large_string()), np.zeros(0, np.int32), np.zeros(0, "<u4")
 
     def _places(self, parts: pa.Array) -> np.ndarray:

@@ -239,6 +239,7 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
             ids = [np.frombuffer(x, "<i4") for chunk in _chunks([as_text(t) for t in columns["text"]]) for x in pieces.encode(chunk)]
             return {k: columns[k] for k in kept} | {"n_tokens": [len(i) for i in ids], "ids": ids}
 
+        step.end = pieces.table.clear
         return step
 
     schema = StructType([*(docs.schema[k] for k in kept), StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
@@ -277,6 +278,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             names = ["n_chars", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
             return {"doc_id": columns["doc_id"]} | {n: [r[k] for r in rows] for k, n in enumerate(names)}
 
+        step.end = pieces.table.clear
         return step
 
     schema = StructType([
