@@ -279,7 +279,7 @@ def _price_matrix_late(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream_alerts(spark: SparkSession, sf: str) -> DataFrame:
-    found = streams.alerts(spark, sf).drop("batch_id")
+    found = streams.alerts(spark, sf)
     return found.select(*[c for c in found.columns if c != "prices"], F.explode("prices").alias("provider", "price"))
 
 

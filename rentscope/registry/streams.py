@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rentscope import schemas
 from rentscope.operators import scores
@@ -38,13 +37,13 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, out = _offer_stream(spark, sf_dir), new_path(spark, "hourly")
-    jobs.stream_hourly_series(stream, new_path(spark, "offers"), out, new_path(spark, "stream")).awaitTermination()
+    jobs.stream_hourly_series(stream, out, new_path(spark, "stream")).awaitTermination()
     return spark.read.schema(schemas.HOURLY_SERIES).parquet(out).select(*schemas.HOURLY_SERIES.names)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, out = new_path(spark, "offers"), new_path(spark, "alerts")
+    state, out = new_path(spark, "prices"), new_path(spark, "alerts")
     windows = save(scores.provider_windows(fx.offers(spark, sf_dir), fx.snapshots(spark, sf_dir)), "windows")
     stream = _offer_stream(spark, sf_dir)
-    jobs.stream_alerts(stream, table, windows, out, new_path(spark, "stream")).awaitTermination()
-    return spark.read.schema(T.StructType([*schemas.SPREAD_ALERTS, T.StructField("batch_id", T.IntegerType())])).parquet(out)
+    jobs.stream_alerts(stream, state, windows, out, new_path(spark, "stream")).awaitTermination()
+    return jobs.current_alerts(spark.read.schema(jobs.ALERT_CHANGES).parquet(out))

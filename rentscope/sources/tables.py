@@ -87,11 +87,31 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _at(spark: SparkSession, path: str) -> tuple:
+    """A path and its file system, as Spark resolves them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _at(spark, path)
+    return files.exists(target)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none where it does not exist."""
+    files, target = _at(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(target) if f.isDirectory()] if files.exists(target) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, target = _at(spark, path)
+    files.delete(target, True)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON lines of a known shape; an absent path is an empty table."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).json(path)
 

@@ -122,24 +122,92 @@ def test_split_runs_count_once(spark, small_dir, tmp_path):
     assert None not in ids and len(set(ids)) == len(ids)
 
 
-def test_late_hours_count(spark, tmp_path):
+def land_prices(spark, landed, *rows):
+    """Append ``time, provider, gpu, price`` and return a stream over all that has landed."""
     schema = "captured_at timestamp, provider string, gpu_name string, price_per_gpu_hr double"
-    landed, table, out, checkpoint = (str(tmp_path / name) for name in ("landed", "table", "out", "checkpoint"))
+    spark.createDataFrame(rows, "t string, provider string, gpu_name string, price_per_gpu_hr double").selectExpr(
+        "CAST(t AS timestamp) AS captured_at", "provider", "gpu_name", "price_per_gpu_hr"
+    ).coalesce(1).write.mode("append").parquet(landed)
+    return spark.readStream.schema(schema).parquet(landed)
+
+
+@pytest.mark.parametrize("lateness", ["2 hours", "30 days"])
+def test_late_hours_count(spark, tmp_path, lateness):
+    """Whether an hour is still open or closed when an offer comes late."""
+    landed, out, checkpoint = (str(tmp_path / name) for name in ("landed", "out", "checkpoint"))
 
     def land(*rows):
-        spark.createDataFrame(rows, "t string, provider string, gpu_name string, price_per_gpu_hr double").selectExpr(
-            "CAST(t AS timestamp) AS captured_at", "provider", "gpu_name", "price_per_gpu_hr"
-        ).write.mode("append").parquet(landed)
-        stream = spark.readStream.schema(schema).parquet(landed)
-        jobs.stream_hourly_series(stream, table, out, checkpoint).awaitTermination()
-        rows = spark.read.parquet(out).orderBy("captured_at").collect()
-        return [(str(r["captured_at"]), r["price"], r["offer_count"]) for r in rows]
-
-    first = land(("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-01 00:50:00", "p", "g", 1.0), ("2024-01-01 05:00:00", "p", "g", 3.0))
+        jobs.stream_hourly_series(land_prices(spark, landed, *rows), out, checkpoint, lateness).awaitTermination()
+        rows = spark.read.schema(jobs.HOURLY_STATE).parquet(out).orderBy("captured_at").collect()
+        return [(str(r["captured_at"]), r["price"], r["offer_count"]) for r in rows], [r["late_count"] for r in rows]
+
+    first, _ = land(("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-01 00:50:00", "p", "g", 1.0), ("2024-01-01 05:00:00", "p", "g", 3.0), ("2024-01-01 05:00:00", "p", "g", None))
     assert first == [("2024-01-01 00:00:00", 1.0, 2), ("2024-01-01 05:00:00", 3.0, 1)]
-    assert land(("2024-01-01 00:20:00", "p", "g", 0.5), ("2024-01-02 09:00:00", "p", "g", 4.0)) == [
-        ("2024-01-01 00:00:00", 0.5, 3), ("2024-01-01 05:00:00", 3.0, 1), ("2024-01-02 09:00:00", 4.0, 1),
+    second, late = land(("2024-01-01 00:20:00", "p", "g", 0.5), ("2024-01-01 05:10:00", "p", "g", 9.0), ("2024-01-02 09:00:00", "p", "g", 4.0))
+    assert second == [("2024-01-01 00:00:00", 0.5, 3), ("2024-01-01 05:00:00", 3.0, 2), ("2024-01-02 09:00:00", 4.0, 1)]
+    assert late == ([1, 0, 0] if lateness == "2 hours" else [0, 0, 0])
+    third, late = land(("2024-01-01 00:20:00", "p", "g", 0.75), ("2023-12-31 23:59:59", "q", None, 1.0))
+    assert third == [("2023-12-31 23:00:00", 1.0, 1), ("2024-01-01 00:00:00", 0.5, 4), *second[1:]]
+    assert late == ([1, 2, 0, 0] if lateness == "2 hours" else [0, 0, 0, 0])
+
+
+def test_a_batch_reads_only_the_days_it_touches(spark, tmp_path):
+    """Days of the series that a batch does not touch may even be unreadable."""
+    landed, out, checkpoint = (str(tmp_path / name) for name in ("landed", "out", "checkpoint"))
+    jobs.stream_hourly_series(land_prices(spark, landed, ("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-05 00:10:00", "p", "g", 2.0)), out, checkpoint).awaitTermination()
+    for file in (tmp_path / "out" / "capture_date=2024-01-01").iterdir():
+        file.unlink()
+    (tmp_path / "out" / "capture_date=2024-01-01" / "part-broken.parquet").write_bytes(b"no parquet")
+    jobs.stream_hourly_series(land_prices(spark, landed, ("2024-01-05 00:20:00", "p", "g", 1.0)), out, checkpoint).awaitTermination()
+    (row,) = spark.read.schema(jobs.HOURLY_STATE).parquet(out).filter("capture_date = DATE '2024-01-05'").collect()
+    assert (row["price"], row["offer_count"]) == (1.0, 2)
+
+
+def test_a_repeated_batch_of_hours_adds_nothing_twice(spark, tmp_path):
+    """The last batch runs again after its result was written, as after a lost driver."""
+    landed, out, checkpoint = (str(tmp_path / name) for name in ("landed", "out", "checkpoint"))
+    for rows in ([("2024-01-01 00:10:00", "p", "g", 2.0), ("2024-01-09 00:00:00", "p", "g", 1.0)], [("2024-01-01 00:20:00", "p", "g", 1.5)]):
+        jobs.stream_hourly_series(land_prices(spark, landed, *rows), out, checkpoint, "1 hour").awaitTermination()
+
+    def held():
+        return sorted((str(r["captured_at"]), r["price"], r["offer_count"], r["late_count"]) for r in spark.read.schema(jobs.HOURLY_STATE).parquet(out).collect())
+
+    expected = [("2024-01-01 00:00:00", 1.5, 2, 1), ("2024-01-09 00:00:00", 1.0, 1, 0)]
+    assert held() == expected
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for commit in commits[2:]:
+        for file in (commit, commit.with_name(f".{commit.name}.crc")):
+            file.unlink(missing_ok=True)
+    schema = "captured_at timestamp, provider string, gpu_name string, price_per_gpu_hr double"
+    jobs.stream_hourly_series(spark.readStream.schema(schema).parquet(landed), out, checkpoint, "1 hour").awaitTermination()
+    assert held() == expected
+
+
+def test_alerts_are_written_when_they_change(spark, tmp_path):
+    """After each batch the alerts that hold equal those over all offers; rows are changes; one folder per day, two versions."""
+    landed, state, alerts, checkpoint = (str(tmp_path / name) for name in ("landed", "state", "alerts", "checkpoint"))
+    windows = spark.createDataFrame([("p", "g", 1.0), ("q", "g", 1.1)], "provider string, gpu_class string, price_per_gpu_hour_p50 double")
+    batches = [
+        [("2024-01-01 00:00:00", "p", "g", 2.0), ("2024-01-01 00:10:00", "q", "g", 1.0), ("2024-01-01 00:10:00", "p", "h", 1.0)],
+        [("2024-01-01 01:00:00", "p", "g", 2.5), ("2024-01-01 01:00:00", "q", "h", 5.0)],
+        [("2024-01-01 01:30:00", "p", "g", 2.6)],
+        [("2024-01-01 04:05:00", "q", "g", 1.2)],
+        [("2024-01-01 09:00:00", "p", "g", 1.2), ("2024-01-01 09:00:00", "q", "g", 1.2)],
+        [("2024-01-02 09:00:00", "q", "g", None)],
+        [("2024-01-01 00:30:00", "q", "g", 0.1)],
     ]
+    changes, expected_changes, seen = 0, 0, {}
+    for rows in batches:
+        jobs.stream_alerts(land_prices(spark, landed, *rows), state, windows, alerts, checkpoint).awaitTermination()
+        written = spark.read.schema(jobs.ALERT_CHANGES).parquet(alerts)
+        held = {r["gpu_name"]: r.asDict() for r in jobs.current_alerts(written).collect()}
+        whole = {r["gpu_name"]: r.asDict() for r in serving.spread_alerts(spark.read.parquet(landed), windows).collect()}
+        assert held == whole
+        expected_changes += sum(seen.get(g) != whole.get(g) for g in seen.keys() | whole.keys())
+        changes, seen = written.count(), whole
+        assert changes == expected_changes
+    assert len(list((tmp_path / "state").glob("version=*"))) == 2
+    assert {f.name for f in (tmp_path / "alerts").glob("capture_date=*")} <= {"capture_date=2024-01-01", "capture_date=2024-01-02"}
 
 
 def test_ids_are_stable(spark, small_dir):
