@@ -6,16 +6,24 @@ Payload pages hold at most 100 items each, like a marketplace page.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentscope.operators.ingest import make_snapshot_id
+from rentscope.plans.saved import new_path
 from rentscope.session import use_utc
+from rentscope.sources import archives
 
 # Fixed value: items per marketplace page.
 PAGE_ITEMS = 100
+#: Bytes of text in a frame of the made archives, and compressed bytes that a task reads of them.
+ARCHIVE_FRAME, ARCHIVE_SPLIT = 8_192, 4_096
 
 PROVIDER = """CASE event_type WHEN 'click' THEN 'vast' WHEN 'view' THEN 'runpod'
        WHEN 'purchase' THEN 'spheron' WHEN 'error' THEN 'akash' ELSE 'other' END"""
@@ -161,6 +169,29 @@ def spot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot_history(spark, sf_dir).select(value.alias("value"), "file", "seq")
 
 
+def spot_archives(spark: SparkSession, sf_dir: str) -> str:
+    """The same lines as archives in the shared folder: a pattern of their paths.
+
+    Lines lie in four archives by their order, the first of one frame and the others of many.
+    """
+    folder = new_path(spark, "spot-archives")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines = (f"{line}\n".encode() for batch in batches for line in batch.column(0).to_pylist())
+        first = next(lines, None)
+        if first is not None:
+            part = TaskContext.get().partitionId()
+            store, name = archives.open_store(folder)
+            store.create_dir(name, recursive=True)
+            # A task that runs again writes the same name and bytes.
+            n = archives.write_frames(itertools.chain([first], lines), f"{folder}/{part}.tsv.zst", ARCHIVE_FRAME if part else 1 << 40)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n_frames"])
+
+    dealt = spot_lines(spark, sf_dir).repartitionByRange(4, "seq").sortWithinPartitions("seq").select("value")
+    dealt.mapInArrow(write, "n_frames long").agg(F.sum("n_frames")).collect()
+    return f"{folder}/*.tsv.zst"
+
+
 # Keys whose numbers come as quoted texts on every third page.
 QUOTED = (
     "dph_total|num_gpus|gpu_ram|reliability2|inet_down|memoryInGb|minimumBidPrice|uninterruptablePrice|min|avg|uptime|gpu|"

@@ -526,6 +526,8 @@ def _replay_oracles() -> dict[str, str]:
     return {
         "spot_prices": f"""WITH {_SPOT} SELECT az, instance_type, price, ts, seq FROM points
             WHERE seq % 101 <> 0 AND seq % 103 <> 0 AND seq % 109 <> 0 AND seq % 113 <> 0""",
+        "spot_archives": f"""WITH {_SPOT} SELECT az, instance_type, price, ts FROM points
+            WHERE seq % 101 <> 0 AND seq % 103 <> 0 AND seq % 109 <> 0 AND seq % 113 <> 0""",
         "gpu_instance_filter": f"""WITH spot AS ({fx.SPOT_SQL}) SELECT az, instance_type, price, ts, seq FROM spot
             WHERE regexp_matches(instance_type, '^(p2|p3|p4|g3|g4|g5|g6)[.]')""",
         "densest_zone": f"WITH {_EVERY_JOB} SELECT instance_type, az, total_windows FROM zones",

@@ -213,6 +213,12 @@ def _spot_prices(spark: SparkSession, sf: str) -> DataFrame:
     return _no_zone(points.select("az", "instance_type", "price", "ts", "seq"))
 
 
+def _spot_archives(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives read in small splits, so that several tasks read each."""
+    lines = tables.read_spot_lines(spark, fx.spot_archives(spark, sf), fx.ARCHIVE_SPLIT)
+    return _no_zone(replay.spot_prices(lines).select("az", "instance_type", "price", "ts"))
+
+
 def _gpu_points(spark: SparkSession, sf: str) -> DataFrame:
     return replay.gpu_instance_filter(fx.spot_history(spark, sf)).select("az", "instance_type", "price", "ts", "seq")
 
@@ -340,6 +346,7 @@ def queries() -> dict[str, Query]:
         "make_snapshot_id": _snapshot_ids,
         "append_offers": _append_offers,
         "spot_prices": _spot_prices,
+        "spot_archives": _spot_archives,
         "gpu_instance_filter": _gpu_points,
         "densest_zone": lambda s, d: replay.densest_zone(_points(s, d)),
         "spot_replay": _replay(),

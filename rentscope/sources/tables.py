@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rentscope import schemas
 from rentscope.plans.recency import DAY
+from rentscope.sources import archives
 
 
 def with_ids(offers: DataFrame) -> DataFrame:
@@ -120,10 +121,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 
 
-def read_spot_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of spot-price archives (plain or zstd text) with their place in the input.
-
-    Archives are not splittable, so line order within a file is the order of ``seq``.
-    """
-    place: Column = F.monotonically_increasing_id()
-    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), place.alias("seq"))
+def read_spot_lines(spark: SparkSession, path: str, split_bytes: int = archives.SPLIT_BYTES) -> DataFrame:
+    """Lines of spot-price archives with their ``file`` and order in it, ``seq``; each archive is read by a task per run of frames."""
+    return archives.read_lines(spark, path, split_bytes)
