@@ -1,4 +1,8 @@
-"""Key search in JSON of unknown depth: the one lookup that column expressions cannot state."""
+"""Key search in JSON of unknown depth: the one lookup that column expressions cannot state.
+
+A VARIANT keeps the fields of an object in the order of their names, and the search goes by the order in the text,
+so it runs on the text itself. Texts that are no JSON, or are nested deeper than the reader goes, give null.
+"""
 
 from __future__ import annotations
 
@@ -42,10 +46,14 @@ def _first_values(page: object, keys: list[str]) -> dict[str, object]:
 def _find_in_text(text: str | None, keys: list[str]) -> str | None:
     try:
         values = _first_values(json.loads(text), keys) if text else {}
-    except ValueError:
+    except (ValueError, RecursionError):
+        # No JSON, or nested deeper than the reader goes.
         return None
     usable = next((values[k] for k in keys if values.get(k)), values.get(keys[-1]))
-    return None if usable is None else json.dumps(usable, separators=(",", ":"), ensure_ascii=False)
+    try:
+        return None if usable is None else json.dumps(usable, separators=(",", ":"), ensure_ascii=False)
+    except RecursionError:
+        return None
 
 
 def deep_find(*keys: str) -> Callable[[Column], Column]:

@@ -2,7 +2,7 @@
 
 Each reader takes the payload table, keeps the payloads of its own ``source`` and returns
 rows with the columns of ``schemas.OFFER_COLUMNS``. All are narrow: parse, explode, project.
-A payload that cannot be parsed yields no rows and shows up in ``collect_log``.
+A payload that cannot be parsed, however it is broken, yields no rows and shows up in ``collect_log``.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from rentscope.functions.names import (
 from rentscope.functions.nested import deep_find
 from rentscope.functions.scalars import nonblank, nonzero, to_number
 from rentscope.operators.summary import LOGGED_PROVIDERS
+from rentscope.plans.saved import save
 
 # Megabytes per gigabyte of marketplace memory, and hours per billing month.
 MB_PER_GB = 1024
@@ -300,17 +301,34 @@ def ingest_price_list(payloads: DataFrame) -> DataFrame:
     )
 
 
+def _page_script(html: Column) -> Column:
+    return nonblank(F.regexp_extract(html, PAGE_SCRIPT, 1))
+
+
 def page_prices(html: Column) -> Column:
-    """JSON text of the price list inside a page's script block; null without one."""
-    script = nonblank(F.regexp_extract(html, PAGE_SCRIPT, 1))
-    found = deep_find(*PAGE_KEYS)(script)
+    """JSON text of the price list inside a page's script block; null without one, or where the script cannot be read."""
+    found = deep_find(*PAGE_KEYS)(_page_script(html))
     return F.when(found.startswith("["), found)
 
 
+def readable(payload: Column, source: Column) -> Column:
+    """Whether an answer is JSON. Of a web page it is the script block that counts, if there is one; null answers are unreadable."""
+    script = _page_script(payload)
+    page = payload.isNotNull() & (script.isNull() | F.try_parse_json(script).isNotNull())
+    return F.when(source == "price_page", page).otherwise(F.try_parse_json(payload).isNotNull())
+
+
+def _page_lists(payloads: DataFrame) -> DataFrame:
+    return _of_source(payloads, "price_page").select(*RUN, page_prices(F.col("payload")).alias("list"))
+
+
 def ingest_price_page(payloads: DataFrame) -> DataFrame:
     """Price list cut out of a web page, with the aliases used there."""
+    return _page_rows(_page_lists(payloads))
+
+
+def _page_rows(found: DataFrame) -> DataFrame:
     g = F.col("g")
-    found = _of_source(payloads, "price_page").select(*RUN, page_prices(F.col("payload")).alias("list"))
     items = found.select(*RUN, F.explode(F.from_json("list", schemas.PRICE_ARRAY)).alias("g"))
     return _list_rows(
         items.select(
@@ -352,10 +370,14 @@ def first_nonempty_source(sources: list[DataFrame]) -> DataFrame:
 
 
 def list_price_rows(payloads: DataFrame) -> DataFrame:
-    """List prices of each run: service answer, else web page, else the dated table."""
+    """List prices of each run: service answer, else web page, else the dated table.
+
+    Pages are read once: the lists found in them are stored, as both the choice of sources and the rows need them.
+    """
+    pages = save(_page_lists(payloads).filter(F.col("list").isNotNull()), "page-lists")
     runs = payloads.filter(F.col("provider") == "spheron").select(*RUN).distinct()
     return first_nonempty_source(
-        [ingest_price_list(payloads), ingest_price_page(payloads), ingest_static_prices(runs)]
+        [ingest_price_list(payloads), _page_rows(pages), ingest_static_prices(runs)]
     )
 
 
@@ -387,9 +409,9 @@ def collect_log(
     ``all_offers`` also counts providers without a column.
     """
     ended = F.max("captured_at") if finished_at is None else F.max(finished_at if isinstance(finished_at, Column) else F.lit(finished_at))
-    readable = F.try_parse_json("payload").isNotNull() | (F.col("source") == "price_page")
+    bad = ~readable(F.col("payload"), F.col("source"))
     landed = payloads.groupBy("snapshot_id", "provider").agg(
-        F.min("captured_at").alias("started_at"), ended.alias("finished_at"), F.count_if(~readable).alias("bad")
+        F.min("captured_at").alias("started_at"), ended.alias("finished_at"), F.count_if(bad).alias("bad")
     )
     counted = offers.groupBy("snapshot_id", "provider").agg(F.count("*").alias("rows"))
     status = landed.join(counted, ["snapshot_id", "provider"], "left").na.fill(0, ["rows"])

@@ -19,16 +19,29 @@ def hours(n: int) -> Column:
     return F.expr(f"INTERVAL '{n}' HOUR")
 
 
-def _newest_day(offers: DataFrame) -> str | None:
-    """The newest day that the stored table has a folder for, from its listing; no data is read."""
-    days = (re.search(rf"/{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})/", f) for f in offers.inputFiles())
-    return max((d[1] for d in days if d), default=None)
+def stored_days(offers: DataFrame) -> list[str]:
+    """The days that stored offers have folders for, newest first: the first level of their folders is listed, no file.
+
+    None where the rows come from anything else than one scan of stored tables.
+    """
+    spark, days = offers.sparkSession, set()
+    leaves = offers._jdf.queryExecution().analyzed().collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or not hasattr(leaf.relation(), "location"):
+            return []
+        roots = leaf.relation().location().rootPaths()
+        for k in range(roots.size()):
+            root = roots.apply(k)
+            files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+            days |= {m[1] for f in files.listStatus(root) if (m := re.fullmatch(rf"{DAY}=(\d{{4}}-\d{{2}}-\d{{2}})", f.getPath().getName()))}
+    return sorted(days, reverse=True)
 
 
 def latest_capture(offers: DataFrame) -> Column:
     """The newest capture; of a stored table partitioned by day only the last day is read."""
-    if DAY in offers.columns and (day := _newest_day(offers)):
-        offers = offers.filter(F.col(DAY) == F.lit(day).cast("date"))
+    if DAY in offers.columns and (days := stored_days(offers)):
+        offers = offers.filter(F.col(DAY) == F.lit(days[0]).cast("date"))
     return offers.agg(F.max("captured_at")).scalar()
 
 

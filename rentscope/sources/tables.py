@@ -11,6 +11,10 @@ from rentscope.plans.recency import DAY
 from rentscope.sources import archives
 
 
+#: Distinct runs that a row group's Bloom filter is sized for, and bytes of a row group.
+RUNS_IN_GROUP, ROW_GROUP = 2_000, 32 << 20
+
+
 def with_ids(offers: DataFrame) -> DataFrame:
     """Rows with an ``id``: a 64-bit hash of what tells offers of a run apart.
 
@@ -29,13 +33,17 @@ def append_offers(offers: DataFrame, path: str) -> None:
     """Append offers, partitioned by capture day and sorted for min/max skipping.
 
     Rows without ids get theirs here. The rebalance hint lets adaptive execution split a heavy
-    day over several files and merge light days into few.
+    day over several files and merge light days into few. A Bloom filter per row group tells which of
+    them can hold a run, so that a run is found without its day, and without reading what cannot hold it.
     """
     (
         with_ids(offers).withColumn(DAY, F.to_date("captured_at"))
         .hint("rebalance", DAY)
         .sortWithinPartitions(DAY, "provider", "gpu_name")
         .write.mode("append")
+        .option("parquet.bloom.filter.enabled#snapshot_id", "true")
+        .option("parquet.bloom.filter.expected.ndv#snapshot_id", RUNS_IN_GROUP)
+        .option("parquet.block.size", ROW_GROUP)
         .partitionBy(DAY)
         .parquet(path)
     )

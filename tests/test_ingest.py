@@ -13,6 +13,7 @@ from rentscope import schemas
 from rentscope.functions import names
 from rentscope.functions.nested import deep_find
 from rentscope.operators import ingest
+from rentscope.registry import fixtures as fx
 
 LABELS = {
     "NVIDIA H100 SXM5 80GB": "H100_SXM",
@@ -220,3 +221,25 @@ def test_chosen_providers_only(spark, small_dir):
 
     found = ingest.collect_run(fx.payloads(spark, small_dir), providers=["akash"])
     assert {r["provider"] for r in found.select("provider").distinct().collect()} == {"akash"}
+
+
+def test_a_deeply_nested_page_loses_only_its_own_rows(spark, small_dir):
+    """100,000 levels under a wanted key: all others' rows come, the log says so, and pages are read in one place."""
+    whole = fx.payloads(spark, small_dir)
+    deep = '<script id="__NEXT_DATA__" type="application/json">{"gpus":' + "[" * 100_000 + "]" * 100_000 + "}</script>"
+    pages = F.when(F.col("source") == "price_page", F.lit(deep)).otherwise(F.col("payload"))
+    broken = whole.withColumn("payload", pages)
+    rows = ingest.collect_run(broken)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+    others = rows.filter("provider <> 'spheron'")
+    assert others.count() == ingest.collect_run(whole).filter("provider <> 'spheron'").count() > 0
+
+    def unreadable(payloads, offers):
+        return {r[0] for r in ingest.collect_log(payloads, offers).filter(F.array_contains("errors", "spheron: unreadable")).select("snapshot_id").collect()}
+
+    with_page = {r[0] for r in broken.filter("source = 'price_page'").select("snapshot_id").collect()}
+    before = unreadable(whole, ingest.collect_run(whole))
+    assert unreadable(broken, rows) == before | with_page and not with_page <= before
+    texts = spark.createDataFrame([("[" * 100_000,), ('{"gpus":' + "[" * 100_000 + "1" + "]" * 100_000 + "}",), ('{"gpus":[1]}',), ("{gpus",), (None,)], "t string")
+    assert [r[0] for r in texts.select(deep_find("gpus")(F.col("t"))).collect()] == [None, None, "[1]", None, None]

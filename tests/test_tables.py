@@ -232,3 +232,30 @@ def test_run_log_keeps_the_last_row(spark, tmp_path):
     empty = spark.createDataFrame([], schemas.OFFERS)
     (report,) = summary.run_report(empty, tables.read_snapshots(spark, path)).collect()
     assert (report["provider"], report["cnt"], report["errors"], report["finished_at"]) == (None, 0, ["x: no rows"], "2024-01-01 00:05")
+
+
+def test_newest_day_from_the_first_level_of_folders(spark, stored):
+    from rentscope.plans import recency
+
+    days = recency.stored_days(stored)
+    assert days == sorted({str(r[0]) for r in stored.select("capture_date").distinct().collect()}, reverse=True)
+    assert recency.stored_days(stored.filter("provider = 'vast'")) == days
+    assert recency.stored_days(spark.createDataFrame([(1,)], "a int")) == []
+    newest = stored.select(recency.latest_capture(stored).alias("t")).first()[0]
+    assert newest == stored.agg(F.max("captured_at")).first()[0]
+
+
+def test_row_groups_without_a_run_are_not_read(spark, tmp_path):
+    """Two files whose run ids overlap in range: only the one that holds the run gives rows to the filter."""
+    path = str(tmp_path / "table")
+    for odd in (0, 1):
+        rows = [(f"snap_{i:05d}", "2024-01-01 00:00:00", f"o{i}", "p", "g", 1.0, 0) for i in range(odd, 4000, 2)]
+        df = spark.createDataFrame(rows, "snapshot_id string, t string, offer_id string, provider string, gpu_name string, price_per_gpu_hr double, interruptible int")
+        df = df.withColumn("captured_at", F.col("t").cast("timestamp")).drop("t").coalesce(1)
+        tables.append_offers(df, path)
+    found = spark.read.parquet(path).filter("snapshot_id = 'snap_01234'")
+    assert found.count() == 1
+    plan = found.select("offer_id")
+    plan.collect()
+    metrics = plan._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics()
+    assert 0 < metrics.apply("numOutputRows").value() <= 2000
