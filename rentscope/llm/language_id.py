@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from itertools import chain
 
 import numpy as np
+import regex
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -46,13 +47,17 @@ TEXTS_AT_ONCE = 500
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
 
 BEGIN, END = "\x02", "\x03"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: A word is letters and the marks on them. Up to U+024F every word character is a letter but digits, the underscore and a few numbers.
+LATIN = re.compile("[\x00-\u024f]*").fullmatch
+LATIN_WORDS = re.compile("[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+").findall
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
 # Odd multipliers by distance from the end of an n-gram.
 _FACTORS = np.random.default_rng(20240229).integers(1, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def letter_words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    text = text.lower()
+    return LATIN_WORDS(text) if LATIN(text) else WORDS(text)
 
 
 def _events(words: list[str], order: int) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:

@@ -147,7 +147,7 @@ def _epochs() -> Column:
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MOST_EPOCHS, share: float = 1.0, seed: str = SEED, bucket_digits: int = BUCKET_DIGITS) -> DataFrame:
     """How many words the mix takes of each document.
 
-    Returns ``doc_id, source, size, source_size, target, taken``, one row per input row. Null
+    Returns ``doc_id, size, source_size, target, taken, source``, one row per input row. Null
     texts have size 0; null is a source of its own; rows that share an id, or have none, share a
     key and go by size and then by content. Repeated rows are taken one after the other. An empty table gives an empty result.
     """
@@ -162,7 +162,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most_epochs: int = MO
     equal = placed.filter(_at_cut()).groupBy(*names, "epochs", "cut_whole", "cut_words").agg(F.count(F.lit(1)).alias("n"))
     equal = equal.withColumn("turn", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     last = F.when(F.col("turn") < F.col("cut_whole"), F.col("size")).when(F.col("turn") == F.col("cut_whole"), F.col("cut_words")).otherwise(0)
-    return apart.unionByName(equal.select(*names, (F.col("epochs") * F.col("size") + last).alias("taken")))
+    taken = apart.unionByName(equal.select(*names, (F.col("epochs") * F.col("size") + last).alias("taken")))
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 @F.pandas_udf(StringType())

@@ -26,7 +26,7 @@ PROJECTIONS = 32
 #: Half the width of a window in radii, and the share of the windows a vector must fall into to be verified:
 #: one at the radius falls into 38 per cent of them, so it is missed in one case of thirty.
 HALF_WIDTH, THRESHOLD = 0.5, 0.25
-#: The first radius, as a share of the distance to the nearest of some vectors spread over the block, and its growth.
+#: The first radius, as a share of the estimated distance to the nearest of some vectors spread over the block, and its growth.
 FIRST_SHARE, PROBED, GROWTH = 0.7, 64, 1.15
 #: Rows of a block of vectors, and of a block of queries.
 BLOCK_ROWS = 8192
@@ -34,29 +34,47 @@ QUERY_ROWS = 2048
 
 
 class CollisionIndex:
-    """Sorted projections of one block of vectors."""
+    """Sorted projections of one block of vectors; ``n_verified`` counts the distances taken."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, n_projections: int = PROJECTIONS, seed: int = 11):
         self.ids, self.vectors = ids, vectors
         self.directions = np.random.default_rng(seed).standard_normal((vectors.shape[1], n_projections))
-        projected = vectors @ self.directions
+        with np.errstate(over="ignore", invalid="ignore"):
+            projected = vectors @ self.directions
+            self.in_range = bool(np.isfinite(projected**2).all())
         self.order = list(np.argsort(projected, axis=0, kind="stable").T.copy())
         self.sorted = list(np.sort(projected, axis=0).T.copy())
         self.needed = int(np.ceil(THRESHOLD * n_projections))
-        self.norms = (vectors**2).sum(axis=1)
-        self.spread = float(np.sqrt(self.norms.max()))
-        self.probe = np.linspace(0, len(ids) - 1, min(len(ids), PROBED)).astype(np.int64)
-
-    def search(self, query_id: int, query: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and distances of the nearest found, nearest first, ties to the smaller id."""
+        self.spread = float(np.abs(projected).max())
+        self.probe = projected[np.linspace(0, len(ids) - 1, min(len(ids), PROBED)).astype(np.int64)]
+        self.n_verified = 0
+
+    def _distances(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+        """Distances on the original components; those whose squares leave the numbers' range are scaled first."""
+        self.n_verified += len(rows)
+        with np.errstate(over="ignore"):
+            apart = self.vectors[rows] - query
+            found = np.sqrt((apart**2).sum(axis=1))
+        far = ~np.isfinite(found)
+        if far.any():
+            largest = np.abs(apart[far]).max(axis=1, keepdims=True)
+            scaled = np.where(np.isfinite(largest), apart[far] / largest, 1.0)
+            found[far] = largest[:, 0] * np.sqrt((scaled**2).sum(axis=1))
+        return found
+
+    def _met(self, query: np.ndarray, others: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that enough windows have met, and their distances, once ``k`` of them lie within the windows' radius."""
         n = len(self.ids)
-        centre = query @ self.directions
-        # Squared distances for verification; those that end up near the k-th are taken again from the components.
-        squared = np.maximum(self.norms + query @ query - 2 * (self.vectors @ query), 0.0)
-        radius = max(FIRST_SHARE * float(np.sqrt(squared[self.probe].min())), 1e-6 * self.spread, 1e-300)
-        hits = np.zeros(n, np.int64)
-        verified = np.zeros(n, bool)
-        near = np.zeros(0, np.int64)
+        with np.errstate(over="ignore", invalid="ignore"):
+            centre = query @ self.directions
+            # The projections' spread around the query estimates distances; the nearest of some is where windows begin.
+            guess = float(np.sqrt(((self.probe - centre) ** 2).mean(axis=1)).min())
+        if not (self.in_range and np.isfinite(guess)):
+            rows = np.flatnonzero(others)
+            return rows, self._distances(rows, query)
+        radius = max(FIRST_SHARE * guess, 1e-6 * self.spread, 1e-300)
+        hits, waiting = np.zeros(n, np.int64), others.copy()
+        near, distance = np.zeros(0, np.int64), np.zeros(0)
         low = high = None
         while True:
             reach = HALF_WIDTH * radius
@@ -68,16 +86,17 @@ class CollisionIndex:
                 met = [o[a:b] for o, a, b in zip(self.order, begin, low, strict=True)] + [o[a:b] for o, a, b in zip(self.order, high, end, strict=True)]
             low, high = begin, end
             hits += np.bincount(np.concatenate(met), minlength=n)
-            new = np.flatnonzero((hits >= self.needed) & ~verified)
-            verified[new] = True
-            near = np.concatenate([near, new[self.ids[new] != query_id]])
-            limit = np.partition(squared[near], k - 1)[k - 1] if len(near) >= k else np.inf
-            if limit <= radius * radius or (sum(high) - sum(low)) == n * len(high):
-                break
+            new = np.flatnonzero((hits >= self.needed) & waiting)
+            waiting[new] = False
+            near, distance = np.concatenate([near, new]), np.concatenate([distance, self._distances(new, query)])
+            limit = np.partition(distance, k - 1)[k - 1] if len(near) >= k else np.inf
+            if limit <= radius or (sum(high) - sum(low)) == n * len(high):
+                return near, distance
             radius *= GROWTH
-        # Ties at the k-th all stay until the ids decide.
-        near = near[squared[near] <= limit + 1e-9 * (1 + query @ query)]
-        distance = np.sqrt(((self.vectors[near] - query) ** 2).sum(axis=1))
+
+    def search(self, query_id: int, query: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and distances of the nearest found, nearest first, ties to the smaller id."""
+        near, distance = self._met(query, self.ids != query_id, k)
         best = np.lexsort((self.ids[near], distance))[:k]
         return self.ids[near[best]], distance[best]
 

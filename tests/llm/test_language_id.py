@@ -147,3 +147,12 @@ def test_a_large_script_does_not_let_noise_pass(spark, small_dir):
     assert not kept & {i for i, *_ in noise}
     clean = {r["doc_id"] for r in docs.select("doc_id").collect()}
     assert len(kept & clean) >= 0.99 * len(clean)
+
+
+def test_letters_and_their_marks():
+    words = li.letter_words
+    assert [words(t) for t in ("½ ② ²", "x² ½a", "नमस्ते दुनिया", "Ünder_Score 12", "l'été")] == [[], ["x", "a"], ["नमस्ते", "दुनिया"], ["ünder", "score"], ["l", "été"]]
+    import unicodedata
+
+    for c in map(chr, range(0x250)):
+        assert bool(words(f"{c}")) == any(unicodedata.category(x)[0] == "L" for x in c.lower())

@@ -61,3 +61,34 @@ def test_many_equal_vectors(spark):
     rows = [(i, [1.0, 2.0, 3.0] if i % 2 == 0 else [float(i), 1.0, 0.0], 0) for i in range(600)]
     found = found_rows(neighbours.nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 300, block_rows=100))
     assert found[300] == [(0.0, i) for i in range(0, 20, 2)]
+
+
+def clustered(n: int, dim: int, centres: int, seed: int) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    return rng.standard_normal((centres, dim))[rng.integers(0, centres, n)] * 3 + rng.standard_normal((n, dim))
+
+
+@pytest.mark.parametrize(("n", "centres"), [(8192, 40), (50_000, 200)])
+def test_recall_and_share_verified(n, centres):
+    """Blocks of 8,192 as in a task: distances are taken of a part of the vectors only, and few neighbours are missed."""
+    vectors = clustered(n, 64, centres, 5)
+    indexes = [neighbours.CollisionIndex(np.arange(a, min(a + 8192, n)), vectors[a : a + 8192]) for a in range(0, n, 8192)]
+    met = total = 0
+    for q in range(0, n, n // 60):
+        found = sorted((d, i) for x in indexes for i, d in zip(*x.search(q, vectors[q]), strict=True))[:10]
+        distance = ((vectors - vectors[q]) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        met += len({i for _, i in found} & set(np.argsort(distance)[:10].tolist()))
+        total += 10
+    share = sum(x.n_verified for x in indexes) / (n * (total // 10))
+    print("recall", met / total, "share verified", share)
+    assert met / total >= 0.95 and share < 0.5
+
+
+def test_huge_components_end(spark):
+    """Squares beyond the numbers' range: the search ends, and the order is that of the distances."""
+    rows = [(i, [1e200 * (i + 1), 1.0]) for i in range(30)] + [(100, [1e200, 2.0]), (200, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = found_rows(neighbours.nearest(df, F.col("vec_id") % 100 == 0))
+    assert [i for _, i in found[100]] == [0, 1, 200, 2, 3, 4, 5, 6, 7, 8]
+    assert found[100][3][0] == pytest.approx(2e200)

@@ -75,5 +75,5 @@ def test_stages_on_edges(spark, small_dir, make):
 
 def test_all_operators_are_registered():
     names = [n.split("_")[0] for n in corpus.queries()]
-    assert names == [f"op{i}" for i in range(1, 11)] and set(corpus.oracle_sql()) <= set(corpus.queries())
+    assert names == [f"op{i}" for i in range(1, 14)] and set(corpus.oracle_sql()) <= set(corpus.queries())
     assert set(corpus.queries()) | {"pipeline"} <= set(entry.queries())
