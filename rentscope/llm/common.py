@@ -28,6 +28,11 @@ def worker_state(mark: str, make: Callable[[], object]) -> object:
     return _worker["value"]
 
 
+def forget_state() -> None:
+    """What the worker kept goes: for what costs less to make again than to hold in workers that wait."""
+    _worker.clear()
+
+
 def release_memory() -> None:
     """Give back what the last task of this worker has freed: workers live long and share an executor's memory."""
     pa.default_memory_pool().release_unused()
@@ -103,6 +108,7 @@ def map_batches(
         # Workers wait in turn for their next task: what only saves work within one is not kept by all of them.
         if hasattr(step, "end"):
             step.end()
+        step = part = out = None
         release_memory()
 
     return df.mapInArrow(run, schema)

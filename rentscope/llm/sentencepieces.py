@@ -11,6 +11,7 @@ with the sentencepiece library when they are first met, and take its ids where t
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 from array import array
@@ -24,7 +25,7 @@ from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, Str
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer, models, normalizers
 
-from rentscope.llm.common import PartTable, as_text, map_batches, pick, worker_state
+from rentscope.llm.common import PartTable, as_text, forget_state, map_batches, pick, worker_state
 
 # Field numbers, piece types and model types of the public model format, and the space marker.
 _PIECES, _TRAINER, _NORMALIZER = 1, 2, 3
@@ -35,9 +36,12 @@ UNIGRAM, BPE = 1, 2
 MARK = "▁"
 
 #: Parts in a worker's table, its bytes, and the longest part that stays there when it is full.
-TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT = 400_000, 40_000_000, 64
+TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT = 150_000, 40_000_000, 64
 #: Cuts encoded by the library in one call.
 AT_ONCE = 5_000
+#: Threads of a worker's batches, unless ``RAYON_NUM_THREADS`` is set: an executor runs a task per core, and each
+#: thread keeps memory of its own; with one per core of the machine a worker grows by half.
+THREADS = 2
 #: Begins a part that is no single marked word.
 BARE = "\0"
 
@@ -204,12 +208,15 @@ class Codec:
 
 
 def codec(path: str) -> Codec:
-    """One codec per worker; its cache lasts over tasks."""
+    """One codec per worker and task."""
+    os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
     return worker_state(f"pieces {path}", lambda: Codec(path))
 
 
+#: Rows of a batch that are Python objects at one time.
+ROWS = 1_000
 #: Texts encoded at once, in characters: bounds what a batch holds besides its texts.
-CHUNK = 1_500_000
+CHUNK = 800_000
 
 
 def _chunks(texts: list[str]) -> Iterator[list[str]]:
@@ -239,11 +246,11 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
             ids = [np.frombuffer(x, "<i4") for chunk in _chunks([as_text(t) for t in columns["text"]]) for x in pieces.encode(chunk)]
             return {k: columns[k] for k in kept} | {"n_tokens": [len(i) for i in ids], "ids": ids}
 
-        step.end = pieces.table.clear
+        step.end = forget_state
         return step
 
     schema = StructType([*(docs.schema[k] for k in kept), StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
-    return map_batches(docs, make, schema)
+    return map_batches(docs, make, schema, ROWS)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -278,11 +285,11 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             names = ["n_chars", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
             return {"doc_id": columns["doc_id"]} | {n: [r[k] for r in rows] for k, n in enumerate(names)}
 
-        step.end = pieces.table.clear
+        step.end = forget_state
         return step
 
     schema = StructType([
         docs.schema["doc_id"], StructField("n_chars", LongType()), StructField("n_tokens", LongType()),
         StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType()), StructField("round_trip", BooleanType()),
     ])
-    return map_batches(docs, make, schema)
+    return map_batches(docs, make, schema, ROWS)
