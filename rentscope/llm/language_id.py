@@ -20,7 +20,7 @@ import uuid
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import batched, chain
 
 import numpy as np
 import regex
@@ -40,9 +40,10 @@ PART_CELLS = 2_000_000
 PARTS_HELD = 2
 #: Distinct words a task holds before it sends their counts on.
 WORDS_HELD = 200_000
-#: Words whose scores a worker keeps, and texts whose new words are scored together.
+#: Words whose scores a worker keeps, texts that are looked up together, and new words that are scored together.
 CACHE_WORDS = 150_000
-TEXTS_AT_ONCE = 500
+TEXTS_AT_ONCE = 250
+WORDS_AT_ONCE = 5_000
 #: Rejection: this share of the way from the language's own mean to its own letters drawn one by one, and so many standard errors over the text's letters above it.
 MARGIN, STANDARD_ERRORS = 0.5, 5.0
 
@@ -386,7 +387,10 @@ class Scorer:
         if old:
             self.table[first : first + len(old)] = scores[[known[w] for w in old]]
         if new:
-            self.table[first + len(old) : first + len(words)] = self.models.word_scores(new)
+            at = first + len(old)
+            for part in batched(new, WORDS_AT_ONCE):
+                self.table[at : at + len(part)] = self.models.word_scores(list(part))
+                at += len(part)
         self.row.update(zip(old + new, range(first, first + len(words)), strict=True))
 
     def texts(self, texts: list[str | None]) -> list[tuple[np.ndarray, int] | None]:

@@ -94,6 +94,7 @@ def test_scores_do_not_depend_on_the_cache(monkeypatch, cache):
     whole = li.Scorer(models).texts(texts)
     monkeypatch.setattr(li, "CACHE_WORDS", cache)
     monkeypatch.setattr(li, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(li, "WORDS_AT_ONCE", 2)
     for a, b in zip(whole, li.Scorer(models).texts(texts), strict=True):
         assert (a is None and b is None) or (a[1] == b[1] and np.allclose(a[0], b[0]))
 
