@@ -32,13 +32,13 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for first in (F.col("source") == "price_page", F.col("source") != "price_page"):
         tables.land_payloads(payloads.filter(first), landed)
         jobs.stream_ingest(spark, landed, offers, checkpoint, payloads.schema).awaitTermination()
-    return tables.read_offers(spark, offers)
+    return jobs.stored(spark, offers, schemas.OFFERS)
 
 
 def hourly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, out = _offer_stream(spark, sf_dir), new_path(spark, "hourly")
     jobs.stream_hourly_series(stream, out, new_path(spark, "stream")).awaitTermination()
-    return spark.read.schema(schemas.HOURLY_SERIES).parquet(out).select(*schemas.HOURLY_SERIES.names)
+    return jobs.stored(spark, out, schemas.HOURLY_SERIES).select(*schemas.HOURLY_SERIES.names)
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,4 +46,4 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = save(scores.provider_windows(fx.offers(spark, sf_dir), fx.snapshots(spark, sf_dir)), "windows")
     stream = _offer_stream(spark, sf_dir)
     jobs.stream_alerts(stream, state, windows, out, new_path(spark, "stream")).awaitTermination()
-    return jobs.current_alerts(spark.read.schema(jobs.ALERT_CHANGES).parquet(out))
+    return jobs.current_alerts(jobs.stored(spark, out, jobs.ALERT_CHANGES))

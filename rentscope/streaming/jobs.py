@@ -41,8 +41,8 @@ def _replace(rows: DataFrame, path: str, *parts: str) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A job's own table; empty before its first batch."""
+def stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A job's own table; empty before its first rows."""
     return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
@@ -113,12 +113,12 @@ def stream_hourly_series(offers: DataFrame, out: str, checkpoint: str, lateness:
         days = [r[DAY] for r in new.select(DAY).distinct().collect()]
         if not days:
             return
-        stored = _stored(spark, out, HOURLY_STATE).filter(F.col(DAY).isin(days))
-        done = [r[DAY] for r in stored.filter(F.col("batch") == mark).select(DAY).distinct().collect()]
-        new, stored = (t.filter(~F.col(DAY).isin(done)) if done else t for t in (new, stored))
+        before = stored(spark, out, HOURLY_STATE).filter(F.col(DAY).isin(days))
+        done = [r[DAY] for r in before.filter(F.col("batch") == mark).select(DAY).distinct().collect()]
+        new, before = (t.filter(~F.col(DAY).isin(done)) if done else t for t in (new, before))
         late = F.col("new_count").isNull()
         no = F.lit(0).cast("long")
-        joined = new.alias("b").join(stored.alias("s"), same, "full").select(
+        joined = new.alias("b").join(before.alias("s"), same, "full").select(
             *[F.coalesce(f"b.{k}", f"s.{k}").alias(k) for k in key],
             F.coalesce("new_price", "open_price").alias("open_price"),
             F.coalesce("new_count", "open_count", no).alias("open_count"),
@@ -201,7 +201,7 @@ def stream_alerts(new_offers: DataFrame, state: str, windows: DataFrame, alerts:
         changes = changed.select(*names, F.lit(False).alias("ended")).unionByName(gone.select(*names, F.lit(True).alias("ended")))
         day = F.to_date(F.lit(as_of))
         changes = changes.select("*", F.lit(as_of).alias("as_of"), F.lit(batch_id).cast("long").alias("batch_id"), F.lit(mark).alias("batch"), day.alias(DAY))
-        today = _stored(spark, alerts, ALERT_CHANGES).filter((F.col(DAY) == day) & (F.col("batch") != mark))
+        today = stored(spark, alerts, ALERT_CHANGES).filter((F.col(DAY) == day) & (F.col("batch") != mark))
         made = save(changes.unionByName(today.select(*changes.columns)), "alert-changes")
         if not made.filter(F.col("batch") == mark).isEmpty():
             _replace(made, alerts, DAY)

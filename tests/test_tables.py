@@ -259,3 +259,19 @@ def test_row_groups_without_a_run_are_not_read(spark, tmp_path):
     plan.collect()
     metrics = plan._jdf.queryExecution().executedPlan().collectLeaves().apply(0).metrics()
     assert 0 < metrics.apply("numOutputRows").value() <= 2000
+
+
+def test_a_stream_without_alerts_gives_none(spark, tmp_path):
+    """Equal prices everywhere: no change is written, and a reader finds an empty table."""
+    from rentscope.registry.queries import queries
+
+    events = spark.range(200).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS ts", "id AS user_id",
+        "element_at(array('click', 'view', 'purchase', 'error'), CAST(id % 4 + 1 AS INT)) AS event_type", "10.0D AS value", "'{}' AS props",
+    )
+    for name, rows in (("some", events), ("none", events.limit(0))):
+        rows.write.parquet(str(tmp_path / name / "events.parquet"))
+        found = queries()["stream_alerts"](spark, str(tmp_path / name))
+        assert found.collect() == [] and "provider" in found.columns
+    assert queries()["stream_hourly_series"](spark, str(tmp_path / "none")).collect() == []
+    assert queries()["stream_ingest"](spark, str(tmp_path / "none")).collect() == []
