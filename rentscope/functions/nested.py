@@ -11,7 +11,7 @@ import re
 import sys
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 # The search travels with the job: Python workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Texts of a batch that are Python objects at one time.
+ROWS = 200
+
 
 def _first_values(page: object, keys: list[str]) -> dict[str, object]:
     """The value each key is found with, in one walk in document order.
@@ -43,7 +46,7 @@ def _first_values(page: object, keys: list[str]) -> dict[str, object]:
     return found
 
 
-def _find_in_text(text: str | None, keys: list[str]) -> str | None:
+def _find_in_text(text: str | None, keys: list[str], only: type) -> str | None:
     try:
         values = _first_values(json.loads(text), keys) if text else {}
     except (ValueError, RecursionError):
@@ -51,24 +54,31 @@ def _find_in_text(text: str | None, keys: list[str]) -> str | None:
         return None
     usable = next((values[k] for k in keys if values.get(k)), values.get(keys[-1]))
     try:
-        return None if usable is None else json.dumps(usable, separators=(",", ":"), ensure_ascii=False)
+        return None if usable is None or not isinstance(usable, only) else json.dumps(usable, separators=(",", ":"), ensure_ascii=False)
     except RecursionError:
         return None
 
 
-def deep_find(*keys: str) -> Callable[[Column], Column]:
+def deep_find(*keys: str, only: type = object) -> Callable[[Column], Column]:
     """Column function: JSON text of the first key whose value is neither null, empty nor 0.
 
-    If none qualifies, the outcome of the last key is returned, as with a chain of ``or``. Texts
-    that name none of the keys are not parsed.
+    If none qualifies, the outcome of the last key is returned, as with a chain of ``or``; an outcome of another type
+    than ``only`` is null. Texts that name none of the keys are not parsed.
     """
     wanted = list(keys)
 
-    @F.pandas_udf("string")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # Spark bounds a batch in bytes, so what comes and what is found are held once each, and few texts beside them.
         for texts in batches:
-            yield texts.map(lambda text: _find_in_text(text, wanted))
+            parts = [texts.slice(at, ROWS) for at in range(0, len(texts), ROWS)]
+            found = [pa.array([_find_in_text(t, wanted, only) for t in part.to_pylist()], pa.string()) for part in parts]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.string())
+            del texts, parts, found
+            pa.default_memory_pool().release_unused()
 
     # A key may be written with escapes, so a backslash also asks for a look.
     named = "|".join([r"\\", *(re.escape(k) for k in wanted)])
-    return lambda text: find(F.when(text.rlike(named), text))
+    # Said to be nondeterministic, so that conditions on the outcome are checked on it and do not search again.
+    once = find.asNondeterministic()
+    return lambda text: once(F.when(text.rlike(named), text))

@@ -307,8 +307,7 @@ def _page_script(html: Column) -> Column:
 
 def page_prices(html: Column) -> Column:
     """JSON text of the price list inside a page's script block; null without one, or where the script cannot be read."""
-    found = deep_find(*PAGE_KEYS)(_page_script(html))
-    return F.when(found.startswith("["), found)
+    return deep_find(*PAGE_KEYS, only=list)(_page_script(html))
 
 
 def readable(payload: Column, source: Column) -> Column:

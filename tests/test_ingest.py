@@ -243,3 +243,17 @@ def test_a_deeply_nested_page_loses_only_its_own_rows(spark, small_dir):
     assert unreadable(broken, rows) == before | with_page and not with_page <= before
     texts = spark.createDataFrame([("[" * 100_000,), ('{"gpus":' + "[" * 100_000 + "1" + "]" * 100_000 + "}",), ('{"gpus":[1]}',), ("{gpus",), (None,)], "t string")
     assert [r[0] for r in texts.select(deep_find("gpus")(F.col("t"))).collect()] == [None, None, "[1]", None, None]
+
+
+def test_pages_are_searched_once(spark, small_dir):
+    """A condition on what was found does not search the pages again, and each task has one Python worker for it."""
+    pages = fx.web_pages(spark, small_dir)
+    for df in (ingest._page_lists(pages).filter("list IS NOT NULL"), ingest.ingest_price_page(pages)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.count("find(") == 1, plan
+
+
+def test_only_lists_are_prices(spark):
+    texts = ['{"k": [1]}', '{"k": {"a": 1}}', '{"k": "[x"}', '{"k": []}', '{"k": null}', "no", None]
+    found = one_column(spark, texts).select(deep_find("k", only=list)(F.col("v")).alias("f")).collect()
+    assert [r["f"] for r in found] == ["[1]", None, None, "[]", None, None, None]
