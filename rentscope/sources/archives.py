@@ -28,7 +28,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 LINES = "value string, file string, seq long"
 #: Compressed bytes of a partition, bytes of text in a rewritten frame, and lines of a batch.
 SPLIT_BYTES, FRAME_BYTES, BATCH_LINES = 32 << 20, 8 << 20, 20_000
-READ_BYTES = 1 << 20
+#: Partitions for each core, from which on smaller splits than ``SPLIT_BYTES`` only add tasks.
+RUNS_A_CORE = 16
+#: Bytes read at once, at first and at most, where the end of a run's last line is sought, and text given to the compressor at once.
+READ_BYTES, FIRST_READ, WRITE_BYTES = 1 << 20, 4 << 10, 1 << 20
 #: Bits of a line's number within its partition.
 LINE_BITS = 40
 
@@ -101,15 +104,20 @@ def runs_of(path: str, size: int, split_bytes: int) -> list[FrameRun]:
     return out
 
 
-def _text(file: pa.NativeFile, begin: int, end: int) -> Iterator[bytes]:
-    """The text of the frames from byte ``begin`` to ``end``, in pieces."""
+def split_for(sizes: list[int], least: int, cores: int) -> int:
+    """Compressed bytes of a partition: at least ``least``, and where that makes very many partitions for the cores, up to ``SPLIT_BYTES``."""
+    return max(least, min(SPLIT_BYTES, -(-sum(sizes) // (RUNS_A_CORE * max(1, cores)))))
+
+
+def _text(file: pa.NativeFile, begin: int, end: int, step: int = READ_BYTES) -> Iterator[bytes]:
+    """The text of the frames from byte ``begin`` to ``end``, in pieces; they begin with ``step`` bytes and grow."""
     file.seek(begin)
     left, expand = end - begin, zstandard.ZstdDecompressor().decompressobj(read_across_frames=True)
     while left > 0:
-        data = file.read(min(READ_BYTES, left))
+        data = file.read(min(step, left))
         if not data:
             raise ValueError("archive ends within a frame")
-        left -= len(data)
+        left, step = left - len(data), min(2 * step, READ_BYTES)
         piece = expand.decompress(data)
         if piece:
             yield piece
@@ -129,7 +137,7 @@ def lines_of(run: FrameRun) -> Iterator[list[bytes]]:
         if skip:
             # All of it is the middle of a line that began before.
             return
-        for piece in _text(file, run.end, run.size):
+        for piece in _text(file, run.end, run.size, FIRST_READ):
             head, end, _ = piece.partition(b"\n")
             rest += head
             if end:
@@ -185,26 +193,40 @@ def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
 def read_lines(spark: SparkSession, pattern: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Lines of archives with their file and, in ``seq``, their order within it; a task reads some frames of one archive.
 
+    ``split_bytes`` are the least compressed bytes of a task that reads several frames; many small ones are read by larger tasks.
     Lines end with a line feed, with or without a return before it; bytes that are no UTF-8 are replaced. A file that is no
     archive, or ends early, fails the query with the place.
     """
     spark.dataSource.register(ZstdLines)
-    return spark.read.format("zstd_lines").option("files", json.dumps(list_files(spark, pattern))).option("split_bytes", split_bytes).load()
+    files = list_files(spark, pattern)
+    split_bytes = split_for([size for _, size in files], split_bytes, spark.sparkContext.defaultParallelism)
+    return spark.read.format("zstd_lines").option("files", json.dumps(files)).option("split_bytes", split_bytes).load()
 
 
 def write_frames(lines: Iterator[bytes], path: str, frame_bytes: int = FRAME_BYTES) -> int:
-    """Lines (with their ends) as one archive of frames, each of whole lines; the number of frames."""
+    """Lines (with their ends) as one archive of frames, each of whole lines; the number of frames.
+
+    A large frame is compressed as its text comes, so no frame is held whole.
+    """
     store, name = open_store(path)
-    pack, n, held, size = zstandard.ZstdCompressor(), 0, [], 0
+    pack, n, held, size, frame, written = zstandard.ZstdCompressor(), 0, [], 0, None, 0
     with store.open_output_stream(name, compression=None) as out:
         for line in lines:
             held.append(line)
             size += len(line)
-            if size >= frame_bytes:
-                out.write(pack.compress(b"".join(held)))
-                held, size, n = [], 0, n + 1
-        if held:
-            out.write(pack.compress(b"".join(held)))
+            if written + size >= frame_bytes or size >= WRITE_BYTES:
+                text, written, held, size = b"".join(held), written + size, [], 0
+                if frame is None and written >= frame_bytes:
+                    out.write(pack.compress(text))
+                else:
+                    frame = frame or pack.compressobj()
+                    out.write(frame.compress(text))
+                    if written >= frame_bytes:
+                        out.write(frame.flush())
+                if written >= frame_bytes:
+                    frame, written, n = None, 0, n + 1
+        if held or frame:
+            out.write(frame.compress(b"".join(held)) + frame.flush() if frame else pack.compress(b"".join(held)))
             n += 1
     return n
 
@@ -212,7 +234,7 @@ def write_frames(lines: Iterator[bytes], path: str, frame_bytes: int = FRAME_BYT
 def reframe(spark: SparkSession, pattern: str, folder: str, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Archives rewritten into frames of whole lines, once, one task per archive: ``file, copy, n_frames``.
 
-    A task holds one frame's text. The copy gets its name when it is whole, so a task that runs again leaves no half one.
+    A task holds a piece of a frame's text. The copy gets its name when it is whole, so a task that runs again leaves no half one.
     """
     files = list_files(spark, pattern)
 

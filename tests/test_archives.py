@@ -91,3 +91,43 @@ def test_made_archives_have_several_runs(spark, medium_dir):
     files = archives.list_files(spark, pattern)
     runs = [len(archives.runs_of(path, size, fx.ARCHIVE_SPLIT)) for path, size in files]
     assert len(files) == 4 and min(runs) == 1 and max(runs) > 3
+
+
+def test_many_small_frames_make_few_partitions(spark, tmp_path):
+    """Tasks follow the cores, not the frames, and all lines come once."""
+    n = archives.write_frames((b"line %d\n" % i for i in range(60_000)), str(tmp_path / "a.zst"), 200)
+    df = archives.read_lines(spark, str(tmp_path / "*.zst"), 50)
+    most = 2 * archives.RUNS_A_CORE * spark.sparkContext.defaultParallelism
+    assert n > 10 * most and df.rdd.getNumPartitions() <= most
+    assert [r.value for r in df.orderBy("seq").collect()] == [f"line {i}" for i in range(60_000)]
+    assert archives.split_for([1 << 40], 1, 8) == archives.SPLIT_BYTES and archives.split_for([10], 50, 8) == 50
+
+
+def test_the_end_of_a_line_is_read_in_small_steps(tmp_path):
+    path = tmp_path / "a.zst"
+    path.write_bytes(packed([b"one\ntw", b"o\n", *[b"more\n"] * 5_000]))
+    read = []
+
+    class Counted:
+        def __init__(self, file):
+            self.seek, self.file = file.seek, file
+
+        def read(self, n):
+            read.append(n)
+            return self.file.read(n)
+
+    run = archives.runs_of(str(path), path.stat().st_size, 1)[0]
+    with path.open("rb") as file:
+        assert next(archives._text(Counted(file), run.end, run.size, archives.FIRST_READ)).startswith(b"o\nmore")
+    assert read == [archives.FIRST_READ] and [line for piece in archives.lines_of(run) for line in piece] == [b"one", b"two"]
+
+
+def test_a_large_frame_is_written_in_pieces(tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "WRITE_BYTES", 1_000)
+    lines = [b"row %d\n" % i for i in range(5_000)]
+    for frame_bytes, expected in ((1 << 40, 1), (20_000, None), (100, None)):
+        path = tmp_path / f"{frame_bytes}.zst"
+        n = archives.write_frames(iter(lines), str(path), frame_bytes)
+        found, runs = read_all(path, 1)
+        assert found == [line[:-1] for line in lines] and len(runs) == n == (expected or n)
+    assert archives.write_frames(iter([]), str(tmp_path / "none.zst")) == 0
