@@ -144,7 +144,8 @@ class Codec:
         crossing = any(re.search(f"[^{self.space}]{self.space}", piece) for piece in normal)
         # Cuts before a run of marks are safe where no piece goes on past one; a unigram's best path may then be put together as well.
         self.cut = None if crossing else re.compile(f"{self.space}*[^{self.space}]+|{self.space}+").findall
-        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(self.space, " ").encode() for p, _, kind in model.pieces]
+        # An array of objects: the bytes of many ids are taken in one step.
+        self.bytes = np.array([bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else p.replace(self.space, " ").encode() for p, _, kind in model.pieces], object)
         self.bytes[model.unk_id] = " ⁇ ".encode()
         self.table = PartTable(self._units, TABLE_SIZE, TABLE_BYTES, LONGEST_KEPT)
         self.n_compared = self.n_different = 0
@@ -202,8 +203,8 @@ class Codec:
         parts = pa.array(list(map(self.parts, texts)), pa.large_list(pa.large_string()))
         return self.table.ids(parts.flatten(), parts.offsets.to_numpy())
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        text = b"".join(self.bytes[np.asarray(ids, np.intp)].tolist()).decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text.startswith(" ") else text
 
 
@@ -276,7 +277,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
         pieces = codec(path)
 
         def row(text: str, ids: bytes) -> tuple:
-            decoded = pieces.decode(np.frombuffer(ids, "<i4").tolist())
+            decoded = pieces.decode(np.frombuffer(ids, "<i4"))
             return len(text), len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded == text
 
         def step(columns: dict[str, list]) -> dict[str, list]:
