@@ -223,19 +223,13 @@ def ingest_provider_list(payloads: DataFrame) -> DataFrame:
     from_caps = F.transform(F.coalesce(v["capabilities"]["gpu"]["models"], no_models), lambda m: m["model"])
     models = F.array_distinct(F.filter(F.concat(from_attrs, from_caps), lambda m: m != ""))
     hourly = F.round(nonzero(to_number(v["pricing"]["gpu"])) / HOURS_PER_MONTH, 6)
-    rows = providers.select("*", F.explode(models).alias("gpu_name_raw")).select(
+    # What holds for a provider is worked out once, before its models are listed, and only that is carried along.
+    said = providers.select(
         *RUN,
-        F.concat(
-            F.lit("akash_prov_"),
-            F.substring(F.coalesce(v["owner"], F.lit("")), 1, 16),
-            F.lit("_"),
-            F.substring("gpu_name_raw", 1, 20),
-        ).alias("offer_id"),
-        "gpu_name_raw",
-        F.lit(1).alias("gpu_count"),
-        hourly.alias("price_per_gpu_hr"),
-        hourly.alias("price_total_hr"),
-        F.lit(1).alias("interruptible"),
+        "v",
+        "attrs",
+        F.substring(F.coalesce(v["owner"], F.lit("")), 1, 16).alias("owner"),
+        hourly.alias("price"),
         (F.coalesce(to_number(v["uptime"]), F.lit(0.0)) / 100).alias("reliability_score"),
         attribute_place(F.col("attrs"), v["region"]).alias("geography"),
         attribute_number(F.col("attrs"), "network-speed-down").alias("inet_down_mbps"),
@@ -248,6 +242,20 @@ def ingest_provider_list(payloads: DataFrame) -> DataFrame:
             source=F.lit("akash_provider_list"),
         ).alias("extra_json"),
     )
+    rows = said.select("*", F.explode(models).alias("gpu_name_raw")).select(
+        *RUN,
+        F.concat(F.lit("akash_prov_"), "owner", F.lit("_"), F.substring("gpu_name_raw", 1, 20)).alias("offer_id"),
+        "gpu_name_raw",
+        F.lit(1).alias("gpu_count"),
+        F.col("price").alias("price_per_gpu_hr"),
+        F.col("price").alias("price_total_hr"),
+        F.lit(1).alias("interruptible"),
+        "reliability_score",
+        "geography",
+        "inet_down_mbps",
+        "inet_up_mbps",
+        "extra_json",
+    )
     return _as_offers(rows, "akash")
 
 
@@ -305,9 +313,13 @@ def _page_script(html: Column) -> Column:
     return nonblank(F.regexp_extract(html, PAGE_SCRIPT, 1))
 
 
+def _script_prices(script: Column) -> Column:
+    return deep_find(*PAGE_KEYS, only=list)(script)
+
+
 def page_prices(html: Column) -> Column:
     """JSON text of the price list inside a page's script block; null without one, or where the script cannot be read."""
-    return deep_find(*PAGE_KEYS, only=list)(_page_script(html))
+    return _script_prices(_page_script(html))
 
 
 def readable(payload: Column, source: Column) -> Column:
@@ -318,29 +330,33 @@ def readable(payload: Column, source: Column) -> Column:
 
 
 def _page_lists(payloads: DataFrame) -> DataFrame:
-    return _of_source(payloads, "price_page").select(*RUN, page_prices(F.col("payload")).alias("list"))
+    # The script has a projection of its own: the search looks at it several times and would cut it out each time.
+    scripts = _of_source(payloads, "price_page").select(*RUN, _page_script(F.col("payload")).alias("script"))
+    return scripts.select(*RUN, _script_prices(F.col("script")).alias("list"))
 
 
 def ingest_price_page(payloads: DataFrame) -> DataFrame:
     """Price list cut out of a web page, with the aliases used there."""
-    return _page_rows(_page_lists(payloads))
+    return _page_rows(_page_items(_page_lists(payloads)))
 
 
-def _page_rows(found: DataFrame) -> DataFrame:
+def _page_items(found: DataFrame) -> DataFrame:
+    """The listed GPUs with their prices, by the aliases used on web pages."""
     g = F.col("g")
     items = found.select(*RUN, F.explode(F.from_json("list", schemas.PRICE_ARRAY)).alias("g"))
-    return _list_rows(
-        items.select(
-            *RUN,
-            F.coalesce(_first(g, ["name", "gpu", "model"], nonblank), F.lit("")).alias("gpu"),
-            _first(g, ["vram", "memory"], _priced).alias("vram"),
-            _first(g, ["hourlyPrice", "onDemandPrice", "price"], _priced).alias("on_demand"),
-            _first(g, ["spotPrice", "interruptiblePrice"], _priced).alias("spot"),
-        ),
-        "spheron_html",
+    return items.select(
+        *RUN,
+        F.coalesce(_first(g, ["name", "gpu", "model"], nonblank), F.lit("")).alias("gpu"),
+        _first(g, ["vram", "memory"], _priced).alias("vram"),
+        _first(g, ["hourlyPrice", "onDemandPrice", "price"], _priced).alias("on_demand"),
+        _first(g, ["spotPrice", "interruptiblePrice"], _priced).alias("spot"),
     )
 
 
+def _page_rows(items: DataFrame) -> DataFrame:
+    return _list_rows(items, "spheron_html")
+
+
 def ingest_static_prices(runs: DataFrame) -> DataFrame:
     """The dated price table for each run (one row per run in, sixteen out)."""
     table = F.array(
@@ -371,9 +387,9 @@ def first_nonempty_source(sources: list[DataFrame]) -> DataFrame:
 def list_price_rows(payloads: DataFrame) -> DataFrame:
     """List prices of each run: service answer, else web page, else the dated table.
 
-    Pages are read once: the lists found in them are stored, as both the choice of sources and the rows need them.
+    Pages are read once: the prices found in them are stored, as both the choice of sources and the rows need them.
     """
-    pages = save(_page_lists(payloads).filter(F.col("list").isNotNull()), "page-lists")
+    pages = save(_page_items(_page_lists(payloads).filter(F.col("list").isNotNull())), "page-prices")
     runs = payloads.filter(F.col("provider") == "spheron").select(*RUN).distinct()
     return first_nonempty_source(
         [ingest_price_list(payloads), _page_rows(pages), ingest_static_prices(runs)]

@@ -63,7 +63,8 @@ def stream_ingest(
 
     def parse(batch: DataFrame, batch_id: int) -> None:
         days = [r[DAY] for r in batch.select(DAY).distinct().collect()]
-        payloads = save(read_payloads(spark, landed, schema).filter(F.col(DAY).isin(days)), "payloads")
+        # The files are listed here, once: all that is read of them below sees the same payloads.
+        payloads = read_payloads(spark, landed, schema).filter(F.col(DAY).isin(days))
         rows = with_ids(collect_run(payloads)).withColumn(DAY, F.to_date("captured_at"))
         _replace(rows.hint("rebalance", DAY), offers, DAY)
 

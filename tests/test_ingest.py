@@ -257,3 +257,16 @@ def test_only_lists_are_prices(spark):
     texts = ['{"k": [1]}', '{"k": {"a": 1}}', '{"k": "[x"}', '{"k": []}', '{"k": null}', "no", None]
     found = one_column(spark, texts).select(deep_find("k", only=list)(F.col("v")).alias("f")).collect()
     assert [r["f"] for r in found] == ["[1]", None, None, "[]", None, None, None]
+
+
+def test_providers_and_scripts_are_read_once(spark):
+    """What holds for a provider is found below the listing of its models; a page's script is cut out once."""
+    payloads = spark.createDataFrame([], schemas.PAYLOADS)
+
+    def plan(rows):
+        return rows._jdf.queryExecution().optimizedPlan().toString()
+
+    listed = plan(ingest.ingest_provider_list(payloads.persist()))
+    assert 0 <= listed.index("array_distinct") < listed.index("network-speed-down")
+    assert plan(ingest._page_lists(payloads)).count("regexp_extract") == 1
+    payloads.unpersist()

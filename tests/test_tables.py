@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,6 +124,34 @@ def test_split_runs_count_once(spark, small_dir, tmp_path):
     assert None not in ids and len(set(ids)) == len(ids)
 
 
+def test_ingest_stream_reads_payloads_where_they_landed(spark, tmp_path, monkeypatch):
+    """A batch makes no copy of the payloads; what lands while it runs waits for the next one."""
+    from rentscope.operators.ingest import collect_run
+
+    landed, offers, checkpoint = (str(tmp_path / name) for name in ("landed", "offers", "checkpoint"))
+    columns = "snapshot_id string, captured_at timestamp, provider string, source string, payload string"
+
+    def land(number):
+        body = '{"offers":[{"id":"%d","gpu_name":"RTX 4090","dph_total":1.5}]}' % number
+        row = ("r", datetime(2024, 1, 1), "vast", "marketplace", body)
+        tables.land_payloads(spark.createDataFrame([row], columns), landed)
+
+    read = []
+
+    def collect(payloads):
+        read.append(payloads.inputFiles())
+        land(len(read) + 1)
+        return collect_run(payloads)
+
+    monkeypatch.setattr(jobs, "collect_run", collect)
+    land(1)
+    for batch in (1, 2):
+        jobs.stream_ingest(spark, landed, offers, checkpoint).awaitTermination()
+        found = sorted(r["offer_id"] for r in tables.read_offers(spark, offers).select("offer_id").collect())
+        assert found == [str(n) for n in range(1, batch + 1)]
+    assert [len(files) for files in read] == [1, 2] and all(landed in file for files in read for file in files)
+
+
 def land_prices(spark, landed, *rows):
     """Append ``time, provider, gpu, price`` and return a stream over all that has landed."""
     schema = "captured_at timestamp, provider string, gpu_name string, price_per_gpu_hr double"
